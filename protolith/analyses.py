@@ -170,12 +170,12 @@ def _registry() -> dict[str, Analysis]:
         Analysis("signalp6", 20, "SignalP", SIGNALP56),
         Analysis("effectorp3", 21, "EffectorP", EFFECTORP3, has_features=False),
         Analysis("effectorp3_fungal", 22, "EffectorP", EFFECTORP3, has_features=False),
-        Analysis("regexanalysis", 23, "predutils", MOTIF_HIT, None, True),
+        Analysis("regexanalysis", 23, "protolith", MOTIF_HIT, None, True),
         Analysis("deepredeff_fungi", 24, "deepredeff", DEEPREDEFF, has_features=False),
         Analysis("deepredeff_oomycete", 25, "deepredeff", DEEPREDEFF, has_features=False),
         Analysis("deepredeff_bacteria", 26, "deepredeff", DEEPREDEFF, has_features=False),
-        Analysis("kex2_cutsite", 27, "predutils", MOTIF_HIT, None, True),
-        Analysis("rxlr_like_motif", 28, "predutils", MOTIF_HIT, None, True),
+        Analysis("kex2_cutsite", 27, "protolith", MOTIF_HIT, None, True),
+        Analysis("rxlr_like_motif", 28, "protolith", MOTIF_HIT, None, True),
         Analysis("deeptmhmm", 29, "DeepTMHMM", DEEPTMHMM),
         Analysis("deeploc2", 30, "DeepLoc2", DEEPLOC2, has_features=False),
         Analysis("tmbed", 31, "TMBed", TMBED),
