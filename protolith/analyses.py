@@ -7,6 +7,7 @@ store, or the software behind a result, reads it here.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import lru_cache
 
 from pyspark.sql import types as T
 
@@ -123,6 +124,19 @@ def _composition_ddl() -> str:
 PEPSTATS = _composition_ddl()
 
 
+TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "double": T.DoubleType(),
+    "boolean": T.BooleanType(), "array<string>": T.ArrayType(T.StringType()),
+}
+
+
+@lru_cache(maxsize=None)
+def flat_schema(ddl: str) -> T.StructType:
+    """A struct type from ``name type, ...`` without needing a session."""
+    pairs = (f.strip().split(" ", 1) for f in ddl.split(","))
+    return T.StructType([T.StructField(n, TYPES[t]) for n, t in pairs])
+
+
 @dataclass(frozen=True)
 class Analysis:
     """What the jobs know about one result kind."""
@@ -138,7 +152,7 @@ class Analysis:
 
     @property
     def schema(self) -> T.StructType:
-        return T.StructType.fromDDL(self.ddl)
+        return flat_schema(self.ddl)
 
     @property
     def needs_database(self) -> bool:

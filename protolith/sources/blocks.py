@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..analyses import PROFILE_ALIGNMENT, RESIDUE_PROPERTIES, RESIDUES, analysis
+from ..analyses import PROFILE_ALIGNMENT, RESIDUE_PROPERTIES, RESIDUES, analysis, flat_schema
 from ..functions.text import matched
 from ..functions.topology import membrane_flag, signal_flag
 
@@ -128,9 +128,7 @@ def parse_tmbed(blocks: DataFrame, column: str = "value") -> DataFrame:
 
 def parse_hhr(blocks: DataFrame, column: str = "value") -> DataFrame:
     """Profile alignments: a query block holds one row per template."""
-    from pyspark.sql import types as T
-
-    types = {f.name: f.dataType for f in T.StructType.fromDDL(PROFILE_ALIGNMENT).fields}
+    types = {f.name: f.dataType for f in flat_schema(PROFILE_ALIGNMENT).fields}
     block = F.concat(F.lit("Query "), F.regexp_replace(F.col(column), r"^Query\s+", ""))
     parts = F.split(block, r"\n(?=>)")
     rows = (
