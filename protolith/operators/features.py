@@ -17,7 +17,6 @@ from ..functions.text import flag_text, number_text, source_tag
 from .ordered import number_rows
 from .summary import CUT_REGEX, CUT_REGEX_WITH_RESIDUES
 
-NONE = F.lit(None)
 TM = "transmembrane_polypeptide_region"
 SP = "signal_peptide"
 PLANT_CUT = (
@@ -123,7 +122,7 @@ def _label_runs(alphabet: str, membrane: str):
         kind = F.create_map(*[F.lit(x) for kv in LABEL_KINDS.items() for x in kv])
 
         def piece(r: Column) -> Column:
-            labels = F.when(r["symbol"] == "S", NONE).otherwise(F.try_element_at(kind, r["symbol"]))
+            labels = F.when(r["symbol"] == "S", F.lit(None)).otherwise(F.try_element_at(kind, r["symbol"]))
             attrs = attributes(custom=custom_from([("kind", labels)])) if membrane == "MB" else None
             return _one(F.when(r["symbol"] == "S", SP).otherwise(TM), r["start"], r["end"], attrs=attrs)
         return F.transform(kept, piece)

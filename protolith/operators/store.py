@@ -6,10 +6,9 @@ question about one result kind reads only its folder.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..analyses import ANALYSES, MULTIPLE_OK, NEEDS_DATABASE, choose
 
@@ -41,15 +40,13 @@ def coerce_payload(analysis: Column, data: Column, drop_name: bool = False) -> C
 
     Only the branch of the row's own kind is evaluated.
     """
-    branches = []
+    out = None
     for a in ANALYSES.values():
-        typed = F.from_json(data, a.schema)
-        keep = [f for f in a.schema.names if not (drop_name and f == a.name_column)]
-        plain = F.to_json(
-            F.struct(*[typed[f].alias(f) for f in keep]), {"ignoreNullFields": "false"})
-        branches.append((a.name, plain))
-    first, rest = branches[0], branches[1:]
-    return reduce(lambda c, b: c.when(analysis == b[0], b[1]), rest, F.when(analysis == first[0], first[1]))
+        kept = T.StructType([
+            f for f in a.schema.fields if not (drop_name and f.name == a.name_column)])
+        plain = F.to_json(F.from_json(data, kept), {"ignoreNullFields": "false"})
+        out = F.when(analysis == a.name, plain) if out is None else out.when(analysis == a.name, plain)
+    return out
 
 
 def prepare(

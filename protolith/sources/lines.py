@@ -329,7 +329,8 @@ def parse_lines(lines: DataFrame, kind: str, column: str = "value") -> DataFrame
         kept = kept.filter(~line.rlike(spec.skip))
     # free text at the end of a line may contain the separator
     limit = spec.arity[1] if spec.split == SPACE and spec.arity[0] != spec.arity[1] else -1
-    fields = kept.withColumn("__f", F.split(line, spec.split, limit))
+    # a generator keeps later filters from repeating the split
+    fields = kept.select("*", F.explode(F.array(F.split(line, spec.split, limit))).alias("__f"))
     f = F.col("__f")
     parsed = {name: parser(F.trim(F.get(f, F.lit(at))) if spec.split != TAB else F.get(f, F.lit(at)))
               for name, at, parser in spec.columns}

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..analyses import ANALYSES, ENVELOPE
@@ -14,18 +14,19 @@ REQUIRED = ("analysis", "software", "software_version", "checksum", "md5sum")
 def parse_results(lines: DataFrame, column: str = "value") -> DataFrame:
     """Envelope columns plus ``problem``; payloads stay JSON text.  Blank lines are skipped."""
     fields = [f.strip().split(" ")[0] for f in ENVELOPE.split(",")]
-    e = F.from_json(column, ENVELOPE)
-    rows = lines.filter(F.trim(F.col(column)) != "").withColumn("__e", e)
-    problem = F.when(F.col("__e").isNull(), "json")
-    for name in REQUIRED:
-        problem = problem.when(F.col("__e")[name].isNull(), name)
-    problem = problem.when(~F.col("__e.analysis").isin(*ANALYSES), "analysis")
-    problem = problem.when(F.col("__e.data").isNull(), "data")
-    # a payload's own file name outranks nothing else: the envelope has none
-    filename = F.get_json_object(F.col("__e.data"), "$.filename")
-    return rows.select(
-        *[c for c in lines.columns if c != column], *[F.col("__e")[f].alias(f) for f in fields],
-        filename.alias("filename"), problem.alias("problem"))
+
+    def check(e: Column) -> Column:
+        problem = F.when(e.isNull(), "json")
+        for name in REQUIRED:
+            problem = problem.when(e[name].isNull(), name)
+        problem = problem.when(~e["analysis"].isin(*ANALYSES), "analysis").when(e["data"].isNull(), "data")
+        filename = F.get_json_object(e["data"], "$.filename")
+        return F.struct(*[e[f].alias(f) for f in fields], filename.alias("filename"), problem.alias("problem"))
+
+    # a generator keeps later filters from repeating the parse
+    checked = F.inline(F.transform(F.array(F.from_json(column, ENVELOPE)), check))
+    return lines.filter(F.trim(F.col(column)) != "").select(
+        *[c for c in lines.columns if c != column], checked)
 
 
 def read_results(spark: SparkSession, paths: str | list[str], include: list[str] | None = None,
