@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import escape, strip, unescape
+from .text import bound, escape, strip, unescape
 
 # --- fixed values: reserved attribute keys, in write order ---------------------
 RESERVED = (
@@ -51,14 +51,15 @@ def target(id_: Column, start: Column, end: Column, strand: Column | None = None
                     end.cast("int").alias("end"), side.alias("strand"))
 
 
-def custom(**pairs: Column) -> Column:
+def custom_from(pairs: list[tuple[str, Column]]) -> Column:
     """A map of one-element lists; NULL values are left out."""
-    return custom_from([(k, v) for k, v in pairs.items()])
+    return custom_lists([k for k, _ in pairs], F.array(*[v.cast("string") for _, v in pairs]))
 
 
-def custom_from(pairs: list[tuple[str, Column]]) -> Column:
-    entries = F.array(*[F.struct(
-        F.lit(k).alias("key"), F.array(v.cast("string")).alias("value")) for k, v in pairs])
+def custom_lists(keys: list[str], values: Column) -> Column:
+    """The same from one array of texts."""
+    names = F.split(F.lit(",".join(keys)), ",")
+    entries = F.zip_with(names, values, lambda k, v: F.struct(k.alias("key"), F.array(v).alias("value")))
     return F.map_from_entries(F.filter(entries, lambda e: e["value"][0].isNotNull()))
 
 
@@ -81,12 +82,13 @@ def gap_text(gap: Column) -> Column:
 
 def parse_target(text: Column) -> Column:
     """``id start end [strand]``, start 1-based in the text and 0-based in the struct."""
-    parts = F.split(strip(text), " ")
-    size = F.size(parts)
-    return F.when(size.between(3, 4), target(
-        F.replace(unescape(parts[0]), F.lit("%20"), F.lit(" ")),
-        parts[1].try_cast("int") - 1, parts[2].try_cast("int"),
-        F.when(size == 4, F.try_element_at(parts, F.lit(4)))))
+    def build(parts: Column) -> Column:
+        size = F.size(parts)
+        return F.when(size.between(3, 4), target(
+            F.replace(unescape(F.get(parts, F.lit(0))), F.lit("%20"), F.lit(" ")),
+            F.get(parts, F.lit(1)).try_cast("int") - 1, F.get(parts, F.lit(2)).try_cast("int"),
+            F.get(parts, F.lit(3))))
+    return F.when(text.isNotNull(), bound(F.split(strip(text), " "), build))
 
 
 def target_text(t: Column) -> Column:
@@ -102,22 +104,34 @@ def _parse_list(value: Column) -> Column:
 
 def parse_attributes(text: Column, strip_quote: bool = False) -> Column:
     """Attribute text to struct; an empty column or ``.`` gives a struct of NULLs."""
+    def cleaned(value: Column) -> Column:
+        return F.regexp_replace(value, "^[ '\"]+|[ '\"]+$", "") if strip_quote else strip(value)
+
     trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^[ ;]+|[ ;]+$", "")
     fields = F.filter(F.split(trimmed, ";"), lambda f: f.contains("="))
-    cleaned = lambda v: F.regexp_replace(v, "^[ '\"]+|[ '\"]+$", "") if strip_quote else strip(v)
     entries = F.transform(fields, lambda f: F.struct(
         strip(F.substring_index(f, "=", 1)).alias("key"),
         cleaned(f.substr(F.instr(f, "=") + 1, F.length(f))).alias("value")))
-    # of a repeated key the last one counts
+    return bound(bound(entries, _last_of_each), _from_pairs)
+
+
+def _last_of_each(entries: Column) -> Column:
+    """Key to value; of a repeated key the last one counts."""
+    keys = F.transform(entries, lambda e: e["key"])
+    unique = F.size(F.array_distinct(keys)) == F.size(entries)
     last = F.filter(entries, lambda e, i: ~F.exists(
         F.slice(entries, i + 2, F.greatest(F.size(entries), F.lit(1))), lambda later: later["key"] == e["key"]))
-    pairs = F.map_from_entries(last)
-    get = lambda k: F.try_element_at(pairs, F.lit(k))
+    return F.map_from_entries(F.when(unique, entries).otherwise(last))
+
+
+def _from_pairs(pairs: Column) -> Column:
+    def get(key: str) -> Column:
+        return F.try_element_at(pairs, F.lit(key))
+
     reserved = F.array(*[F.lit(k) for k, _ in RESERVED])
     rest = F.map_filter(pairs, lambda k, v: ~F.array_contains(reserved, k) & (v != ""))
     values = F.transform_values(
         rest, lambda _, v: F.when(v.contains(","), _parse_list(v)).otherwise(F.array(v)))
-    circular = F.lower(get("Is_circular"))
     return attributes(
         id=F.nullif(unescape(get("ID")), F.lit("")), name=F.nullif(unescape(get("Name")), F.lit("")),
         alias=_parse_list(get("Alias")), parent=_parse_list(get("Parent")),
@@ -125,7 +139,7 @@ def parse_attributes(text: Column, strip_quote: bool = False) -> Column:
         gap=F.when(get("Gap").isNotNull(), parse_gap(get("Gap"))),
         derives_from=_parse_list(get("Derives_from")), note=_parse_list(get("Note")),
         dbxref=_parse_list(get("Dbxref")), ontology_term=_parse_list(get("Ontology_term")),
-        is_circular=F.when(circular == "true", True).otherwise(False), custom=values,
+        is_circular=F.coalesce(F.lower(get("Is_circular")) == "true", F.lit(False)), custom=values,
     )
 
 

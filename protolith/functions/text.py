@@ -15,15 +15,22 @@ ESCAPES = (
 # --- end of fixed values ------------------------------------------------------
 
 
+def bound(value: Column, fn) -> Column:
+    """``fn(value)`` with ``value`` evaluated once, however often ``fn`` uses it."""
+    return F.transform(F.array(value), fn)[0]
+
+
 def escape(col: Column) -> Column:
     """Percent-escape; the percent sign itself goes first."""
-    return reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), ESCAPES, col)
+    done = reduce(lambda c, p: F.replace(c, F.lit(p[0]), F.lit(p[1])), ESCAPES, col)
+    return F.when(col.rlike("[%;,=\\t\\n\\r]"), done).otherwise(col)
 
 
 def unescape(col: Column) -> Column:
     """Undo :func:`escape`; the percent sign goes last."""
     order = ESCAPES[1:] + ESCAPES[:1]
-    return reduce(lambda c, p: F.replace(c, F.lit(p[1]), F.lit(p[0])), order, col)
+    done = reduce(lambda c, p: F.replace(c, F.lit(p[1]), F.lit(p[0])), order, col)
+    return F.when(col.contains("%"), done).otherwise(col)
 
 
 def strip(col: Column) -> Column:

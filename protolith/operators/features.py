@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ..analyses import ANALYSES, WITH_FEATURES
 from ..functions import topology as topo
-from ..functions.attributes import FEATURE, attributes, custom_from, gap_from_cigar, target
+from ..functions.attributes import (
+    FEATURE, attributes, custom_from, custom_lists, gap_from_cigar, target,
+)
 from ..functions.significance import alignment_significant, domain_significant
 from ..functions.text import flag_text, number_text, source_tag
 from .ordered import number_rows
@@ -28,6 +30,9 @@ PLANT_TYPES = {
     "SP": SP, "mTP": "mitochondrial_targeting_signal", "cTP": "transit_peptide",
     "luTP": "transit_peptide",
 }
+PLANT_PROBS = (
+    ("sp", "signal"), ("mtp", "mitochondrial"), ("ctp", "chloroplast"), ("lutp", "lumen"), ("other", "other"),
+)
 LABEL_KINDS = {"M": "alpha_helix", "B": "beta_barrel"}
 # --- end of fixed values ------------------------------------------------------
 
@@ -43,20 +48,30 @@ def _one(type_: Column, start: Column, end: Column, score: Column | None = None,
     )
 
 
-def _texts(d: Column, kind: str, skip: tuple[str, ...] = (), flags_too: bool = True) -> list:
-    """Payload columns as attribute texts, the way the payload spells them."""
-    pairs = []
+def _texts(d: Column, kind: str, skip: tuple[str, ...] = (), extra: list | None = None) -> Column:
+    """Payload columns as an attribute map, the way the payload spells them; NULLs left out.
+
+    The doubles go through one transform, which keeps the plan small.
+    """
+    numbers, others = [], list(extra or [])
     for f in ANALYSES[kind].schema.fields:
-        t = f.dataType.simpleString()
-        if f.name in skip or (t == "boolean" and not flags_too):
+        if f.name in skip:
             continue
-        value = d[f.name]
+        t = f.dataType.simpleString()
         if t == "double":
-            value = number_text(value)
-        elif t == "boolean":
-            value = flag_text(value)
-        pairs.append((f.name, value))
-    return pairs
+            numbers.append(f.name)
+        else:
+            others.append((f.name, flag_text(d[f.name]) if t == "boolean" else d[f.name]))
+    return _map(d, numbers, others)
+
+
+def _map(d: Column, numbers: list[str], others: list) -> Column:
+    """Attribute map from double-valued fields and ready texts."""
+    return custom_lists(
+        [*numbers, *[k for k, _ in others]],
+        F.concat(
+            F.transform(F.array(*[d[n] for n in numbers]), number_text),
+            F.array(*[v.cast("string") for _, v in others])))
 
 
 def _empty() -> Column:
@@ -70,7 +85,7 @@ def _when(condition: Column, feature: Column) -> Column:
 
 def _scored_signal(kind: str, flag: str, position: str, score: str):
     def rule(d: Column, keep_all: bool) -> Column:
-        attrs = attributes(custom=custom_from(_texts(d, kind, ("name",))))
+        attrs = attributes(custom=_texts(d, kind, ("name",)))
         return _when(d[flag], _one(F.lit(SP), F.lit(0), d[position] - 1, d[score], "+", attrs))
     return rule
 
@@ -79,17 +94,14 @@ def _cut_signal(regex: str):
     def rule(d: Column, keep_all: bool) -> Column:
         cut = F.regexp_extract(d["cs_pos"], regex, 1).try_cast("int")
         share = F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1)
-        attrs = attributes(custom=custom_from([
-            ("prediction", d["prediction"]), ("prob_signal", number_text(d["prob_signal"])),
-            ("prob_other", number_text(d["prob_other"])), ("prob_cut_site", share)]))
+        attrs = attributes(custom=_map(
+            d, ["prob_signal", "prob_other"], [("prediction", d["prediction"]), ("prob_cut_site", share)]))
         return _when(cut.isNotNull(), _one(F.lit(SP), F.lit(0), cut - 1, d["prob_signal"], "+", attrs))
     return rule
 
 
 def _deepsig(d: Column, keep_all: bool) -> Column:
-    attrs = attributes(custom=custom_from([
-        ("prediction", d["prediction"]), ("prob", number_text(d["prob"])),
-        ("cs_pos", d["cs_pos"].cast("string"))]))
+    attrs = attributes(custom=_map(d, ["prob"], [("prediction", d["prediction"]), ("cs_pos", d["cs_pos"])]))
     return _when((d["prediction"] == "SignalPeptide") & d["cs_pos"].isNotNull(),
                  _one(F.lit(SP), F.lit(0), d["cs_pos"], d["prob"], ".", attrs))
 
@@ -132,10 +144,12 @@ def _label_runs(alphabet: str, membrane: str):
 def _targetp(d: Column, keep_all: bool) -> Column:
     cut = F.regexp_extract(d["cs_pos"], CUT_REGEX_WITH_RESIDUES, 1).try_cast("int")
     is_sp = d["prediction"] == "SP"
-    attrs = attributes(custom=custom_from([
-        ("prediction", d["prediction"]), ("prob_signal", number_text(d["sp"])),
-        ("prob_mitochondrial", number_text(d["mtp"])), ("prob_other", number_text(d["other"])),
-        ("prob_cut_site", F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1))]))
+    probs = F.struct(d["sp"].alias("prob_signal"), d["mtp"].alias("prob_mitochondrial"),
+                     d["other"].alias("prob_other"))
+    share = F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1)
+    attrs = attributes(custom=_map(
+        probs, ["prob_signal", "prob_mitochondrial", "prob_other"],
+        [("prediction", d["prediction"]), ("prob_cut_site", share)]))
     type_ = F.when(is_sp, SP).otherwise("mitochondrial_targeting_signal")
     return _when(
         cut.isNotNull() & d["prediction"].isin("SP", "mTP") & ~d["cs_pos"].contains("Probable protein fragment"),
@@ -152,11 +166,10 @@ def _targetp_plant(d: Column, keep_all: bool) -> Column:
     def piece(c: Column) -> Column:
         kind = F.nullif(F.regexp_extract(c, PLANT_CUT, 1), F.lit(""))
         share = F.regexp_extract(c, PLANT_CUT, 4)
-        attrs = attributes(custom=custom_from([
-            ("prediction", d["prediction"]), ("prob_signal", number_text(d["sp"])),
-            ("prob_mitochondrial", number_text(d["mtp"])), ("prob_chloroplast", number_text(d["ctp"])),
-            ("prob_lumen", number_text(d["lutp"])), ("prob_other", number_text(d["other"])),
-            ("prob_cut_site", share), ("kind", kind)]))
+        probs = F.struct(*[d[f].alias(f"prob_{n}") for f, n in PLANT_PROBS])
+        attrs = attributes(custom=_map(
+            probs, [f"prob_{n}" for _, n in PLANT_PROBS],
+            [("prediction", d["prediction"]), ("prob_cut_site", share), ("kind", kind)]))
         type_ = F.try_element_at(types, F.coalesce(kind, d["prediction"]))
         score = F.when(kind.isNotNull(), share.try_cast("double")).otherwise(by_prediction)
         return _one(type_, F.lit(0), F.regexp_extract(c, PLANT_CUT, 2).try_cast("int") - 1, score, ".", attrs)
@@ -171,7 +184,7 @@ def _localizer(d: Column, keep_all: bool) -> Column:
         score = d[f"{organ}_prob"]
         attrs = attributes(
             note=F.array(F.lit(f"Putative internal {label} localization peptide")),
-            custom=custom_from([("prob", number_text(score))]))
+            custom=_map(d.withField("prob", score), ["prob"], []))
         return _when(d[f"{organ}_decision"], _one(
             F.lit(type_), d[f"{organ}_start"], d[f"{organ}_end"], score, strand, attrs))
     return F.concat(
@@ -182,9 +195,9 @@ def _localizer(d: Column, keep_all: bool) -> Column:
 def _domain(d: Column, keep_all: bool) -> Column:
     keep = F.lit(True) if keep_all else domain_significant(
         d["hmm_from"], d["hmm_to"], d["hmm_len"], d["query_from"], d["query_to"], d["domain_i_evalue"])
-    texts = _texts(d, "dbcan", ("query", "hmm", "hmm_from", "hmm_to", "query_from", "query_to"))
-    texts = [(k, F.coalesce(v, F.lit("None")) if k == "description" else v) for k, v in texts]
-    attrs = attributes(target=target(d["hmm"], d["hmm_from"], d["hmm_to"]), custom=custom_from(texts))
+    texts = _texts(d, "dbcan", ("query", "hmm", "hmm_from", "hmm_to", "query_from", "query_to", "description"),
+                   [("description", F.coalesce(d["description"], F.lit("None")))])
+    attrs = attributes(target=target(d["hmm"], d["hmm_from"], d["hmm_to"]), custom=texts)
     return _when(keep, _one(F.lit("protein_hmm_match"), d["query_from"], d["query_to"],
                             d["domain_i_evalue"], ".", attrs))
 
@@ -197,7 +210,7 @@ def _pfam(d: Column, keep_all: bool) -> Column:
         sites, lambda s: s != ""))).otherwise(F.expr("cast(map() as map<string, array<string>>)"))
     attrs = attributes(
         target=target(d["hmm"], d["hmm_start"], d["hmm_end"]),
-        custom=F.map_concat(custom_from(texts), extra))
+        custom=F.map_concat(texts, extra))
     return _when(F.lit(True) if keep_all else d["is_significant"], _one(
         F.lit("protein_hmm_match"), d["ali_start"], d["ali_end"], d["evalue"], ".", attrs))
 
@@ -207,7 +220,7 @@ def _alignment(d: Column, keep_all: bool) -> Column:
     texts = _texts(d, "phibase", (
         "query", "target", "qstart", "qend", "qlen", "tstart", "tend", "cigar"))
     attrs = attributes(target=target(d["target"], d["tstart"], d["tend"]),
-                       gap=gap_from_cigar(d["cigar"]), custom=custom_from(texts))
+                       gap=gap_from_cigar(d["cigar"]), custom=texts)
     return _when(keep, _one(F.lit("protein_match"), d["qstart"], d["qend"], d["evalue"], ".", attrs))
 
 

@@ -265,12 +265,12 @@ def src_ranked_tsv(spark, sf):
     return sequences.read_ranked(spark, path, "name string, score int, label string")
 
 
-@job("snk_tsv", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN ROUND(o_totalprice / 8, 3) END AS price FROM orders")
+@job("snk_tsv", "SELECT o_orderkey, CASE WHEN o_orderstatus <> 'F' THEN ROUND(o_totalprice / 7, 3) END AS price FROM orders")
 def snk_tsv(spark, sf):
     """Prices to three digits; NULL becomes a dot and comes back as NULL."""
     path = scratch(spark, "tsv")
     rows = B.table(spark, sf, "orders").selectExpr(
-        "o_orderkey", "CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice / 8, 3) END AS price")
+        "o_orderkey", "CASE WHEN o_orderstatus <> 'F' THEN round(o_totalprice / 7, 3) END AS price")
     writers.write_tsv(rows, path, digits=3)
     return spark.read.schema("o_orderkey bigint, price double").csv(path, sep="\t", header=True, nullValue=".")
 
@@ -390,7 +390,7 @@ def _xml_view(df: DataFrame) -> DataFrame:
 
 @job("src_xml", _xml_sql())
 def src_xml(spark, sf):
-    """Match files read with the XML source, one protein per row."""
+    """Match files split at the closing protein tag."""
     path = _written(spark, B.table(spark, sf, "part"), _proteins(), "xml")
     return _xml_view(interpro.features(interpro.read_proteins(spark, path, "5.59")))
 

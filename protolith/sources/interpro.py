@@ -1,7 +1,7 @@
 """Protein match XML to interval features.
 
-The XML source hands over one protein per row with only the elements named in
-the schema; each match kind is an explode and a projection.
+Each protein is one row with only the elements named in the schema; every match
+kind is a rule over its array of matches, so a protein is parsed once.
 """
 
 from __future__ import annotations
@@ -9,10 +9,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.attributes import attributes, custom_from, target
-from ..functions.text import source_tag, unescape
+from ..functions.attributes import FEATURE, attributes, custom_from, target
+from ..functions.text import bound, source_tag, unescape
 
-_TEXT = "string"
 _XREFS = "array<struct<_db: string, _id: string>>"
 _GO = "array<struct<_id: string, _name: string>>"
 _ENTRY = (
@@ -35,6 +34,10 @@ def _fragments(kind: str) -> str:
     return f"`location-fragments`: struct<`{kind}-location-fragment`: array<{part}>>"
 
 
+_SITE_PLACES = f"`site-locations`: struct<`site-location`: array<{_struct('start end residue')}>>"
+_PLAIN_SITES = f"array<struct<_description: string, {_SITE_PLACES}>>"
+_MODEL_SITES = f"array<struct<_description: string, hmmStart: string, hmmEnd: string, {_SITE_PLACES}>>"
+
 # --- fixed values: match kinds, and the attributes each one carries -----------------
 HMM_LOCATION = "start end env-start env-end hmm-start hmm-end hmm-bounds"
 LOCATIONS = {
@@ -47,13 +50,11 @@ LOCATIONS = {
     "hmmer2": _struct("start end hmm-start hmm-end hmm-bounds"),
     "profilescan": _struct("start end score"),
     "rpsblast": _struct("start end score evalue", (
-        "sites: struct<`rpsblast-site`: array<struct<_description: string, `site-locations`: "
-        f"struct<`site-location`: array<{_struct('start end residue')}>>>>>")),
+        f"sites: struct<`rpsblast-site`: {_PLAIN_SITES}>")),
     "superfamilyhmmer3": _struct("start end"),
     "fingerprints": _struct("start end pvalue score"),
     "hmmer3-with-sites": _struct(HMM_LOCATION, (
-        "sites: struct<`hmmer3-site`: array<struct<_description: string, hmmStart: string, hmmEnd: string, "
-        f"`site-locations`: struct<`site-location`: array<{_struct('start end residue')}>>>>>")),
+        f"sites: struct<`hmmer3-site`: {_MODEL_SITES}>")),
     "patternscan": _struct("start end level"),
 }
 MATCH_ATTRIBUTES = {
@@ -89,13 +90,24 @@ def protein_schema() -> str:
     return f"xref array<struct<_id: string>>, matches struct<{kinds}>"
 
 
-def read_proteins(spark: SparkSession, paths: str, version: str) -> DataFrame:
-    """Proteins of match files.  The scanner version sits outside the rows, so it is given."""
-    rows = (
-        spark.read.format("xml").option("rowTag", "protein").option("attributePrefix", "_")
-        .schema(protein_schema()).load(paths)
-    )
-    return rows.withColumn("ips_version", F.lit(version))
+def read_proteins(spark: SparkSession, paths: str, version: str | None = None) -> DataFrame:
+    """Proteins of match files.
+
+    The closing tag is the record separator, so one large file is read by many
+    tasks.  Without ``version``, the scanner version in each file's root element is
+    used.
+    """
+    raw = spark.read.option("lineSep", "</protein>").text(paths).withColumn(
+        "file_path", F.col("_metadata.file_path"))
+    found = F.regexp_extract("value", 'interproscan-version="([^"]+)"', 1)
+    records = raw.withColumn("value", F.concat(
+        F.regexp_extract("value", r"(?s)(<protein[ >].*)$", 1), F.lit("</protein>"))
+    ).filter(F.col("value") != "</protein>")
+    if version is not None:
+        return parse_proteins(records, F.lit(version))
+    # one root element per file
+    versions = raw.select("file_path", found.alias("ips_version")).filter("ips_version <> ''")
+    return parse_proteins(records.join(versions, "file_path"), F.col("ips_version"))
 
 
 def parse_proteins(rows: DataFrame, version: Column, column: str = "value") -> DataFrame:
@@ -135,144 +147,163 @@ def _signature(s: Column) -> dict[str, Column]:
     }
 
 
-def _matches(proteins: DataFrame, kind: str) -> DataFrame:
-    rows = proteins.select(
-        # the last cross reference names the protein
-        F.element_at("xref", -1)["_id"].alias("seqid"), "ips_version",
-        F.explode(F.col("matches")[_match_name(kind)]).alias("m"))
-    found = _signature(F.col("m.signature"))
-    tag = source_tag(F.lit("InterProScan"), F.col("ips_version"), found["library"], found["library_version"])
-    return rows.select(
-        "seqid", tag.alias("source"), F.struct(*[c.alias(n) for n, c in found.items()]).alias("s"),
-        F.col("m"), F.col("m.locations")[_location_name(kind)].alias("locs"))
+# A rule turns one match ``m`` with its signature fields ``s`` into an array of features.
+PIECE = FEATURE.replace("seqid: string, source: string, ", "")
+
 
+def _row(type_: str, start: Column, end: Column, score: Column | None, attrs: Column) -> Column:
+    return F.struct(
+        F.lit(type_).alias("type"), (start.cast("int") - 1).alias("start"), end.cast("int").alias("end"),
+        (F.lit(None) if score is None else score).cast("double").alias("score"),
+        F.lit("+").alias("strand"), F.lit(".").alias("phase"), attrs.alias("attributes"))
 
-def _row(type_: Column, start: Column, end: Column, score: Column, attrs: Column) -> list[Column]:
-    return [
-        F.col("seqid"), F.col("source"), type_.alias("type"),
-        (start.cast("int") - 1).alias("start"), end.cast("int").alias("end"),
-        score.cast("double").alias("score"), F.lit("+").alias("strand"), F.lit(".").alias("phase"),
-        attrs.alias("attributes")]
 
+def _last_fragment(location: Column, kind: str) -> Column:
+    return F.element_at(location["location-fragments"][f"{kind}-location-fragment"], -1)
 
-def _region(proteins: DataFrame, kind: str) -> DataFrame:
+
+def _region(kind: str):
     """Coils, membrane and disorder: the last fragment of the last location."""
     type_, note = REGION_TYPES[kind]
-    rows = _matches(proteins, kind).withColumn("l", F.element_at("locs", -1))
-    part = F.element_at(F.col("l.location-fragments")[f"{kind}-location-fragment"], -1)
-    attrs = attributes(note=F.array(F.lit(note))) if note else attributes()
-    return rows.select(*_row(F.lit(type_), part["_start"], part["_end"], F.lit(None), attrs))
+
+    def rule(m: Column, s: Column, locs: Column) -> Column:
+        part = _last_fragment(F.element_at(locs, -1), kind)
+        attrs = attributes(note=F.array(F.lit(note))) if note else attributes()
+        return F.array(_row(type_, part["_start"], part["_end"], None, attrs))
+    return rule
 
 
-def _signalp(proteins: DataFrame) -> DataFrame:
-    rows = _matches(proteins, "signalp").withColumn("l", F.element_at("locs", -1))
-    part = F.element_at(F.col("l.location-fragments")["signalp-location-fragment"], -1)
-    attrs = attributes(custom=custom_from([("model", F.col("s.library"))]))
-    return rows.select(*_row(F.lit("signal_peptide"), part["_start"], part["_end"], F.col("l._score"), attrs))
+def _signalp(m: Column, s: Column, locs: Column) -> Column:
+    last = F.element_at(locs, -1)
+    part = _last_fragment(last, "signalp")
+    attrs = attributes(custom=custom_from([("model", s["library"])]))
+    return F.array(_row("signal_peptide", part["_start"], part["_end"], last["_score"], attrs))
 
 
-def _attributes_of(custom: list, name: Column | None = None, target_: Column | None = None) -> Column:
-    given = {"name": F.col("s.name") if name is None else name, "dbxref": F.col("s.dbxref"),
-             "ontology_term": F.col("s.ontology_term"), "custom": custom_from(custom)}
-    if target_ is not None:
-        given["target"] = target_
+def _attributes_of(s: Column, custom: list, name: Column | None = None, aim: Column | None = None) -> Column:
+    given = {"name": s["name"] if name is None else name, "dbxref": s["dbxref"],
+             "ontology_term": s["ontology_term"], "custom": custom_from(custom)}
+    if aim is not None:
+        given["target"] = aim
     return attributes(**given)
 
 
-def _described(kind_default: str | None = None) -> list:
-    kind = F.col("s.kind")
-    return [("description", F.col("s.description")),
-            ("kind", F.coalesce(kind, F.lit(kind_default)) if kind_default else kind)]
+def _described(s: Column, kind_default: str | None = None) -> list:
+    kind = F.coalesce(s["kind"], F.lit(kind_default)) if kind_default else s["kind"]
+    return [("description", s["description"]), ("kind", kind)]
+
 
+def _sites(s: Column, sites: Column, place, custom) -> Column:
+    note = F.when(s["name"].isNotNull(), F.array(F.concat(F.lit("Part of "), s["name"])))
+    return F.transform(sites, lambda x: _row(
+        "biochemical_region_of_peptide", place(x)["_start"], place(x)["_end"], None,
+        attributes(note=note, custom=custom_from([("kind", F.lit("ACT_SITE")), *custom(x)]))))
 
-def _model_match(proteins: DataFrame, kind: str) -> DataFrame:
+
+def _model_match(kind: str):
     """Profile hits: model and envelope coordinates, with a target when the model span is known."""
-    rows = _matches(proteins, kind).withColumn("l", F.element_at("locs", -1))
-    known = F.col("l._hmm-end").cast("int") > 1
-    spans = [(n.replace("-", "_"), F.when(known, F.col(f"l._{n}")))
-             for n in ("hmm-start", "hmm-end", "env-start", "env-end")
-             if not (kind == "hmmer2" and n.startswith("env"))]
-    custom = [
-        ("evalue", F.col("m._evalue")), ("score", F.col("m._score")), ("accession", F.col("s.accession")),
-        ("complete", F.when(F.col("l._hmm-bounds") == "COMPLETE", "true")),
-        *_described("FAMILY" if kind == "panther" else None), *spans]
-    name = F.col("s.name")
-    if kind == "panther":
-        name = F.coalesce(name, F.when(~F.col("m._familyName").isin(*UNNAMED), F.col("m._familyName")))
-    aim = F.when(known, target(
-        F.col("s.accession"), F.col("l._hmm-start").cast("int") - 1, F.col("l._hmm-end").cast("int")))
-    main = rows.select(*_row(
-        F.lit("protein_hmm_match"), F.col("l._start"), F.col("l._end"), F.col("m._evalue"),
-        _attributes_of(custom, name, aim)))
-    if kind != "hmmer3-with-sites":
-        return main
-    sites = rows.select("seqid", "source", "s", F.explode("locs").alias("l")).select(
-        "seqid", "source", "s", F.explode(F.col("l.sites")["hmmer3-site"]).alias("site"))
-    place = F.element_at(F.col("site.site-locations")["site-location"], -1)
-    extra = [("kind", F.lit("ACT_SITE")), ("residue", place["_residue"]),
-             ("hmm_start", F.col("site.hmmStart")), ("hmm_end", F.col("site.hmmEnd")),
-             ("description", unescape(F.col("site._description")))]
-    return main.unionByName(_sites(sites, place, extra))
-
-
-def _sites(rows: DataFrame, place: Column, custom: list) -> DataFrame:
-    note = F.when(F.col("s.name").isNotNull(), F.array(F.concat(F.lit("Part of "), F.col("s.name"))))
-    return rows.select(*_row(
-        F.lit("biochemical_region_of_peptide"), place["_start"], place["_end"], F.lit(None),
-        attributes(note=note, custom=custom_from(custom))))
-
-
-def _profile_scan(proteins: DataFrame) -> DataFrame:
-    rows = _matches(proteins, "profilescan").withColumn("l", F.element_at("locs", -1))
-    scores = F.filter(F.transform("locs", lambda x: x["_score"]), lambda v: v.isNotNull())
-    score = F.coalesce(F.col("m._score"), F.get(scores, F.lit(0)))
-    custom = [("accession", F.col("s.accession")), ("score", score), *_described()]
-    return rows.select(*_row(
-        F.lit("protein_match"), F.col("l._start"), F.col("l._end"), score, _attributes_of(custom)))
-
-
-def _rpsblast(proteins: DataFrame) -> DataFrame:
-    rows = _matches(proteins, "rpsblast").withColumn("l", F.element_at("locs", -1))
-    custom = [("accession", F.col("s.accession")), ("name", F.coalesce(F.col("s.name"), F.lit("None"))),
-              ("score", F.col("l._score")), ("evalue", F.col("l._evalue")), *_described()]
-    main = rows.select(*_row(
-        F.lit("protein_match"), F.col("l._start"), F.col("l._end"), F.col("l._evalue"), _attributes_of(custom)))
-    sites = rows.select("seqid", "source", "s", F.explode("locs").alias("l")).select(
-        "seqid", "source", "s", F.explode(F.col("l.sites")["rpsblast-site"]).alias("site")).select(
-        "seqid", "source", "s", F.col("site._description").alias("d"),
-        F.explode(F.col("site.site-locations")["site-location"]).alias("place"))
-    extra = [("kind", F.lit("ACT_SITE")), ("description", unescape(F.col("d"))),
-             ("residue", F.col("place._residue"))]
-    return main.unionByName(_sites(sites, F.col("place"), extra))
-
-
-def _superfamily(proteins: DataFrame) -> DataFrame:
-    rows = _matches(proteins, "superfamilyhmmer3").withColumn("l", F.element_at("locs", -1))
-    custom = [("evalue", F.col("m._evalue")), ("accession", F.col("s.accession")), *_described()]
-    return rows.select(*_row(
-        F.lit("protein_hmm_match"), F.col("l._start"), F.col("l._end"), F.col("m._evalue"),
-        _attributes_of(custom)))
-
-
-def _each_location(proteins: DataFrame, kind: str, extra: tuple[str, ...], score: str | None) -> DataFrame:
+    def rule(m: Column, s: Column, locs: Column) -> Column:
+        last = F.element_at(locs, -1)
+        known = last["_hmm-end"].cast("int") > 1
+        names = [n for n in ("hmm-start", "hmm-end", "env-start", "env-end")
+                 if not (kind == "hmmer2" and n.startswith("env"))]
+        spans = [(n.replace("-", "_"), F.when(known, last[f"_{n}"])) for n in names]
+        custom = [
+            ("evalue", m["_evalue"]), ("score", m["_score"]), ("accession", s["accession"]),
+            ("complete", F.when(last["_hmm-bounds"] == "COMPLETE", "true")),
+            *_described(s, "FAMILY" if kind == "panther" else None), *spans]
+        name = s["name"]
+        if kind == "panther":
+            name = F.coalesce(name, F.when(~m["_familyName"].isin(*UNNAMED), m["_familyName"]))
+        aim = F.when(known, target(
+            s["accession"], last["_hmm-start"].cast("int") - 1, last["_hmm-end"].cast("int")))
+        main = F.array(_row("protein_hmm_match", last["_start"], last["_end"], m["_evalue"],
+                            _attributes_of(s, custom, name, aim)))
+        if kind != "hmmer3-with-sites":
+            return main
+        sites = F.flatten(F.transform(locs, lambda x: F.coalesce(
+            x["sites"]["hmmer3-site"], F.expr(f"cast(array() as {_MODEL_SITES})"))))
+        return F.concat(main, _sites(
+            s, sites, lambda x: F.element_at(x["site-locations"]["site-location"], -1),
+            lambda x: [("residue", F.element_at(x["site-locations"]["site-location"], -1)["_residue"]),
+                       ("hmm_start", x["hmmStart"]), ("hmm_end", x["hmmEnd"]),
+                       ("description", unescape(x["_description"]))]))
+    return rule
+
+
+def _profile_scan(m: Column, s: Column, locs: Column) -> Column:
+    last = F.element_at(locs, -1)
+    scores = F.filter(F.transform(locs, lambda x: x["_score"]), lambda v: v.isNotNull())
+    score = F.coalesce(m["_score"], F.get(scores, F.lit(0)))
+    custom = [("accession", s["accession"]), ("score", score), *_described(s)]
+    return F.array(_row("protein_match", last["_start"], last["_end"], score, _attributes_of(s, custom)))
+
+
+def _rpsblast(m: Column, s: Column, locs: Column) -> Column:
+    last = F.element_at(locs, -1)
+    custom = [("accession", s["accession"]), ("name", F.coalesce(s["name"], F.lit("None"))),
+              ("score", last["_score"]), ("evalue", last["_evalue"]), *_described(s)]
+    main = F.array(_row(
+        "protein_match", last["_start"], last["_end"], last["_evalue"], _attributes_of(s, custom)))
+    sites = F.flatten(F.transform(locs, lambda x: F.coalesce(
+        x["sites"]["rpsblast-site"], F.expr(f"cast(array() as {_PLAIN_SITES})"))))
+    places = F.flatten(F.transform(sites, lambda x: F.transform(
+        x["site-locations"]["site-location"],
+        lambda y: F.struct(y.alias("at"), x["_description"].alias("text")))))
+    return F.concat(main, _sites(
+        s, places, lambda x: x["at"],
+        lambda x: [("description", unescape(x["text"])), ("residue", x["at"]["_residue"])]))
+
+
+def _superfamily(m: Column, s: Column, locs: Column) -> Column:
+    last = F.element_at(locs, -1)
+    custom = [("evalue", m["_evalue"]), ("accession", s["accession"]), *_described(s)]
+    return F.array(_row("protein_hmm_match", last["_start"], last["_end"], m["_evalue"],
+                        _attributes_of(s, custom)))
+
+
+def _each_location(extra: tuple[str, ...], score: str | None):
     """Kinds with one feature per location."""
-    rows = _matches(proteins, kind).withColumn("l", F.explode("locs"))
-    custom = [("accession", F.col("s.accession")), *_described(),
-              *[(n, F.col(f"l._{n}")) for n in extra]]
-    value = F.col(f"l._{score}") if score else F.lit(None)
-    return rows.select(*_row(
-        F.lit("protein_match"), F.col("l._start"), F.col("l._end"), value, _attributes_of(custom)))
+    def rule(m: Column, s: Column, locs: Column) -> Column:
+        return F.transform(locs, lambda x: _row(
+            "protein_match", x["_start"], x["_end"], x[f"_{score}"] if score else None,
+            _attributes_of(s, [("accession", s["accession"]), *_described(s),
+                               *[(n, x[f"_{n}"]) for n in extra]])))
+    return rule
+
+
+RULES = {
+    "coils": _region("coils"), "tmhmm": _region("tmhmm"), "mobidblite": _region("mobidblite"),
+    "signalp": _signalp,
+    "hmmer3": _model_match("hmmer3"), "panther": _model_match("panther"),
+    "hmmer2": _model_match("hmmer2"), "hmmer3-with-sites": _model_match("hmmer3-with-sites"),
+    "profilescan": _profile_scan, "rpsblast": _rpsblast, "superfamilyhmmer3": _superfamily,
+    "fingerprints": _each_location(("pvalue", "score"), "pvalue"),
+    "patternscan": _each_location(("level",), None),
+}
+
+
+def _of_kind(matches: Column, kind: str) -> Column:
+    """``array<struct<library, library_version, found>>`` of all matches of a kind."""
+    def one(m: Column) -> Column:
+        signature = F.struct(*[c.alias(n) for n, c in _signature(m["signature"]).items()])
+        locs = m["locations"][_location_name(kind)]
+        return bound(signature, lambda s: F.struct(
+            s["library"].alias("library"), s["library_version"].alias("library_version"),
+            RULES[kind](m, s, locs).cast(f"array<{PIECE}>").alias("found")))
+    rows = F.transform(matches[_match_name(kind)], one)
+    return F.coalesce(rows, F.expr(
+        f"cast(array() as array<struct<library: string, library_version: string, found: array<{PIECE}>>>)"))
 
 
 def features(proteins: DataFrame) -> DataFrame:
-    """All features of all match kinds; one kind is skipped by design (phobius)."""
-    out = [_region(proteins, k) for k in REGION_TYPES]
-    out += [_signalp(proteins)]
-    out += [_model_match(proteins, k) for k in ("hmmer3", "panther", "hmmer2", "hmmer3-with-sites")]
-    out += [_profile_scan(proteins), _rpsblast(proteins), _superfamily(proteins),
-            _each_location(proteins, "fingerprints", ("pvalue", "score"), "pvalue"),
-            _each_location(proteins, "patternscan", ("level",), None)]
-    union = out[0]
-    for part in out[1:]:
-        union = union.unionByName(part)
-    return union
+    """All features of all match kinds, in one pass over the proteins.
+
+    One kind of match is skipped by design (phobius).  The last cross reference
+    names the protein.
+    """
+    every = F.concat(*[_of_kind(F.col("matches"), kind) for kind in RULES])
+    rows = proteins.select(
+        F.element_at("xref", -1)["_id"].alias("seqid"), "ips_version", F.inline(every))
+    tag = source_tag(F.lit("InterProScan"), F.col("ips_version"), F.col("library"), F.col("library_version"))
+    return rows.select("seqid", tag.alias("source"), F.inline("found"))
