@@ -15,10 +15,11 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
 from .ordered import number_rows, scan
 
 BIN = 1 << 16
-RADIX_BITS = 6
+RADIX_BITS = 10
 
 
 def block_levels(start: Column, end: Column) -> Column:
@@ -174,8 +175,9 @@ def _median_of(spans: DataFrame, cut: DataFrame, value: str) -> DataFrame:
     """
     ranked, digits = _dense_ranks(spans, value)
     base = 1 << RADIX_BITS
-    blocks = with_cover(ranked, "s", "e").groupBy("seqid", "level", "block", "rank").agg(
-        F.count(F.lit(1)).alias("n"))
+    # every round reads the blocks again, so they are written once
+    blocks = cut_lineage(with_cover(ranked, "s", "e").groupBy("seqid", "level", "block", "rank").agg(
+        F.count(F.lit(1)).alias("n")))
     probes = with_probes(cut, "start", top_level(spans, "s", "e"))
     depth = (
         probes.join(blocks.groupBy("seqid", "level", "block").agg(F.sum("n").alias("n")),

@@ -39,11 +39,12 @@ def dedup_encode(
     position = [F.col(o) if isinstance(o, str) else o for o in order]
     rows = rows.withColumn("__order", F.struct(*position)).withColumn("__bin0", bin)
     first = rows.groupBy("checksum").agg(
-        F.min(F.struct(F.col("__order").alias("o"), F.col("__bin0").alias("b"))).alias("f")
-    ).select("checksum", F.col("f.o").alias("__first"), F.col("f.b").alias("__fbin"))
+        F.min(F.struct(F.col("__order").alias("o"), F.col("__bin0").alias("b"))).alias("f"),
+        F.count(F.lit(1)).alias("__copies"),
+    ).select("checksum", "__copies", F.col("f.o").alias("__first"), F.col("f.b").alias("__fbin"))
     codes = number_rows(first, ["__first"], F.col("__fbin"), out="__n").select(
-        "checksum", encode_id(F.col("__n"), prefix, length).alias("encoded"))
-    return lookup(rows.drop("__order", "__bin0"), codes, "checksum")
+        "checksum", "__copies", encode_id(F.col("__n"), prefix, length).alias("encoded"))
+    return lookup(rows, codes, "checksum", "__copies", F.col("__order")).drop("__order", "__bin0")
 
 
 def distinct_sequences(encoded: DataFrame, seq: str = "seq") -> DataFrame:

@@ -2,29 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 HOT_SHARE = 10_000
 
 
-def lookup(left: DataFrame, right: DataFrame, key: str, how: str = "inner") -> DataFrame:
-    """Join many rows to at most one ``right`` row per key.
+def lookup(left: DataFrame, right: DataFrame, key: str, copies: str, spread: Column) -> DataFrame:
+    """Join many rows to the one ``right`` row of their key, in a single pass over ``left``.
 
-    A key is hot when it owns more than 1/10,000 of the left rows, so there are
-    fewer than 10,000 hot keys however large the tables are: their right rows are
-    broadcast.  All other keys go through the ordinary shuffle join.
+    ``copies`` is a right column with the number of left rows per key.  A key is
+    hot when it owns more than 1/10,000 of all rows, so there are fewer than
+    10,000 hot keys however large the tables are: those are broadcast.  Rows that
+    found their match this way travel the shuffle join under a key of their own
+    (from ``spread``, anything that differs between rows) and stay balanced.
     """
-    sizes = left.filter(F.col(key).isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("__n"))
-    total = left.agg(F.count(F.lit(1)).alias("__total")).scalar()
-    hot = sizes.filter(F.col("__n") * HOT_SHARE > total).select(key)
-    hot_right = right.join(F.broadcast(hot), key, "left_semi").withColumn("__hot", F.lit(True))
-    columns = [c for c in right.columns if c != key]
-
-    tagged = left.join(F.broadcast(hot.withColumn("__hot", F.lit(True))), key, "left")
-    cold_rows = tagged.filter(F.col("__hot").isNull()).drop("__hot")
-    hot_rows = tagged.filter(F.col("__hot")).drop("__hot")
-    cold = cold_rows.join(right, key, how)
-    warm = hot_rows.join(F.broadcast(hot_right.drop("__hot")), key, how)
-    out = [*left.columns, *columns]
-    return cold.select(*out).unionByName(warm.select(*out))
+    columns = [c for c in right.columns if c not in (key, copies)]
+    total = right.agg(F.sum(copies)).scalar()
+    is_hot = F.col(copies) * HOT_SHARE > total
+    value = F.struct(*columns)
+    hot = right.filter(is_hot).select(key, value.alias("__hot"))
+    cold = right.filter(~is_hot).select(F.col(key).alias("__key"), value.alias("__cold"))
+    rows = left.join(F.broadcast(hot), key, "left").withColumn(
+        "__key", F.when(F.col("__hot").isNull(), F.col(key)).otherwise(
+            F.concat(F.lit("\u0000"), F.xxhash64(spread).cast("string"))))
+    joined = rows.join(cold, "__key", "left").withColumn("__v", F.coalesce("__hot", "__cold"))
+    return joined.filter(F.col("__v").isNotNull()).select(*left.columns, "__v.*")

@@ -35,6 +35,8 @@ def local_session(cores: str = "*", app: str = "protolith", **conf: str) -> Spar
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.shuffle.partitions", "8")
+        # recording the Python call site of every column call is slow for large plans
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.driver.memory", "12g")
     )
     for key, value in {**RUNTIME_SETTINGS, **conf}.items():
