@@ -15,7 +15,7 @@ from ..functions.attributes import (
     FEATURE, attributes, custom_from, custom_lists, gap_from_cigar, target,
 )
 from ..functions.significance import alignment_significant, domain_significant
-from ..functions.text import flag_text, number_text, source_tag
+from ..functions.text import bound, flag_text, number_text, source_tag
 from .ordered import number_rows
 from .summary import CUT_REGEX, CUT_REGEX_WITH_RESIDUES
 
@@ -53,25 +53,21 @@ def _texts(d: Column, kind: str, skip: tuple[str, ...] = (), extra: list | None
 
     The doubles go through one transform, which keeps the plan small.
     """
-    numbers, others = [], list(extra or [])
-    for f in ANALYSES[kind].schema.fields:
-        if f.name in skip:
-            continue
-        t = f.dataType.simpleString()
-        if t == "double":
-            numbers.append(f.name)
-        else:
-            others.append((f.name, flag_text(d[f.name]) if t == "boolean" else d[f.name]))
-    return _map(d, numbers, others)
-
-
-def _map(d: Column, numbers: list[str], others: list) -> Column:
-    """Attribute map from double-valued fields and ready texts."""
-    return custom_lists(
-        [*numbers, *[k for k, _ in others]],
-        F.concat(
-            F.transform(F.array(*[d[n] for n in numbers]), number_text),
-            F.array(*[v.cast("string") for _, v in others])))
+    fields = [f for f in ANALYSES[kind].schema.fields if f.name not in skip]
+    numbers = [f.name for f in fields if f.dataType.simpleString() == "double"]
+    others = [(f.name, flag_text(d[f.name]) if f.dataType.simpleString() == "boolean" else d[f.name])
+              for f in fields if f.name not in numbers]
+    return _map(d, numbers, [*others, *(extra or [])], [f.name for f in fields])
+
+
+def _map(d: Column, numbers: list[str], others: list, first: list[str]) -> Column:
+    """Attribute map from double-valued fields and ready texts; keys ``first``, then the rest."""
+    ready = dict(others)
+    order = [*first, *[k for k in [*ready, *numbers] if k not in first]]
+    return bound(
+        F.transform(F.array(*[d[n] for n in numbers]), number_text),
+        lambda texts: custom_lists(order, F.array(*[
+            texts[numbers.index(k)] if k in numbers else ready[k].cast("string") for k in order])))
 
 
 def _empty() -> Column:
@@ -95,13 +91,15 @@ def _cut_signal(regex: str):
         cut = F.regexp_extract(d["cs_pos"], regex, 1).try_cast("int")
         share = F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1)
         attrs = attributes(custom=_map(
-            d, ["prob_signal", "prob_other"], [("prediction", d["prediction"]), ("prob_cut_site", share)]))
+            d, ["prob_signal", "prob_other"], [("prediction", d["prediction"]), ("prob_cut_site", share)],
+            ["prediction", "prob_signal", "prob_other"]))
         return _when(cut.isNotNull(), _one(F.lit(SP), F.lit(0), cut - 1, d["prob_signal"], "+", attrs))
     return rule
 
 
 def _deepsig(d: Column, keep_all: bool) -> Column:
-    attrs = attributes(custom=_map(d, ["prob"], [("prediction", d["prediction"]), ("cs_pos", d["cs_pos"])]))
+    attrs = attributes(custom=_map(d, ["prob"], [("prediction", d["prediction"]), ("cs_pos", d["cs_pos"])],
+                                   ["prediction", "prob"]))
     return _when((d["prediction"] == "SignalPeptide") & d["cs_pos"].isNotNull(),
                  _one(F.lit(SP), F.lit(0), d["cs_pos"], d["prob"], ".", attrs))
 
@@ -149,7 +147,8 @@ def _targetp(d: Column, keep_all: bool) -> Column:
     share = F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1)
     attrs = attributes(custom=_map(
         probs, ["prob_signal", "prob_mitochondrial", "prob_other"],
-        [("prediction", d["prediction"]), ("prob_cut_site", share)]))
+        [("prediction", d["prediction"]), ("prob_cut_site", share)],
+        ["prediction", "prob_signal", "prob_mitochondrial", "prob_other"]))
     type_ = F.when(is_sp, SP).otherwise("mitochondrial_targeting_signal")
     return _when(
         cut.isNotNull() & d["prediction"].isin("SP", "mTP") & ~d["cs_pos"].contains("Probable protein fragment"),
@@ -169,7 +168,8 @@ def _targetp_plant(d: Column, keep_all: bool) -> Column:
         probs = F.struct(*[d[f].alias(f"prob_{n}") for f, n in PLANT_PROBS])
         attrs = attributes(custom=_map(
             probs, [f"prob_{n}" for _, n in PLANT_PROBS],
-            [("prediction", d["prediction"]), ("prob_cut_site", share), ("kind", kind)]))
+            [("prediction", d["prediction"]), ("prob_cut_site", share), ("kind", kind)],
+            ["prediction", *[f"prob_{n}" for _, n in PLANT_PROBS]]))
         type_ = F.try_element_at(types, F.coalesce(kind, d["prediction"]))
         score = F.when(kind.isNotNull(), share.try_cast("double")).otherwise(by_prediction)
         return _one(type_, F.lit(0), F.regexp_extract(c, PLANT_CUT, 2).try_cast("int") - 1, score, ".", attrs)
@@ -184,7 +184,7 @@ def _localizer(d: Column, keep_all: bool) -> Column:
         score = d[f"{organ}_prob"]
         attrs = attributes(
             note=F.array(F.lit(f"Putative internal {label} localization peptide")),
-            custom=_map(d.withField("prob", score), ["prob"], []))
+            custom=_map(d.withField("prob", score), ["prob"], [], ["prob"]))
         return _when(d[f"{organ}_decision"], _one(
             F.lit(type_), d[f"{organ}_start"], d[f"{organ}_end"], score, strand, attrs))
     return F.concat(

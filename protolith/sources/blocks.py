@@ -123,7 +123,7 @@ def parse_tmbed(blocks: DataFrame, column: str = "value") -> DataFrame:
         "name": F.nullif(F.substring_index(head, " ", 1), F.lit("")), "topology": valid,
         "has_sp": signal_flag(valid), "has_tm": membrane_flag(valid),
     }
-    return _with_data(rows, types, values, list(types)).drop("__l")
+    return _with_data(rows, types, values, ["name", "topology"]).drop("__l")
 
 
 def parse_hhr(blocks: DataFrame, column: str = "value") -> DataFrame:
