@@ -148,48 +148,41 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
 
 
 def _fold_median(spans: DataFrame, cut: DataFrame, values: list[str]) -> DataFrame:
-    covered = fold_presence(spans, cut)
-    parts = [covered]
-    for v in values:
-        parts.append(_median_of(spans.filter(F.col(v).isNotNull()), cut, v))
-    keys = ["seqid", "start", "end"]
-    return reduce(lambda a, b: a.join(b, keys, "left"), parts)
-
-
-def fold_presence(spans: DataFrame, cut: DataFrame) -> DataFrame:
-    """Segments that some interval covers."""
-    blocks = with_cover(spans.select("seqid", "s", "e"), "s", "e").select(
-        "seqid", "level", "block").distinct()
-    probes = with_probes(cut, "start", top_level(spans, "s", "e"))
-    return (probes.join(blocks, ["seqid", "level", "block"], "left_semi")
-            .select("seqid", "start", "end").distinct())
+    parts = [_median_of(spans.select("seqid", "s", "e", v), cut, v) for v in values]
+    return reduce(lambda a, b: a.join(b, ["seqid", "start", "end"]), parts)
 
 
 def _median_of(spans: DataFrame, cut: DataFrame, value: str) -> DataFrame:
-    """Exact median per segment by radix descent over value ranks.
+    """Exact median per covered segment by radix descent over value ranks.
 
     The k-th smallest covering value is found digit by digit: per block, how many
     covering intervals have a rank that starts with the digits found so far.  Each
     round is one aggregation and one equi-join, and a deeply covered segment costs
     as much as a shallow one.
     """
-    ranked, digits = _dense_ranks(spans, value)
+    ranks, digits = _dense_ranks(spans, value)
     base = 1 << RADIX_BITS
-    # every round reads the blocks again, so they are written once
-    blocks = cut_lineage(with_cover(ranked, "s", "e").groupBy("seqid", "level", "block", "rank").agg(
-        F.count(F.lit(1)).alias("n")))
-    probes = with_probes(cut, "start", top_level(spans, "s", "e"))
+    # every round reads the blocks again, so they are written once; NULL values have no
+    # rank but still show that a segment is covered
+    blocks = cut_lineage(
+        with_cover(spans.join(ranks, value, "left"), "s", "e")
+        .groupBy("seqid", "level", "block", "rank", value).agg(F.count(F.lit(1)).alias("n")))
+    levels = F.coalesce(blocks.agg(F.max("level")).scalar(), F.lit(0))
+    known = F.when(F.col("rank").isNotNull(), F.col("n")).otherwise(0)
     depth = (
-        probes.join(blocks.groupBy("seqid", "level", "block").agg(F.sum("n").alias("n")),
-                    ["seqid", "level", "block"])
+        with_probes(cut, "start", levels)
+        .join(blocks.groupBy("seqid", "level", "block").agg(F.sum(known).alias("n")),
+              ["seqid", "level", "block"])
         .groupBy("seqid", "start", "end").agg(F.sum("n").alias("n"))
     )
     # positions of the two middle values (equal when the count is odd)
-    wanted = depth.select(
+    wanted = depth.filter("n > 0").select(
         "seqid", "start", "end", F.lit(0).cast("bigint").alias("prefix"),
-        F.explode(F.array(F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2))).alias("k"),
-    ).distinct()
-    levels = top_level(spans, "s", "e")
+        F.explode(F.array_distinct(F.array(
+            F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)))).alias("k"),
+    )
+    names = blocks.filter("rank IS NOT NULL").select("rank", value).distinct()
+    blocks = blocks.filter("rank IS NOT NULL")
     for digit in reversed(range(digits)):
         scale = 1 << (RADIX_BITS * digit)
         counts = blocks.groupBy(
@@ -212,16 +205,16 @@ def _median_of(spans: DataFrame, cut: DataFrame, value: str) -> DataFrame:
                     (F.col("prefix") * base + F.col("digit")).alias("prefix"),
                     (F.col("k") - (F.col("upto") - F.col("n"))).alias("k"))
         )
-    names = ranked.select("rank", value).distinct()
-    return (
+    found = (
         wanted.withColumnRenamed("prefix", "rank").join(names, "rank")
         .groupBy("seqid", "start", "end").agg(F.avg(value).alias(value))
     )
+    return depth.drop("n").join(found, ["seqid", "start", "end"], "left")
 
 
 def _dense_ranks(spans: DataFrame, value: str) -> tuple[DataFrame, int]:
-    """Number the distinct values in order; the second result is the digits a rank needs."""
-    distinct = spans.select(value).distinct()
+    """Distinct values with their rank, and how many digits a rank needs."""
+    distinct = spans.filter(F.col(value).isNotNull()).select(value).distinct()
     stats = distinct.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"),
                          F.max(value).alias("hi")).first()
     width = max((float(stats["hi"] or 0) - float(stats["lo"] or 0)) / 4096, 1e-300)
@@ -230,4 +223,4 @@ def _dense_ranks(spans: DataFrame, value: str) -> tuple[DataFrame, int]:
     digits = 1
     while (1 << (RADIX_BITS * digits)) < stats["n"]:
         digits += 1
-    return spans.join(ranks, value), digits
+    return ranks, digits

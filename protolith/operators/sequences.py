@@ -28,23 +28,23 @@ def with_checksums(df: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def dedup_encode(
-    df: DataFrame, order: list, bin: Column, seq: str = "seq", prefix: str = "SR", length: int = 5
+    df: DataFrame, order: list[str], bin: Column, seq: str = "seq", prefix: str = "SR", length: int = 5
 ) -> DataFrame:
     """Give every distinct sequence a short id, numbered by first occurrence.
 
     All input rows come back with ``encoded, checksum, md5sum``; the ids of
-    duplicates are shared.  ``bin`` must coarsen ``order``.
+    duplicates are shared.  ``order`` names columns; ``bin`` is computed from them and
+    must coarsen them.
     """
     rows = with_checksums(df.withColumn(seq, normalise(F.col(seq))), seq)
-    position = [F.col(o) if isinstance(o, str) else o for o in order]
-    rows = rows.withColumn("__order", F.struct(*position)).withColumn("__bin0", bin)
-    first = rows.groupBy("checksum").agg(
-        F.min(F.struct(F.col("__order").alias("o"), F.col("__bin0").alias("b"))).alias("f"),
-        F.count(F.lit(1)).alias("__copies"),
-    ).select("checksum", "__copies", F.col("f.o").alias("__first"), F.col("f.b").alias("__fbin"))
-    codes = number_rows(first, ["__first"], F.col("__fbin"), out="__n").select(
+    # one plain order column keeps the aggregate hashed
+    earliest = F.min(order[0] if len(order) == 1 else F.struct(*order)).alias("__first")
+    first = rows.groupBy("checksum").agg(earliest, F.count(F.lit(1)).alias("__copies"))
+    back = [F.col("__first").alias(order[0])] if len(order) == 1 else [F.col("__first.*")]
+    first = first.select("checksum", "__copies", *back)
+    codes = number_rows(first, order, bin, out="__n").select(
         "checksum", "__copies", encode_id(F.col("__n"), prefix, length).alias("encoded"))
-    return lookup(rows, codes, "checksum", "__copies", F.col("__order")).drop("__order", "__bin0")
+    return lookup(rows, codes, "checksum", "__copies", F.struct(*order))
 
 
 def distinct_sequences(encoded: DataFrame, seq: str = "seq") -> DataFrame:
