@@ -113,9 +113,12 @@ def segments(df: DataFrame, seqid: str, start: str, end: str, bin_size: int = BI
 
 
 def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[str],
-                  reducer: str) -> DataFrame:
+                  reducer: str, cut: DataFrame | None = None) -> DataFrame:
     """Reduce values over the intervals covering each elementary segment.
 
+    ``cut`` gives other segments (``seqid, start, end``) than the intervals' own; they
+    must not cross an interval's boundary.
+
     ``reducer`` is min, max, mean or median; NULL values are skipped, segments
     with no covering row are dropped, a segment whose values are all NULL stays.
     """
@@ -123,7 +126,7 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
         F.col(seqid).alias("seqid"), F.col(start).cast("bigint").alias("s"),
         F.col(end).cast("bigint").alias("e"), *[F.col(v).cast("double").alias(v) for v in values],
     )
-    cut = segments(spans, "seqid", "s", "e")
+    cut = segments(spans, "seqid", "s", "e") if cut is None else cut
     if reducer == "median":
         return _fold_median(spans, cut, values)
     partial = {

@@ -247,11 +247,10 @@ def line_features(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def intervals(spark: SparkSession, sf: str) -> DataFrame:
-    """Overlapping intervals with a value from the order they belong to."""
-    lines = table(spark, sf, "lineitem").selectExpr(
-        "l_orderkey", "l_suppkey AS seqid", "l_partkey AS s", "l_partkey + CAST(l_quantity AS INT) AS e")
-    orders = table(spark, sf, "orders").selectExpr("o_orderkey AS l_orderkey", "o_totalprice AS value")
-    return lines.join(orders, "l_orderkey")
+    """Overlapping intervals, several per order and sequence."""
+    return table(spark, sf, "lineitem").selectExpr(
+        "l_orderkey AS id", "l_suppkey AS seqid", "l_partkey AS start",
+        "l_partkey + CAST(l_quantity AS INT) AS end")
 
 
 def tree_nodes(spark: SparkSession, sf: str) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..operators import graph, intervals, projection
+from ..operators import genome_scores, graph, projection
 from . import bindings as B
 from .registry import job
 
@@ -115,15 +115,20 @@ def project_generic(spark, sf):
 
 def _fold_job(reducer: str, sql: str) -> None:
     check = (
-        "WITH iv AS (SELECT l_suppkey AS q, l_partkey AS s, l_partkey + CAST(l_quantity AS INT) AS e, o_totalprice AS v "
-        "FROM lineitem JOIN orders ON l_orderkey = o_orderkey), p AS (SELECT q, s AS p FROM iv UNION SELECT q, e FROM iv), "
-        "g AS (SELECT q, p AS s, lead(p) OVER (PARTITION BY q ORDER BY p) AS e FROM p) SELECT g.q AS seqid, g.s AS start, "
-        f"g.e AS \"end\", ROUND({sql}(iv.v), 6) AS value FROM g JOIN iv ON g.q = iv.q AND iv.s <= g.s AND iv.e > g.s "
-        "WHERE g.e IS NOT NULL GROUP BY 1, 2, 3")
+        "WITH iv AS (SELECT l_suppkey AS q, l_orderkey AS id, l_partkey AS s, l_partkey + CAST(l_quantity AS INT) AS e "
+        "FROM lineitem), p AS (SELECT q, s AS p FROM iv UNION SELECT q, e FROM iv), "
+        "g AS (SELECT q, p AS s, lead(p) OVER (PARTITION BY q ORDER BY p) AS e FROM p), "
+        "c AS (SELECT DISTINCT g.q, g.s, g.e, iv.id FROM g JOIN iv ON g.q = iv.q AND iv.s <= g.s AND iv.e > g.s "
+        "WHERE g.e IS NOT NULL) SELECT q AS seqid, s AS start, e AS \"end\", "
+        f"ROUND({sql}(o_totalprice), 6) AS value FROM c JOIN orders ON id = o_orderkey "
+        "WHERE o_orderstatus <> 'P' GROUP BY 1, 2, 3")
 
     @job(f"bedgraph_{reducer}", check)
     def run(spark, sf):
-        out = intervals.fold_overlaps(B.intervals(spark, sf), "seqid", "s", "e", ["value"], reducer)
+        """Orders in progress have no score: their lines cut segments and count for nothing."""
+        scores = B.table(spark, sf, "orders").filter("o_orderstatus <> 'P'").selectExpr(
+            "o_orderkey AS name", "o_totalprice AS value")
+        out = genome_scores.scores_to_genome(B.intervals(spark, sf), scores, ["value"], reducer)
         return out.withColumn("value", F.round("value", 6))
 
 

@@ -15,6 +15,10 @@ ENVELOPE_ORDER = (
 )
 
 
+# values that start with the comment sign would be quoted
+NO_COMMENT = "\u0001"
+
+
 def _write_lines(df: DataFrame, line: Column, path: str, partition: list[str] | None = None) -> None:
     out = df.select(line.alias("value"), *(partition or []))
     writer = out.write.mode("overwrite")
@@ -60,7 +64,7 @@ def write_tsv(df: DataFrame, path: str, digits: int | None = None, na: str = "."
         F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
     writer = out.write.mode("overwrite")
     (writer.partitionBy(*partition) if partition else writer).csv(
-        path, sep="\t", header=True, nullValue=na, emptyValue="")
+        path, sep="\t", header=True, nullValue=na, emptyValue="", comment=NO_COMMENT)
 
 
 def gff_line() -> Column:
@@ -77,7 +81,7 @@ def write_gff3(df: DataFrame, path: str, partition: list[str] | None = None) ->
 def write_bedgraph(df: DataFrame, path: str) -> None:
     """Sorted by sequence and start, missing values as NA."""
     ordered = df.withColumnRenamed("seqid", "#seqid").orderBy("#seqid", "start")
-    ordered.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA")
+    ordered.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA", comment=NO_COMMENT)
 
 
 def write_matches(hits: DataFrame, path: str, ldjson: bool = False) -> None:

@@ -121,3 +121,45 @@ def test_trim_and_pad(spark):
     a, b = graph.trim(F.col("s"), F.col("e"), 8)
     c, d = graph.pad(F.col("s"), F.col("e"), 8, F.lit(105))
     assert [tuple(r) for r in df.select(a, b, c, d).collect()] == [(0, 2, 0, 10), (3, 7, 0, 18), (58, 92, 42, 105)]
+
+
+def test_scores_count_a_protein_once(spark):
+    from protolith.operators.genome_scores import merge_spans, numeric_subset, scores_to_genome
+
+    ex = spark.createDataFrame(
+        [("p", "c", 0, 10), ("p", "c", 4, 12), ("q", "c", 6, 20), ("none", "c", 8, 30), ("p", "c", 12, 14)],
+        "id string, seqid string, start int, end int")
+    merged = merge_spans(ex, ["seqid", "id"], "start", "end", bin_size=4)
+    assert sorted(map(tuple, merged.collect())) == [
+        ("c", "none", 8, 30), ("c", "p", 0, 14), ("c", "q", 6, 20)]
+    ranked = spark.createDataFrame([("p", 1.0), ("q", 4.0)], "name string, charge double")
+    got = {(r.start, r.end): r.charge for r in scores_to_genome(
+        ex, numeric_subset(ranked, ["charge"]), ["charge"], "mean").collect()}
+    assert got == {(0, 4): 1.0, (4, 6): 1.0, (6, 8): 2.5, (8, 10): 2.5, (10, 12): 2.5, (12, 14): 2.5, (14, 20): 4.0}
+    with pytest.raises(ValueError):
+        numeric_subset(ranked, ["nonsense"])
+
+
+def test_bedgraph_file(spark, tmp_path):
+    from protolith.sinks import writers
+
+    df = spark.createDataFrame([("c2", 0, 4, 1.5), ("c1", 4, 9, None)], "seqid string, start int, end int, v double")
+    writers.write_bedgraph(df.coalesce(1), str(tmp_path / "b"))
+    text = "".join(p.read_text() for p in sorted((tmp_path / "b").glob("part-*")))
+    lines = [x for x in text.splitlines() if not x.startswith("#")]
+    assert text.startswith("#seqid\tstart\tend\tv") and lines == ["c1\t4\t9\tNA", "c2\t0\t4\t1.5"]
+
+
+def test_match_files(spark, tmp_path):
+    import json
+
+    from protolith.sinks import writers
+
+    df = spark.createDataFrame([("s", "custom", "r", "R", 0, 1)],
+                               "name string, kind string, pattern string, match string, start int, end int")
+    writers.write_matches(df, str(tmp_path / "j"), ldjson=True)
+    rows = [json.loads(x) for p in (tmp_path / "j").glob("part-*") for x in p.read_text().splitlines()]
+    assert rows == [{"name": "s", "kind": "custom", "pattern": "r", "match": "R", "start": 0, "end": 1}]
+    writers.write_matches(df, str(tmp_path / "t"))
+    text = "".join(p.read_text() for p in (tmp_path / "t").glob("part-*"))
+    assert text == "name\tkind\tpattern\tmatch\tstart\tend\ns\tcustom\tr\tR\t0\t1\n"
