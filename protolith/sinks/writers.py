@@ -62,9 +62,9 @@ def write_tsv(df: DataFrame, path: str, digits: int | None = None, na: str = "."
     """Tab-separated with header; doubles optionally rounded."""
     out = df if digits is None else df.select(*[
         F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
-    writer = out.write.mode("overwrite")
+    writer = out.write.mode("overwrite").option("comment", NO_COMMENT)
     (writer.partitionBy(*partition) if partition else writer).csv(
-        path, sep="\t", header=True, nullValue=na, emptyValue="", comment=NO_COMMENT)
+        path, sep="\t", header=True, nullValue=na, emptyValue="")
 
 
 def gff_line() -> Column:
@@ -81,7 +81,8 @@ def write_gff3(df: DataFrame, path: str, partition: list[str] | None = None) ->
 def write_bedgraph(df: DataFrame, path: str) -> None:
     """Sorted by sequence and start, missing values as NA."""
     ordered = df.withColumnRenamed("seqid", "#seqid").orderBy("#seqid", "start")
-    ordered.write.mode("overwrite").csv(path, sep="\t", header=True, nullValue="NA", comment=NO_COMMENT)
+    ordered.write.mode("overwrite").option("comment", NO_COMMENT).csv(
+        path, sep="\t", header=True, nullValue="NA")
 
 
 def write_matches(hits: DataFrame, path: str, ldjson: bool = False) -> None:
