@@ -1,7 +1,7 @@
 """Interval joins and folds that never enumerate the pairs of a group.
 
 An interval ``[start, end)`` is cut into aligned power-of-two blocks, at most two
-per size.  A position lies in exactly one block of each size, so *which intervals
+per size (and as many as it takes of the largest size).  A position lies in exactly one block of each size, so *which intervals
 cover this position* becomes an equi-join on ``(seqid, level, block)``: no
 candidate pair is produced that is not a result, and one long sequence spreads
 over all its blocks.  Folds over the covering set aggregate per block first
@@ -19,12 +19,15 @@ from ..session import cut_lineage
 from .ordered import number_rows, scan
 
 BIN = 1 << 16
+# blocks stop growing here: one join key never stands for more than 65,536 positions
+TOP_LEVEL = 16
 RADIX_BITS = 10
 
 
 def block_levels(start: Column, end: Column) -> Column:
     """Largest block size (as a power of two) that can occur in the interval."""
-    return F.floor(F.log2(F.greatest(end - start, F.lit(1)).cast("double"))).cast("int")
+    size = F.greatest(end - start, F.lit(1)).cast("double")
+    return F.least(F.floor(F.log2(size)).cast("int"), F.lit(TOP_LEVEL))
 
 
 def with_cover(df: DataFrame, start: str, end: str) -> DataFrame:
@@ -44,8 +47,10 @@ def with_cover(df: DataFrame, start: str, end: str) -> DataFrame:
     ends = F.array(
         F.when(lo.bitwiseAND(F.lit(1)) == 1, lo), F.when(hi.bitwiseAND(F.lit(1)) == 1, hi - 1)
     )
+    # the top size takes all that is left instead of moving on to larger blocks
+    blocks = F.when(F.col("level") < TOP_LEVEL, ends).otherwise(F.sequence(lo, hi - 1))
     return (
-        per_level.select("*", F.explode(ends).alias("block"))
+        per_level.select("*", F.explode(blocks).alias("block"))
         .filter(F.col("block").isNotNull()).drop("__lo", "__hi")
     )
 

@@ -202,6 +202,7 @@ def gff_order(spark, sf):
 
     nodes, edges = B.tree_nodes(spark, sf), B.tree_edges(spark, sf)
     placed = graph.tree_order(nodes, edges, ["start", "type"])
-    # two levels of the path coarsen the order, so no single task sees all rows
-    return number_rows(placed, ["path"], F.slice("path", 1, 2), out="position").select(
+    # the head of the path coarsens the order, so no single task sees all rows
+    head = F.struct(F.slice("path", 1, 2), F.get("path", F.lit(2))["s0"])
+    return number_rows(placed, ["path"], head, out="position").select(
         "id", "root_id", "position")

@@ -24,6 +24,15 @@ def test_overlap_join_is_exact(spark, left, right):
     assert got == sorted((i, j) for k, i, ls, le in a for q, j, rs, re in b if k == q and ls < re and rs < le)
 
 
+def test_long_intervals_meet_the_top_block_size(spark):
+    spans = [(0, 5), (100, 400_000), (65_536, 131_072), (65_535, 200_001), (399_999, 400_000)]
+    points = [0, 4, 5, 99, 100, 65_535, 65_536, 131_071, 131_072, 200_000, 200_001, 399_999, 400_000]
+    p = spark.createDataFrame([("c", x) for x in points], "c string, p bigint")
+    s = spark.createDataFrame([("c", i, a, b) for i, (a, b) in enumerate(spans)], "c string, i int, s bigint, e bigint")
+    got = sorted((r.p, r.i) for r in intervals.point_join(p, "p", s, "s", "e", ["c"]).collect())
+    assert got == sorted((x, i) for x in points for i, (a, b) in enumerate(spans) if a <= x < b)
+
+
 FOLDS = {"min": min, "max": max, "mean": lambda v: sum(v) / len(v), "median": median}
 
 
@@ -160,6 +169,6 @@ def test_match_files(spark, tmp_path):
     writers.write_matches(df, str(tmp_path / "j"), ldjson=True)
     rows = [json.loads(x) for p in (tmp_path / "j").glob("part-*") for x in p.read_text().splitlines()]
     assert rows == [{"name": "s", "kind": "custom", "pattern": "r", "match": "R", "start": 0, "end": 1}]
-    writers.write_matches(df, str(tmp_path / "t"))
+    writers.write_matches(df.coalesce(1), str(tmp_path / "t"))
     text = "".join(p.read_text() for p in (tmp_path / "t").glob("part-*"))
     assert text == "name\tkind\tpattern\tmatch\tstart\tend\ns\tcustom\tr\tR\t0\t1\n"
