@@ -15,7 +15,7 @@ from protolith.plans import JOBS
 from protolith.session import configure, local_session
 
 HEADLINE = (
-    "wide_summary", "rank_order", "score_effector", "agg_evidence_list", "agg_median_overlap",
+    "wide_summary", "rank_order", "agg_evidence_list", "agg_median_overlap",
     "load_results", "decode", "find_remaining", "select_target", "rank_view",
     "dedup_encode", "seq_checksum", "motif_scan", "motif_scan_multi", "run_length",
     "project_plus", "project_features", "bedgraph_max", "bedgraph_mean", "bedgraph_median",
