@@ -107,9 +107,9 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def bucket_rows(classes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``key, class`` (and ``extra``) for every chunk key of every class."""
+    """``key, node`` (and ``extra``) for every chunk key of every class."""
     kinds = dict(classes.dtypes)
-    names = ["key", "class", *extra]
+    names = ["key", "node", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -121,14 +121,14 @@ def bucket_rows(classes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(keys.ravel()), part.column(0).take(rows), *(part.column(2 + i).take(rows) for i in range(len(extra)))], names)
 
-    schema = "key long, class binary" + "".join(f", `{c}` {kinds[c]}" for c in extra)
-    return classes.select("class", "signature", *extra).mapInArrow(run, schema)
+    schema = "key long, node long" + "".join(f", `{c}` {kinds[c]}" for c in extra)
+    return classes.select("node", "signature", *extra).mapInArrow(run, schema)
 
 
 def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs ``a, b`` whose full sets reach the similarity."""
-    left = sets.select(F.col("class").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
-    right = sets.select(F.col("class").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
+    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("sa"), F.col("n").alias("na"))
+    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("sb"), F.col("n").alias("nb"))
     close = 100 * F.least("na", "nb") >= percent * F.greatest("na", "nb")
     met = pairs.select("a", "b").join(left, "a").join(right, "b").filter(close).select("a", "b", "sa", "sb")
 
@@ -141,7 +141,7 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
                 ok.append(100 * shared >= percent * (len(x) + len(y) - shared))
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1)], ["a", "b"]).filter(pa.array(ok, pa.bool_()))
 
-    return met.mapInArrow(run, "a binary, b binary")
+    return met.mapInArrow(run, "a long, b long")
 
 
 def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -149,8 +149,7 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def pairs(cell) -> tuple[list, list]:
         key, side_x, side_y, block, names, labels, sigs = cell
         sig = np.frombuffer(b"".join(sigs), dtype=np.uint16).reshape(-1, SYMBOLS)
-        _, label = np.unique(np.array(labels, dtype=object), return_inverse=True)
-        block = np.array(block)
+        label, block = np.array(labels), np.array(block)
         out_a, out_b = [], []
         for i in range(len(sig) - 1):
             other = label[i + 1:] != label[i]
@@ -177,31 +176,31 @@ def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         rows = batch.to_pydict()
-        for cell in zip(*(rows[c] for c in ("key", "x", "y", "block", "class", "label", "signature"))):
+        for cell in zip(*(rows[c] for c in ("key", "x", "y", "block", "node", "label", "signature"))):
             if cell[:3] != at:
                 close()
                 at, held = cell[:3], [[], [], [], []]
             for store, value in zip(held, cell[3:]):
                 store.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
         a.clear()
         b.clear()
     close()
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
+    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
 def cross_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs between components: ``members`` has ``class, signature, label``."""
+    """Candidate pairs between components: ``members`` has ``node, signature, label``."""
     rows = bucket_rows(members, ("label", "signature"))
     ends = bucket_rows(members, ("label",)).groupBy("key").agg(
         F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
     mixed = ends.filter(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / CELL).alias("cells"))
-    rows = rows.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("class"), F.col("cells")))
+    rows = rows.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
     cells = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))).select(
         "key", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"),
-        "block", "class", "label", "signature")
+        "block", "node", "label", "signature")
     sorted_cells = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return sorted_cells.mapInArrow(_close_pairs, "a binary, b binary").distinct()
+    return sorted_cells.mapInArrow(_close_pairs, "a long, b long").distinct()
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -218,17 +217,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     found = cut_lineage(signatures(docs, words))
     classes = found.filter("n_shingles > 0").groupBy("class").agg(
         F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
-    classes = cut_lineage(classes)
+    # numbers given once, in the checkpoint: joins and folds then work on plain longs
+    classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
 
     rows = bucket_rows(classes)
-    buckets = rows.groupBy("key").agg(F.min("class").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "b")
-    meets = rows.join(buckets, "key").filter(F.col("class") != F.col("b")).groupBy(F.col("class").alias("a"), "b").agg(
+    buckets = rows.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "b")
+    meets = rows.join(buckets, "key").filter(F.col("node") != F.col("b")).groupBy(F.col("node").alias("a"), "b").agg(
         F.count(F.lit(1)).alias("shared"))
     meets = cut_lineage(meets)
     release(spark)
     first = meets.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    candidates = meets.select(F.col("a").alias("class")).union(meets.select("b")).distinct()
-    members = cut_lineage(candidates.join(classes, "class"))
+    candidates = meets.select(F.col("a").alias("node")).union(meets.select("b")).distinct()
+    members = cut_lineage(classes.join(candidates, "node"))
 
     wanted = members.select(F.coalesce("first_id", F.lit(LAST_ID)).alias("id")).distinct()
     texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted, "id").select("text")
@@ -243,20 +243,18 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     sets = texts.mapInArrow(full_sets, "class binary, n long, shingles binary").groupBy("class").agg(
         F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-    sets = cut_lineage(sets.join(candidates, "class", "left_semi"))
+    sets = cut_lineage(sets.join(members.select("class", "node"), "class").select("node", "n", "shingles"))
     release(spark)
 
     links = cut_lineage(confirm(first, sets, percent))
     known = components(links)
-    labelled = members.join(known, members["class"] == known["node"], "left").select(
-        "class", "signature", F.coalesce("label", "class").alias("label"))
+    labelled = members.join(known, "node", "left").select("node", "signature", F.coalesce("label", "node").alias("label"))
     more = cut_lineage(confirm(cross_pairs(labelled), sets, percent))
     release(spark)
     if more.limit(1).count():
         known = components(links.union(more))
 
-    placed = classes.join(known, classes["class"] == known["node"], "left").select(
-        "class", "first_id", F.coalesce("label", "class").alias("label"))
+    placed = classes.join(known, "node", "left").select("class", "first_id", F.coalesce("label", "node").alias("label"))
     lowest = placed.groupBy("label").agg(F.min("first_id").alias("component"))
     of_class = placed.join(lowest, "label").select("class", "component")
     out = found.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")

@@ -108,12 +108,12 @@ _SPACE = np.zeros(256, dtype=bool)
 _SPACE[[32, *range(9, 14)]] = True
 
 
-def word_spans(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start, stop and text number of every word ``[^\\x20\\x09-\\x0D]+`` of a block."""
+def word_spans(block: Block, separators: np.ndarray = _SPACE) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start, stop and text number of every word of a block, by default ``[^\\x20\\x09-\\x0D]+``."""
     if not len(block.data):
         empty = np.zeros(0, np.int64)
         return empty, empty, empty
-    inside = ~_SPACE[block.data]
+    inside = ~separators[block.data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edges = block.start[1:-1]
