@@ -5,11 +5,15 @@ leftmost one) at the same place.  So only suffixes that begin at such an anchor
 about one in 33, and each stands for the run of starts whose strings chose it.  The sort goes
 by most significant digit and stops at the threshold:
 
+Runs that repeat inside their own text are settled on the spot and stay out of the sort.
+
 1. first digit: the anchor's gram.  A gram that occurs once leaves the sort;
 2. second digit: all bytes that the strings of a run cover.  Runs equal in it are equal in every
    string; all but the first are repeats;
-3. where one gram stands in different runs, their strings are told apart one by one, each
-   distinct run once.
+3. where one gram stands in different runs, the strings of each distinct run are taken in parts of
+   ``PART`` starts.  Third digit: the bytes that all strings of a part share.  A part that is alone
+   with it leaves the sort, and parts that cover the same bytes are settled as in 2;
+4. the strings of parts still open are told apart one by one.
 
 A pass is a count per digit, pre-aggregated before the shuffle, and a join back; a digit held
 by a third of all texts is folded map-side on one side and split by the skew join on the other.
@@ -31,6 +35,7 @@ from protolith.session import cut_lineage
 from .textkit import BLOCK_BYTES, LAST_ID, Rolling, blocks, mix, ranges, release
 
 DIGIT = 36
+PART = 16
 #: A place is ``start << 24 | tag``; the tag tells texts apart that share a doc_id.
 TAG_BITS = 24
 _POSITION = np.uint64((1 << 26) - 1)
@@ -101,36 +106,48 @@ def _block_anchors(block, length: int) -> Iterator[tuple[Anchors, np.ndarray, in
         yield found, np.searchsorted(start, found.place, "right") - 1, at
 
 
+def _first_in_text(found: Anchors, text: np.ndarray) -> np.ndarray:
+    """Whether a run is the first of its kind in its own text; later ones are repeats without any sort."""
+    order = np.lexsort((found.place, found.run, found.gram, text))
+    a, b = order[1:], order[:-1]
+    out = np.ones(len(text), dtype=bool)
+    out[a] = (text[a] != text[b]) | (found.gram[a] != found.gram[b]) | (found.run[a] != found.run[b])
+    return out
+
+
 def gram_counts(docs: DataFrame, length: int) -> DataFrame:
     """``gram, n``: how often each first digit occurs, already summed per block."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(0)):
-                for found, _, _ in _block_anchors(block, length):
-                    gram, n = np.unique(found.gram, return_counts=True)
+                for found, text, _ in _block_anchors(block, length):
+                    gram, n = np.unique(found.gram[_first_in_text(found, text)], return_counts=True)
                     yield pa.RecordBatch.from_arrays([pa.array(gram.view(np.int64)), pa.array(np.minimum(n, 2).astype(np.int32))], ["gram", "n"])
 
     return docs.select("text").mapInArrow(run, "gram long, n int")
 
 
 def suffixes(docs: DataFrame, length: int) -> DataFrame:
-    """``gram, run, id, place`` of every anchor."""
+    """``gram, run, id, place`` of every anchor that is the first of its kind in its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
             for block in blocks(batch.column(1)):
                 tag = _tags(block)
                 for found, text, at in _block_anchors(block, length):
-                    place = ((found.place + at - block.start[text]) << TAG_BITS) | tag[text]
+                    new = _first_in_text(found, text)
+                    text = text[new]
+                    place = ((found.place[new] + at - block.start[text]) << TAG_BITS) | tag[text]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.gram.view(np.int64)), pa.array(found.run.view(np.int64)),
+                        [pa.array(found.gram[new].view(np.int64)), pa.array(found.run[new].view(np.int64)),
                          pa.array(ids[block.rows][text]), pa.array(place)], ["gram", "run", "id", "place"])
 
     return docs.select("id", "text").mapInArrow(run, "gram long, run long, id long, place long")
 
 
-def single_strings(marked: DataFrame, length: int) -> DataFrame:
-    """``gram, string, id, place`` of every string of the anchors in ``places``; one digit per string."""
+def open_bytes(marked: DataFrame, length: int) -> DataFrame:
+    """``gram, id, place, first, last, bytes`` of the runs whose anchors are in ``places``: the distances of
+    the anchor from the first and last string's start, and all bytes that the strings cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             ids = batch.column(0).to_numpy()
@@ -141,17 +158,78 @@ def single_strings(marked: DataFrame, length: int) -> DataFrame:
                 wanted = np.unique(block.start[row[mine]] + (places[mine] >> TAG_BITS))
                 for found, text, at in _block_anchors(block, length):
                     hit = np.flatnonzero(np.isin(found.place + at, wanted))
-                    many = found.last[hit] - found.first[hit] + 1
-                    start, of = ranges(found.first[hit], many), np.repeat(hit, many)
-                    for lo in range(0, len(start), BLOCK_BYTES):
-                        part, which = start[lo:lo + BLOCK_BYTES], of[lo:lo + BLOCK_BYTES]
-                        doc = text[which]
-                        yield pa.RecordBatch.from_arrays(
-                            [pa.array(found.gram[which].view(np.int64)), pa.array(found.windows.at(part, part + length).view(np.int64)),
-                             pa.array(ids[block.rows][doc]), pa.array(((part + at - block.start[doc]) << TAG_BITS) | tag[doc])],
-                            ["gram", "string", "id", "place"])
+                    lo, hi = found.first[hit] + at, found.last[hit] + at + length
+                    place = found.place[hit] + at
+                    doc = text[hit]
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(found.gram[hit].view(np.int64)), pa.array(ids[block.rows][doc]),
+                         pa.array(((place - block.start[doc]) << TAG_BITS) | tag[doc]),
+                         pa.array((place - lo).astype(np.int32)), pa.array((place - (hi - length)).astype(np.int32)),
+                         pa.array([block.data[a:b].tobytes() for a, b in zip(lo.tolist(), hi.tolist())], pa.binary())],
+                        ["gram", "id", "place", "first", "last", "bytes"])
+
+    return marked.select("id", "text", "places").mapInArrow(run, "gram long, id long, place long, first int, last int, bytes binary")
+
+
+class Hulls(NamedTuple):
+    """Bytes of many runs end to end."""
+    rolling: Rolling
+    begin: np.ndarray
+    first: np.ndarray    # distance of the anchor from the first string's start
+    last: np.ndarray
+
+    @classmethod
+    def of(cls, batch: pa.RecordBatch, first: int, last: int, data: int) -> Hulls:
+        column = batch.column(data)
+        offsets = np.frombuffer(column.buffers()[1], dtype=np.int32)[column.offset:column.offset + len(column) + 1].astype(np.int64)
+        raw = np.frombuffer(column.buffers()[2] or b"", dtype=np.uint8)[offsets[0]:offsets[-1]] if len(column) else np.zeros(0, np.uint8)
+        return cls(Rolling(raw), offsets[:-1] - offsets[0], batch.column(first).to_numpy().astype(np.int64), batch.column(last).to_numpy().astype(np.int64))
+
+
+def parts_of(opened: DataFrame, length: int) -> DataFrame:
+    """``gram, part, core, hull, id, place, start, n``: the parts of the runs in ``opened`` with their digits."""
+    names = ["gram", "part", "core", "hull", "id", "place", "start", "n"]
 
-    return marked.select("id", "text", "places").mapInArrow(run, "gram long, string long, id long, place long")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hulls = Hulls.of(batch, 3, 4, 5)
+            low, high = hulls.last // PART, hulls.first // PART
+            row = np.repeat(np.arange(batch.num_rows), high - low + 1)
+            part = ranges(low, high - low + 1)
+            anchor = hulls.begin[row] + hulls.first[row]
+            near, far = np.maximum(part * PART, hulls.last[row]), np.minimum(part * PART + PART - 1, hulls.first[row])
+            # shared by every string of the whole part, whichever of its starts this run has
+            core = hulls.rolling.at(anchor - part * PART, anchor - (part * PART + PART - 1) + length)
+            hull = hulls.rolling.at(anchor - far, anchor - near + length) ^ mix((far * 65536 + near).astype(np.uint64) + np.uint64(1))
+            place = batch.column(2).to_numpy()[row]
+            start = place - (far << TAG_BITS)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(part), pa.array(core.view(np.int64)), pa.array(hull.view(np.int64)),
+                 batch.column(1).take(pa.array(row)), pa.array(place), pa.array(start), pa.array(far - near + 1)], names)
+
+    return opened.select("gram", "id", "place", "first", "last", "bytes").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def single_strings(opened: DataFrame, length: int) -> DataFrame:
+    """``gram, string, id, start`` of every string of the parts in ``parts``; one digit per string."""
+    names = ["gram", "string", "id", "start"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            hulls = Hulls.of(batch, 3, 4, 5)
+            part, row = _flat(batch.column(6))
+            near, far = np.maximum(part * PART, hulls.last[row]), np.minimum(part * PART + PART - 1, hulls.first[row])
+            back, row = ranges(near, far - near + 1), np.repeat(row, far - near + 1)
+            begin = hulls.begin[row] + hulls.first[row] - back
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(row)), pa.array(hulls.rolling.at(begin, begin + length).view(np.int64)),
+                 batch.column(1).take(pa.array(row)), pa.array(batch.column(2).to_numpy()[row] - (back << TAG_BITS))], names)
+
+    return opened.select("gram", "id", "place", "first", "last", "bytes", "parts").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -161,6 +239,13 @@ def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return values, np.repeat(np.arange(len(many)), many)
 
 
+def _flat_pairs(lists: pa.Array) -> tuple[tuple[np.ndarray, np.ndarray], np.ndarray]:
+    """The two fields of a column of lists of pairs end to end, and the row of each."""
+    many = lists.value_lengths().fill_null(0).to_numpy()
+    a, b = lists.flatten().flatten()
+    return (a.to_numpy(), b.to_numpy()), np.repeat(np.arange(len(many)), many)
+
+
 def spans(starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Union of intervals as maximal ones."""
     if not len(starts):
@@ -178,28 +263,40 @@ def _id(column: str = "doc_id") -> Column:
 
 
 def repeated_places(docs: DataFrame, length: int) -> DataFrame:
-    """``id, runs, strings``: places of the anchors whose strings all start earlier elsewhere, and of
-    single strings that do.  Texts without any are left out."""
+    """``id, runs, strings``: places of the anchors whose strings all start earlier elsewhere, and
+    ``(start, n)`` of further neighbouring strings that do.  Texts without any are left out."""
     spark = docs.sparkSession
     texts = docs.select(_id().alias("id"), "text")
     again = gram_counts(texts, length).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
     kept = cut_lineage(suffixes(texts, length).join(again, "gram"))
+    del again
     release(spark)
     runs = kept.groupBy("gram", "run").agg(F.min(F.struct("id", "place")).alias("first"))
     kinds = runs.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("ragged"))
     runs = runs.join(kinds, "gram")
     told = kept.join(runs, ["gram", "run"]).select("id", "place", "ragged", (F.struct("id", "place") != F.col("first")).alias("later"))
     told = cut_lineage(told.filter("later or ragged"))
+    del kept, runs, kinds
     release(spark)
     open_runs = told.filter("not later").groupBy("id").agg(F.collect_set("place").alias("places"))
-    strings = cut_lineage(single_strings(texts.join(open_runs, "id"), length))
-    firsts = strings.groupBy("gram", "string").agg(F.min(F.struct("id", "place")).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    late = strings.join(firsts, ["gram", "string"]).filter(F.struct("id", "place") != F.col("first"))
-    marks = told.filter("later").select("id", "place", F.lit(True).alias("whole")).union(late.select("id", "place", F.lit(False)))
-    out = marks.groupBy("id").agg(
-        F.collect_set(F.when(F.col("whole"), F.col("place"))).alias("runs"),
-        F.collect_set(F.when(~F.col("whole"), F.col("place"))).alias("strings"))
-    out = cut_lineage(out)
+    opened = cut_lineage(open_bytes(texts.join(open_runs, "id"), length))
+    del open_runs
+    release(spark)
+    parts = parts_of(opened, length)
+    digits = parts.groupBy("gram", "part", "core").agg(
+        F.min(F.struct("id", "start")).alias("first"), (F.min("hull") != F.max("hull")).alias("ragged"), F.count(F.lit(1)).alias("members"))
+    late = parts.join(digits.filter("members > 1"), ["gram", "part", "core"]).filter(F.col("ragged") | (F.struct("id", "start") != F.col("first")))
+    late = cut_lineage(late.select("id", "place", "part", "start", "n", "ragged"))
+    wanted = late.filter("ragged").groupBy("id", "place").agg(F.collect_set("part").alias("parts"))
+    strings = cut_lineage(single_strings(opened.join(wanted, ["id", "place"]), length))
+    firsts = strings.groupBy("gram", "string").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("members"))
+    single = strings.join(firsts.filter("members > 1"), ["gram", "string"]).filter(F.struct("id", "start") != F.col("first"))
+    none = F.lit(None).cast("long")
+    marks = told.filter("later").select("id", "place", none.alias("start"), none.alias("n")).union(
+        late.filter("not ragged").select("id", none, "start", "n")).union(single.select("id", none, "start", F.lit(1).cast("long")))
+    out = cut_lineage(marks.groupBy("id").agg(
+        F.collect_set("place").alias("runs"), F.collect_set(F.when(F.col("n").isNotNull(), F.struct("start", "n"))).alias("strings")))
+    del told, opened, parts, digits, late, wanted, strings, firsts, single, marks
     release(spark)
     return out
 
@@ -226,23 +323,21 @@ def remove_repeats(docs: DataFrame, length: int = 100, extra: list[str] | None =
     schema += ["text string"] * with_text
 
     def cut(block, batch: pa.RecordBatch) -> Iterator[tuple]:
-        lists = [_flat(batch.column(c)[block.rows]) for c in (2, 3)]
-        begin = np.zeros(0, np.int64)
-        end = begin
-        if any(len(v) for v, _ in lists):
-            tag = _tags(block)
-            (runs, run_row), (single, row) = lists
-            mine = (runs & ((1 << TAG_BITS) - 1)) == tag[run_row]
-            wanted = np.unique(block.start[run_row[mine]] + (runs[mine] >> TAG_BITS))
-            begins, ends = [], []
+        runs, run_row = _flat(batch.column(2)[block.rows])
+        (single, many), row = _flat_pairs(batch.column(3)[block.rows])
+        tag = _tags(block)
+        mine = (runs & ((1 << TAG_BITS) - 1)) == tag[run_row]
+        wanted = np.unique(block.start[run_row[mine]] + (runs[mine] >> TAG_BITS))
+        mine = (single & ((1 << TAG_BITS) - 1)) == tag[row]
+        starts = block.start[row[mine]] + (single[mine] >> TAG_BITS)
+        begins, ends = [starts], [starts + many[mine] - 1 + length]
+        for found, text, at in _block_anchors(block, length):
+            late = ~_first_in_text(found, text)
             if len(wanted):
-                for found, _, at in _block_anchors(block, length):
-                    hit = np.flatnonzero(np.isin(found.place + at, wanted))
-                    begins.append(found.first[hit] + at)
-                    ends.append(found.last[hit] + at + length)
-            mine = (single & ((1 << TAG_BITS) - 1)) == tag[row]
-            starts = block.start[row[mine]] + (single[mine] >> TAG_BITS)
-            begin, end = np.concatenate([*begins, starts]), np.concatenate([*ends, starts + length])
+                late |= np.isin(found.place + at, wanted)
+            begins.append(found.first[late] + at)
+            ends.append(found.last[late] + at + length)
+        begin, end = np.concatenate(begins), np.concatenate(ends)
         owner = np.searchsorted(block.start, begin, "right") - 1
         order = np.argsort(owner, kind="stable")
         begin, end, at = begin[order], end[order], np.searchsorted(owner[order], np.arange(len(block.start)))

@@ -8,6 +8,7 @@ byte is a few array passes and memory is bounded by the block, not by the task.
 from __future__ import annotations
 
 import gc
+import time
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -176,8 +177,15 @@ def sample_ids(labels: DataFrame, label: str, rows: int) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced."""
+    """Let Spark's cleaner drop the shuffle files of frames that are no longer referenced.
+
+    Python hands its dropped references to the JVM a little later, and the listener queue holds on to
+    the last finished query until another event follows: hence the pause and the one-row job.
+    """
     gc.collect()
+    time.sleep(1.0)
+    spark.range(1).count()
+    time.sleep(0.2)
     spark.sparkContext._jvm.System.gc()
 
 
