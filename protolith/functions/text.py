@@ -87,3 +87,27 @@ def source_tag(software, version, database=None, database_version=None) -> Colum
     """``software:version:database:dbversion`` with the NULL parts left out."""
     parts = [p for p in (software, version, database, database_version) if p is not None]
     return F.concat_ws(":", *parts)
+
+
+def cut_site(text: Column) -> Column:
+    """A predicted cut site ``CS pos [kind]: 22-23. [residues.] Pr: 0.9`` as ``kind, next, words, prob``; NULL if it is none.
+
+    ``kind`` is what stands between ``pos`` and the colon, ``next`` the position behind the cut and
+    ``words`` the number of words between the colon and ``Pr:``.
+    """
+    before, after = F.substring_index(text, "Pr:", 1), F.substring_index(text, "Pr:", -1)
+    label, body = F.trim(F.substring_index(before, ":", 1)), F.trim(F.substring_index(before, ":", -1))
+    words = F.split(body, r"\s+")
+    ends = F.split(F.translate(F.get(words, F.lit(0)), ".", ""), "-")
+    prob = F.get(F.split(F.trim(after), r"\s+"), F.lit(0))
+    following = F.get(ends, F.lit(1)).try_cast("int")
+    fits = (text.contains("Pr:") & label.startswith("CS") & F.ltrim(F.substring(label, 3, 100)).startswith("pos")
+            & F.get(ends, F.lit(0)).try_cast("int").isNotNull() & following.isNotNull() & prob.try_cast("double").isNotNull())
+    kind = F.trim(F.substring(F.ltrim(F.substring(label, 3, 100)), 4, 100))
+    return F.when(fits, F.struct(kind.alias("kind"), following.alias("next"), F.size(words).alias("words"), prob.alias("prob")))
+
+
+def cut_position(text: Column, words: int) -> Column:
+    """The position behind the cut of a site without kind that has so many words ahead of ``Pr:``."""
+    site = cut_site(text)
+    return F.when((site["kind"] == "") & (site["words"] == words), site["next"])

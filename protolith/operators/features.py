@@ -15,16 +15,11 @@ from ..functions.attributes import (
     FEATURE, attributes, custom_from, custom_lists, gap_from_cigar, target,
 )
 from ..functions.significance import alignment_significant, domain_significant
-from ..functions.text import bound, flag_text, number_text, source_tag
+from ..functions.text import bound, cut_position, cut_site, flag_text, number_text, source_tag
 from .ordered import number_rows
-from .summary import CUT_REGEX, CUT_REGEX_WITH_RESIDUES
 
 TM = "transmembrane_polypeptide_region"
 SP = "signal_peptide"
-PLANT_CUT = (
-    r"^CS\s+pos\s*(luTP|cTP|mTP|SP)?:\s+\d+-(\d+)\.?\s+([A-Za-z]+-[A-Za-z]+)?\.?\s*"
-    r"Pr: ([-+]?\d*\.?\d+)"
-)
 # --- fixed values: targeting peptide kind to feature type ----------------------
 PLANT_TYPES = {
     "SP": SP, "mTP": "mitochondrial_targeting_signal", "cTP": "transit_peptide",
@@ -86,9 +81,9 @@ def _scored_signal(kind: str, flag: str, position: str, score: str):
     return rule
 
 
-def _cut_signal(regex: str):
+def _cut_signal(words: int):
     def rule(d: Column, keep_all: bool) -> Column:
-        cut = F.regexp_extract(d["cs_pos"], regex, 1).try_cast("int")
+        cut = cut_position(d["cs_pos"], words)
         share = F.regexp_extract(d["cs_pos"], r"Pr: ([-+]?\d*\.?\d+)", 1)
         attrs = attributes(custom=_map(
             d, ["prob_signal", "prob_other"], [("prediction", d["prediction"]), ("prob_cut_site", share)],
@@ -140,7 +135,7 @@ def _label_runs(alphabet: str, membrane: str):
 
 
 def _targetp(d: Column, keep_all: bool) -> Column:
-    cut = F.regexp_extract(d["cs_pos"], CUT_REGEX_WITH_RESIDUES, 1).try_cast("int")
+    cut = cut_position(d["cs_pos"], 2)
     is_sp = d["prediction"] == "SP"
     probs = F.struct(d["sp"].alias("prob_signal"), d["mtp"].alias("prob_mitochondrial"),
                      d["other"].alias("prob_other"))
@@ -160,11 +155,12 @@ def _targetp_plant(d: Column, keep_all: bool) -> Column:
     by_prediction = (
         F.when(d["prediction"] == "SP", d["sp"]).when(d["prediction"] == "mTP", d["mtp"])
         .when(d["prediction"] == "cTP", d["ctp"]).when(d["prediction"] == "luTP", d["lutp"]))
-    sites = F.filter(F.transform(F.split(d["cs_pos"], ";"), lambda c: F.trim(c)), lambda c: c.rlike(PLANT_CUT))
+    sites = F.filter(F.transform(F.split(d["cs_pos"], ";"), lambda c: cut_site(F.trim(c))),
+                     lambda c: c.isNotNull() & c["kind"].isin("", "luTP", "cTP", "mTP", "SP"))
 
     def piece(c: Column) -> Column:
-        kind = F.nullif(F.regexp_extract(c, PLANT_CUT, 1), F.lit(""))
-        share = F.regexp_extract(c, PLANT_CUT, 4)
+        kind = F.nullif(c["kind"], F.lit(""))
+        share = c["prob"]
         probs = F.struct(*[d[f].alias(f"prob_{n}") for f, n in PLANT_PROBS])
         attrs = attributes(custom=_map(
             probs, [f"prob_{n}" for _, n in PLANT_PROBS],
@@ -172,7 +168,7 @@ def _targetp_plant(d: Column, keep_all: bool) -> Column:
             ["prediction", *[f"prob_{n}" for _, n in PLANT_PROBS]]))
         type_ = F.try_element_at(types, F.coalesce(kind, d["prediction"]))
         score = F.when(kind.isNotNull(), share.try_cast("double")).otherwise(by_prediction)
-        return _one(type_, F.lit(0), F.regexp_extract(c, PLANT_CUT, 2).try_cast("int") - 1, score, ".", attrs)
+        return _one(type_, F.lit(0), c["next"] - 1, score, ".", attrs)
 
     pieces = F.filter(F.transform(sites, piece), lambda f: f["type"].isNotNull())
     return F.when(d["cs_pos"].isNotNull() & ~d["cs_pos"].contains("Probable protein fragment"),
@@ -235,8 +231,8 @@ RULES = {
     "signalp3_nn": _scored_signal("signalp3_nn", "d_decision", "ymax_pos", "d"),
     "signalp3_hmm": _scored_signal("signalp3_hmm", "is_secreted", "cmax_pos", "sprob"),
     "signalp4": _scored_signal("signalp4", "decision", "ymax_pos", "d"),
-    "signalp5": _cut_signal(CUT_REGEX_WITH_RESIDUES),
-    "signalp6": _cut_signal(CUT_REGEX),
+    "signalp5": _cut_signal(2),
+    "signalp6": _cut_signal(1),
     "deepsig": _deepsig,
     "phobius": _phobius,
     "tmhmm": _tmhmm,

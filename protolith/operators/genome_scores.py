@@ -9,17 +9,19 @@ from .intervals import BIN, fold_overlaps, segments
 from .ordered import scan
 
 # --- fixed values: numeric columns of the ranked table ---------------------------
-NUMERIC_COLUMNS = tuple(
-    """effector_score manual_effector_score manual_secretion_score effectorp1 effectorp2
-    effectorp3_cytoplasmic effectorp3_apoplastic effectorp3_noneffector deepredeff_fungi
-    deepredeff_oomycete apoplastp molecular_weight residue_number charge isoelectric_point
-    aa_c_number aa_tiny_number aa_small_number aa_aliphatic_number aa_aromatic_number
-    aa_nonpolar_number aa_charged_number aa_basic_number aa_acidic_number fykin_gap
-    targetp_secreted_prob targetp_mitochondrial_prob deeploc_membrane deeploc_nucleus
-    deeploc_cytoplasm deeploc_extracellular deeploc_mitochondrion deeploc_cell_membrane
-    deeploc_endoplasmic_reticulum deeploc_plastid deeploc_golgi deeploc_lysosome
-    deeploc_peroxisome signalp3_nn_d signalp3_hmm_s signalp4_d signalp5_prob signalp6_prob
-    deepsig_signal_prob deepsig_transmembrane_prob deepsig_other_prob""".split())
+NUMERIC_COLUMNS = (
+    "effector_score", "manual_effector_score", "manual_secretion_score", "effectorp1", "effectorp2",
+    "effectorp3_cytoplasmic", "effectorp3_apoplastic", "effectorp3_noneffector", "deepredeff_fungi",
+    "deepredeff_oomycete", "apoplastp", "molecular_weight", "residue_number", "charge",
+    "isoelectric_point", "aa_c_number", "aa_tiny_number", "aa_small_number", "aa_aliphatic_number",
+    "aa_aromatic_number", "aa_nonpolar_number", "aa_charged_number", "aa_basic_number",
+    "aa_acidic_number", "fykin_gap", "targetp_secreted_prob", "targetp_mitochondrial_prob",
+    "deeploc_membrane", "deeploc_nucleus", "deeploc_cytoplasm", "deeploc_extracellular",
+    "deeploc_mitochondrion", "deeploc_cell_membrane", "deeploc_endoplasmic_reticulum",
+    "deeploc_plastid", "deeploc_golgi", "deeploc_lysosome", "deeploc_peroxisome", "signalp3_nn_d",
+    "signalp3_hmm_s", "signalp4_d", "signalp5_prob", "signalp6_prob", "deepsig_signal_prob",
+    "deepsig_transmembrane_prob", "deepsig_other_prob",
+)
 # --- end of fixed values ------------------------------------------------------
 
 

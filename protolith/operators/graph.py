@@ -11,8 +11,6 @@ from pyspark.sql import functions as F
 
 from ..session import cut_lineage
 
-MAX_DEPTH = 64
-
 
 def parent_edges(features: DataFrame, id_: str = "id", parents: str = "parent") -> DataFrame:
     """``child_id, parent_id`` from a list-valued parent column."""
@@ -32,7 +30,7 @@ def resolve(edges: DataFrame, nodes: DataFrame, id_: str = "id", carry: list[str
     return edges.join(parents, "parent_id")
 
 
-def closure(edges: DataFrame, roots: DataFrame | None = None, max_depth: int = MAX_DEPTH) -> DataFrame:
+def closure(edges: DataFrame, roots: DataFrame | None = None) -> DataFrame:
     """``ancestor_id, node_id, depth``: everything below each root, the root at depth 0.
 
     Shortest depth wins; cycles end because a pair is never visited twice.
@@ -44,8 +42,9 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, max_depth: int = M
     links = edges.select(F.col("parent_id").alias("node_id"), F.col("child_id").alias("next_id")).distinct()
     frontier = start.select(F.col("node_id").alias("ancestor_id"), "node_id",
                             F.lit(0).alias("depth"))
-    seen = frontier
-    for depth in range(1, max_depth + 1):
+    seen, depth = frontier, 0
+    while True:
+        depth += 1
         step = (
             frontier.join(links, "node_id")
             .select("ancestor_id", F.col("next_id").alias("node_id")).distinct()
@@ -56,7 +55,6 @@ def closure(edges: DataFrame, roots: DataFrame | None = None, max_depth: int = M
         if frontier.isEmpty():
             return seen
         seen = cut_lineage(seen.unionByName(frontier))
-    raise ValueError(f"deeper than {max_depth} levels")
 
 
 def descendants(edges: DataFrame, roots: DataFrame | None = None, **options) -> DataFrame:
@@ -70,12 +68,13 @@ def ancestors(edges: DataFrame, roots: DataFrame | None = None, **options) -> Da
     return up.select(F.col("ancestor_id").alias("node_id"), F.col("node_id").alias("ancestor_id"), "depth")
 
 
-def tree_order(nodes: DataFrame, edges: DataFrame, sort: list[str], id_: str = "id",
-               max_depth: int = MAX_DEPTH) -> DataFrame:
+def tree_order(nodes: DataFrame, edges: DataFrame, sort: list[str], id_: str = "id") -> DataFrame:
     """Depth-first order: adds ``root_id`` and a sortable ``path``.
 
     Roots and children are each ordered by ``sort`` then id; ``orderBy("path")`` writes
-    every parent before its children.
+    every parent before its children.  A node below several parents is written at the first place that
+    a depth-first walk comes to, which is its smallest path at whatever depth.  Members of a cycle
+    that no root leads to have no place and are left out.
     """
     step = F.struct(*[F.col(c).alias(f"s{i}") for i, c in enumerate([*sort, id_])])
     keyed = nodes.withColumn("__step", step)
@@ -83,24 +82,23 @@ def tree_order(nodes: DataFrame, edges: DataFrame, sort: list[str], id_: str = "
         nodes.select(F.col(id_).alias("parent_id")).distinct(), "parent_id", "left_semi"
     ).select(F.col("child_id"), F.col("parent_id"))
     with_parent = children.select(F.col("child_id").alias(id_)).distinct()
-    level = keyed.join(with_parent, id_, "left_anti").select(
+    moved = keyed.join(with_parent, id_, "left_anti").select(
         F.col(id_), F.col(id_).alias("root_id"), F.array("__step").alias("path"))
-    placed = level
-    for _ in range(max_depth):
+    placed = moved
+    while True:
         nxt = (
-            level.withColumnRenamed(id_, "parent_id").join(children, "parent_id")
+            moved.withColumnRenamed(id_, "parent_id").join(children, "parent_id")
             .withColumnRenamed("child_id", id_)
             .join(keyed.select(id_, "__step"), id_)
             .select(id_, "root_id", F.concat("path", F.array("__step")).alias("path"))
         )
-        # a node below two parents is written once, at its first place
-        nxt = nxt.groupBy(id_).agg(F.min(F.struct("path", "root_id")).alias("b")).select(
-            id_, "b.root_id", "b.path").join(placed.select(id_), id_, "left_anti")
-        level = cut_lineage(nxt)
-        if level.isEmpty():
+        nxt = nxt.groupBy(id_).agg(F.min(F.struct("path", "root_id")).alias("b")).select(id_, "b.root_id", "b.path")
+        # only nodes that are new or come earlier than so far lead on
+        so_far = placed.select(id_, F.col("path").alias("__have"))
+        moved = cut_lineage(nxt.join(so_far, id_, "left").filter(F.col("__have").isNull() | (F.col("path") < F.col("__have"))).drop("__have"))
+        if moved.isEmpty():
             return nodes.join(placed, id_)
-        placed = cut_lineage(placed.unionByName(level))
-    raise ValueError(f"deeper than {max_depth} levels")
+        placed = cut_lineage(placed.join(moved.select(id_), id_, "left_anti").unionByName(moved))
 
 
 def tracks(nodes: DataFrame, edges: DataFrame, group: Column, id_: str = "id") -> DataFrame:

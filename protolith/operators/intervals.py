@@ -129,7 +129,8 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
     """
     spans = df.select(
         F.col(seqid).alias("seqid"), F.col(start).cast("bigint").alias("s"),
-        F.col(end).cast("bigint").alias("e"), *[F.col(v).cast("double").alias(v) for v in values],
+        F.col(end).cast("bigint").alias("e"),
+        *[F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")).alias(v) for v in values],
     )
     cut = segments(spans, "seqid", "s", "e") if cut is None else cut
     if reducer == "median":

@@ -110,7 +110,7 @@ def drop_lonely_cuts(features: DataFrame, group: str = "id", type_: str = "type"
     """Remove features of one type from groups that lack another type."""
     having = features.filter(F.col(type_) == needs).select(group).distinct()
     lonely = features.filter(F.col(type_) == drops).join(having, group, "left_semi")
-    return features.filter(F.col(type_) != drops).unionByName(lonely.select(*features.columns))
+    return features.filter(~F.col(type_).eqNullSafe(drops)).unionByName(lonely.select(*features.columns))
 
 
 def relabel(source: Column, custom: Column, old: str = "SignalP:3.0b") -> Column:

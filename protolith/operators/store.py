@@ -12,7 +12,8 @@ from pyspark.sql import types as T
 
 from ..analyses import ANALYSES, MULTIPLE_OK, NEEDS_DATABASE, choose
 
-MAX_TARGETS = 10_000
+#: Targets in one list, and copies of a list so that no list is one task's work.
+BUCKET, COPIES = 256, 64
 VERSION = ["analysis", "software_version", "database_version"]
 RESULT_COLUMNS = [
     "analysis", "software", "software_version", "database", "database_version",
@@ -157,34 +158,36 @@ def select_target(
         checksums.select("checksum").distinct(), "checksum", "left_semi")
 
 
-def _short_list(targets: DataFrame, row: Column) -> Column:
-    """The target table as one array value; refuses a table that is not short."""
-    rows = F.collect_list(row)
-    return targets.agg(
-        F.when(F.size(rows) <= MAX_TARGETS, rows)
-        .otherwise(F.raise_error(F.lit(f"more than {MAX_TARGETS} targets")))
-    ).scalar()
-
-
 def find_remaining(results: DataFrame, targets: DataFrame, checksums: DataFrame) -> DataFrame:
     """Per target, the checksums with no stored result: ``*VERSION, checksum``.
 
-    All targets are answered in one plan.  The work list is targets times
-    checksums because that is the question; it is thinned by one anti-join.
+    Targets are dealt into lists of about ``BUCKET``.  Each checksum meets every list once,
+    beside the targets of that list it already holds, and only what is missing is written out.
     """
-    wanted = targets.select(*VERSION).distinct().withColumn(
-        "__db", F.when(needs_database(F.col("analysis")), F.coalesce("database_version", F.lit("")))
-        .otherwise(""))
-    known = results.select(
-        "analysis", "software_version", "checksum",
-        F.when(needs_database(F.col("analysis")), F.coalesce("database_version", F.lit("")))
-        .otherwise("").alias("__db"),
-    ).distinct()
-    work = checksums.select("checksum").distinct().withColumn(
-        "__t", _short_list(wanted.limit(MAX_TARGETS + 1), F.struct(*VERSION, "__db")))
-    work = work.select("checksum", F.inline("__t"))
-    return work.join(known, ["analysis", "software_version", "__db", "checksum"], "left_anti").select(
-        *VERSION, "checksum")
+    def database() -> Column:
+        return F.when(needs_database(F.col("analysis")), F.coalesce("database_version", F.lit(""))).otherwise("").alias("db")
+
+    key = F.struct("analysis", "software_version", "db")
+    wanted = targets.select(*VERSION).distinct().select("*", database())
+    wanted = wanted.groupBy("analysis", "software_version", "db").agg(F.collect_set(F.struct("database_version")).alias("versions"))
+    lists = F.greatest(F.ceil(wanted.agg(F.count(F.lit(1))).scalar() / BUCKET), F.lit(1))
+    bucket = F.pmod(F.xxhash64("analysis", "software_version", "db"), lists)
+    dealt = wanted.select(bucket.alias("bucket"), key.alias("target"), "versions")
+    offered = dealt.groupBy("bucket").agg(F.collect_list("target").alias("offered"))
+    offered = offered.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+
+    known = results.select("analysis", "software_version", database(), "checksum").join(
+        dealt.select("bucket", "target.*"), ["analysis", "software_version", "db"])
+    held = known.groupBy("checksum", "bucket").agg(F.collect_set(key).alias("held"))
+    work = checksums.select("checksum").distinct().select(
+        "checksum", F.pmod(F.hash("checksum"), F.lit(COPIES)).alias("copy"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), lists - 1)).alias("bucket"))
+    work = work.join(offered, ["bucket", "copy"]).join(held, ["checksum", "bucket"], "left")
+    missing = F.array_except("offered", F.coalesce("held", F.array().cast("array<struct<analysis:string,software_version:string,db:string>>")))
+    left = work.select("checksum", F.explode(missing).alias("target"))
+    return left.join(dealt.select("target", "versions"), "target").select(
+        "target.analysis", "target.software_version", F.explode("versions").alias("version"), "checksum").select(
+        "analysis", "software_version", "version.database_version", "checksum")
 
 
 def remaining_sequences(remaining: DataFrame, sequences: DataFrame) -> DataFrame:

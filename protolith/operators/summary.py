@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import aggregates as A
 from ..functions.significance import alignment_significant, domain_significant
+from ..functions.text import cut_position
 from ..functions.topology import membrane_segments, signal_regions
 from .scoring import score_flags
 
@@ -249,8 +250,6 @@ def list_items(rows: DataFrame) -> DataFrame:
 
 LIST_ANALYSES = ("effectordb", "dbcan", "phibase", "kex2_cutsite", "rxlr_like_motif")
 SIGNAL_ANALYSES = (*CUT_SITE_LABELS, "tmhmm")
-CUT_REGEX_WITH_RESIDUES = r"^CS\s+pos:\s+\d+-(\d+)\.?\s+[A-Za-z]+-[A-Za-z]+\.?\s+Pr: [-+]?\d*\.?\d+"
-CUT_REGEX = r"^CS\s+pos:\s+\d+-(\d+)\.?\s+Pr: [-+]?\d*\.?\d+"
 
 
 def signal_end() -> Column:
@@ -262,8 +261,8 @@ def signal_end() -> Column:
         F.when(_is("signalp3_nn") & flag("d_decision"), _field("ymax_pos", "int") - 1)
         .when(_is("signalp3_hmm") & flag("is_secreted"), _field("cmax_pos", "int") - 1)
         .when(_is("signalp4") & flag("decision"), _field("ymax_pos", "int") - 1)
-        .when(_is("signalp5"), F.regexp_extract(cut, CUT_REGEX_WITH_RESIDUES, 1).try_cast("int") - 1)
-        .when(_is("signalp6"), F.regexp_extract(cut, CUT_REGEX, 1).try_cast("int") - 1)
+        .when(_is("signalp5"), cut_position(cut, 2) - 1)
+        .when(_is("signalp6"), cut_position(cut, 1) - 1)
         .when(_is("deepsig") & (_field("prediction") == "SignalPeptide"), _field("cs_pos", "int"))
         .when(_is("phobius") & flag("sp"), F.coalesce(F.array_max(regions), F.lit(1)))
     )

@@ -58,8 +58,8 @@ LOCATIONS = {
     "patternscan": _struct("start end level"),
 }
 MATCH_ATTRIBUTES = {
-    "hmmer3": "score evalue", "hmmer2": "score evalue", "panther": "score evalue familyName",
-    "profilescan": "score", "superfamilyhmmer3": "evalue", "hmmer3-with-sites": "score evalue",
+    "hmmer3": ("score", "evalue"), "hmmer2": ("score", "evalue"), "panther": ("score", "evalue", "familyName"),
+    "profilescan": ("score",), "superfamilyhmmer3": ("evalue",), "hmmer3-with-sites": ("score", "evalue"),
 }
 UNNAMED = ("Not available", "FAMILY NOT NAMED")
 REGION_TYPES = {
@@ -79,7 +79,7 @@ def _location_name(kind: str) -> str:
 
 
 def _match_type(kind: str) -> str:
-    own = [f"`_{n}`: string" for n in MATCH_ATTRIBUTES.get(kind, "").split()]
+    own = [f"`_{n}`: string" for n in MATCH_ATTRIBUTES.get(kind, ())]
     fields = [*own, f"signature: {SIGNATURE}",
               f"locations: struct<`{_location_name(kind)}`: array<{LOCATIONS[kind]}>>"]
     return f"array<struct<{', '.join(fields)}>>"

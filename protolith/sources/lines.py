@@ -264,20 +264,21 @@ _MOTIF_HIT = (
 )
 
 
-def _numbers(names: str, first: int) -> tuple:
-    return tuple((n, first + i, number) for i, n in enumerate(names.split()))
-
-
+# --- fixed values: columns of the two localisation tables -------------------------
 _DEEPLOC = (
     ("name", 0, text), ("prediction", 1, _DEEPLOC_KINDS),
-    *_numbers("membrane nucleus cytoplasm extracellular mitochondrion cell_membrane "
-              "endoplasmic_reticulum plastid golgi_apparatus lysosome_vacuole peroxisome", 2),
+    ("membrane", 2, number), ("nucleus", 3, number), ("cytoplasm", 4, number), ("extracellular", 5, number),
+    ("mitochondrion", 6, number), ("cell_membrane", 7, number), ("endoplasmic_reticulum", 8, number),
+    ("plastid", 9, number), ("golgi_apparatus", 10, number), ("lysosome_vacuole", 11, number),
+    ("peroxisome", 12, number),
 )
 _DEEPLOC2 = (
     ("name", 0, text), ("localisations", 1, _DEEPLOC2_KINDS), ("signals", 2, _DEEPLOC2_SIGNALS),
-    *_numbers("cytoplasm nucleus extracellular cell_membrane mitochondrion plastid "
-              "endoplasmic_reticulum lysosome_vacuole golgi_apparatus peroxisome", 3),
+    ("cytoplasm", 3, number), ("nucleus", 4, number), ("extracellular", 5, number), ("cell_membrane", 6, number),
+    ("mitochondrion", 7, number), ("plastid", 8, number), ("endoplasmic_reticulum", 9, number),
+    ("lysosome_vacuole", 10, number), ("golgi_apparatus", 11, number), ("peroxisome", 12, number),
 )
+# --- end of fixed values ------------------------------------------------------
 _HITS = LineFormat(TAB, (6, 6), _MOTIF_HIT, skip=r"^name\tkind\tpattern\tmatch\tstart\tend$")
 _DOMAIN_LINES = LineFormat(SPACE, (22, 23), _DOMAINS)
 _DEEPREDEFF_LINES = LineFormat(TAB, (3, 3), _DEEPREDEFF, skip=r"^name\ts_score\tprediction$")

@@ -114,8 +114,6 @@ def test_graph_with_a_cycle_and_two_parents(spark):
                                   "child_id string, parent_id string")
     down = graph.descendants(edges, spark.createDataFrame([("a",)], "id string"))
     assert sorted((r.node_id, r.depth) for r in down.collect()) == [("a", 0), ("b", 1), ("c", 1), ("d", 2)]
-    with pytest.raises(ValueError):
-        graph.descendants(edges, max_depth=1)
 
 
 def test_tree_order(spark):
@@ -125,6 +123,30 @@ def test_tree_order(spark):
     assert [r.id for r in placed.collect()] == ["r1", "y", "z", "x", "r2"]
 
 
+def test_tree_order_of_a_node_below_parents_at_different_depths(spark):
+    nodes = spark.createDataFrame([("A", 1), ("B", 2), ("x", 1), ("n", 5), ("m", 6)], "id string, start int")
+    edges = spark.createDataFrame([("x", "A"), ("n", "x"), ("n", "B"), ("m", "n")], "child_id string, parent_id string")
+    placed = graph.tree_order(nodes, edges, ["start"]).orderBy("path")
+    assert [r.id for r in placed.collect()] == ["A", "x", "n", "m", "B"]
+
+
+def test_a_deep_chain(spark):
+    edges = spark.createDataFrame([(i + 1, i) for i in range(70)], "child_id int, parent_id int")
+    down = graph.descendants(edges, spark.createDataFrame([(0,)], "id int"))
+    assert sorted((r.node_id, r.depth) for r in down.collect()) == [(i, i) for i in range(71)]
+
+
+def test_nan_is_skipped(spark):
+    spans = spark.createDataFrame([("s", 0, 10, 1.0), ("s", 0, 10, float("nan"))], "seqid string, start int, end int, v double")
+    for reducer in ("min", "max", "mean", "median"):
+        assert {r.v for r in intervals.fold_overlaps(spans, "seqid", "start", "end", ["v"], reducer).collect()} == {1.0}
+
+
+def test_rows_without_a_type_stay(spark):
+    rows = spark.createDataFrame([("a", None), ("a", "propeptide_cleavage_site")], "id string, type string")
+    assert [r.type for r in projection.drop_lonely_cuts(rows).collect()] == [None]
+
+
 def test_trim_and_pad(spark):
     df = spark.createDataFrame([(0, 2), (0, 10), (50, 100)], "s int, e int")
     a, b = graph.trim(F.col("s"), F.col("e"), 8)

@@ -77,6 +77,15 @@ def test_remaining_of_an_empty_kind(spark):
     assert sorted(r.checksum for r in left) == ["C1", "C2"]
 
 
+def test_remaining_of_many_targets(spark):
+    results = spark.createDataFrame([("tmhmm", "s", str(v), None, None, None, "C1", "m", "{}") for v in range(0, 20_000, 2)],
+                                    ", ".join(f"{c} string" for c in store.RESULT_COLUMNS))
+    targets = spark.range(20_000).selectExpr("'tmhmm' AS analysis", "cast(id AS string) AS software_version", "cast(null AS string) AS database_version")
+    checksums = spark.createDataFrame([("C1",), ("C2",)], "checksum string")
+    left = store.find_remaining(results, targets, checksums).groupBy("checksum").count().collect()
+    assert {r.checksum: r["count"] for r in left} == {"C1": 10_000, "C2": 20_000}
+
+
 def test_usable_targets(spark):
     targets = spark.createDataFrame([("dbcan", "1", None), ("dbcan", "1", "8"), ("tmhmm", "1", None)],
                                     "analysis string, software_version string, database_version string")
