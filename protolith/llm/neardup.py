@@ -1,21 +1,23 @@
 """Near-duplicates: b-bit MinHash signatures and a multi-index Hamming join.
 
-A signature has ``SYMBOLS`` MinHash values of 16 bits; its distance counts the values that
-differ.  It is split into ``CHUNKS`` chunks.  Two signatures at a distance of at most
-``REACH = 2 * CHUNKS - 1`` differ in at most one value of some chunk, so the keys "chunk
-without one value", all of which are enumerated, bring every such pair into one bucket.
-A pair at similarity 0.8 differs in 12.8 of 64 values on average (standard deviation 3.2),
-so REACH lies more than five deviations above.
-
-Texts with the same set are one class and meet no join as copies.  Candidates come in two rounds:
-
-1. each class meets one smallest class of its buckets; confirmed links give components;
-2. buckets that still hold several components compare members of different components,
-   in blocks of at most ``CELL`` members, and pass on only pairs within REACH.
-
-Members of one component need no further pair, so a group of thousands of near copies costs
-one pair for each member, and no link between components is lost.  All links are confirmed
-on the full sets.
+The indexed part of a signature has ``SYMBOLS`` MinHash values of 16 bits; its distance counts the
+values that differ.  It is split into ``CHUNKS`` chunks.  Two signatures at a distance of at most
+``REACH = 2 * CHUNKS - 1`` differ in at most one value of some chunk, so the keys "chunk without
+one value", all of which are enumerated, bring every such pair into one bucket.  A pair at
+similarity 0.8 differs in 12.8 of 64 values on average (standard deviation 3.2), so REACH lies more
+than five deviations above.  ``MORE`` further values of 8 bits sharpen the distance before any set
+is read; their limit lies five deviations above as well.
+
+Texts with the same set are one class and meet no join as copies.  Links between classes are found
+in two ways, and all are confirmed on the full sets:
+
+1. in a few rounds each class meets one class of its buckets, and links merge components;
+2. buckets that still hold several components compare members of different components in
+   cells of at most ``2 * CELL``, on signatures and then on full sets.  A cell passes on only links
+   that merge something.
+
+Members of one component need no further pair, so a group of thousands of near copies costs a few
+pairs for each member, and no link between components is lost.
 """
 
 from __future__ import annotations
@@ -36,11 +38,15 @@ from .textkit import LAST_ID, Rolling, blocks, lower_code, mix, release, window_
 SYMBOLS, WIDTH = 64, 4
 CHUNKS = SYMBOLS // WIDTH
 REACH = 2 * CHUNKS - 1
+MORE = 192
+#: Of all values; 0.2 of them differ on average at similarity 0.8.
+FAR = int(0.2 * (SYMBOLS + MORE) + 5 * (0.16 * (SYMBOLS + MORE)) ** 0.5)
 CELL = 1024
-PART = 8192
+ROUNDS = 2
+PART = 2048
 
-_ODD = mix(np.arange(1, SYMBOLS + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
-_ADD = mix(np.arange(1001, SYMBOLS + 1001, dtype=np.uint64)).astype(np.uint32)
+_ODD = mix(np.arange(1, SYMBOLS + MORE + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
+_ADD = mix(np.arange(1001, SYMBOLS + MORE + 1001, dtype=np.uint64)).astype(np.uint32)
 
 
 def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[slice, list[np.ndarray]]]:
@@ -70,13 +76,19 @@ def set_digest(shingles: np.ndarray) -> bytes:
     return hashlib.blake2b(shingles.tobytes(), digest_size=16).digest()
 
 
-def signature(shingles: np.ndarray) -> np.ndarray:
-    """16-bit MinHash values of a set."""
-    low = np.full(SYMBOLS, 0xFFFFFFFF, dtype=np.uint32)
+def signature(shingles: np.ndarray) -> bytes:
+    """MinHash values of a set: SYMBOLS of 16 bits, then MORE of 8 bits."""
+    low = np.full(SYMBOLS + MORE, 0xFFFFFFFF, dtype=np.uint32)
     short = (shingles >> np.uint64(32)).astype(np.uint32)
     for at in range(0, len(short), PART):
         low = np.minimum(low, (short[None, at:at + PART] * _ODD[:, None] + _ADD[:, None]).min(axis=1))
-    return (mix(low.astype(np.uint64)) >> np.uint64(48)).astype(np.uint16)
+    values = mix(low.astype(np.uint64))
+    return (values[:SYMBOLS] >> np.uint64(48)).astype(np.uint16).tobytes() + (values[SYMBOLS:] >> np.uint64(56)).astype(np.uint8).tobytes()
+
+
+def read_signatures(stored: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    raw = np.frombuffer(b"".join(stored), dtype=np.uint8).reshape(len(stored), -1)
+    return np.ascontiguousarray(raw[:, :2 * SYMBOLS]).view(np.uint16), raw[:, 2 * SYMBOLS:]
 
 
 def chunk_keys(signatures: np.ndarray) -> np.ndarray:
@@ -99,7 +111,7 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
                     batch.column(0)[rows],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
-                    pa.array([signature(s).tobytes() if len(s) else None for s in sets], pa.binary()),
+                    pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
                 ], ["doc_id", "n_shingles", "class", "signature"])
 
     return docs.select("doc_id", "text").mapInArrow(
@@ -107,21 +119,21 @@ def signatures(docs: DataFrame, words: int) -> DataFrame:
 
 
 def bucket_rows(classes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
-    """``key, node`` (and ``extra``) for every chunk key of every class."""
+    """``key, at, node`` (and ``extra``) for every chunk key of every class; ``at`` numbers the key."""
     kinds = dict(classes.dtypes)
-    names = ["key", "node", *extra]
+    names = ["key", "at", "node", *extra]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for at in range(0, batch.num_rows, PART):
-                part = batch.slice(at, PART)
-                sig = np.frombuffer(b"".join(part.column(1).to_pylist()), dtype=np.uint16).reshape(-1, SYMBOLS)
-                keys = chunk_keys(sig).view(np.int64)
-                rows = pa.array(np.repeat(np.arange(len(sig)), keys.shape[1]))
+            for lo in range(0, batch.num_rows, PART):
+                part = batch.slice(lo, PART)
+                keys = chunk_keys(read_signatures(part.column(1).to_pylist())[0]).view(np.int64)
+                rows = pa.array(np.repeat(np.arange(len(keys)), keys.shape[1]))
+                at = np.tile(np.arange(keys.shape[1], dtype=np.int32), len(keys))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(keys.ravel()), part.column(0).take(rows), *(part.column(2 + i).take(rows) for i in range(len(extra)))], names)
+                    [pa.array(keys.ravel()), pa.array(at), part.column(0).take(rows), *(part.column(2 + i).take(rows) for i in range(len(extra)))], names)
 
-    schema = "key long, node long" + "".join(f", `{c}` {kinds[c]}" for c in extra)
+    schema = "key long, at int, node long" + "".join(f", `{c}` {kinds[c]}" for c in extra)
     return classes.select("node", "signature", *extra).mapInArrow(run, schema)
 
 
@@ -144,63 +156,139 @@ def confirm(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return met.mapInArrow(run, "a long, b long")
 
 
-def _close_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Pairs within REACH of different components in each cell; rows arrive sorted by cell."""
-    def pairs(cell) -> tuple[list, list]:
-        key, side_x, side_y, block, names, labels, sigs = cell
-        sig = np.frombuffer(b"".join(sigs), dtype=np.uint16).reshape(-1, SYMBOLS)
-        label, block = np.array(labels), np.array(block)
-        out_a, out_b = [], []
-        for i in range(len(sig) - 1):
-            other = label[i + 1:] != label[i]
-            if side_x != side_y:
-                other &= block[i + 1:] != block[i]
-            rest = np.flatnonzero(other) + i + 1
-            if len(rest):
-                near = rest[(sig[rest] != sig[i]).sum(axis=1) <= REACH]
-                for j in near.tolist():
-                    a, b = sorted((names[i], names[j]))
-                    out_a.append(a)
-                    out_b.append(b)
-        return out_a, out_b
-
-    at, held = None, [[], [], [], []]
-    a: list = []
-    b: list = []
-
-    def close() -> None:
-        if at is not None and len(held[1]) > 1:
-            x, y = pairs((*at, *held))
-            a.extend(x)
-            b.extend(y)
-
-    for batch in batches:
-        rows = batch.to_pydict()
-        for cell in zip(*(rows[c] for c in ("key", "x", "y", "block", "node", "label", "signature"))):
-            if cell[:3] != at:
-                close()
-                at, held = cell[:3], [[], [], [], []]
-            for store, value in zip(held, cell[3:]):
-                store.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-        a.clear()
-        b.clear()
-    close()
-    yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
-
-
-def cross_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs between components: ``members`` has ``node, signature, label``."""
-    rows = bucket_rows(members, ("label", "signature"))
-    ends = bucket_rows(members, ("label",)).groupBy("key").agg(
-        F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("n"))
-    mixed = ends.filter(F.col("low") != F.col("high")).select("key", F.ceil(F.col("n") / CELL).alias("cells"))
-    rows = rows.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
-    cells = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1))).select(
-        "key", F.least("block", "with").alias("x"), F.greatest("block", "with").alias("y"),
-        "block", "node", "label", "signature")
-    sorted_cells = cells.repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
-    return sorted_cells.mapInArrow(_close_pairs, "a long, b long").distinct()
+class Cell:
+    """Members of one cell and their pairs within reach."""
+
+    def __init__(self, at: tuple, rows: list[tuple]):
+        self.place, self.index, self.crossed = at, at[3], at[1] != at[2]
+        block, node, label, n, signatures, *sets = zip(*rows)
+        self.node, self.block, self.label, self.n = node, np.array(block), np.array(label), np.array(n)
+        self.low, self.more = read_signatures(signatures)
+        self.sets = sets[0] if sets else ()
+
+    def near(self, i: int, percent: int) -> np.ndarray:
+        """Later members of other components within reach of member ``i`` that this bucket is first to bring together."""
+        fits = (self.label[i + 1:] != self.label[i]) & (
+            100 * np.minimum(self.n[i + 1:], self.n[i]) >= percent * np.maximum(self.n[i + 1:], self.n[i]))
+        if self.crossed:
+            fits &= self.block[i + 1:] != self.block[i]
+        rest = np.flatnonzero(fits) + i + 1
+        if not len(rest):
+            return rest
+        differs = self.low[rest] != self.low[i]
+        far = differs.sum(axis=1)
+        ok = (far <= REACH) & (far + (self.more[rest] != self.more[i]).sum(axis=1) <= FAR)
+        rest, differs = rest[ok], differs[ok].reshape(-1, CHUNKS, WIDTH)
+        if not len(rest):
+            return rest
+        shared = differs.sum(axis=2) <= 1
+        chunk = shared.argmax(axis=1)
+        first = WIDTH * chunk + differs[np.arange(len(rest)), chunk].argmax(axis=1)
+        return rest[first == self.index]
+
+    def pairable(self, percent: int) -> list[int]:
+        """Nodes with at least one pair."""
+        out = np.zeros(len(self.node), dtype=bool)
+        for i in range(len(self.node) - 1):
+            rest = self.near(i, percent)
+            out[rest] = True
+            out[i] |= len(rest) > 0
+        return [self.node[i] for i in np.flatnonzero(out)]
+
+    def links(self, percent: int) -> list[tuple[int, int]]:
+        """Confirmed links, without those between members that earlier ones have merged."""
+        sets = [np.frombuffer(x, np.uint64) for x in self.sets]
+        out = []
+        for i in range(len(sets) - 1):
+            for j in self.near(i, percent).tolist():
+                if self.label[i] != self.label[j]:
+                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
+                    if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                        out.append((self.node[i], self.node[j]))
+                        self.label[self.label == self.label[j]] = self.label[i]
+        return out
+
+
+CELL_KEYS = ("key", "x", "y", "at")
+
+
+def by_cell(rows: DataFrame, columns: tuple[str, ...], work, names: tuple[str, ...]) -> DataFrame:
+    """``work(Cell)`` for each cell with two or more members; its results are rows of the longs ``names``."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, held = None, []
+
+        def close() -> list:
+            return work(Cell(at, held)) if len(held) > 1 else []
+
+        for batch in batches:
+            out = []
+            for row in zip(*(column.to_pylist() for column in batch.columns)):
+                if row[:4] != at:
+                    out += close()
+                    at, held = row[:4], []
+                held.append(row[4:])
+            yield table_of(out)
+        yield table_of(close())
+
+    def table_of(out: list) -> pa.RecordBatch:
+        columns = list(zip(*out)) if out else [()] * len(names)
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], list(names))
+
+    dealt = rows.select(*CELL_KEYS, *columns).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
+
+
+def meeting_pairs(rows: DataFrame, turn: int) -> DataFrame:
+    """One pair ``a, b`` for each class in a bucket with several components: the class of another
+    component it shares most buckets with, among one class per bucket (a different one each turn)."""
+    chosen = rows.groupBy("key").agg(
+        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", "label")).alias("b"),
+        F.min("label").alias("low"), F.max("label").alias("high"))
+    chosen = chosen.filter("low != high").select("key", F.col("b.node").alias("b"), F.col("b.label").alias("other"))
+    met = rows.join(chosen, "key").filter("label != other").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"))
+    return met.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+
+
+def cross_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between components: ``members`` has ``node, signature, n, label``."""
+    rows = bucket_rows(members, ("label",))
+    ends = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
+    mixed = ends.filter("low != high").select("key", F.ceil(F.col("members") / CELL).alias("cells"))
+    rows = rows.drop("label").join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
+    rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
+    rows = rows.withColumns({"x": F.least("block", "with"), "y": F.greatest("block", "with")}).join(members, "node")
+    facts = ("block", "node", "label", "n", "signature")
+
+    def chosen(cell: Cell) -> list:
+        return [(*cell.place, node) for node in cell.pairable(percent)]
+
+    picked = by_cell(rows, facts, chosen, (*CELL_KEYS, "node"))
+    ready = picked.join(members, "node").join(sets.select("node", "shingles"), "node")
+    ready = ready.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
+    return by_cell(ready, (*facts, "shingles"), lambda cell: cell.links(percent), ("a", "b"))
+
+
+def with_labels(members: DataFrame, known: DataFrame | None) -> DataFrame:
+    if known is None:
+        return members.withColumn("label", F.col("node"))
+    return members.join(known, "node", "left").withColumn("label", F.coalesce("label", "node"))
+
+
+def full_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
+    """``node, n, shingles`` of the classes in ``members``, from the text of a row with their smallest id."""
+    wanted = members.select(F.coalesce("first_id", F.lit(LAST_ID)).alias("id")).distinct()
+    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted, "id").select("text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for _, sets in shingle_sets(batch.column(0), words):
+                sets = [s for s in sets if len(s)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "n", "shingles"])
+
+    made = texts.mapInArrow(run, "class binary, n long, shingles binary").join(members.select("class", "node"), "class")
+    return made.groupBy("node").agg(F.first("n").alias("n"), F.first("shingles").alias("shingles"))
 
 
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
@@ -216,43 +304,28 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     found = cut_lineage(signatures(docs, words))
     classes = found.filter("n_shingles > 0").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"))
+        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
     # numbers given once, in the checkpoint: joins and folds then work on plain longs
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
 
-    rows = bucket_rows(classes)
-    buckets = rows.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("n")).filter("n > 1").select("key", "b")
-    meets = rows.join(buckets, "key").filter(F.col("node") != F.col("b")).groupBy(F.col("node").alias("a"), "b").agg(
-        F.count(F.lit(1)).alias("shared"))
-    meets = cut_lineage(meets)
+    rows = bucket_rows(classes).select("key", "node")
+    buckets = rows.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("key", "b")
+    met = rows.join(buckets, "key").filter("node != b")
+    candidates = met.select("node").union(met.select("b")).distinct()
+    members = cut_lineage(classes.join(candidates, "node").select("class", "node", "first_id", "signature", "n"))
+    del rows, buckets, met, candidates
     release(spark)
-    first = meets.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
-    candidates = meets.select(F.col("a").alias("node")).union(meets.select("b")).distinct()
-    members = cut_lineage(classes.join(candidates, "node"))
-
-    wanted = members.select(F.coalesce("first_id", F.lit(LAST_ID)).alias("id")).distinct()
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted, "id").select("text")
-
-    def full_sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for _, sets in shingle_sets(batch.column(0), words):
-                sets = [s for s in sets if len(s)]
-                yield pa.RecordBatch.from_arrays([
-                    pa.array([set_digest(s) for s in sets], pa.binary()), pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([s.tobytes() for s in sets], pa.binary())], ["class", "n", "shingles"])
-
-    sets = texts.mapInArrow(full_sets, "class binary, n long, shingles binary").groupBy("class").agg(
-        F.first("n").alias("n"), F.first("shingles").alias("shingles"))
-    sets = cut_lineage(sets.join(members.select("class", "node"), "class").select("node", "n", "shingles"))
+    sets = cut_lineage(full_sets(docs, members, words))
     release(spark)
 
-    links = cut_lineage(confirm(first, sets, percent))
-    known = components(links)
-    labelled = members.join(known, "node", "left").select("node", "signature", F.coalesce("label", "node").alias("label"))
-    more = cut_lineage(confirm(cross_pairs(labelled), sets, percent))
-    release(spark)
-    if more.limit(1).count():
-        known = components(links.union(more))
+    links, known = None, None
+    for turn in range(ROUNDS):
+        new = cut_lineage(confirm(meeting_pairs(bucket_rows(with_labels(members, known), ("label",)), turn), sets, percent))
+        links = new if links is None else links.union(new)
+        known = components(links)
+        release(spark)
+    more = cut_lineage(cross_links(cut_lineage(with_labels(members, known)), sets, percent))
+    known = components(links.union(more))
 
     placed = classes.join(known, "node", "left").select("class", "first_id", F.coalesce("label", "node").alias("label"))
     lowest = placed.groupBy("label").agg(F.min("first_id").alias("component"))
