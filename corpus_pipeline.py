@@ -71,7 +71,7 @@ STAGES = [
     ("byte_pairs", byte_pairs),
 ]
 
-#: Hash joins over shingles, passages and tiles have no sound SQL form; the stages are tested against brute force.
+#: Hash joins over shingles, passages and tiles have no sound SQL form; the operators behind the stages are tested against brute force.
 ORACLE_SQL = None
 
 
