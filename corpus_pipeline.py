@@ -27,14 +27,18 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group at a similarity of 0.8 over five-word shingles stays.
 
-    Rows of one id and one text are one document.  A text whose ids are all missing stays once.
+    It is the one with the smallest id, and of several texts under that id the one with the smallest
+    hash; a group without any id keeps one text as well.  Rows of one id and one text are one document.
+    Texts without words are in no group and stay.
     """
     found = neardup.near_duplicates(docs.select("doc_id", "text"), words=5, percent=80)
-    kept = found.filter(F.col("kept") & F.col("text_class").isNotNull()).select(_id().alias("id")).distinct()
-    empty = found.filter(F.col("text_class").isNull()).select(_id().alias("id")).distinct()
-    keys = kept.union(empty).distinct()
-    rows = docs.select(*COLUMNS, _id().alias("id")).join(keys, "id", "left_semi")
-    return rows.dropDuplicates(["id", "text"]).select(*COLUMNS)
+    found = found.select(_id().alias("id"), "text_key", "group", "kept")
+    firsts = found.filter(F.col("kept") & F.col("group").isNotNull()).groupBy("group").agg(
+        F.min("id").alias("id"), F.min("text_key").alias("text_key"))
+    empty = found.filter(F.col("group").isNull())
+    keys = firsts.select("id", "text_key").union(empty.select("id", "text_key")).distinct()
+    rows = docs.select(*COLUMNS, _id().alias("id"), F.xxhash64("text").alias("text_key")).join(keys, ["id", "text_key"], "left_semi")
+    return rows.dropDuplicates(["id", "text_key"]).select(*COLUMNS)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -71,7 +75,7 @@ STAGES = [
     ("byte_pairs", byte_pairs),
 ]
 
-#: Hash joins over shingles, passages and tiles have no sound SQL form; the operators behind the stages are tested against brute force.
+#: Hash joins over shingles, passages and tiles have no sound SQL form; the stages are tested as a chain against brute force.
 ORACLE_SQL = None
 
 

@@ -103,19 +103,20 @@ def chunk_keys(signatures: np.ndarray) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int) -> DataFrame:
-    """``doc_id, n_shingles, class (set digest), signature``, one row for each row of ``docs``."""
+    """``doc_id, text_key, n_shingles, class (set digest), signature``, one row for each row of ``docs``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for rows, sets in shingle_sets(batch.column(1), words):
+            for rows, sets in shingle_sets(batch.column(2), words):
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[rows],
+                    batch.column(1)[rows],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_digest(s) if len(s) else None for s in sets], pa.binary()),
                     pa.array([signature(s) if len(s) else None for s in sets], pa.binary()),
-                ], ["doc_id", "n_shingles", "class", "signature"])
+                ], ["doc_id", "text_key", "n_shingles", "class", "signature"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, class binary, signature binary")
+    return docs.select("doc_id", F.xxhash64("text").alias("text_key"), "text").mapInArrow(
+        run, "doc_id long, text_key long, n_shingles long, class binary, signature binary")
 
 
 def bucket_rows(classes: DataFrame, extra: tuple[str, ...] = ()) -> DataFrame:
@@ -294,12 +295,13 @@ def full_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
 def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataFrame:
     """Components of texts whose shingle sets have a Jaccard similarity of at least ``percent``.
 
-    Returns ``doc_id, n_shingles, component_id, kept, text_class`` with one row for each row of
+    Returns ``doc_id, n_shingles, component_id, kept, text_key, group`` with one row for each row of
     ``docs``.  Words ``[^\\x20\\x09-\\x0D]+`` of the whole text, A-Z lower-cased, in runs of
     ``words``.  A text without words (NULL, empty, blanks) has no shingles and is its own
     component.  ``component_id`` is the smallest doc_id reachable; missing ids do not count for it,
     and it is NULL where no id is known.  ``kept`` says that the two are equal, so rows
-    repeated under one id are all kept or all dropped.
+    repeated under one id are all kept or all dropped.  ``text_key`` is ``xxhash64(text)``; ``group``
+    numbers the component for this run, also where no id is known, and is NULL for a text without words.
     """
     spark = docs.sparkSession
     found = cut_lineage(signatures(docs, words))
@@ -329,8 +331,8 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
 
     placed = classes.join(known, "node", "left").select("class", "first_id", F.coalesce("label", "node").alias("label"))
     lowest = placed.groupBy("label").agg(F.min("first_id").alias("component"))
-    of_class = placed.join(lowest, "label").select("class", "component")
-    out = found.select("doc_id", "n_shingles", "class").join(of_class, "class", "left")
+    of_class = placed.join(lowest, "label").select("class", "component", F.col("label").alias("group"))
+    out = found.select("doc_id", "text_key", "n_shingles", "class").join(of_class, "class", "left")
     component = F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component"))
     return out.select("doc_id", "n_shingles", component.alias("component_id"),
-                      F.col("doc_id").eqNullSafe(component).alias("kept"), F.hex("class").alias("text_class"))
+                      F.col("doc_id").eqNullSafe(component).alias("kept"), "text_key", "group")

@@ -50,7 +50,7 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op4_near_duplicates")
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80).drop("text_class")
+    return neardup.near_duplicates(table(spark, sf_dir, "documents"), words=4, percent=80).drop("text_key", "group")
 
 
 URL_SQL = """
