@@ -34,12 +34,13 @@ def dedup_encode(
 
     All input rows come back with ``encoded, checksum, md5sum``; the ids of
     duplicates are shared.  ``order`` names columns; ``bin`` is computed from them and
-    must coarsen them.
+    must coarsen them.  Rows without a sequence come back without id and checksums, and
+    take no number.
     """
     rows = with_checksums(df.withColumn(seq, normalise(F.col(seq))), seq)
     # one plain order column keeps the aggregate hashed
     earliest = F.min(order[0] if len(order) == 1 else F.struct(*order)).alias("__first")
-    first = rows.groupBy("checksum").agg(earliest, F.count(F.lit(1)).alias("__copies"))
+    first = rows.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(earliest, F.count(F.lit(1)).alias("__copies"))
     back = [F.col("__first").alias(order[0])] if len(order) == 1 else [F.col("__first.*")]
     first = first.select("checksum", "__copies", *back)
     codes = number_rows(first, order, bin, out="__n").select(

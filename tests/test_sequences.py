@@ -101,6 +101,12 @@ def test_dedup_numbers_by_first_occurrence(spark):
     assert got == {1: "P000", 3: "P000", 2: "P001", 5: "P001", 10: "P001", 9: "P002"}
 
 
+def test_dedup_keeps_rows_without_a_sequence(spark):
+    df = spark.createDataFrame([(1, None), (2, "MK"), (3, None), (4, "MA")], "n bigint, seq string")
+    out = sequences.dedup_encode(df, ["n"], F.floor(F.col("n") / 2), prefix="P", length=3)
+    assert {r.n: r.encoded for r in out.collect()} == {1: None, 2: "P000", 3: None, 4: "P001"}
+
+
 def test_dedup_with_a_hot_sequence(spark):
     rows = [(i, "MKV" if i % 3 else f"M{'A' * (i // 3 % 50)}") for i in range(3000)]
     df = spark.createDataFrame(rows, "n bigint, seq string").repartition(7)
