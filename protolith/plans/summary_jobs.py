@@ -323,13 +323,15 @@ def ltr_features(spark, sf):
     return out.select(*[F.round(c, 5).alias(c) if types[c] == "double" else F.col(c) for c in out.columns])
 
 
-@job("model_score")
+@job("model_score", f"{WIDE_SQL} SELECT name, ROUND((COALESCE(effectorp1, 0.5) + COALESCE(effectorp2, 0.5)) / 2, 8) "
+     "AS effector_score FROM wide")
 def model_score(spark, sf):
     """A stand-in model; the published one is not shipped."""
     def model(inputs):
         return (inputs["effectorp1"].fillna(0.5) + inputs["effectorp2"].fillna(0.5)) / 2
 
-    return scoring.score_with_model(_wide(spark, sf), model)
+    out = scoring.score_with_model(_rounded(_wide(spark, sf)), model)
+    return out.withColumn("effector_score", F.round("effector_score", 8))
 
 
 # -- per-row checks -------------------------------------------------------------------
