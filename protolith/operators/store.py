@@ -110,6 +110,32 @@ def append_store(rows: DataFrame, path: str) -> None:
      .parquet(f"{path}/results"))
 
 
+def exists(spark, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+
+
+def append_new(rows: DataFrame, path: str) -> None:
+    """Append the distinct ``rows`` that ``path`` does not hold yet; NULLs equal each other."""
+    spark, fresh = rows.sparkSession, rows.distinct()
+    if exists(spark, path):
+        held = spark.read.schema(rows.schema).parquet(path).select(*[F.col(c).alias(f"__{c}") for c in rows.columns])
+        same = F.lit(True)
+        for c in rows.columns:
+            same = same & F.col(c).eqNullSafe(F.col(f"__{c}"))
+        fresh = fresh.join(held, same, "left_anti")
+    fresh.write.mode("append").parquet(path)
+
+
+def append_decoder(rows: DataFrame, path: str) -> None:
+    """Append the names of prepared ``rows`` that the store does not know yet."""
+    append_new(build_decoder(rows), f"{path}/decoder")
+
+
+def read_decoder(spark, path: str) -> DataFrame:
+    return spark.read.schema("checksum string, md5sum string, filename string, name string").parquet(f"{path}/decoder")
+
+
 def read_store(spark, path: str) -> DataFrame:
     fields = ", ".join(f"{c} string" for c in RESULT_COLUMNS)
     return spark.read.schema(fields).parquet(f"{path}/results")

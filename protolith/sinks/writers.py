@@ -59,9 +59,13 @@ def write_fasta(df: DataFrame, path: str, id_: str = "encoded", seq: str = "seq"
 
 def write_tsv(df: DataFrame, path: str, digits: int | None = None, na: str = ".",
               partition: list[str] | None = None) -> None:
-    """Tab-separated with header; doubles optionally rounded."""
-    out = df if digits is None else df.select(*[
-        F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
+    """Tab-separated with header; doubles optionally rounded, lists joined by commas."""
+    def shown(c: str, t: str) -> Column:
+        if t.startswith("array<"):
+            return F.array_join(F.col(c).cast("array<string>"), ",", na).alias(c)
+        return F.round(c, digits).alias(c) if t == "double" and digits is not None else F.col(c)
+
+    out = df.select(*[shown(c, t) for c, t in df.dtypes])
     writer = out.write.mode("overwrite").option("comment", NO_COMMENT)
     (writer.partitionBy(*partition) if partition else writer).csv(
         path, sep="\t", header=True, nullValue=na, emptyValue="")

@@ -32,13 +32,31 @@ def parse_results(lines: DataFrame, column: str = "value") -> DataFrame:
 def read_results(spark: SparkSession, paths: str | list[str], include: list[str] | None = None,
                  exclude: list[str] | None = None, drop_name: bool = False,
                  drop_null_dbversion: bool = False) -> DataFrame:
-    """Good result rows, typed and filtered, in a known arrival order."""
-    raw = spark.read.text(paths).select(
+    """Good result rows, typed and filtered, in a known arrival order.
+
+    :func:`bad_results` has the other lines.
+    """
+    ok = parse_results(_arriving(spark, paths)).filter("problem IS NULL").drop("problem")
+    return prepare(ok, include, exclude, drop_name, drop_null_dbversion)
+
+
+def bad_results(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    """The lines that :func:`read_results` cannot use: ``line, problem`` and their arrival."""
+    return bad_lines(_arriving(spark, paths)).select("line", "problem", *ARRIVAL)
+
+
+def bad_lines(lines: DataFrame) -> DataFrame:
+    """Malformed envelopes as they came (``line``), with the ``problem`` found."""
+    kept = lines.withColumn("line", F.col("value"))
+    others = [c for c in lines.columns if c != "value"]
+    return parse_results(kept).filter("problem IS NOT NULL").select("line", "problem", *others)
+
+
+def _arriving(spark: SparkSession, paths: str | list[str]) -> DataFrame:
+    return spark.read.text(paths).select(
         "value", F.col("_metadata.file_name").alias("file_name"),
         F.col("_metadata.file_block_start").alias("block_start"),
         F.monotonically_increasing_id().alias("ordinal"))
-    ok = parse_results(raw).filter("problem IS NULL").drop("problem")
-    return prepare(ok, include, exclude, drop_name, drop_null_dbversion)
 
 
 ARRIVAL = ["file_name", "block_start", "ordinal"]

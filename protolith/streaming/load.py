@@ -2,7 +2,8 @@
 
 Every micro-batch goes through the same load as a batch job: typed payloads, first
 row per key, and an anti-join with what the store holds.  A batch that is run
-again after a failure finds its rows already stored and adds nothing.
+again after a failure finds its rows already stored and adds nothing.  Lines that cannot
+be used go to ``quarantine`` beside the results, each text once.
 """
 
 from __future__ import annotations
@@ -12,32 +13,30 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import store
-from ..session import scratch
-from ..sources.results import parse_results
-
-
-def _exists(spark: SparkSession, path: str) -> bool:
-    where = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
+from ..sources.results import bad_lines, parse_results
 
 
 def load_batch(batch: DataFrame, store_path: str, **options) -> None:
-    """Append the new rows of one batch of lines."""
+    """Append the new rows, names and bad lines of one batch of lines."""
     spark = batch.sparkSession
     rows = parse_results(batch.withColumn("ordinal", F.monotonically_increasing_id())).filter(
         "problem IS NULL").drop("problem")
-    held = store.read_store(spark, store_path) if _exists(spark, f"{store_path}/results") else None
+    held = store.read_store(spark, store_path) if store.exists(spark, f"{store_path}/results") else None
     fresh = store.load_results(rows, ["ordinal"], store=held, **options)
     store.append_store(fresh, store_path)
+    store.append_decoder(store.prepare(rows, **options), store_path)
+    store.append_new(bad_lines(batch).select("line", "problem"), f"{store_path}/quarantine")
 
 
-def follow(spark: SparkSession, source: str, store_path: str, checkpoint: str | None = None,
+def follow(spark: SparkSession, source: str, store_path: str, checkpoint: str,
            available_now: bool = True, **options) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it ends when all files are loaded."""
+    """Start the stream; with ``available_now`` it ends when all files are loaded.
+
+    ``checkpoint`` is a lasting shared folder: a restart with it reads only new files.
+    """
     lines = spark.readStream.text(source)
-    writer = lines.writeStream.option(
-        "checkpointLocation", checkpoint or scratch(spark, "stream")
-    ).foreachBatch(lambda batch, _: load_batch(batch, store_path, **options))
+    writer = lines.writeStream.option("checkpointLocation", checkpoint).foreachBatch(
+        lambda batch, _: load_batch(batch, store_path, **options))
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()

@@ -7,7 +7,7 @@ from protolith.analyses import choose
 from protolith.functions.attributes import attributes_text, parse_attributes
 from protolith.operators import features, scoring, store, summary
 from protolith.sinks import writers
-from protolith.sources.results import ARRIVAL, read_results
+from protolith.sources.results import ARRIVAL, bad_results, read_results
 from protolith.streaming.load import follow
 
 
@@ -64,9 +64,23 @@ def test_filters(spark, results_file):
 
 def test_stream_equals_batch(spark, results_file, tmp_path):
     home = str(tmp_path / "streamed")
-    for _ in range(2):  # a second run over the same files, from scratch, adds nothing
-        follow(spark, results_file, home).awaitTermination(120)
+    with open(f"{results_file}/bad.ldjson", "w") as out:
+        out.write('{"analysis": "nothing"}\nnot json\nnot json\n')
+    names = store.build_decoder(read_results(spark, results_file)).count()
+    for turn in range(2):  # a second run over the same files, from scratch, adds nothing
+        follow(spark, results_file, home, str(tmp_path / f"checkpoint{turn}")).awaitTermination(120)
         assert store.read_store(spark, home).count() == 6
+        assert store.read_decoder(spark, home).count() == names > 0
+        bad = spark.read.parquet(f"{home}/quarantine").collect()
+        assert sorted(r.line for r in bad) == ["not json", '{"analysis": "nothing"}']
+    assert bad_results(spark, results_file).count() == 3
+
+
+def test_table_with_lists(spark, tmp_path):
+    df = spark.createDataFrame([("a", ["x", None, "y"], 0.123), ("b", None, None)], "name string, found array<string>, p double")
+    writers.write_tsv(df.coalesce(1), str(tmp_path / "t"), digits=2)
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "t")).collect())
+    assert lines == ["a\tx,.,y\t0.12", "b\t.\t.", "name\tfound\tp"]
 
 
 def test_remaining_of_an_empty_kind(spark):
