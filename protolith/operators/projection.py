@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.attributes import GAP, attributes
 from .intervals import overlap_join
 from .ordered import scan
 
@@ -173,7 +174,12 @@ def map_to_genome(
     ``match_part`` pieces below a match; other features sit below a ``region``.
     ``grouped=False`` treats every feature as a group of its own and applies no
     type-specific filter.
+
+    Features with ``score`` and ``attributes`` keep them on every piece, without Gap and with the
+    Parent list of their links; a match takes those of its first member, a region holds the
+    ``kind`` below it.  The rows then have a ``phase`` too and can be written as GFF3.
     """
+    full = {"score", "attributes"} <= set(features.columns)
     rows = features.join(exons.select("id").distinct(), "id", "left_semi")
     if grouped:
         rows = rows.filter(~F.col("type").isin(*SIGNAL_PARTS))
@@ -200,17 +206,30 @@ def map_to_genome(
 
     pieces = project(rows, exons).join(parents, ["id", "g"], "left")
     many = pieces["parent"].isNotNull() & pieces["type"].isin(*MATCH_TYPES)
+    kept = []
+    if full:
+        own = F.coalesce("attributes", attributes()).withField("gap", F.lit(None).cast(GAP)).withField(
+            "parent", F.when(pieces["parent"].isNotNull(), F.array("parent")))
+        kept = ["score", F.lit(".").alias("phase"), own.alias("attributes")]
     children = pieces.select(
         "id", "source", F.when(many, "match_part").otherwise(F.col("type")).alias("type"),
         F.lit(None).cast("string").alias("kind"), "seqid", "start", "end", "strand",
-        "feature_id", "parent", F.col("type").alias("__of"))
+        "feature_id", "parent", F.col("type").alias("__of"), *kept)
+    first = [F.min_by(F.struct("score", "attributes"), "feature_id").alias("__first")] if full else []
     above = children.filter(F.col("parent").isNotNull()).groupBy(
         "id", "source", "__of", "seqid", "strand", "parent").agg(
-        F.min("start").alias("start"), F.max("end").alias("end"))
+        F.min("start").alias("start"), F.max("end").alias("end"), *first)
     top_is_match = F.col("__of").isin(*MATCH_TYPES)
+    taken = []
+    if full:
+        of_match = F.col("__first.attributes").withField("id", F.col("parent")).withField(
+            "parent", F.lit(None).cast("array<string>"))
+        of_region = attributes(id=F.col("parent"), custom=F.create_map(F.lit("kind"), F.array("__of")))
+        taken = [F.when(top_is_match, F.col("__first.score")).alias("score"), F.lit(".").alias("phase"),
+                 F.when(top_is_match, of_match).otherwise(of_region).alias("attributes")]
     tops = above.select(
         "id", "source", F.when(top_is_match, F.col("__of")).otherwise("region").alias("type"),
         F.when(~top_is_match, F.col("__of")).alias("kind"), "seqid", "start", "end", "strand",
         F.lit(None).cast(children.schema["feature_id"].dataType).alias("feature_id"),
-        F.col("parent").alias("own_id"), F.lit(None).cast("string").alias("parent"))
+        F.col("parent").alias("own_id"), F.lit(None).cast("string").alias("parent"), *taken)
     return tops.unionByName(children.drop("__of").withColumn("own_id", F.lit(None).cast("string")))

@@ -4,7 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from ..functions.attributes import attributes
 from ..operators import genome_scores, graph, projection
+from ..session import scratch
+from ..sinks import writers
+from ..sources import gff3
 from . import bindings as B
 from .registry import job
 
@@ -80,7 +84,7 @@ def feature_groups(spark, sf):
     return groups.select("id", "g.*", "n", "first_id")
 
 
-def _mapped_sql(grouped: bool) -> str:
+def _kids_sql(grouped: bool) -> str:
     keep = (
         "kept AS (SELECT * FROM lf WHERE type <> 'n_terminal_region' AND (type <> 'propeptide_cleavage_site' "
         "OR id IN (SELECT id FROM lf WHERE type = 'signal_peptide')))" if grouped else "kept AS (SELECT * FROM lf)")
@@ -95,7 +99,12 @@ def _mapped_sql(grouped: bool) -> str:
         "CAST(id AS STRING) || '-' || type || '-' || CAST(i AS STRING) ELSE 'polypeptide-' || CAST(id AS STRING) || '-' || "
         f"CAST(i AS STRING) END AS parent FROM numbered), {_pieces_sql('keyed')}, kids AS (SELECT a.id, a.source, a.type AS "
         "of_type, a.seqid, a.start, a.\"end\", a.strand, a.feature_id, b.parent FROM pieces a LEFT JOIN named b ON "
-        f"{same}) SELECT id, source, CASE WHEN of_type LIKE 'protein%' THEN of_type ELSE 'region' END AS type, "
+        f"{same})")
+
+
+def _mapped_sql(grouped: bool) -> str:
+    return (
+        f"{_kids_sql(grouped)} SELECT id, source, CASE WHEN of_type LIKE 'protein%' THEN of_type ELSE 'region' END AS type, "
         "CASE WHEN of_type NOT LIKE 'protein%' THEN of_type END AS kind, seqid, min(start) AS start, max(\"end\") AS \"end\", "
         "strand, NULL AS feature_id, parent AS own_id, NULL AS parent FROM kids WHERE parent IS NOT NULL "
         "GROUP BY id, source, of_type, seqid, strand, parent UNION ALL SELECT id, source, CASE WHEN parent IS NOT NULL AND "
@@ -113,6 +122,33 @@ def project_generic(spark, sf):
     return projection.map_to_genome(B.line_features(spark, sf), B.exons(spark, sf), grouped=False)
 
 
+_SCORE = "CAST(feature_id % 100 AS DOUBLE) / 4"
+_MATCH = "of_type LIKE 'protein%'"
+
+
+@job("map_to_genome_gff", f"{_kids_sql(True)}, tops AS (SELECT seqid, source, of_type, min(start) AS start, max(\"end\") AS \"end\", "
+     "strand, parent, min(feature_id) AS feature_id FROM kids WHERE parent IS NOT NULL GROUP BY id, source, of_type, seqid, strand, parent) "
+     f"SELECT seqid, source, CASE WHEN {_MATCH} THEN of_type ELSE 'region' END AS type, start, \"end\", CASE WHEN {_MATCH} THEN {_SCORE} END "
+     f"AS score, strand, '.' AS phase, parent AS id, CASE WHEN {_MATCH} THEN 'N' || CAST(feature_id AS STRING) END AS name, NULL AS parent, "
+     f"CASE WHEN NOT {_MATCH} THEN of_type END AS kind FROM tops UNION ALL SELECT seqid, source, CASE WHEN parent IS NOT NULL AND {_MATCH} "
+     f"THEN 'match_part' ELSE of_type END, start, \"end\", {_SCORE}, strand, '.', 'F' || CAST(feature_id AS STRING), "
+     "'N' || CAST(feature_id AS STRING), parent, NULL FROM kids")
+def map_to_genome_gff(spark, sf):
+    """Features with scores and attributes onto the genome, one GFF3 folder per source, read back."""
+    number = F.col("feature_id").cast("string")
+    features = B.line_features(spark, sf).withColumns({
+        "score": F.expr(_SCORE),
+        "attributes": attributes(id=F.concat(F.lit("F"), number), name=F.concat(F.lit("N"), number),
+                                 gap=F.array(F.struct(F.lit("M").alias("code"), F.lit(8).alias("length"))))})
+    path = scratch(spark, "map_to_genome_gff")
+    writers.write_gff3(projection.map_to_genome(features, B.exons(spark, sf)), path, ["source"])
+    a = F.col("attributes")
+    return gff3.read_gff3(spark, path).select(
+        "seqid", "source", "type", F.col("start").cast("bigint").alias("start"), F.col("end").cast("bigint").alias("end"),
+        "score", "strand", "phase", a["id"].alias("id"), a["name"].alias("name"), F.get(a["parent"], F.lit(0)).alias("parent"),
+        F.get(F.try_element_at(a["custom"], F.lit("kind")), F.lit(0)).alias("kind"))
+
+
 # a mean of prices over 32 or 64 values ends exactly between two roundings, where the order of
 # additions decides; both sides of the mean's check round a little off that point
 OFF_TIES = {"mean": 1.3e-7}
