@@ -5,7 +5,9 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
+from protolith.functions.attributes import attributes
 from protolith.operators import graph, intervals, projection
+from protolith.sinks import writers
 
 RELAXED = settings(max_examples=5, deadline=None, suppress_health_check=list(HealthCheck))
 span = st.tuples(st.integers(0, 90), st.integers(1, 40))
@@ -102,6 +104,24 @@ def test_map_to_genome_parents(spark):
                      ("signal_peptide", 0, 12, "polypeptide-p-2")}
 
 
+def test_mapped_features_can_be_written(spark, tmp_path):
+    ex = spark.createDataFrame([("p", "c", "-", 0, 30), ("p", "c", "-", 100, 160)],
+                               "id string, seqid string, strand string, start int, end int")
+    ft = spark.createDataFrame(
+        [("p", 1, "protein_match", "t", "x", 15, 25, 2.5), ("p", 2, "signal_peptide", "s", None, 0, 4, None)],
+        "id string, feature_id bigint, type string, source string, target string, p_start int, p_end int, score double")
+    full = attributes(id=F.lit("old"), parent=F.array(F.lit("gone")), gap=F.array(F.struct(F.lit("M").alias("code"), F.lit(3).alias("length"))))
+    ft = ft.withColumn("attributes", F.when(F.col("feature_id") == 1, full))
+    writers.write_gff3(projection.map_to_genome(ft, ex), str(tmp_path / "g"))
+    lines = sorted(r.value for r in spark.read.text(str(tmp_path / "g")).collect())
+    assert lines == [
+        "c\ts\tregion\t149\t160\t.\t-\t.\tID=polypeptide-p-2;kind=signal_peptide",
+        "c\ts\tsignal_peptide\t149\t160\t.\t-\t.\tParent=polypeptide-p-2",
+        "c\tt\tmatch_part\t101\t115\t2.5\t-\t.\tID=old;Parent=p-protein_match-1",
+        "c\tt\tmatch_part\t16\t30\t2.5\t-\t.\tID=old;Parent=p-protein_match-1",
+        "c\tt\tprotein_match\t16\t115\t2.5\t-\t.\tID=p-protein_match-1"]
+
+
 def test_cuts_without_signal_are_dropped(spark):
     df = spark.createDataFrame([("a", "signal_peptide"), ("a", "propeptide_cleavage_site"),
                                 ("b", "propeptide_cleavage_site"), ("b", "x")], "id string, type string")
@@ -172,7 +192,6 @@ def test_scores_count_a_protein_once(spark):
 
 
 def test_bedgraph_file(spark, tmp_path):
-    from protolith.sinks import writers
 
     df = spark.createDataFrame([("c2", 0, 4, 1.5), ("c1", 4, 9, None)], "seqid string, start int, end int, v double")
     writers.write_bedgraph(df.coalesce(1), str(tmp_path / "b"))
@@ -184,7 +203,6 @@ def test_bedgraph_file(spark, tmp_path):
 def test_match_files(spark, tmp_path):
     import json
 
-    from protolith.sinks import writers
 
     df = spark.createDataFrame([("s", "custom", "r", "R", 0, 1)],
                                "name string, kind string, pattern string, match string, start int, end int")
