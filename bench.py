@@ -20,6 +20,8 @@ HEADLINE = (
     "dedup_encode", "seq_checksum", "motif_scan", "motif_scan_multi", "run_length",
     "project_plus", "project_features", "bedgraph_max", "bedgraph_mean", "bedgraph_median",
     "features_from_results", "src_lines", "src_blocks", "snk_gff", "gff_order",
+    "score_effector", "project_generic", "map_to_genome_gff", "src_xml", "track_split", "descendants",
+    "analysis_tables",
 )
 
 
