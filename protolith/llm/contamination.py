@@ -96,30 +96,31 @@ def tile(item: list[int], doc: list[int], least: int) -> np.ndarray:
         search = max(least, search // 2)
 
 
-def item_words(benchmark: DataFrame) -> DataFrame:
-    """``item_id, words`` (hashes) of every benchmark row."""
+def item_words(texts: DataFrame) -> DataFrame:
+    """``item_key, words`` (hashes) of every row of ``item_key, text``."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block in blocks(batch.column(1)):
                 words, at = block_words(block)
                 lists = pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(words.view(np.int64)))
-                yield pa.RecordBatch.from_arrays([batch.column(0)[block.rows], lists], ["item_id", "words"])
+                yield pa.RecordBatch.from_arrays([batch.column(0)[block.rows], lists], ["item_key", "words"])
 
-    return benchmark.select("item_id", "text").mapInArrow(run, "item_id long, words array<long>")
+    return texts.select("item_key", "text").mapInArrow(run, "item_key long, words array<long>")
 
 
 def _seeds(words: DataFrame) -> DataFrame:
-    """``item_id, n_words, seed``; items with fewer words than a tile have none."""
+    """``item_key, n_words, seed, places``: each seed with the number of its places; items with fewer words than a tile have none."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for item, row in zip(batch.column(0).to_pylist(), batch.column(1)):
                 hashes = np.array(row.as_py(), dtype=np.int64).view(np.uint64)
-                seeds = np.unique(window_hashes(hashes, TILE)).view(np.int64)
+                seeds, places = np.unique(window_hashes(hashes, TILE), return_counts=True)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array([item] * len(seeds), pa.int64()), pa.array([len(hashes)] * len(seeds), pa.int64()), pa.array(seeds)],
-                    ["item_id", "n_words", "seed"])
+                    [pa.array([item] * len(seeds), pa.int64()), pa.array([len(hashes)] * len(seeds), pa.int64()),
+                     pa.array(seeds.view(np.int64)), pa.array(places.astype(np.int64))],
+                    ["item_key", "n_words", "seed", "places"])
 
-    return words.mapInArrow(run, "item_id long, n_words long, seed long")
+    return words.mapInArrow(run, "item_key long, n_words long, seed long, places long")
 
 
 def seed_table(seeds: DataFrame) -> np.ndarray:
@@ -131,7 +132,7 @@ def seed_table(seeds: DataFrame) -> np.ndarray:
 
 
 def stretches(docs: DataFrame, bits: np.ndarray) -> DataFrame:
-    """``id, text_key, words, seeds``: the runs of words of each text whose seeds may be in the table."""
+    """``id, text_key, at, words, seeds``: the runs of words of each text whose seeds may be in the table, by first word."""
     shared = docs.sparkSession.sparkContext.broadcast(bits)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -156,11 +157,12 @@ def stretches(docs: DataFrame, bits: np.ndarray) -> DataFrame:
                 offsets = lambda n: pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32))
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0)[block.rows].take(rows), batch.column(1)[block.rows].take(rows),
+                    pa.array(at_hit[first] - at[text[first]]),
                     pa.ListArray.from_arrays(offsets(many + TILE - 1), pa.array(words[spread].view(np.int64))),
                     pa.ListArray.from_arrays(offsets(many), pa.array(seeds[at_hit].view(np.int64)))],
-                    ["id", "text_key", "words", "seeds"])
+                    ["id", "text_key", "at", "words", "seeds"])
 
-    return docs.mapInArrow(run, "id long, text_key long, words array<long>, seeds array<long>")
+    return docs.mapInArrow(run, "id long, text_key long, at long, words array<long>, seeds array<long>")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE) -> DataFrame:
@@ -170,41 +172,44 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     A pair is reported when tiles of at least ``TILE`` words cover ``coverage`` of the item's words.
     NULL texts and texts without words match nothing, nor do items with fewer words than a tile.
     Rows repeated in full give one pair; different texts under one id are judged apart
-    (``text_key`` is ``xxhash64(text)``).  A missing doc_id or item_id is reported as NULL; items
-    that share an id are judged as one item with their words end to end.
+    (``text_key`` is ``xxhash64(text)``).  So are the texts of an item_id, of which the best covered
+    one is reported.  A missing doc_id or item_id is reported as NULL; every text without item_id is
+    an item of its own.
     """
-    items = item_words(benchmark.select(F.coalesce("item_id", F.lit(LAST_ID)).alias("item_id"), "text"))
-    items = items.groupBy("item_id").agg(F.flatten(F.sort_array(F.collect_list("words"))).alias("words"))
-    items = cut_lineage(items)
+    named = cut_lineage(benchmark.select("item_id", F.xxhash64("text").alias("item_key"), "text").filter("text IS NOT NULL").distinct())
+    items = cut_lineage(item_words(named.dropDuplicates(["item_key"])))
     seeds = cut_lineage(_seeds(items))
     keyed = docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("text_key"), "text")
     found = cut_lineage(stretches(keyed, seed_table(seeds)))
 
     met = found.select("id", "text_key", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
-    enough = met.groupBy("id", "text_key", "item_id").agg(F.count(F.lit(1)).alias("shared"), F.first("n_words").alias("n"))
-    # tiles of TILE words need at least one seed for every TILE words they cover
-    pairs = enough.filter(F.col("shared") * TILE >= coverage * F.col("n")).select("id", "text_key", "item_id")
+    enough = met.groupBy("id", "text_key", "item_key").agg(F.sum("places").alias("shared"), F.first("n_words").alias("n"))
+    # tiles of TILE words need at least one place of a seed for every TILE words they cover
+    pairs = enough.filter(F.col("shared") * TILE >= coverage * F.col("n")).select("id", "text_key", "item_key")
     runs = found.join(pairs.select("id", "text_key").distinct(), ["id", "text_key"], "left_semi").groupBy("id", "text_key").agg(
-        F.collect_set("words").alias("runs"))
-    ready = pairs.join(items, "item_id").join(runs, ["id", "text_key"])
+        F.collect_set(F.struct("at", "words")).alias("runs"))
+    ready = pairs.join(items, "item_key").join(runs, ["id", "text_key"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             made = []
             for row in batch.to_pylist():
                 doc: list[int] = []
-                for i, stretch in enumerate(sorted(row["runs"])):
-                    doc += [*(w & 0xFFFFFFFFFFFFFFFF for w in stretch), (1 << 64) + i]  # a word of its own between stretches
+                for i, stretch in enumerate(sorted(row["runs"], key=lambda r: r["at"])):
+                    doc += [*(w & 0xFFFFFFFFFFFFFFFF for w in stretch["words"]), (1 << 64) + i]  # a word of its own between stretches
                 item = [w & 0xFFFFFFFFFFFFFFFF for w in row["words"]]
                 covered = int(tile(item, doc, TILE).sum())
                 if covered >= coverage * len(item):
-                    made.append((row["id"], row["item_id"], covered / len(item), covered, len(item), True, row["text_key"]))
-            kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.bool_(), pa.int64()]
+                    made.append((row["id"], row["text_key"], row["item_key"], covered / len(item), covered, len(item)))
+            kinds = [pa.int64()] * 3 + [pa.float64()] + [pa.int64()] * 2
             columns = zip(*made) if made else [[]] * len(kinds)
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)],
-                                             ["doc_id", "item_id", "coverage", "tiled_words", "item_words", "contaminated", "text_key"])
-
-    out = ready.select("id", "text_key", "item_id", "words", "runs").mapInArrow(
-        run, "doc_id long, item_id long, coverage double, tiled_words long, item_words long, contaminated boolean, text_key long")
-    known = lambda c: F.when(F.col(c) != LAST_ID, F.col(c)).alias(c)
-    return out.select(known("doc_id"), known("item_id"), "coverage", "tiled_words", "item_words", "contaminated", "text_key")
+                                             ["id", "text_key", "item_key", "coverage", "tiled_words", "item_words"])
+
+    held = ready.select("id", "text_key", "item_key", "words", "runs").mapInArrow(
+        run, "id long, text_key long, item_key long, coverage double, tiled_words long, item_words long")
+    nameless = F.when(F.col("item_id").isNull(), F.col("item_key")).alias("nameless")
+    best = held.join(named.select("item_id", "item_key"), "item_key").groupBy("id", "text_key", "item_id", nameless).agg(
+        F.max(F.struct("coverage", "tiled_words", "item_words")).alias("best"))
+    return best.select(F.when(F.col("id") != LAST_ID, F.col("id")).alias("doc_id"), F.col("item_id").cast("long").alias("item_id"),
+                       "best.coverage", "best.tiled_words", "best.item_words", F.lit(True).alias("contaminated"), "text_key")

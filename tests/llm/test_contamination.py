@@ -71,3 +71,16 @@ def test_edge_cases(spark, make, edge, prose):
     assert out.count() == 5
     assert c.contaminated(make([]), benchmark).count() == 0
     assert c.contaminated(make(rows), benchmark.limit(0)).count() == 0
+
+
+def test_items_that_share_an_id_or_have_none(spark, make, prose):
+    """Repeated item rows, several texts under one id and without id, and items of repeated words hide no copy."""
+    repeated, left, right = prose(5, 40), prose(11, 30), prose(12, 30)
+    nameless = [prose(20 + i, 30) for i in range(4)]
+    chorus = " ".join(["la le li lo lu"] * 8)
+    verse = prose(13, 10)
+    rows = [(1, repeated), (2, left), (3, nameless[2] + " and " + nameless[0]), (4, chorus), (5, verse + " x " + verse), (5, verse + " x " + verse)]
+    benchmark = spark.createDataFrame([(1, repeated)] * 3 + [(2, left), (2, right), (2, prose(14, 30))] + [(None, t) for t in nameless * 2] +
+                                      [(4, chorus), (5, verse + " y " + verse + " " + prose(15, 4))], "item_id long, text string")
+    found = sorted(((r.doc_id, r.item_id, r.tiled_words, r.item_words) for r in c.contaminated(make(rows), benchmark).collect()), key=str)
+    assert found == [(1, 1, 40, 40), (2, 2, 30, 30), (3, None, 30, 30), (3, None, 30, 30), (4, 4, 40, 40), (5, 5, 20, 25)]
