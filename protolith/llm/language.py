@@ -2,8 +2,9 @@
 
 Every training text is counted, in grams of ``ORDER`` folded characters (lower case, letters only,
 one blank for everything else).  Lower orders take continuation counts, as Kneser and Ney have it.
-The fitted model holds sorted arrays of gram hashes beside one column of log probabilities per
-language; a text takes the language with the lowest cross-entropy per character.  How far the
+The fitted model holds sorted arrays of grams, each with the log probabilities of the languages that
+have it, and grows with what the texts hold: no gram and no language is left out.  A text takes the
+language with the lowest cross-entropy per character.  How far the
 cross-entropy of a text may lie above that of its language's own training text is known from the
 mean and spread of the log probabilities there; beyond it the text is marked ``rejected`` and its
 score falls.
@@ -21,18 +22,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textkit import Block, blocks, may_learn, mix
+from .textkit import BLOCK_BYTES, Block, blocks, may_learn, ranges
 
 ORDER = 4
-#: Bounds of the fitted model, which every executor holds: the most frequent grams and languages.
-MAX_GRAMS = 400_000
-MAX_LANGUAGES = 100
 #: Grams that a counting task holds before it passes them on.
 HELD = 2_000_000
 REJECT_SIGMAS = 6.0
 REJECT_MARGIN = 0.75
 SURE_CHARS = 60
-INDEX_BITS = 20
 _letters: list[np.ndarray] = []
 
 
@@ -107,122 +104,102 @@ def gram_counts(training: DataFrame) -> DataFrame:
     return training.select("text", "lang").mapInArrow(run, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
 
 
-class SortedHashes:
-    """Rows by gram: a sorted array of hashes, found through an index on their first bits."""
-
-    def __init__(self, grams: np.ndarray, order: int, values: np.ndarray):
-        hashes = self.hash(grams, order)
-        by = np.argsort(hashes, kind="stable")
-        self.order, self.hashes, self.values = order, hashes[by], values[by].astype(np.float32)
-        edges = np.arange((1 << INDEX_BITS) + 1, dtype=np.uint64)
-        self.first = np.searchsorted(self.hashes >> np.uint64(64 - INDEX_BITS), edges).astype(np.int32)
-        self.most = int(np.diff(self.first).max(initial=0))
-
-    @staticmethod
-    def hash(grams: np.ndarray, order: int) -> np.ndarray:
-        return mix(grams + np.uint64(order * 0x9E3779B97F4A7C15 % (1 << 64)))
-
-    def find(self, grams: np.ndarray) -> np.ndarray:
-        """Row of each gram, -1 where there is none."""
-        wanted = self.hash(grams, self.order)
-        slot = (wanted >> np.uint64(64 - INDEX_BITS)).astype(np.int64)
-        row, end = self.first[slot], self.first[slot + 1]
-        out = np.full(len(grams), -1, dtype=np.int64)
-        for step in range(self.most):
-            at = np.minimum(row + step, len(self.hashes) - 1)
-            hit = (row + step < end) & (self.hashes[at] == wanted)
-            out[hit] = at[hit]
-        return out
+class SparseRows:
+    """Values by gram and language, held for the pairs that occur: sorted grams, and the entries of each."""
+
+    def __init__(self, grams: list[np.ndarray], values: list[np.ndarray]):
+        gram = np.concatenate(grams)
+        lang = np.repeat(np.arange(len(grams), dtype=np.int32), [len(g) for g in grams])
+        by = np.argsort(gram, kind="stable")
+        self.lang, self.value = lang[by], np.concatenate(values)[by].astype(np.float32)
+        self.grams, first = np.unique(gram[by], return_index=True)
+        self.first = np.append(first, len(gram))
+
+    def entries(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Number of the gram, language and value of every entry of ``grams``."""
+        if not len(self.grams):
+            return np.zeros(0, np.int64), self.lang, self.value
+        row = np.minimum(np.searchsorted(self.grams, grams), len(self.grams) - 1)
+        hit = np.flatnonzero(self.grams[row] == grams)
+        many = self.first[row[hit] + 1] - self.first[row[hit]]
+        at = ranges(self.first[row[hit]], many)
+        return np.repeat(hit, many), self.lang[at], self.value[at]
 
 
 class Model(NamedTuple):
     languages: list[str]
-    probability: list[SortedHashes]   # by order from 1: log p of a gram's last character after the others
-    backoff: list[SortedHashes]       # by order from 2: log of the mass a context leaves to the lower order
+    probability: list[SparseRows]     # by order from 1: log p of a gram's last character after the others
+    backoff: list[SparseRows]         # by order from 2: log of the mass a context leaves to the lower order
     floor: np.ndarray                 # log p of a character never seen
     mean: np.ndarray                  # cross-entropy of each language's own training text
     spread: np.ndarray
 
     def log_p(self, codes: np.ndarray) -> np.ndarray:
         """Log probability of the last character of each gram, per language."""
-        return self._order(codes, ORDER)
-
-    def _order(self, codes: np.ndarray, order: int) -> np.ndarray:
-        if order == 0:
-            return np.broadcast_to(self.floor, (len(codes), len(self.floor)))
-        codes = codes & np.uint64((1 << 16 * order) - 1)
-        table = self.probability[order - 1]
-        row = table.find(codes)
-        out = table.values[row]
-        lost = np.flatnonzero(row < 0)
-        if len(lost):
-            lower = self._order(codes[lost], order - 1)
+        out = np.tile(self.floor, (len(codes), 1))
+        for order in range(1, ORDER + 1):
+            part = codes & np.uint64((1 << 16 * order) - 1)
             if order > 1:
-                context = self.backoff[order - 2].find(codes[lost] >> np.uint64(16))
-                left = np.where((context >= 0)[:, None], self.backoff[order - 2].values[context], 0)
-                lower = lower + left
-            out[lost] = lower
+                row, lang, left = self.backoff[order - 2].entries(part >> np.uint64(16))
+                out[row, lang] += left
+            row, lang, value = self.probability[order - 1].entries(part)
+            out[row, lang] = value
         return out
 
 
 def fit(rows: list[tuple[str, np.ndarray, np.ndarray]]) -> Model | None:
-    """A model from ``(language, grams, counts)``; None when there is nothing to learn from."""
+    """A model from ``(language, sorted grams, counts)``; None when there is nothing to learn from."""
     rows = [r for r in rows if len(r[1])]
     if not rows:
         return None
-    grams = [np.zeros(0, np.uint64)] * (ORDER + 1)
-    grams[ORDER] = np.unique(np.concatenate([g for _, g, _ in rows]))
-    for order in range(ORDER - 1, 0, -1):
-        grams[order] = np.unique(grams[order + 1] & np.uint64((1 << 16 * order) - 1))
-    p = [np.zeros((len(g), len(rows))) for g in grams]
-    left = [np.zeros(0)] * (ORDER + 1)
-    contexts = [np.zeros(0, np.uint64)] * (ORDER + 1)
+    letters_seen = len(np.unique(np.concatenate([np.unique(g & np.uint64(0xFFFF)) for _, g, _ in rows]))) + 1
+    grams, logs = [[] for _ in range(ORDER + 1)], [[] for _ in range(ORDER + 1)]
+    contexts, backoff = [[] for _ in range(ORDER + 1)], [[] for _ in range(ORDER + 1)]
     floor, mean, spread = np.zeros(len(rows)), np.zeros(len(rows)), np.zeros(len(rows))
-    for order in range(2, ORDER + 1):
-        contexts[order] = np.unique(grams[order] >> np.uint64(16))
-        left[order] = np.zeros((len(contexts[order]), len(rows)))
-    letters_seen = len(grams[1]) + 1
     for lang, (_, seen, n) in enumerate(rows):
-        count = [np.zeros(0)] * (ORDER + 1)
-        count[ORDER] = np.zeros(len(grams[ORDER]))
-        count[ORDER][np.searchsorted(grams[ORDER], seen)] = n
+        gram, count = [seen] * (ORDER + 1), [n.astype(float)] * (ORDER + 1)
         for order in range(ORDER - 1, 0, -1):  # continuation counts
-            suffix = np.searchsorted(grams[order], grams[order + 1] & np.uint64((1 << 16 * order) - 1))
-            count[order] = np.bincount(suffix, count[order + 1] > 0, minlength=len(grams[order])).astype(float)
+            gram[order], many = np.unique(gram[order + 1] & np.uint64((1 << 16 * order) - 1), return_counts=True)
+            count[order] = many.astype(float)
+        p = np.zeros(0)
         for order in range(1, ORDER + 1):
             c = count[order]
             ones, twos = (c == 1).sum(), (c == 2).sum()
             discount = min(max(ones / (ones + 2 * twos), 0.1), 0.9) if ones and twos else 0.5
             if order == 1:
-                total, kinds, lower = c.sum(), (c > 0).sum(), 1 / letters_seen
-                rest = discount * kinds / total
+                total, lower = c.sum(), 1 / letters_seen
+                rest = discount * len(c) / total
                 floor[lang] = np.log(rest / letters_seen)
             else:
-                of = np.searchsorted(contexts[order], grams[order] >> np.uint64(16))
-                sums = np.bincount(of, c, minlength=len(contexts[order]))
-                kinds = np.bincount(of, c > 0, minlength=len(contexts[order]))
-                share = np.where(sums > 0, discount * kinds / np.maximum(sums, 1), 1.0)
-                left[order][:, lang] = np.log(share)
-                total, rest = np.maximum(sums, 1)[of], share[of]
-                lower = p[order - 1][np.searchsorted(grams[order - 1], grams[order] & np.uint64((1 << 16 * (order - 1)) - 1)), lang]
-            p[order][:, lang] = np.maximum(c - discount, 0) / total + rest * lower
-        logs = -np.log(p[ORDER][:, lang])
-        mean[lang] = np.average(logs, weights=count[ORDER])
-        spread[lang] = np.sqrt(np.average((logs - mean[lang]) ** 2, weights=count[ORDER]))
-    return Model([r[0] for r in rows], [SortedHashes(grams[k], k, np.log(p[k])) for k in range(1, ORDER + 1)],
-                 [SortedHashes(contexts[k], k - 1, left[k]) for k in range(2, ORDER + 1)], floor.astype(np.float32), mean, spread)
+                context, of = np.unique(gram[order] >> np.uint64(16), return_inverse=True)
+                sums = np.bincount(of, c)
+                share = discount * np.bincount(of) / sums
+                contexts[order].append(context)
+                backoff[order].append(np.log(share))
+                total, rest = sums[of], share[of]
+                lower = p[np.searchsorted(gram[order - 1], gram[order] & np.uint64((1 << 16 * (order - 1)) - 1))]
+            p = np.maximum(c - discount, 0) / total + rest * lower
+            grams[order].append(gram[order])
+            logs[order].append(np.log(p))
+        cross = -np.log(p)
+        mean[lang] = np.average(cross, weights=n)
+        spread[lang] = np.sqrt(np.average((cross - mean[lang]) ** 2, weights=n))
+    return Model([r[0] for r in rows], [SparseRows(grams[k], logs[k]) for k in range(1, ORDER + 1)],
+                 [SparseRows(contexts[k], backoff[k]) for k in range(2, ORDER + 1)], floor.astype(np.float32), mean, spread)
 
 
 def learn(docs: DataFrame) -> Model | None:
-    """Count all training texts (``lang`` known) and fit a model of bounded size."""
+    """Count all training texts (``lang`` known) and fit a model of all their grams and languages."""
     counts = gram_counts(docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull()))
-    top = counts.orderBy(F.desc("n"), "lang", "gram").limit(MAX_GRAMS).toPandas()
-    top["gram"] = top["gram"].to_numpy(dtype=np.int64).view(np.uint64)
-    largest = top.groupby("lang")["n"].sum().sort_values(ascending=False, kind="stable").index[:MAX_LANGUAGES]
+    table = counts.toArrow()
+    lang = table.column("lang").combine_chunks().dictionary_encode()
+    names, of = lang.dictionary.to_pylist(), lang.indices.to_numpy()
+    grams, n = table.column("gram").to_numpy().view(np.uint64), table.column("n").to_numpy()
+    by = np.lexsort((grams, of))
+    bounds = np.searchsorted(of[by], np.arange(len(names) + 1))
     parts = []
-    for lang in sorted(largest):
-        part = top[top["lang"] == lang].sort_values("gram")
-        parts.append((lang, part["gram"].to_numpy(), part["n"].to_numpy()))
+    for name, lo, hi in sorted(zip(names, bounds[:-1].tolist(), bounds[1:].tolist())):
+        parts.append((name, grams[by[lo:hi]], n[by[lo:hi]]))
     return fit(parts)
 
 
@@ -234,9 +211,12 @@ def score_block(model: Model | None, block: Block) -> tuple[list[str], np.ndarra
     known = np.flatnonzero(folded.letters > 0) if model else np.zeros(0, np.int64)
     if len(known):
         size = np.diff(folded.start)
-        sums = np.add.reduceat(model.log_p(folded.codes).astype(np.float64), folded.start[:-1][size > 0], axis=0)
+        codes, where = np.unique(folded.codes, return_inverse=True)
+        log_p = model.log_p(codes)
         cross = np.zeros((n, len(model.languages)))
-        cross[size > 0] = -sums / size[size > 0][:, None]
+        for lang in range(len(model.languages)):
+            sums = np.add.reduceat(log_p[:, lang][where], folded.start[:-1][size > 0], dtype=np.float64)
+            cross[size > 0, lang] = -sums / size[size > 0]
         cross, size = cross[known], size[known]
         best[known] = cross.argmin(axis=1)
         low = cross.min(axis=1)
@@ -257,10 +237,12 @@ def identify(docs: DataFrame, model: Model | None) -> DataFrame:
     any others; other columns are not looked at.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
+    # smaller blocks for many languages: each gram of a block has a value for every language
+    limit = BLOCK_BYTES * 8 // max(8, len(model.languages) if model else 0)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for block in blocks(batch.column(1)):
+            for block in blocks(batch.column(1), limit):
                 lang, score, entropy, rejected = score_block(shared.value, block)
                 yield pa.RecordBatch.from_arrays([batch.column(0)[block.rows], pa.array(lang, pa.string()), pa.array(score),
                                                   pa.array(entropy), pa.array(rejected)],

@@ -48,6 +48,24 @@ def test_probabilities_sum_to_one():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_no_gram_and_no_language_is_left_out(spark):
+    """A language of few texts beside one of very many grams, among more than a hundred languages."""
+    import random
+
+    r = random.Random(1)
+    wide = ["".join(chr(r.randrange(0x4E00, 0x9F00)) for _ in range(30_000)) for _ in range(16)]
+    rows = [(f"l{i:03d}", " ".join("".join(r.choice(letters) for _ in range(5)) for _ in range(12)))
+            for i in range(120) for letters in ["".join(chr(0x1200 + 3 * i + k) for k in range(3))]]
+    rows = [(lang, text) for lang, text in rows if any(map(str.isalpha, text))]
+    docs = spark.createDataFrame([(i, lang, text) for i, (lang, text) in enumerate([*[("wide", w) for w in wide], *rows])],
+                                 "doc_id long, lang string, text string")
+    model = language.learn(docs)
+    assert set(model.languages) == {"wide", *(lang for lang, _ in rows)} and len(rows) > 100
+    assert len(model.probability[-1].value) == language.gram_counts(docs).count() > 400_000
+    found = language.identify(docs.filter("lang != 'wide'"), model).join(docs.select("doc_id", "lang"), "doc_id").collect()
+    assert all(f.lang_pred == f.lang for f in found)
+
+
 @pytest.mark.parametrize("module, label, cut", [(quality, "quality", 0.7), (toxicity, "toxic", 0.3)])
 def test_classifiers(documents, labels, make, edge, module, label, cut):
     spark = documents.sparkSession
