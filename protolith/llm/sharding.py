@@ -1,11 +1,12 @@
 """Balanced label propagation: linked documents move together while the shards stay even.
 
-DataFrame operations only.  Documents with equal texts are linked.  Every document starts in a
-shard by hash.  In each round the linked documents of a group want the shard that holds most of
-the group and has room; who may move is decided by a histogram over hash bins (a fixed number of
-rows), filled up to each shard's room.  A group larger than the room splits, and the rest goes
-to the next shard in a later round.  Unlinked documents have no wish, so they fill the shards up
-to sizes that differ by one row at most (law ``rows``).
+DataFrame operations only.  Documents with equal texts are linked.  The groups start end to end in
+the order of their hash, cut into shards of equal many rows, so that only the groups on a cut (fewer
+than there are shards) and those larger than a shard are split.  In each round the linked documents
+of a split group want the shard that holds most of the group and has room; who may move is decided
+by a histogram over hash bins (a fixed number of rows), filled up to each shard's room, and row by
+row where no whole bin fits.  It ends when nothing can move.  Unlinked documents have no wish, so
+they fill the shards up to sizes that differ by one row at most (law ``rows``).
 """
 
 from __future__ import annotations
@@ -16,7 +17,6 @@ from pyspark.sql import functions as F
 from protolith.session import cut_lineage
 
 SHARDS = 8
-ROUNDS = 10
 #: Bins of the move histogram and of the numbering; both are fixed, so windows over them are bounded.
 GROUP_BINS, ROW_BINS = 64, 64
 NUMBER_BINS = 1024
@@ -43,7 +43,7 @@ def numbered(rows: DataFrame, key: str) -> DataFrame:
 
 def propagate(linked: DataFrame, room: int, shards: int) -> DataFrame:
     """Rounds of moves of ``row, group, shard`` until nothing moves; no move takes a shard beyond ``room`` rows."""
-    for _ in range(ROUNDS):
+    while True:
         # one row per shard reaches the driver
         sizes = {r.shard: r.n for r in linked.groupBy("shard").agg(F.count(F.lit(1)).alias("n")).collect()}
         free = {s: max(0, room - sizes.get(s, 0)) for s in range(shards)}
@@ -59,13 +59,36 @@ def propagate(linked: DataFrame, room: int, shards: int) -> DataFrame:
         asked = wish.filter("goal IS NOT NULL").groupBy("goal", "bin").agg(F.count(F.lit(1)).alias("n"))
         filled = F.sum("n").over(Window.partitionBy("goal").orderBy("bin"))
         granted = asked.withColumn("filled", filled).filter(F.col("filled") <= _pick(free, "goal")).select("goal", "bin", F.lit(True).alias("granted"))
-        moved = wish.join(F.broadcast(granted), ["goal", "bin"], "left")
-        moved = cut_lineage(moved.select("row", "group", F.when(F.col("granted"), F.col("goal")).otherwise(F.col("shard")).alias("shard"),
-                                         F.coalesce("granted", F.lit(False)).alias("granted")))
-        linked = moved.select("row", "group", "shard")
-        if not moved.filter("granted").limit(1).count():
-            return linked
-    return linked
+        # no bin fits: as many rows as there is room for
+        if not granted.limit(1).count():
+            asking = numbered(wish.filter(F.col("goal").isNotNull()).select("row", "goal"), "goal")
+            granted = cut_lineage(asking.filter(F.col("number") < _pick(free, "goal")).select("row", F.lit(True).alias("granted")))
+            if not granted.limit(1).count():
+                return linked
+            moved = wish.join(granted, "row", "left")
+        else:
+            moved = wish.join(F.broadcast(granted), ["goal", "bin"], "left")
+        linked = cut_lineage(moved.select("row", "group", F.when(F.col("granted"), F.col("goal")).otherwise(F.col("shard")).alias("shard")))
+
+
+def packed(linked: DataFrame, groups: DataFrame, shards: int) -> DataFrame:
+    """``row, group, shard`` of ``linked`` (``row, group``): the groups of ``groups`` (``group, n``) end to end, cut into ``shards`` even parts."""
+    binned = groups.withColumn("bin", F.pmod(F.xxhash64("group", F.lit(1)), F.lit(NUMBER_BINS)))
+    sizes = binned.groupBy("bin").agg(F.sum("n").alias("size")).withColumn("all", F.lit(0))
+    before = Window.partitionBy("all").orderBy("bin").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("bin", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("bin").orderBy("group").rowsBetween(Window.unboundedPreceding, -1)
+    laid = binned.withColumn("inside", F.coalesce(F.sum("n").over(inside), F.lit(0))).join(F.broadcast(offsets), "bin")
+    laid = laid.select("group", (F.col("offset") + F.col("inside")).alias("begin"), (F.col("offset") + F.col("inside") + F.col("n")).alias("end"))
+    total = groups.agg(F.sum("n")).first()[0] or 0
+    cuts = [s * (total // shards) + min(s, total % shards) for s in range(1, shards)]
+    shard_of = lambda place: sum((F.when(place >= c, 1).otherwise(0) for c in cuts), F.lit(0))
+    laid = cut_lineage(laid.withColumn("shard", shard_of(F.col("begin"))).withColumn("split", shard_of(F.col("end") - 1) != F.col("shard")))
+    whole = linked.join(laid.filter("not split").select("group", "shard"), "group").select("row", "group", "shard")
+    # fewer groups than shards lie on a cut, so their rows are numbered by bins
+    split = linked.join(F.broadcast(laid.filter("split").select("group", "begin")), "group")
+    split = numbered(split, "group").select("row", "group", shard_of(F.col("begin") + F.col("number")).alias("shard"))
+    return whole.union(split)
 
 
 def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
@@ -85,9 +108,10 @@ def shard(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
     total = base.count()
     quota = {s: total // shards + (s < total % shards) for s in range(shards)}
 
-    groups = base.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("group")
-    first = F.pmod(F.xxhash64("row", F.lit(1)), F.lit(shards)).cast("int").alias("shard")
-    linked = cut_lineage(base.select("row", "group").join(groups, "group").select("row", "group", first))
+    groups = base.filter("group IS NOT NULL").groupBy("group").agg(F.count(F.lit(1)).alias("n")).filter("n > 1")
+    groups = cut_lineage(groups)
+    linked = base.select("row", "group").join(groups.select("group"), "group").select("row", "group")
+    linked = cut_lineage(packed(linked, groups, shards))
     linked = propagate(linked, total // shards, shards)
 
     linked = cut_lineage(numbered(linked.select("row", "shard"), "shard"))

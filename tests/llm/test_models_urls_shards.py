@@ -152,3 +152,22 @@ def test_a_group_larger_than_a_shard(make):
     laws(rows, 8)
     held = Counter(r.shard for r in rows if r.doc_id < 100)
     assert len(held) <= 6
+
+
+@pytest.mark.parametrize("copies", [2, 8])
+def test_shards_where_every_text_has_a_copy(make, copies):
+    """No room is free at the start; still only the groups on the bounds of the shards are split."""
+    rows = sharding.shard(make([(i, f"t{i // copies}") for i in range(4003 * copies)])).collect()
+    laws(rows, 8)
+    groups = {}
+    for r in rows:
+        groups.setdefault(r.doc_id // copies, set()).add(r.shard)
+    assert sum(len(g) > 1 for g in groups.values()) <= 7
+
+
+def test_room_that_no_bin_fits_is_used(make):
+    """Groups of twice a shard each end in few shards."""
+    rows = sharding.shard(make([(i, f"g{i % 3}") for i in range(300)] + [(1000 + i, f"t{i}") for i in range(100)])).collect()
+    laws(rows, 8)
+    for g in range(3):
+        assert len({r.shard for r in rows if r.doc_id < 1000 and r.doc_id % 3 == g}) <= 4
