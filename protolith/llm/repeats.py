@@ -36,8 +36,6 @@ from .textkit import BLOCK_BYTES, LAST_ID, Rolling, blocks, mix, ranges, release
 
 DIGIT = 36
 PART = 16
-#: A place is ``start << 24 | tag``; the tag tells texts apart that share a doc_id.
-TAG_BITS = 24
 _POSITION = np.uint64((1 << 26) - 1)
 _PIECE = 1 << 24
 
@@ -94,11 +92,6 @@ def _pieces(data: np.ndarray, start: np.ndarray, length: int) -> Iterator[tuple[
         yield at, piece, np.clip(start - at, 0, len(piece))
 
 
-def _tags(block, rolling: Rolling | None = None) -> np.ndarray:
-    rolling = rolling or Rolling(block.data)
-    return (rolling.at(block.start[:-1], block.start[1:]) >> np.uint64(64 - TAG_BITS)).astype(np.int64)
-
-
 def _block_anchors(block, length: int) -> Iterator[tuple[Anchors, np.ndarray, int]]:
     """Anchors of a block, the text of each, and the offset to add to positions."""
     for at, data, start in _pieces(block.data, block.start, length):
@@ -128,47 +121,44 @@ def gram_counts(docs: DataFrame, length: int) -> DataFrame:
 
 
 def suffixes(docs: DataFrame, length: int) -> DataFrame:
-    """``gram, run, id, place`` of every anchor that is the first of its kind in its text."""
+    """``gram, run, id, key, place`` of every anchor that is the first of its kind in its text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1)):
-                tag = _tags(block)
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for block in blocks(batch.column(2)):
                 for found, text, at in _block_anchors(block, length):
                     new = _first_in_text(found, text)
                     text = text[new]
-                    place = ((found.place[new] + at - block.start[text]) << TAG_BITS) | tag[text]
+                    place = found.place[new] + at - block.start[text]
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(found.gram[new].view(np.int64)), pa.array(found.run[new].view(np.int64)),
-                         pa.array(ids[block.rows][text]), pa.array(place)], ["gram", "run", "id", "place"])
+                         pa.array(ids[block.rows][text]), pa.array(keys[block.rows][text]), pa.array(place)], ["gram", "run", "id", "key", "place"])
 
-    return docs.select("id", "text").mapInArrow(run, "gram long, run long, id long, place long")
+    return docs.select("id", "key", "text").mapInArrow(run, "gram long, run long, id long, key long, place long")
 
 
 def open_bytes(marked: DataFrame, length: int) -> DataFrame:
-    """``gram, id, place, first, last, bytes`` of the runs whose anchors are in ``places``: the distances of
+    """``gram, id, key, place, first, last, bytes`` of the runs whose anchors are in ``places``: the distances of
     the anchor from the first and last string's start, and all bytes that the strings cover."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids = batch.column(0).to_numpy()
-            for block in blocks(batch.column(1)):
-                places, row = _flat(batch.column(2)[block.rows])
-                tag = _tags(block)
-                mine = (places & ((1 << TAG_BITS) - 1)) == tag[row]
-                wanted = np.unique(block.start[row[mine]] + (places[mine] >> TAG_BITS))
+            ids, keys = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            for block in blocks(batch.column(2)):
+                places, row = _flat(batch.column(3)[block.rows])
+                wanted = np.unique(block.start[row] + places)
                 for found, text, at in _block_anchors(block, length):
                     hit = np.flatnonzero(np.isin(found.place + at, wanted))
                     lo, hi = found.first[hit] + at, found.last[hit] + at + length
                     place = found.place[hit] + at
                     doc = text[hit]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(found.gram[hit].view(np.int64)), pa.array(ids[block.rows][doc]),
-                         pa.array(((place - block.start[doc]) << TAG_BITS) | tag[doc]),
+                        [pa.array(found.gram[hit].view(np.int64)), pa.array(ids[block.rows][doc]), pa.array(keys[block.rows][doc]),
+                         pa.array(place - block.start[doc]),
                          pa.array((place - lo).astype(np.int32)), pa.array((place - (hi - length)).astype(np.int32)),
                          pa.array([block.data[a:b].tobytes() for a, b in zip(lo.tolist(), hi.tolist())], pa.binary())],
-                        ["gram", "id", "place", "first", "last", "bytes"])
+                        ["gram", "id", "key", "place", "first", "last", "bytes"])
 
-    return marked.select("id", "text", "places").mapInArrow(run, "gram long, id long, place long, first int, last int, bytes binary")
+    return marked.select("id", "key", "text", "places").mapInArrow(run, "gram long, id long, key long, place long, first int, last int, bytes binary")
 
 
 class Hulls(NamedTuple):
@@ -187,14 +177,14 @@ class Hulls(NamedTuple):
 
 
 def parts_of(opened: DataFrame, length: int) -> DataFrame:
-    """``gram, part, core, hull, id, place, start, n``: the parts of the runs in ``opened`` with their digits."""
-    names = ["gram", "part", "core", "hull", "id", "place", "start", "n"]
+    """``gram, part, core, hull, id, key, place, start, n``: the parts of the runs in ``opened`` with their digits."""
+    names = ["gram", "part", "core", "hull", "id", "key", "place", "start", "n"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            hulls = Hulls.of(batch, 3, 4, 5)
+            hulls = Hulls.of(batch, 4, 5, 6)
             low, high = hulls.last // PART, hulls.first // PART
             row = np.repeat(np.arange(batch.num_rows), high - low + 1)
             part = ranges(low, high - low + 1)
@@ -203,33 +193,33 @@ def parts_of(opened: DataFrame, length: int) -> DataFrame:
             # shared by every string of the whole part, whichever of its starts this run has
             core = hulls.rolling.at(anchor - part * PART, anchor - (part * PART + PART - 1) + length)
             hull = hulls.rolling.at(anchor - far, anchor - near + length) ^ mix((far * 65536 + near).astype(np.uint64) + np.uint64(1))
-            place = batch.column(2).to_numpy()[row]
-            start = place - (far << TAG_BITS)
+            place = batch.column(3).to_numpy()[row]
+            start = place - far
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), pa.array(part), pa.array(core.view(np.int64)), pa.array(hull.view(np.int64)),
-                 batch.column(1).take(pa.array(row)), pa.array(place), pa.array(start), pa.array(far - near + 1)], names)
+                 batch.column(1).take(pa.array(row)), batch.column(2).take(pa.array(row)), pa.array(place), pa.array(start), pa.array(far - near + 1)], names)
 
-    return opened.select("gram", "id", "place", "first", "last", "bytes").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return opened.select("gram", "id", "key", "place", "first", "last", "bytes").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def single_strings(opened: DataFrame, length: int) -> DataFrame:
-    """``gram, string, id, start`` of every string of the parts in ``parts``; one digit per string."""
-    names = ["gram", "string", "id", "start"]
+    """``gram, string, id, key, start`` of every string of the parts in ``parts``; one digit per string."""
+    names = ["gram", "string", "id", "key", "start"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            hulls = Hulls.of(batch, 3, 4, 5)
-            part, row = _flat(batch.column(6))
+            hulls = Hulls.of(batch, 4, 5, 6)
+            part, row = _flat(batch.column(7))
             near, far = np.maximum(part * PART, hulls.last[row]), np.minimum(part * PART + PART - 1, hulls.first[row])
             back, row = ranges(near, far - near + 1), np.repeat(row, far - near + 1)
             begin = hulls.begin[row] + hulls.first[row] - back
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(row)), pa.array(hulls.rolling.at(begin, begin + length).view(np.int64)),
-                 batch.column(1).take(pa.array(row)), pa.array(batch.column(2).to_numpy()[row] - (back << TAG_BITS))], names)
+                 batch.column(1).take(pa.array(row)), batch.column(2).take(pa.array(row)), pa.array(batch.column(3).to_numpy()[row] - back)], names)
 
-    return opened.select("gram", "id", "place", "first", "last", "bytes", "parts").mapInArrow(run, ", ".join(f"{c} long" for c in names))
+    return opened.select("gram", "id", "key", "place", "first", "last", "bytes", "parts").mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def _flat(lists: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -263,38 +253,38 @@ def _id(column: str = "doc_id") -> Column:
 
 
 def repeated_places(docs: DataFrame, length: int) -> DataFrame:
-    """``id, runs, strings``: places of the anchors whose strings all start earlier elsewhere, and
+    """``id, key, runs, strings``, one row for each distinct text of an id: places of the anchors whose strings all start earlier elsewhere, and
     ``(start, n)`` of further neighbouring strings that do.  Texts without any are left out."""
     spark = docs.sparkSession
-    texts = docs.select(_id().alias("id"), "text")
+    texts = docs.select(_id().alias("id"), F.xxhash64("text").alias("key"), "text")
     again = gram_counts(texts, length).groupBy("gram").agg(F.sum("n").alias("n")).filter("n > 1").select("gram")
     kept = cut_lineage(suffixes(texts, length).join(again, "gram"))
     del again
     release(spark)
-    runs = kept.groupBy("gram", "run").agg(F.min(F.struct("id", "place")).alias("first"))
+    runs = kept.groupBy("gram", "run").agg(F.min(F.struct("id", "place", "key")).alias("first"))
     kinds = runs.groupBy("gram").agg((F.count(F.lit(1)) > 1).alias("ragged"))
     runs = runs.join(kinds, "gram")
-    told = kept.join(runs, ["gram", "run"]).select("id", "place", "ragged", (F.struct("id", "place") != F.col("first")).alias("later"))
+    told = kept.join(runs, ["gram", "run"]).select("id", "key", "place", "ragged", (F.struct("id", "place", "key") != F.col("first")).alias("later"))
     told = cut_lineage(told.filter("later or ragged"))
     del kept, runs, kinds
     release(spark)
-    open_runs = told.filter("not later").groupBy("id").agg(F.collect_set("place").alias("places"))
-    opened = cut_lineage(open_bytes(texts.join(open_runs, "id"), length))
+    open_runs = told.filter("not later").groupBy("id", "key").agg(F.collect_set("place").alias("places"))
+    opened = cut_lineage(open_bytes(texts.join(open_runs, ["id", "key"]), length))
     del open_runs
     release(spark)
     parts = parts_of(opened, length)
     digits = parts.groupBy("gram", "part", "core").agg(
-        F.min(F.struct("id", "start")).alias("first"), (F.min("hull") != F.max("hull")).alias("ragged"), F.count(F.lit(1)).alias("members"))
-    late = parts.join(digits.filter("members > 1"), ["gram", "part", "core"]).filter(F.col("ragged") | (F.struct("id", "start") != F.col("first")))
-    late = cut_lineage(late.select("id", "place", "part", "start", "n", "ragged"))
-    wanted = late.filter("ragged").groupBy("id", "place").agg(F.collect_set("part").alias("parts"))
-    strings = cut_lineage(single_strings(opened.join(wanted, ["id", "place"]), length))
-    firsts = strings.groupBy("gram", "string").agg(F.min(F.struct("id", "start")).alias("first"), F.count(F.lit(1)).alias("members"))
-    single = strings.join(firsts.filter("members > 1"), ["gram", "string"]).filter(F.struct("id", "start") != F.col("first"))
+        F.min(F.struct("id", "start", "key")).alias("first"), (F.min("hull") != F.max("hull")).alias("ragged"), F.count(F.lit(1)).alias("members"))
+    late = parts.join(digits.filter("members > 1"), ["gram", "part", "core"]).filter(F.col("ragged") | (F.struct("id", "start", "key") != F.col("first")))
+    late = cut_lineage(late.select("id", "key", "place", "part", "start", "n", "ragged"))
+    wanted = late.filter("ragged").groupBy("id", "key", "place").agg(F.collect_set("part").alias("parts"))
+    strings = cut_lineage(single_strings(opened.join(wanted, ["id", "key", "place"]), length))
+    firsts = strings.groupBy("gram", "string").agg(F.min(F.struct("id", "start", "key")).alias("first"), F.count(F.lit(1)).alias("members"))
+    single = strings.join(firsts.filter("members > 1"), ["gram", "string"]).filter(F.struct("id", "start", "key") != F.col("first"))
     none = F.lit(None).cast("long")
-    marks = told.filter("later").select("id", "place", none.alias("start"), none.alias("n")).union(
-        late.filter("not ragged").select("id", none, "start", "n")).union(single.select("id", none, "start", F.lit(1).cast("long")))
-    out = cut_lineage(marks.groupBy("id").agg(
+    marks = told.filter("later").select("id", "key", "place", none.alias("start"), none.alias("n")).union(
+        late.filter("not ragged").select("id", "key", none, "start", "n")).union(single.select("id", "key", none, "start", F.lit(1).cast("long")))
+    out = cut_lineage(marks.groupBy("id", "key").agg(
         F.collect_set("place").alias("runs"), F.collect_set(F.when(F.col("n").isNotNull(), F.struct("start", "n"))).alias("strings")))
     del told, opened, parts, digits, late, wanted, strings, firsts, single, marks
     release(spark)
@@ -315,9 +305,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, extra: list[str] | None =
     extra = extra or []
     kinds = {f.name: f.dataType.simpleString() for f in docs.schema.fields}
     given = [docs[c].alias(f"x{i}") for i, c in enumerate(extra)]
-    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *given).withColumn("id", _id())
+    rows = docs.select(docs["doc_id"].cast("long").alias("doc_id"), docs["text"], *given).withColumn("id", _id()).withColumn("key", F.xxhash64("text"))
     marks = repeated_places(docs, length)
-    rows = rows.join(marks, "id", "left").select("doc_id", "text", "runs", "strings", *(f"x{i}" for i in range(len(extra))))
+    rows = rows.join(marks, ["id", "key"], "left").select("doc_id", "text", "runs", "strings", *(f"x{i}" for i in range(len(extra))))
     schema = [f"`{c}` {kinds[c]}" for c in extra] + ["doc_id long", "n_bytes long", "n_removed long", "n_spans long", "kept_sha256 string"]
     names = [*extra, "doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"] + ["text"] * with_text
     schema += ["text string"] * with_text
@@ -325,12 +315,9 @@ def remove_repeats(docs: DataFrame, length: int = 100, extra: list[str] | None =
     def cut(block, batch: pa.RecordBatch) -> Iterator[tuple]:
         runs, run_row = _flat(batch.column(2)[block.rows])
         (single, many), row = _flat_pairs(batch.column(3)[block.rows])
-        tag = _tags(block)
-        mine = (runs & ((1 << TAG_BITS) - 1)) == tag[run_row]
-        wanted = np.unique(block.start[run_row[mine]] + (runs[mine] >> TAG_BITS))
-        mine = (single & ((1 << TAG_BITS) - 1)) == tag[row]
-        starts = block.start[row[mine]] + (single[mine] >> TAG_BITS)
-        begins, ends = [starts], [starts + many[mine] - 1 + length]
+        wanted = np.unique(block.start[run_row] + runs)
+        starts = block.start[row] + single
+        begins, ends = [starts], [starts + many - 1 + length]
         for found, text, at in _block_anchors(block, length):
             late = ~_first_in_text(found, text)
             if len(wanted):

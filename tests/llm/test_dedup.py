@@ -132,5 +132,24 @@ def test_text_left_is_whole_characters(make):
     assert left == {1: passage, 2: "ab", 3: "no repeat"}
 
 
+def test_texts_without_id_whose_short_hashes_agree(make, prose):
+    """Two texts without id, alike in 24 bits of a hash, are still told apart."""
+    import numpy as np
+    from protolith.llm.textkit import Rolling
+
+    def tags(body):
+        out = {}
+        for i in range(20_000):
+            data = np.frombuffer(f"{body} {i}".encode(), dtype=np.uint8)
+            out[int(Rolling(data).at(np.array([0]), np.array([len(data)]))[0] >> np.uint64(40))] = f"{body} {i}"
+        return out
+
+    passage, clean = prose(41, 150), prose(42, 150)
+    one, other = tags(passage), tags(clean)
+    alike = min(one.keys() & other.keys())
+    rows = [(1, passage), (None, one[alike]), (None, other[alike]), (None, other[alike]), (2, prose(43, 40)), (2, passage[:300])]
+    assert removal(make(rows), 100) == brute_removal(rows, 100)
+
+
 def test_repeats_of_nothing(make):
     assert repeats.remove_repeats(make([])).count() == 0
