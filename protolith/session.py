@@ -78,3 +78,10 @@ def cut_lineage(df, eager: bool = True):
     if spark.sparkContext.getCheckpointDir() is None:
         spark.sparkContext.setCheckpointDir(shared_dir(spark))
     return df.checkpoint(eager)
+
+
+def stored(df, label: str):
+    """Write a frame below the shared folder and read it back: cuts lineage, and columns are read by need."""
+    path = scratch(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.parquet(path)
