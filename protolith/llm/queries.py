@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contamination, language, neardup, quality, repeats, rules, sharding, toxicity, urls
+from . import bpe, contamination, language, neardup, phrases, quality, repeats, rules, sharding, toxicity, urls
 from .textkit import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -111,3 +111,8 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return found.select("doc_id", held_out("doc_id").alias("held_out"), "score", "predicted")
+
+
+@query("op11_phrases")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
