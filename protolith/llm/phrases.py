@@ -34,7 +34,7 @@ from .wordblocks import byte_set, encode_words, pack_words, unpack_words
 
 BREAKS = byte_set(*b".,;:!?", *range(10, 14))
 SEPARATORS = BREAKS | byte_set(32, 9)
-BLOCK_BYTES = 8_000_000
+BLOCK_BYTES = 4_000_000
 FILTER_BITS = 1 << 27
 #: Part ranks within a language before the last one, so that no task ranks all phrases of a language.
 SALTS = 64
@@ -145,8 +145,9 @@ def word_blocks(docs: DataFrame) -> DataFrame:
             n = len(found.code)
             if not n:
                 continue
-            ended = np.concatenate([[0], np.cumsum(BREAKS[block.data])])
-            new = (ended[found.start[1:]] > ended[found.stop[:-1]]) | (found.owner[1:] != found.owner[:-1])
+            ends = np.flatnonzero(BREAKS[block.data])
+            new = np.searchsorted(ends, found.start[1:]) > np.searchsorted(ends, found.stop[:-1])
+            new |= found.owner[1:] != found.owner[:-1]
             codes = np.insert(found.code, np.flatnonzero(new) + 1, -1).astype(np.int32)
             letters, offsets = pack_words(found.words)
             yield lang, n, codes.tobytes(), letters.tobytes(), offsets.tobytes()
