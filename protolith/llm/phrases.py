@@ -34,7 +34,9 @@ from .wordblocks import byte_set, encode_words, pack_words, unpack_words
 
 BREAKS = byte_set(*b".,;:!?", *range(10, 14))
 SEPARATORS = BREAKS | byte_set(32, 9)
-BLOCK_BYTES = 4_000_000
+BLOCK_BYTES = 2_000_000
+#: Rows of an Arrow batch that are sorted into languages at a time.
+SLICE = 500
 FILTER_BITS = 1 << 27
 #: Part ranks within a language before the last one, so that no task ranks all phrases of a language.
 SALTS = 64
@@ -80,7 +82,8 @@ class Prefixes:
 class Runs:
     """The word runs of one block."""
 
-    def __init__(self, lang: str, codes: bytes, words: bytes, offsets: bytes):
+    def __init__(self, lang: str, codes: pa.Buffer, words: pa.Buffer, offsets: pa.Buffer):
+        self.lang = lang
         self.code = np.frombuffer(codes, dtype=np.int32)
         self.letters, self.offsets = unpack_words(words, offsets)
         # a word is the fingerprint of its bytes, plus one so that no symbol is zero
@@ -132,6 +135,12 @@ class Runs:
             start = start[~same]  # collisions: their own words, in another turn
 
 
+def all_runs(batch: pa.RecordBatch) -> Iterator[Runs]:
+    """One block after the other, read where Arrow holds it."""
+    for i in range(batch.num_rows):
+        yield Runs(batch.column(0)[i].as_py(), *(batch.column(j)[i].as_buffer() for j in (1, 2, 3)))
+
+
 def has_bit(table: np.ndarray, prints: np.ndarray) -> np.ndarray:
     slot = prints & np.uint64(len(table) * 64 - 1)
     return (table[(slot >> np.uint64(6)).astype(np.int64)] >> (slot & np.uint64(63))) & np.uint64(1) == 1
@@ -165,16 +174,18 @@ def word_blocks(docs: DataFrame) -> DataFrame:
                         ["lang", "n", "codes", "words", "offsets"])
 
         for batch in batches:
-            langs, texts = batch.column(0).dictionary_encode(), batch.column(1).cast(pa.large_string())
-            which = langs.indices.to_numpy(zero_copy_only=False)
-            for i, lang in enumerate(langs.dictionary.to_pylist()):
-                mine = texts.filter(pa.array(which == i))
-                held.setdefault(lang, []).append(mine)
-                size[lang] = size.get(lang, 0) + mine.nbytes
-                if size[lang] >= BLOCK_BYTES:
-                    yield from out([lang])
-            if sum(size.values()) >= 4 * BLOCK_BYTES:
-                yield from out(list(held))
+            for lo in range(0, batch.num_rows, SLICE):
+                part = batch.slice(lo, SLICE)
+                langs, texts = part.column(0).dictionary_encode(), part.column(1).cast(pa.large_string())
+                which = langs.indices.to_numpy(zero_copy_only=False)
+                for i, lang in enumerate(langs.dictionary.to_pylist()):
+                    mine = texts.filter(pa.array(which == i))
+                    held.setdefault(lang, []).append(mine)
+                    size[lang] = size.get(lang, 0) + mine.nbytes
+                    if size[lang] >= BLOCK_BYTES:
+                        yield from out([lang])
+                if sum(size.values()) >= 4 * BLOCK_BYTES:
+                    yield from out(list(held))
         yield from out(list(held))
 
     rows = docs.select(F.coalesce("lang", F.lit(MISSING)).alias("lang"), F.coalesce("text", F.lit("")).alias("text"))
@@ -185,8 +196,7 @@ def frequent_prints(cut: DataFrame, k: int, least: int, table) -> DataFrame:
     """Fingerprints of runs of ``k`` words found ``least`` times or more over all blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                runs = Runs(*row)
+            for runs in all_runs(batch):
                 start = runs.likely(k, None if table is None else table.value)
                 prints, count = np.unique(runs.fingerprints(k)[start], return_counts=True)
                 yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(count.astype(np.int64))], ["print", "f"])
@@ -210,12 +220,11 @@ def phrase_counts(cut: DataFrame, tables: list, least: int) -> DataFrame:
     """``lang, phrase, words, f`` of all phrases found ``least`` times or more, counted by their text."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in zip(*(column.to_pylist() for column in batch.columns)):
-                runs = Runs(*row)
+            for runs in all_runs(batch):
                 for k, table in enumerate(tables, 1):
                     found = list(runs.phrases(k, table.value))
                     yield pa.RecordBatch.from_arrays([
-                        pa.array([row[0]] * len(found), pa.string()), pa.array([x[0] for x in found], pa.string()),
+                        pa.array([runs.lang] * len(found), pa.string()), pa.array([x[0] for x in found], pa.string()),
                         pa.array([k] * len(found), pa.int32()), pa.array([x[1] for x in found], pa.int64())], ["lang", "phrase", "words", "f"])
 
     rows = cut.select("lang", "codes", "words", "offsets").mapInArrow(run, "lang string, phrase string, words int, f long")

@@ -51,5 +51,5 @@ def pack_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, offsets - offsets[0]
 
 
-def unpack_words(data: bytes, offsets: bytes) -> tuple[np.ndarray, np.ndarray]:
+def unpack_words(data: bytes | pa.Buffer, offsets: bytes | pa.Buffer) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(data, dtype=np.uint8), np.frombuffer(offsets, dtype=np.int64)
