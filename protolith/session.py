@@ -13,6 +13,8 @@ RUNTIME_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # what a Python worker holds at a time is bounded by bytes, not by rows that may be long
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8MB",
     # the wide summary carries ~80 columns through several codegen stages
     "spark.sql.codegen.maxFields": "200",
 }
