@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, contamination, language, neardup, phrases, quality, repeats, rules, sharding, toxicity, urls
+from . import bpe, contamination, language, lattice, neardup, phrases, quality, repeats, rules, sharding, toxicity, trie, urls
 from .textkit import held_out, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -30,6 +30,13 @@ def vocabulary() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def pieces_file() -> str:
+    """The public subword vocabulary with scores."""
+    import public_tokenizers
+
+    return public_tokenizers.path("piece_bpe_32k.model")
+
+
 @query("op1_language")
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
@@ -116,3 +123,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op11_phrases")
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return phrases.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op12_text_probability")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lattice.score_texts(table(spark, sf_dir, "documents"), pieces_file())
+
+
+@query("op13_prefix_trie")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.prefix_trie(table(spark, sf_dir, "conversations"))
