@@ -37,7 +37,9 @@ SEPARATORS = BREAKS | byte_set(32, 9)
 BLOCK_BYTES = 2_000_000
 #: Rows of an Arrow batch that are sorted into languages at a time.
 SLICE = 500
-FILTER_BITS = 1 << 27
+FILTER_BITS = 1 << 26
+#: Fingerprints that meet in one step of a sum, and bits of the least number of their ranges.
+RANGE, RANGE_BITS = 1_000_000, 8
 #: Part ranks within a language before the last one, so that no task ranks all phrases of a language.
 SALTS = 64
 MISSING = "und"
@@ -192,17 +194,66 @@ def word_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, "lang string, n long, codes binary, words binary, offsets binary")
 
 
-def frequent_prints(cut: DataFrame, k: int, least: int, table) -> DataFrame:
-    """Fingerprints of runs of ``k`` words found ``least`` times or more over all blocks."""
+def _binary(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Runs of ``values`` from ``at`` to the next as binary rows, without a copy of each."""
+    offsets = (at * values.itemsize).astype(np.int64)
+    return pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(at) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(values)]).cast(pa.binary())
+
+
+def _sums(prints: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct fingerprints with their total counts."""
+    every, count = np.concatenate(prints), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, count = every[order], count[order].astype(np.int64)
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    return every[first], np.add.reduceat(count, first)
+
+
+def frequent_prints(cut: DataFrame, k: int, least: int, table, words: int) -> DataFrame:
+    """Fingerprints of runs of ``k`` words found ``least`` times or more over all blocks: ``print, f``.
+
+    A block sends its distinct fingerprints with their counts as one row for each range of the
+    fingerprint; there are so many ranges that one holds about ``RANGE`` of all ``words`` at most.
+    """
+    bits = max((words // RANGE).bit_length(), RANGE_BITS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
         for batch in batches:
             for runs in all_runs(batch):
                 start = runs.likely(k, None if table is None else table.value)
                 prints, count = np.unique(runs.fingerprints(k)[start], return_counts=True)
-                yield pa.RecordBatch.from_arrays([pa.array(prints.view(np.int64)), pa.array(count.astype(np.int64))], ["print", "f"])
+                at = np.append(np.searchsorted(prints, edges), len(prints))
+                full = np.flatnonzero(at[1:] > at[:-1])
+                if len(full):
+                    at = np.append(at[full], len(prints))
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(full.astype(np.int32)), _binary(prints, at), _binary(count.astype(np.int32), at)], ["range", "prints", "counts"])
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, prints, counts, held = None, [], [], 0
 
-    rows = cut.select("lang", "codes", "words", "offsets").mapInArrow(run, "print long, f long")
-    return rows.groupBy("print").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+        def frequent() -> pa.RecordBatch:
+            every, total = _sums(prints, counts) if prints else (np.zeros(0, np.uint64), np.zeros(0, np.int64))
+            many = total >= least
+            return pa.RecordBatch.from_arrays([pa.array(every[many].view(np.int64)), pa.array(total[many])], ["print", "f"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here = batch.column(0)[i].as_py()
+                if here != now:
+                    yield frequent()
+                    now, prints, counts, held = here, [], [], 0
+                prints.append(np.frombuffer(batch.column(1)[i].as_buffer(), np.uint64).copy())
+                counts.append(np.frombuffer(batch.column(2)[i].as_buffer(), np.int32).astype(np.int64))
+                held += len(prints[-1])
+                if held > 4 * RANGE:
+                    prints, counts = map(list, zip(_sums(prints, counts)))
+                    held = 0
+        yield frequent()
+
+    rows = cut.select("lang", "codes", "words", "offsets").mapInArrow(run, "range int, prints binary, counts binary")
+    return rows.repartition("range").sortWithinPartitions("range").mapInArrow(add_up, "print long, f long")
 
 
 def bit_table(prints: DataFrame) -> np.ndarray:
@@ -223,6 +274,8 @@ def phrase_counts(cut: DataFrame, tables: list, least: int) -> DataFrame:
             for runs in all_runs(batch):
                 for k, table in enumerate(tables, 1):
                     found = list(runs.phrases(k, table.value))
+                    if not found:
+                        continue
                     yield pa.RecordBatch.from_arrays([
                         pa.array([runs.lang] * len(found), pa.string()), pa.array([x[0] for x in found], pa.string()),
                         pa.array([k] * len(found), pa.int32()), pa.array([x[1] for x in found], pa.int64())], ["lang", "phrase", "words", "f"])
@@ -286,9 +339,10 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, limit: int
     spark = docs.sparkSession
     cut = stored(word_blocks(docs), "phrase-blocks")
     sizes = cut.groupBy("lang").agg(F.sum("n").alias("n"))
+    words = sizes.agg(F.sum("n")).first()[0] or 0
     tables, before = [], None
     for k in range(1, longest + 1):
-        prints = stored(frequent_prints(cut, k, least, before), f"phrase-prints-{k}")
+        prints = stored(frequent_prints(cut, k, least, before, words), f"phrase-prints-{k}")
         before = spark.sparkContext.broadcast(bit_table(prints))
         tables.append(before)
     counts = stored(phrase_counts(cut, tables, least), "phrases")

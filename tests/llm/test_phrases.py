@@ -66,6 +66,8 @@ def test_collisions_and_a_full_table_change_nothing(spark, monkeypatch):
     rows = made(3, 120)
     want = plain(rows, 4, 5, 2000)
     monkeypatch.setattr(phrases, "FILTER_BITS", 64)  # the table is full: nothing is filtered
+    monkeypatch.setattr(phrases, "RANGE", 20)  # sums in many steps
+    monkeypatch.setattr(phrases, "RANGE_BITS", 1)
     assert mine(spark, rows, longest=4, least=5) == want
 
 
