@@ -302,7 +302,7 @@ def empty_features(results: DataFrame, name: str = "name") -> DataFrame:
     ).filter(F.col("start") >= F.col("end")).select("analysis", "seqid", "type", "start", "end")
 
 
-def with_running_id(results: DataFrame, order: list, bin: Column, out: str = "running_id") -> DataFrame:
+def with_running_id(results: DataFrame, order: list, out: str = "running_id") -> DataFrame:
     """Number the records of each kind from 1, in arrival order."""
-    numbered = number_rows(results, order, bin, out=out, keys=["analysis"])
+    numbered = number_rows(results, order, out=out, keys=["analysis"])
     return numbered.withColumn(out, F.col(out) + 1)

@@ -10,18 +10,20 @@ over all its blocks.  Folds over the covering set aggregate per block first
 
 from __future__ import annotations
 
-from functools import reduce
+from functools import partial
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
-from .ordered import number_rows, scan
+from ..session import stored
+from .ordered import climb, dealt, number_rows, scan
 
 BIN = 1 << 16
 # blocks stop growing here: one join key never stands for more than 65,536 positions
 TOP_LEVEL = 16
 RADIX_BITS = 10
+#: Segments with more covering intervals are folded without pairing them.
+SHALLOW = 256
 
 
 def block_levels(start: Column, end: Column) -> Column:
@@ -124,18 +126,67 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
     ``cut`` gives other segments (``seqid, start, end``) than the intervals' own; they
     must not cross an interval's boundary.
 
-    ``reducer`` is min, max, mean or median; NULL values are skipped, segments
+    ``reducer`` is min, max, mean or median; NULL and NaN values are skipped, segments
     with no covering row are dropped, a segment whose values are all NULL stays.
+
+    One sweep over all boundaries gives each segment its depth and its number among the shallow segments
+    (at most ``SHALLOW`` covering intervals).  An interval is paired with the shallow segments between the
+    numbers of its two ends, so there are at most ``SHALLOW`` pairs for a segment, for all
+    columns together.  Deeper segments are folded without pairs (:func:`_fold_blocks`, :func:`_fold_median`).
     """
     spans = df.select(
         F.col(seqid).alias("seqid"), F.col(start).cast("bigint").alias("s"),
         F.col(end).cast("bigint").alias("e"),
         *[F.when(~F.isnan(F.col(v).cast("double")), F.col(v).cast("double")).alias(v) for v in values],
-    )
+    ).filter("s < e")
+    spans = stored(spans, "spans")
     cut = segments(spans, "seqid", "s", "e") if cut is None else cut
-    if reducer == "median":
-        return _fold_median(spans, cut, values)
-    partial = {
+    steps = spans.select("seqid", F.inline(F.array(
+        F.struct(F.col("s").alias("p"), F.lit(1).cast("bigint").alias("d")), F.struct(F.col("e").alias("p"), F.lit(-1).cast("bigint").alias("d")))))
+    steps = steps.withColumn("end", F.lit(None).cast("bigint")).unionByName(cut.select(
+        "seqid", F.col("start").cast("bigint").alias("p"), F.lit(0).cast("bigint").alias("d"), F.col("end").cast("bigint").alias("end")))
+    events = dealt(steps.groupBy("seqid", "p").agg(F.sum("d").alias("d"), F.max("end").alias("end")), ["seqid", "p"], label="events")
+    # the steps of a sequence add up to nothing, so one running sum serves them all
+    swept = climb(events.rows, events.bins, sums={"__before": F.col("d")}).withColumn("depth", F.col("__before") + F.col("d"))
+    covered = F.col("end").isNotNull() & (F.col("depth") > 0)
+    ranks = climb(swept, events.bins, sums={"shallow": (covered & (F.col("depth") <= SHALLOW)).cast("bigint"),
+                                            "deep": (covered & (F.col("depth") > SHALLOW)).cast("bigint")})
+    places = stored(ranks.select("seqid", "p", "end", "depth", "shallow", "deep"), "places")
+
+    def at(name: str) -> DataFrame:
+        return places.select(F.col("seqid"), F.col("p").alias(name), F.struct("shallow", "deep").alias(f"__{name}"))
+
+    # a span without a place of its own number on either side lies between the segments asked for
+    ranged = spans.join(at("s"), ["seqid", "s"]).join(at("e"), ["seqid", "e"])
+    any_deep = not places.filter((F.col("depth") > SHALLOW) & F.col("end").isNotNull()).limit(1).isEmpty()
+    if any_deep:
+        ranged = stored(ranged, "ranged")
+    pairs = ranged.filter(F.col("__s.shallow") < F.col("__e.shallow")).select(
+        F.explode(F.sequence(F.col("__s.shallow"), F.col("__e.shallow") - 1)).alias("shallow"), *values)
+    folded = pairs.groupBy("shallow").agg(*[DIRECT[reducer](v).alias(v) for v in values])
+    where = places.filter(covered & (F.col("depth") <= SHALLOW)).select("shallow", "seqid", F.col("p").alias("start"), "end")
+    out = where.join(folded, "shallow").select("seqid", "start", "end", *values)
+    if not any_deep:
+        return out
+    deep = places.filter(covered & (F.col("depth") > SHALLOW)).select("seqid", F.col("p").alias("start"), "end")
+    reaching = ranged.filter(F.col("__s.deep") < F.col("__e.deep")).select("seqid", "s", "e", *values)
+    fold = _fold_median if reducer == "median" else partial(_fold_blocks, reducer=reducer)
+    return out.unionByName(fold(reaching, deep, values))
+
+
+def _exact_median(value: str) -> Column:
+    known = F.sort_array(F.collect_list(value))
+    n = F.size(known)
+    middle = (F.get(known, F.floor((n - 1) / 2).cast("int")) + F.get(known, F.floor(n / 2).cast("int"))) / 2
+    return F.when(n > 0, middle)
+
+
+DIRECT = {"min": F.min, "max": F.max, "mean": F.avg, "median": _exact_median}
+
+
+def _fold_blocks(spans: DataFrame, cut: DataFrame, values: list[str], reducer: str) -> DataFrame:
+    """Min, max and mean per block (map side) before blocks meet the segments inside them."""
+    partials = {
         "min": lambda v: [F.min(v).alias(f"{v}__a")],
         "max": lambda v: [F.max(v).alias(f"{v}__a")],
         "mean": lambda v: [F.sum(v).alias(f"{v}__a"), F.count(v).alias(f"{v}__n")],
@@ -147,7 +198,7 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
     }[reducer]
     blocks = (
         with_cover(spans, "s", "e").groupBy("seqid", "level", "block")
-        .agg(*[a for v in values for a in partial(v)])
+        .agg(*[a for v in values for a in partials(v)])
     )
     probes = with_probes(cut, "start", top_level(spans, "s", "e"))
     return (
@@ -157,79 +208,54 @@ def fold_overlaps(df: DataFrame, seqid: str, start: str, end: str, values: list[
 
 
 def _fold_median(spans: DataFrame, cut: DataFrame, values: list[str]) -> DataFrame:
-    parts = [_median_of(spans.select("seqid", "s", "e", v), cut, v) for v in values]
-    return reduce(lambda a, b: a.join(b, ["seqid", "start", "end"]), parts)
-
-
-def _median_of(spans: DataFrame, cut: DataFrame, value: str) -> DataFrame:
-    """Exact median per covered segment by radix descent over value ranks.
+    """Exact medians of all columns at deep segments, by one radix descent over value ranks.
 
     The k-th smallest covering value is found digit by digit: per block, how many
-    covering intervals have a rank that starts with the digits found so far.  Each
-    round is one aggregation and one equi-join, and a deeply covered segment costs
-    as much as a shallow one.
+    covering intervals have a rank that starts with the digits found so far.  The column is part of
+    every key, so all columns go down together; each round is one aggregation and one equi-join, and
+    a position covered a million times costs as much as one covered a thousand times.
     """
-    ranks, digits = _dense_ranks(spans, value)
     base = 1 << RADIX_BITS
-    # every round reads the blocks again, so they are written once; NULL values have no
-    # rank but still show that a segment is covered
-    blocks = cut_lineage(
-        with_cover(spans.join(ranks, value, "left"), "s", "e")
-        .groupBy("seqid", "level", "block", "rank", value).agg(F.count(F.lit(1)).alias("n")))
+    cells = with_cover(spans, "s", "e").select("seqid", "level", "block", F.posexplode(F.array(*values)).alias("c", "value"))
+    cells = stored(cells.filter(F.col("value").isNotNull()).groupBy("seqid", "level", "block", "c", "value").agg(F.count(F.lit(1)).alias("n")), "cells")
+    ranks = stored(number_rows(cells.select("c", "value").distinct(), ["value"], out="rank", keys=["c"]), "ranks")
+    blocks = stored(cells.join(ranks, ["c", "value"]).drop("value"), "blocks")
+    largest = ranks.agg(F.max("rank").alias("m")).collect()[0].m or 0
+    digits = 1
+    while (1 << (RADIX_BITS * digits)) <= largest:
+        digits += 1
     levels = F.coalesce(blocks.agg(F.max("level")).scalar(), F.lit(0))
-    known = F.when(F.col("rank").isNotNull(), F.col("n")).otherwise(0)
+    seg = ["seqid", "start", "end"]
     depth = (
         with_probes(cut, "start", levels)
-        .join(blocks.groupBy("seqid", "level", "block").agg(F.sum(known).alias("n")),
-              ["seqid", "level", "block"])
-        .groupBy("seqid", "start", "end").agg(F.sum("n").alias("n"))
+        .join(blocks.groupBy("seqid", "level", "block", "c").agg(F.sum("n").alias("n")), ["seqid", "level", "block"])
+        .groupBy(*seg, "c").agg(F.sum("n").alias("n"))
     )
     # positions of the two middle values (equal when the count is odd)
-    wanted = depth.filter("n > 0").select(
-        "seqid", "start", "end", F.lit(0).cast("bigint").alias("prefix"),
-        F.explode(F.array_distinct(F.array(
-            F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)))).alias("k"),
+    wanted = depth.select(
+        *seg, "c", F.lit(0).cast("bigint").alias("prefix"),
+        F.explode(F.array_distinct(F.array(F.floor((F.col("n") - 1) / 2), F.floor(F.col("n") / 2)))).alias("k"),
     )
-    names = blocks.filter("rank IS NOT NULL").select("rank", value).distinct()
-    blocks = blocks.filter("rank IS NOT NULL")
     for digit in reversed(range(digits)):
         scale = 1 << (RADIX_BITS * digit)
         counts = blocks.groupBy(
-            "seqid", "level", "block",
+            "seqid", "level", "block", "c",
             F.floor(F.col("rank") / (scale * base)).cast("bigint").alias("prefix"),
             F.pmod(F.floor(F.col("rank") / scale), F.lit(base)).cast("int").alias("digit"),
         ).agg(F.sum("n").alias("n"))
-        ask = ["seqid", "start", "end", "prefix", "k"]
+        ask = [*seg, "c", "prefix", "k"]
         found = (
             with_probes(wanted, "start", levels)
-            .join(counts, ["seqid", "level", "block", "prefix"])
+            .join(counts, ["seqid", "level", "block", "c", "prefix"])
             .groupBy(*ask, "digit").agg(F.sum("n").alias("n"))
         )
         # at most 2**RADIX_BITS rows per question
         upto = Window.partitionBy(*ask).orderBy("digit").rowsBetween(Window.unboundedPreceding, 0)
-        wanted = (
+        wanted = stored(
             found.withColumn("upto", F.sum("n").over(upto))
             .filter((F.col("k") < F.col("upto")) & (F.col("k") >= F.col("upto") - F.col("n")))
-            .select("seqid", "start", "end",
-                    (F.col("prefix") * base + F.col("digit")).alias("prefix"),
-                    (F.col("k") - (F.col("upto") - F.col("n"))).alias("k"))
-        )
-    found = (
-        wanted.withColumnRenamed("prefix", "rank").join(names, "rank")
-        .groupBy("seqid", "start", "end").agg(F.avg(value).alias(value))
-    )
-    return depth.drop("n").join(found, ["seqid", "start", "end"], "left")
-
-
-def _dense_ranks(spans: DataFrame, value: str) -> tuple[DataFrame, int]:
-    """Distinct values with their rank, and how many digits a rank needs."""
-    distinct = spans.filter(F.col(value).isNotNull()).select(value).distinct()
-    stats = distinct.agg(F.count(F.lit(1)).alias("n"), F.min(value).alias("lo"),
-                         F.max(value).alias("hi")).first()
-    width = max((float(stats["hi"] or 0) - float(stats["lo"] or 0)) / 4096, 1e-300)
-    bin = F.floor((F.col(value) - F.lit(float(stats["lo"] or 0))) / F.lit(width))
-    ranks = number_rows(distinct, [value], bin, out="rank")
-    digits = 1
-    while (1 << (RADIX_BITS * digits)) < stats["n"]:
-        digits += 1
-    return ranks, digits
+            .select(*seg, "c", (F.col("prefix") * base + F.col("digit")).alias("prefix"),
+                    (F.col("k") - (F.col("upto") - F.col("n"))).alias("k")), "wanted")
+    found = wanted.withColumnRenamed("prefix", "rank").join(ranks, ["c", "rank"]).groupBy(*seg).agg(
+        *[F.avg(F.when(F.col("c") == i, F.col("value"))).alias(v) for i, v in enumerate(values)])
+    return cut.join(found, seg, "left")

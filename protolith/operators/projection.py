@@ -11,8 +11,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.attributes import GAP, attributes
-from .intervals import overlap_join
-from .ordered import scan
+from ..session import stored
+from .ordered import climb, dealt, number_rows, scan
 
 # --- fixed values: feature types with a role ------------------------------------
 SIGNAL_PARTS = (
@@ -50,41 +50,75 @@ def track(type_: Column) -> Column:
 
 
 def exon_offsets(exons: DataFrame, bin_size: int = EXON_BIN) -> DataFrame:
-    """Exons ``id, seqid, strand, start, end`` with ``t_start, t_end`` in the transcript.
+    """Exons ``id, seqid, strand, start, end`` with ``t_start, t_end`` in the transcript and their number ``k``.
 
-    The transcript runs up the genome on ``+`` and down on ``-``.
+    The transcript runs up the genome on ``+`` and down on ``-``.  Exons without a length take part in nothing.
     """
     along = F.when(F.col("strand") == "-", -F.col("end")).otherwise(F.col("start")).cast("bigint")
-    rows = exons.withColumn("__at", along)
+    rows = exons.filter(F.col("start") < F.col("end")).withColumn("__at", along)
     placed = scan(
         rows, ["id"], F.floor(F.col("__at") / bin_size), ["__at"],
-        sums={"t_start": (F.col("end") - F.col("start")).cast("bigint")})
+        sums={"t_start": (F.col("end") - F.col("start")).cast("bigint"), "k": F.lit(1).cast("bigint")})
     return placed.withColumn(
         "t_end", F.col("t_start") + F.col("end") - F.col("start")).drop("__at")
 
 
-def project(features: DataFrame, exons: DataFrame) -> DataFrame:
+def _at_exon(rows: DataFrame, offsets: DataFrame, position: Column, label: str) -> DataFrame:
+    """Rows with the exon ``__x`` of their protein that holds a transcript position; NULL past the last one.
+
+    Exons and positions are one event stream, sorted by protein and place and swept once: the exon that
+    began last is the running maximum of the exon events.
+    """
+    exon = F.struct("id", "t_start", "t_end", "k", "seqid", "strand", F.col("start").alias("gs"), F.col("end").alias("ge"))
+    begins = offsets.select("id", F.col("t_start").alias("__p"), F.lit(0).alias("__kind"), exon.alias("__x"))
+    asks = rows.select("id", position.alias("__p"), F.lit(1).alias("__kind"), F.struct(*rows.columns).alias("__row"))
+    stream = dealt(begins.unionByName(asks, allowMissingColumns=True), ["id", "__p", "__kind"], label=label)
+    swept = climb(stream.rows, stream.bins, peaks={"__last": F.col("__x")}).filter("__kind = 1")
+    inside = F.col("__last.id").eqNullSafe(F.col("__row.id")) & (F.col("__p") >= 0) & (F.col("__p") < F.col("__last.t_end"))
+    return swept.select("__row.*", F.when(inside, F.col("__last")).alias("__x"))
+
+
+def _on_genome(x: Column, columns: list[str]) -> list[Column]:
+    """Feature columns with the part of exon ``x`` between ``__fs`` and ``__fe`` on the genome."""
+    lo = F.greatest(F.col("__fs"), x["t_start"]) - x["t_start"]
+    hi = F.least(F.col("__fe"), x["t_end"]) - x["t_start"]
+    plus = x["strand"] == "+"
+    return [*columns, x["seqid"].alias("seqid"), x["strand"].alias("strand"),
+            F.when(plus, x["gs"] + lo).otherwise(x["ge"] - hi).alias("start"),
+            F.when(plus, x["gs"] + hi).otherwise(x["ge"] - lo).alias("end")]
+
+
+def project(features: DataFrame, exons: DataFrame, strict: bool = False) -> DataFrame:
     """Genome pieces of protein features.
 
     ``features``: ``id`` (protein), ``feature_id``, ``p_start``, ``p_end`` in residues and
     anything else.  The pieces carry the feature columns plus ``seqid, strand, start,
     end`` on the genome; what lies past the last exon is cut off, empty pieces do
-    not appear.
+    not appear.  A feature of a protein with exons that reaches none of them, has no length, or whose exons have a
+    strand other than + and - leaves no piece; with ``strict`` it fails the job.
+
+    One sweep finds the exon a feature starts in.  Only features that go on past it are swept
+    again for their last exon, and joined with the exons between by number.
     """
-    offsets = exon_offsets(exons).filter(F.col("strand").isin("+", "-")).select(
-        "id", "seqid", "strand", F.col("start").alias("__gs"), F.col("end").alias("__ge"),
-        "t_start", "t_end")
-    on_codons = features.withColumn("__fs", F.col("p_start").cast("bigint") * CODON).withColumn(
-        "__fe", F.col("p_end").cast("bigint") * CODON)
-    pairs = overlap_join(on_codons, ("__fs", "__fe"), offsets, ("t_start", "t_end"), ["id"])
-    lo = F.greatest("__fs", "t_start") - F.col("t_start")
-    hi = F.least("__fe", "t_end") - F.col("t_start")
-    plus = F.col("strand") == "+"
-    return pairs.select(
-        *features.columns, "seqid", "strand",
-        F.when(plus, F.col("__gs") + lo).otherwise(F.col("__ge") - hi).alias("start"),
-        F.when(plus, F.col("__gs") + hi).otherwise(F.col("__ge") - lo).alias("end"),
-    )
+    offsets = stored(exon_offsets(exons).select("id", "seqid", "strand", "start", "end", "t_start", "t_end", "k"), "exons")
+    on_codons = features.withColumns({"__fs": F.col("p_start").cast("bigint") * CODON, "__fe": F.col("p_end").cast("bigint") * CODON})
+    # a feature that begins before the protein does starts with it
+    started = _at_exon(on_codons, offsets, F.greatest(F.col("__fs"), F.lit(0).cast("bigint")), "feature-starts")
+    x = F.col("__x")
+    fits = x.isNotNull() & (F.col("__fs") < F.col("__fe")) & (F.col("__fe") > 0) & x["strand"].isin("+", "-")
+    if strict:
+        started = started.join(offsets.select("id").distinct().withColumn("__known", F.lit(True)), "id", "left")
+        failed = F.raise_error(F.concat(F.lit("feature reaches no exon: "), F.col("feature_id").cast("string"))).cast("boolean")
+        fits = F.when(F.coalesce(fits, F.lit(False)), True).when(F.col("__known"), failed).otherwise(False)
+    started = stored(started.filter(fits).drop("__known"), "started")
+    first = started.select(*_on_genome(x, features.columns))
+    longer = started.filter(F.col("__fe") > x["t_end"]).withColumn("__from", x["k"] + 1).drop("__x")
+    total = offsets.groupBy("id").agg(F.max("t_end").alias("__total"))
+    longer = longer.join(total, "id")
+    ended = _at_exon(longer, offsets, F.least(F.col("__fe"), F.col("__total")) - 1, "feature-ends")
+    rest = ended.filter(F.col("__from") <= x["k"]).withColumn("k", F.explode(F.sequence(F.col("__from"), x["k"]))).drop("__x")
+    between = offsets.select("id", "k", F.struct("t_start", "t_end", "seqid", "strand", F.col("start").alias("gs"), F.col("end").alias("ge")).alias("__x"))
+    return first.unionByName(rest.join(between, ["id", "k"]).select(*_on_genome(x, features.columns)))
 
 
 def unprojectable(features: DataFrame, exons: DataFrame, pieces: DataFrame | None = None) -> DataFrame:
@@ -109,9 +143,9 @@ def single_value_violations(exons: DataFrame) -> DataFrame:
 def drop_lonely_cuts(features: DataFrame, group: str = "id", type_: str = "type",
                      needs: str = "signal_peptide", drops: str = "propeptide_cleavage_site") -> DataFrame:
     """Remove features of one type from groups that lack another type."""
-    having = features.filter(F.col(type_) == needs).select(group).distinct()
-    lonely = features.filter(F.col(type_) == drops).join(having, group, "left_semi")
-    return features.filter(~F.col(type_).eqNullSafe(drops)).unionByName(lonely.select(*features.columns))
+    having = features.filter(F.col(type_) == needs).select(F.col(group).alias("__group"), F.lit(True).alias("__having")).distinct()
+    flagged = features.join(having, F.col(group).eqNullSafe(F.col("__group")), "left")
+    return flagged.filter(~F.col(type_).eqNullSafe(drops) | F.col("__having")).select(*features.columns)
 
 
 def relabel(source: Column, custom: Column, old: str = "SignalP:3.0b") -> Column:
@@ -164,8 +198,7 @@ def fit_to_children(parents: DataFrame, children: DataFrame, key: str) -> DataFr
 
 
 def map_to_genome(
-    features: DataFrame, exons: DataFrame, index_bin: int = 1 << 12,
-    filter_cuts: bool = True, grouped: bool = True,
+    features: DataFrame, exons: DataFrame, filter_cuts: bool = True, grouped: bool = True, strict: bool = False,
 ) -> DataFrame:
     """Project features and give them their genome parents.
 
@@ -178,9 +211,14 @@ def map_to_genome(
     Features with ``score`` and ``attributes`` keep them on every piece, without Gap and with the
     Parent list of their links; a match takes those of its first member, a region holds the
     ``kind`` below it.  The rows then have a ``phase`` too and can be written as GFF3.
+
+    ``strict`` fails the job where exons of a protein disagree about strand, sequence or source, and where a
+    feature reaches no exon; otherwise such features are left out (``unprojectable`` and
+    ``single_value_violations`` list them).
     """
     full = {"score", "attributes"} <= set(features.columns)
-    rows = features.join(exons.select("id").distinct(), "id", "left_semi")
+    exons = stored(exons, "exons")
+    rows = features.join(_exon_counts(exons, strict), "id")
     if grouped:
         rows = rows.filter(~F.col("type").isin(*SIGNAL_PARTS))
         if filter_cuts:
@@ -188,28 +226,24 @@ def map_to_genome(
         key = group_key(F.col("type"), F.col("source"), F.col("target"), F.col("p_start"), F.col("p_end"))
     else:
         key = F.struct(F.col("feature_id").alias("feature_id"))
-    rows = rows.withColumn("g", key)
-    n_exons = exons.groupBy("id").agg(F.count(F.lit(1)).alias("n_exons"))
-    groups = rows.groupBy("id", "g", "type", "source").agg(
-        F.min("feature_id").alias("first_id")).join(n_exons, "id")
+    rows = stored(rows.withColumn("g", key), "features")
     # a match on a single exon has no parent and takes no number
-    has_parent = ~(F.col("type").isin(*MATCH_TYPES) & (F.col("n_exons") == 1))
-    numbered = scan(
-        groups.filter(has_parent), ["id"], F.floor(F.col("first_id") / index_bin), ["first_id"],
-        sums={"index": F.lit(1).cast("bigint")},
-    ).withColumn("index", F.col("index") + 1)
     is_match = F.col("type").isin(*MATCH_TYPES)
+    groups = rows.filter(~(is_match & (F.col("n_exons") == 1))).groupBy("id", "g", "type", "source").agg(F.min("feature_id").alias("first_id"))
+    numbered = number_rows(groups, ["first_id"], out="index", keys=["id"]).withColumn("index", F.col("index") + 1)
     parent_id = F.when(
         is_match, F.concat_ws("-", F.col("id").cast("string"), "type", F.col("index").cast("string"))
     ).otherwise(F.concat_ws("-", F.lit("polypeptide"), F.col("id").cast("string"), F.col("index").cast("string")))
-    parents = numbered.withColumn("parent", parent_id).select("id", "g", "parent")
+    parents = numbered.select(F.col("id").alias("__id"), F.col("g").alias("__g"), parent_id.alias("parent"))
+    same = rows["id"].eqNullSafe(parents["__id"]) & rows["g"].eqNullSafe(parents["__g"])
+    placed = rows.join(parents, same, "left").drop("__id", "__g", "g", "n_exons")
 
-    pieces = project(rows, exons).join(parents, ["id", "g"], "left")
-    many = pieces["parent"].isNotNull() & pieces["type"].isin(*MATCH_TYPES)
+    pieces = stored(project(placed, exons, strict), "pieces")
+    many = F.col("parent").isNotNull() & is_match
     kept = []
     if full:
         own = F.coalesce("attributes", attributes()).withField("gap", F.lit(None).cast(GAP)).withField(
-            "parent", F.when(pieces["parent"].isNotNull(), F.array("parent")))
+            "parent", F.when(F.col("parent").isNotNull(), F.array("parent")))
         kept = ["score", F.lit(".").alias("phase"), own.alias("attributes")]
     children = pieces.select(
         "id", "source", F.when(many, "match_part").otherwise(F.col("type")).alias("type"),
@@ -233,3 +267,17 @@ def map_to_genome(
         F.lit(None).cast(children.schema["feature_id"].dataType).alias("feature_id"),
         F.col("parent").alias("own_id"), F.lit(None).cast("string").alias("parent"), *taken)
     return tops.unionByName(children.drop("__of").withColumn("own_id", F.lit(None).cast("string")))
+
+
+def _exon_counts(exons: DataFrame, strict: bool) -> DataFrame:
+    """``id, n_exons``; with ``strict`` proteins whose exons disagree fail the job."""
+    single = [c for c in ("strand", "seqid", "source") if c in exons.columns]
+    counts = exons.groupBy("id").agg(F.count(F.lit(1)).alias("n_exons"), *(
+        x for c in single for x in (F.min(c).alias(f"__lo_{c}"), F.max(c).alias(f"__hi_{c}"))))
+    if strict:
+        n = F.col("n_exons")
+        for c in single:
+            failed = F.raise_error(F.concat(F.lit(f"several values of {c}: "), F.col("id").cast("string"))).cast("bigint")
+            n = F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), n).otherwise(failed)
+        counts = counts.withColumn("n_exons", n)
+    return counts.select("id", "n_exons")

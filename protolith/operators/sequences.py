@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.checksums import encode_id, sequence_checksum, sequence_md5
 from ..functions.motifs import PRESETS, custom_pattern, match_spans
+from ..session import stored
 from .ordered import number_rows
 from .skew import lookup
 
@@ -28,23 +29,22 @@ def with_checksums(df: DataFrame, seq: str = "seq") -> DataFrame:
 
 
 def dedup_encode(
-    df: DataFrame, order: list[str], bin: Column, seq: str = "seq", prefix: str = "SR", length: int = 5
+    df: DataFrame, order: list[str], seq: str = "seq", prefix: str = "SR", length: int = 5, bins: int | None = None
 ) -> DataFrame:
     """Give every distinct sequence a short id, numbered by first occurrence.
 
     All input rows come back with ``encoded, checksum, md5sum``; the ids of
-    duplicates are shared.  ``order`` names columns; ``bin`` is computed from them and
-    must coarsen them.  Rows without a sequence come back without id and checksums, and
-    take no number.
+    duplicates are shared.  ``order`` names columns.  Rows without a sequence come back without id and checksums, and
+    take no number.  Sequences are normalised and hashed once, into a written table.
     """
-    rows = with_checksums(df.withColumn(seq, normalise(F.col(seq))), seq)
+    rows = stored(with_checksums(df.withColumn(seq, normalise(F.col(seq))), seq), "checksums")
     # one plain order column keeps the aggregate hashed
     earliest = F.min(order[0] if len(order) == 1 else F.struct(*order)).alias("__first")
     first = rows.filter(F.col("checksum").isNotNull()).groupBy("checksum").agg(earliest, F.count(F.lit(1)).alias("__copies"))
     back = [F.col("__first").alias(order[0])] if len(order) == 1 else [F.col("__first.*")]
     first = first.select("checksum", "__copies", *back)
-    codes = number_rows(first, order, bin, out="__n").select(
-        "checksum", "__copies", encode_id(F.col("__n"), prefix, length).alias("encoded"))
+    codes = stored(number_rows(first, order, out="__n", bins=bins).select(
+        "checksum", "__copies", encode_id(F.col("__n"), prefix, length).alias("encoded")), "codes")
     return lookup(rows, codes, "checksum", "__copies", F.struct(*order))
 
 
@@ -53,9 +53,9 @@ def distinct_sequences(encoded: DataFrame, seq: str = "seq") -> DataFrame:
     return encoded.groupBy("encoded").agg(F.min(seq).alias(seq))
 
 
-def chunk(df: DataFrame, order: list, bin: Column, size: int = 1000) -> DataFrame:
+def chunk(df: DataFrame, order: list, size: int = 1000, bins: int | None = None) -> DataFrame:
     """Consecutive chunks of ``size`` rows, numbered from 1."""
-    numbered = number_rows(df, order, bin, out="__n")
+    numbered = number_rows(df, order, out="__n", bins=bins)
     return numbered.withColumn("chunk", (F.floor(F.col("__n") / size) + 1).cast("bigint")).drop("__n")
 
 

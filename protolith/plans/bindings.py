@@ -278,6 +278,31 @@ def tree_edges(spark: SparkSession, sf: str) -> DataFrame:
     return tree_nodes(spark, sf).filter("parent_id IS NOT NULL").selectExpr("id AS child_id", "parent_id")
 
 
+def shared_edges(spark: SparkSession, sf: str) -> DataFrame:
+    """The tree, with some suppliers also below the one before them and some customers also below suppliers."""
+    after = table(spark, sf, "supplier").filter("s_suppkey % 3 = 0 AND s_suppkey > 1").selectExpr(
+        "concat('S', s_suppkey) AS child_id", "concat('S', s_suppkey - 1) AS parent_id")
+    below = table(spark, sf, "customer").selectExpr("c_custkey", "c_custkey % 97 AS s_suppkey").join(
+        table(spark, sf, "supplier").select("s_suppkey"), "s_suppkey").selectExpr(
+        "concat('C', c_custkey) AS child_id", "concat('S', s_suppkey) AS parent_id")
+    known = tree_nodes(spark, sf).select(F.col("id").alias("parent_id"))
+    return tree_edges(spark, sf).unionByName(after.join(known, "parent_id", "left_semi").select("child_id", "parent_id")).unionByName(below)
+
+
+# members of all six tracks at three depths
+_NUMBER = "CAST(substr(id, 2) AS INT)"
+TRACK_TYPE = (
+    f"CASE WHEN id LIKE 'R%' THEN 'gene' WHEN id LIKE 'N%' THEN CASE WHEN {_NUMBER} % 6 = 1 THEN 'protein_match' ELSE 'mRNA' END "
+    f"WHEN id LIKE 'S%' THEN CASE {_NUMBER} % 5 WHEN 0 THEN 'signal_peptide' WHEN 1 THEN 'transit_peptide' WHEN 2 THEN "
+    "'transmembrane_polypeptide_region' WHEN 3 THEN 'propeptide_cleavage_site' ELSE 'CDS' END "
+    f"ELSE CASE {_NUMBER} % 4 WHEN 0 THEN 'match_part' WHEN 1 THEN 'polypeptide_motif' WHEN 2 THEN 'c_terminal_region' ELSE 'exon' END END")
+TRACK = (
+    f"CASE {TRACK_TYPE} WHEN 'protein_match' THEN 'protein_match' WHEN 'match_part' THEN 'protein_match' WHEN 'signal_peptide' THEN "
+    "'signal_peptide' WHEN 'c_terminal_region' THEN 'signal_peptide' WHEN 'transit_peptide' THEN 'peptide_localization_signal' "
+    "WHEN 'transmembrane_polypeptide_region' THEN 'transmembrane_polypeptide_region' WHEN 'propeptide_cleavage_site' THEN "
+    "'propeptide_cleavage_site' WHEN 'polypeptide_motif' THEN 'polypeptide_motif' END")
+
+
 # -- the check side ---------------------------------------------------------------
 EVENTS_SQL = (
     "ev AS (SELECT event_id AS e, user_id AS u, value AS v, "
@@ -315,6 +340,12 @@ TREE_SQL = (
     "'N' || CAST(c_nationkey AS STRING), c_name, 'match_part', CAST(c_custkey % 13 AS INT) FROM customer)"
 )
 
+SHARED_EDGES_SQL = (
+    "edges AS (SELECT id AS child_id, parent_id FROM nodes WHERE parent_id IS NOT NULL UNION ALL SELECT 'S' || CAST(s_suppkey AS STRING), "
+    "'S' || CAST(s_suppkey - 1 AS STRING) FROM supplier WHERE s_suppkey % 3 = 0 AND s_suppkey > 1 AND s_suppkey - 1 IN (SELECT s_suppkey FROM supplier) UNION ALL "
+    "SELECT 'C' || CAST(c_custkey AS STRING), 'S' || CAST(s_suppkey AS STRING) FROM customer JOIN supplier ON s_suppkey = c_custkey % 97)"
+)
+
 
 def payload_sql(analysis: str, field: str) -> str:
     """A payload field as a check expression, cast to the declared type."""

@@ -226,25 +226,68 @@ def ancestors(spark, sf):
     return graph.ancestors(B.tree_edges(spark, sf), leaves)
 
 
-@job("track_split", f"{_DOWN} SELECT DISTINCT track, id FROM (SELECT CASE WHEN n.type = 'signal_peptide' THEN 'signal_peptide' "
-     "ELSE 'protein_match' END AS track, w.ancestor_id AS id FROM walk w JOIN nodes n ON n.id = w.node_id "
-     "WHERE n.type IN ('signal_peptide', 'match_part'))")
+@job("track_split", f"{_DOWN}, typed AS (SELECT id, {B.TRACK} AS track FROM nodes), near AS (SELECT ancestor_id AS id, node_id AS other FROM walk "
+     "UNION SELECT node_id, ancestor_id FROM walk) SELECT DISTINCT t.track, n.other AS id FROM typed t JOIN near n ON n.id = t.id "
+     "WHERE t.track IS NOT NULL")
 def track_split(spark, sf):
-    nodes = B.tree_nodes(spark, sf)
+    """Every track with all relatives of its members."""
+    nodes = B.tree_nodes(spark, sf).withColumn("type", F.expr(B.TRACK_TYPE))
     return graph.tracks(nodes, B.tree_edges(spark, sf), projection.track(F.col("type")))
 
 
-@job("gff_order", f"{TREE}, walk AS (SELECT id, id AS root_id, [struct_pack(a := start, b := type, c := id)] AS path FROM nodes "
-     "WHERE parent_id IS NULL UNION ALL SELECT n.id, w.root_id, list_append(w.path, struct_pack(a := n.start, b := n.type, "
-     "c := n.id)) FROM walk w JOIN nodes n ON n.parent_id = w.id) SELECT id, root_id, row_number() OVER (ORDER BY path) - 1 "
-     "AS position FROM walk")
+# the members in turn, with what has been taken so far
+_TAKEN = (
+    f"{_DOWN}, typed AS (SELECT id, start, {B.TRACK} AS track FROM nodes), near AS (SELECT ancestor_id AS id, node_id AS other FROM walk "
+    "UNION SELECT node_id, ancestor_id FROM walk), around AS (SELECT id, list(other) AS kin FROM near GROUP BY id), members AS "
+    "(SELECT row_number() OVER (ORDER BY start, id) AS i, id, track, kin FROM typed JOIN around USING (id) WHERE track IS NOT NULL), "
+    "steps AS (SELECT CAST(0 AS BIGINT) AS i, CAST([] AS VARCHAR[]) AS seen, CAST([] AS VARCHAR[]) AS got, CAST(NULL AS VARCHAR) AS track "
+    "UNION ALL SELECT i, list_concat(seen, got), got, track FROM (SELECT m.i, s.seen, m.track, CASE WHEN list_contains(s.seen, m.id) THEN [] "
+    "ELSE list_filter(m.kin, lambda x: NOT list_contains(s.seen, x)) END AS got FROM steps s JOIN members m ON m.i = s.i + 1)) ")
+
+
+@job("track_first", f"{_TAKEN} SELECT unnest(got) AS id, track FROM steps WHERE len(got) > 0")
+def track_first(spark, sf):
+    """Each feature in the one track that takes it first."""
+    nodes = B.tree_nodes(spark, sf).withColumn("type", F.expr(B.TRACK_TYPE))
+    return graph.first_tracks(nodes, B.tree_edges(spark, sf), projection.track(F.col("type")), ["start", "id"])
+
+
+_PATHS = (
+    f"{TREE}, {{edges}}, walk AS (SELECT id, id AS root_id, 0 AS depth, [struct_pack(a := start, b := type, c := id)] AS path FROM nodes "
+    "WHERE parent_id IS NULL UNION ALL SELECT n.id, w.root_id, w.depth + 1, list_append(w.path, struct_pack(a := n.start, b := n.type, "
+    "c := n.id)) FROM walk w JOIN edges e ON e.parent_id = w.id JOIN nodes n ON n.id = e.child_id)")
+_TREE_EDGES = "edges AS (SELECT id AS child_id, parent_id FROM nodes WHERE parent_id IS NOT NULL)"
+
+
+@job("gff_order", f"{_PATHS.format(edges=_TREE_EDGES)} SELECT id, root_id, row_number() OVER (ORDER BY path) - 1 AS position FROM walk")
 def gff_order(spark, sf):
     """Depth-first write order, as dense positions."""
-    from ..operators.ordered import number_rows
-
-    nodes, edges = B.tree_nodes(spark, sf), B.tree_edges(spark, sf)
-    placed = graph.tree_order(nodes, edges, ["start", "type"])
-    # the head of the path coarsens the order, so no single task sees all rows
-    head = F.struct(F.slice("path", 1, 2), F.get("path", F.lit(2))["s0"])
-    return number_rows(placed, ["path"], head, out="position").select(
-        "id", "root_id", "position")
+    return graph.tree_order(B.tree_nodes(spark, sf), B.tree_edges(spark, sf), ["start", "type"]).select("id", "root_id", "position")
+
+
+@job("gff_order_shared", f"{_PATHS.format(edges=B.SHARED_EDGES_SQL)}, best AS (SELECT id, arg_min(root_id, path) AS root_id, min(path) AS path "
+     "FROM walk GROUP BY id) SELECT id, root_id, row_number() OVER (ORDER BY path) - 1 AS position FROM best")
+def gff_order_shared(spark, sf):
+    """The same where many features have several parents, at different depths."""
+    return graph.tree_order(B.tree_nodes(spark, sf), B.shared_edges(spark, sf), ["start", "type"]).select("id", "root_id", "position")
+
+
+def _traverse_job(order: str, by: str) -> None:
+    @job(f"traverse_{order}", f"{_PATHS.format(edges=_TREE_EDGES)} SELECT root_id AS start_id, id AS node_id, depth, "
+         f"row_number() OVER (PARTITION BY root_id ORDER BY {by}) - 1 AS position FROM walk")
+    def run(spark, sf):
+        nodes = B.tree_nodes(spark, sf)
+        roots = nodes.filter("parent_id IS NULL").select("id")
+        return graph.traverse(nodes, B.tree_edges(spark, sf), roots, ["start", "type"], order)
+
+
+_traverse_job("depth", "path")
+_traverse_job("breadth", "depth, path")
+
+
+@job("parents_from_links", f"{TREE}, {B.SHARED_EDGES_SQL} SELECT n.id, COALESCE(string_agg(e.parent_id, '|' ORDER BY e.parent_id), '') AS parents "
+     "FROM nodes n LEFT JOIN (SELECT DISTINCT child_id, parent_id FROM edges) e ON e.child_id = n.id GROUP BY n.id")
+def parents_from_links(spark, sf):
+    """Parent lists rebuilt from the links of the graph."""
+    rows = graph.with_parents(B.tree_nodes(spark, sf).select("id"), B.shared_edges(spark, sf))
+    return rows.select("id", F.array_join("parent", "|").alias("parents"))

@@ -13,7 +13,6 @@ LETTERS = ("let AS (SELECT doc_id, source, regexp_replace(text, '[^A-Za-z*.\\-]'
            "seqs AS (SELECT doc_id, source, translate(upper(rtrim(regexp_replace(raw, '[-.]', '', 'g'), '*')), "
            "'*JBZUO', 'XXXXXX') AS seq FROM let)")
 CHECKSUM = "rtrim(to_base64(unhex(sha1(upper(seq)))), '=')"
-BLOCK = 4096
 
 
 @job("seq_normalise", f"WITH {LETTERS} SELECT doc_id, seq FROM seqs")
@@ -41,7 +40,7 @@ def seq_checksum(spark, sf):
      "FROM c JOIN n USING (checksum)")
 def dedup_encode(spark, sf):
     rows = B.letters(spark, sf).select("doc_id", "seq")
-    out = sequences.dedup_encode(rows, ["doc_id"], F.floor(F.col("doc_id") / BLOCK))
+    out = sequences.dedup_encode(rows, ["doc_id"])
     return out.select("doc_id", "encoded", "checksum", "md5sum")
 
 
@@ -55,7 +54,7 @@ def decode_id_job(spark, sf):
 @job("chunk", "SELECT doc_id, CAST((row_number() OVER (ORDER BY doc_id) - 1) // 30 + 1 AS BIGINT) AS chunk FROM documents")
 def chunk(spark, sf):
     rows = B.table(spark, sf, "documents").select("doc_id")
-    return sequences.chunk(rows, ["doc_id"], F.floor(F.col("doc_id") / BLOCK), size=30)
+    return sequences.chunk(rows, ["doc_id"], size=30)
 
 
 def _scan_sql(patterns: list[str], kind: str, shown: list[str] | None = None) -> str:
@@ -98,5 +97,4 @@ def motif_scan_custom(spark, sf):
      "min(i) AS start, max(i) + 1 AS \"end\" FROM r GROUP BY u, event_type, i - j")
 def run_length(spark, sf):
     rows = B.events(spark, sf).select("u", "event_type", "ts", "e")
-    day = F.unix_date(F.to_date("ts"))
-    return ordered.runs(rows, ["u"], ["ts", "e"], day, "event_type")
+    return ordered.runs(rows, ["u"], ["ts", "e"], "event_type")

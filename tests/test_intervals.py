@@ -139,14 +139,14 @@ def test_graph_with_a_cycle_and_two_parents(spark):
 def test_tree_order(spark):
     nodes = spark.createDataFrame([("r2", 5), ("r1", 1), ("x", 9), ("y", 3), ("z", 0)], "id string, start int")
     edges = spark.createDataFrame([("x", "r1"), ("y", "r1"), ("z", "y")], "child_id string, parent_id string")
-    placed = graph.tree_order(nodes, edges, ["start"]).orderBy("path")
+    placed = graph.tree_order(nodes, edges, ["start"]).orderBy("position")
     assert [r.id for r in placed.collect()] == ["r1", "y", "z", "x", "r2"]
 
 
 def test_tree_order_of_a_node_below_parents_at_different_depths(spark):
     nodes = spark.createDataFrame([("A", 1), ("B", 2), ("x", 1), ("n", 5), ("m", 6)], "id string, start int")
     edges = spark.createDataFrame([("x", "A"), ("n", "x"), ("n", "B"), ("m", "n")], "child_id string, parent_id string")
-    placed = graph.tree_order(nodes, edges, ["start"]).orderBy("path")
+    placed = graph.tree_order(nodes, edges, ["start"]).orderBy("position")
     assert [r.id for r in placed.collect()] == ["A", "x", "n", "m", "B"]
 
 

@@ -95,7 +95,7 @@ def test_topology(spark):
 def test_dedup_numbers_by_first_occurrence(spark):
     rows = [(5, "bbb"), (1, "AAA"), (2, "bbb"), (3, "aaa*"), (9, "ccc"), (10, "B-BB")]
     df = spark.createDataFrame(rows, "n bigint, seq string")
-    out = sequences.dedup_encode(df, ["n"], F.floor(F.col("n") / 2), prefix="P", length=3)
+    out = sequences.dedup_encode(df, ["n"], prefix="P", length=3)
     got = {r.n: r.encoded for r in out.collect()}
     # B is masked, so the three spellings agree
     assert got == {1: "P000", 3: "P000", 2: "P001", 5: "P001", 10: "P001", 9: "P002"}
@@ -103,14 +103,14 @@ def test_dedup_numbers_by_first_occurrence(spark):
 
 def test_dedup_keeps_rows_without_a_sequence(spark):
     df = spark.createDataFrame([(1, None), (2, "MK"), (3, None), (4, "MA")], "n bigint, seq string")
-    out = sequences.dedup_encode(df, ["n"], F.floor(F.col("n") / 2), prefix="P", length=3)
+    out = sequences.dedup_encode(df, ["n"], prefix="P", length=3)
     assert {r.n: r.encoded for r in out.collect()} == {1: None, 2: "P000", 3: None, 4: "P001"}
 
 
 def test_dedup_with_a_hot_sequence(spark):
     rows = [(i, "MKV" if i % 3 else f"M{'A' * (i // 3 % 50)}") for i in range(3000)]
     df = spark.createDataFrame(rows, "n bigint, seq string").repartition(7)
-    out = sequences.dedup_encode(df, ["n"], F.floor(F.col("n") / 64))
+    out = sequences.dedup_encode(df, ["n"])
     assert out.count() == 3000 and out.select("encoded").distinct().count() == 51
 
 
@@ -119,7 +119,7 @@ def test_dedup_with_a_hot_sequence(spark):
                 unique_by=lambda t: t[:2]))
 def test_runs_match_a_walk(spark, rows):
     df = spark.createDataFrame(rows, "g int, t int, s string")
-    got = sorted(map(tuple, ordered.runs(df, ["g"], ["t"], F.floor(F.col("t") / 7), "s").collect()))
+    got = sorted(map(tuple, ordered.runs(df, ["g"], ["t"], "s", bins=3).collect()))
     want = []
     for g in {r[0] for r in rows}:
         symbols = [s for _, _, s in sorted(r for r in rows if r[0] == g)]
@@ -132,7 +132,7 @@ def test_runs_match_a_walk(spark, rows):
 
 
 def test_scan_keeps_null_neighbours(spark):
-    df = spark.createDataFrame([(1, None), (2, 5), (12, None), (13, 7)], "t int, v int")
-    out = ordered.scan(df, [], F.floor(F.col("t") / 10), ["t"], lags={"p": F.col("v")}, leads={"n": F.col("v")})
+    df = spark.createDataFrame([(1, None, 0), (2, 5, 0), (12, None, 0), (13, 7, 0)], "t int, v int, k int")
+    out = ordered.scan(df, ["k"], F.floor(F.col("t") / 10), ["t"], lags={"p": F.col("v")}, leads={"n": F.col("v")})
     assert [(r.t, r.p, r.n) for r in out.orderBy("t").collect()] == [
         (1, None, 5), (2, None, None), (12, 5, 7), (13, None, None)]
