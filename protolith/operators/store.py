@@ -1,19 +1,29 @@
 """The versioned result store: load, select, compare, decode.
 
-On disk it is Parquet, ``results`` partitioned by analysis and ``decoder``, so a
-question about one result kind reads only its folder.
+On disk it is Parquet, ``results`` and ``decoder``.  Results are partitioned by analysis and, inside, bucketed
+and sorted by checksum, so a question about one result kind reads only its folder and a join with a set
+of checksums moves only the set.  Every row carries a digest of what makes it the same result as another.
 """
 
 from __future__ import annotations
 
+import hashlib
+from decimal import Decimal
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..analyses import ANALYSES, MULTIPLE_OK, NEEDS_DATABASE, choose
+from ..session import stored
+from .ordered import number_rows
 
 #: Targets in one list, and copies of a list so that no list is one task's work.
 BUCKET, COPIES = 256, 64
+#: Targets that may be broadcast.
+SMALL = 50_000
+#: Files of checksums in each analysis.
+BUCKETS = 64
 VERSION = ["analysis", "software_version", "database_version"]
 RESULT_COLUMNS = [
     "analysis", "software", "software_version", "database", "database_version",
@@ -70,44 +80,64 @@ def prepare(
     )
 
 
-def conflict_key(df: DataFrame) -> DataFrame:
-    """Adds ``__key``: rows with the same key are the same stored result."""
+def conflict_digest() -> Column:
+    """128 bits that rows of the same stored result share; kinds with many rows each are told apart by payload."""
     a = F.col("analysis")
-    return df.withColumn("__key", F.struct(
-        a.alias("analysis"),
-        F.col("software_version").alias("software_version"),
-        F.coalesce("database_version", F.lit("")).alias("database_version"),
-        F.col("checksum").alias("checksum"), F.col("md5sum").alias("md5sum"),
-        F.when(a.isin(*MULTIPLE_OK), F.col("data")).otherwise("").alias("data"),
-    ))
+    parts = ["analysis", "software_version", F.coalesce("database_version", F.lit("")), "checksum", "md5sum",
+             F.when(a.isin(*MULTIPLE_OK), F.col("data")).otherwise("")]
+    # a sign ahead of each part keeps NULL apart from the empty text
+    marked = [F.coalesce(F.concat(F.lit("+"), F.col(x) if isinstance(x, str) else x), F.lit("-")) for x in parts]
+    return F.unhex(F.md5(F.concat_ws("\u001f", *marked)))
 
 
 def keep_first(rows: DataFrame, arrival: list[str], store: DataFrame | None = None) -> DataFrame:
     """Of rows with one key keep the earliest, and none that the store already holds.
 
-    The earliest row is an aggregate, not a sorted window, so copies of a hot key
-    collapse before the shuffle.
+    Rows are written once with their ``key``; what is aggregated and compared is the key and one number,
+    so neither payloads of copies nor those of the store are shuffled.  Among rows that arrive together any one is kept.
     """
-    columns = rows.columns
-    keyed = conflict_key(rows)
-    first = keyed.groupBy("__key").agg(
-        F.min_by(F.struct(*columns), F.struct(*arrival)).alias("r"))
+    keyed = rows.withColumn("key", conflict_digest())
+    if len(arrival) == 1 and rows.schema[arrival[0]].dataType in (T.LongType(), T.IntegerType()):
+        held = stored(keyed.withColumn("__row", F.monotonically_increasing_id()), "arrived")
+        # arrival and row as one decimal, which a hash aggregate can hold
+        turn = F.col(arrival[0]).cast("decimal(19,0)") * F.lit(Decimal(10) ** 19) + F.col("__row")
+    else:
+        held = stored(number_rows(keyed, arrival, out="__row"), "arrived")
+        turn = F.col("__row").cast("decimal(38,0)")
+    first = held.select("key", turn.cast("decimal(38,0)").alias("__turn")).groupBy("key").agg(F.min("__turn").alias("__turn"))
     if store is not None:
-        first = first.join(conflict_key(store).select("__key"), "__key", "left_anti")
-    return first.select("r.*")
+        known = store if "key" in store.columns else store.withColumn("key", conflict_digest())
+        first = first.join(known.select("key"), "key", "left_anti")
+    row = F.pmod(F.col("__turn"), F.lit(Decimal(10) ** 19)).cast("bigint")
+    return held.join(first.select(row.alias("__row")), "__row", "left_semi").drop("__row")
 
 
 def load_results(
     rows: DataFrame, arrival: list[str], store: DataFrame | None = None, **options
 ) -> DataFrame:
-    """The rows an append would add."""
+    """The rows an append would add, with their ``key``."""
     return keep_first(prepare(rows, **options), arrival, store)
 
 
+def _table(spark, path: str) -> str:
+    """The store at ``path`` as a bucketed table of this session."""
+    name = "store_" + hashlib.md5(path.encode()).hexdigest()
+    if not spark.catalog.tableExists(name):
+        columns = ", ".join(f"`{c}` string" for c in RESULT_COLUMNS if c != "analysis")
+        place = path.replace("'", "\\'")
+        spark.sql(f"CREATE TABLE {name} ({columns}, `key` binary, `analysis` string) USING parquet PARTITIONED BY (`analysis`) "
+                  f"CLUSTERED BY (`checksum`) SORTED BY (`checksum`) INTO {BUCKETS} BUCKETS LOCATION '{place}/results'")
+    return name
+
+
 def append_store(rows: DataFrame, path: str) -> None:
-    """Append result rows, one folder per analysis."""
-    (rows.select(*RESULT_COLUMNS).write.mode("append").partitionBy("analysis")
-     .parquet(f"{path}/results"))
+    """Append result rows: one folder per analysis, and in it one file per bucket of checksums, sorted by them."""
+    spark = rows.sparkSession
+    keyed = rows if "key" in rows.columns else rows.withColumn("key", conflict_digest())
+    out = keyed.select(*[c for c in RESULT_COLUMNS if c != "analysis"], "key", "analysis")
+    name = _table(spark, path)
+    (out.repartition(BUCKETS, "checksum").write.mode("append").format("parquet").partitionBy("analysis")
+     .bucketBy(BUCKETS, "checksum").sortBy("checksum").saveAsTable(name))
 
 
 def exists(spark, path: str) -> bool:
@@ -137,8 +167,25 @@ def read_decoder(spark, path: str) -> DataFrame:
 
 
 def read_store(spark, path: str) -> DataFrame:
-    fields = ", ".join(f"{c} string" for c in RESULT_COLUMNS)
-    return spark.read.schema(fields).parquet(f"{path}/results")
+    """Result rows and their ``key``.  Joins on the checksum need no exchange of the store."""
+    name = _table(spark, path)
+    if exists(spark, f"{path}/results"):
+        # folders that other sessions have added
+        spark.sql(f"ALTER TABLE {name} RECOVER PARTITIONS")
+        spark.catalog.refreshTable(name)
+    return spark.table(name).select(*RESULT_COLUMNS, "key")
+
+
+def batch_is_done(spark, path: str, run: str, batch: int) -> bool:
+    """Whether a stream's batch was loaded to its end."""
+    if not exists(spark, f"{path}/batches"):
+        return False
+    log = spark.read.schema("run string, batch bigint").parquet(f"{path}/batches")
+    return not log.filter((F.col("run") == run) & (F.col("batch") == batch)).isEmpty()
+
+
+def log_batch(spark, path: str, run: str, batch: int) -> None:
+    spark.createDataFrame([(run, batch)], "run string, batch bigint").coalesce(1).write.mode("append").parquet(f"{path}/batches")
 
 
 def build_decoder(rows: DataFrame) -> DataFrame:
@@ -159,14 +206,10 @@ def attach_checksums(rows: DataFrame, sequences: DataFrame, name: str = "name")
     return rows.join(known, name, "left")
 
 
-def matches_version(results: DataFrame, targets: DataFrame) -> Column:
-    """Same analysis and version; the database version counts only where one is needed."""
-    r, t = results, targets
-    return (
-        (r["analysis"] == t["analysis"]) & (r["software_version"] == t["software_version"])
-        & (~needs_database(r["analysis"])
-           | (F.coalesce(r["database_version"], F.lit("")) == F.coalesce(t["database_version"], F.lit(""))))
-    )
+def _version_key() -> list[Column]:
+    """Analysis and versions; the database version counts only where one is needed."""
+    db = F.when(needs_database(F.col("analysis")), F.coalesce("database_version", F.lit(""))).otherwise("")
+    return [F.col("analysis").alias("__a"), F.col("software_version").alias("__v"), db.alias("__db")]
 
 
 def usable_targets(targets: DataFrame) -> DataFrame:
@@ -178,8 +221,23 @@ def usable_targets(targets: DataFrame) -> DataFrame:
 def select_target(
     results: DataFrame, targets: DataFrame, checksums: DataFrame | None = None
 ) -> DataFrame:
-    """Stored results of the wanted versions, optionally only for a checksum set."""
-    hits = results.join(targets, matches_version(results, targets), "left_semi")
+    """Stored results of the wanted versions, optionally only for a checksum set.
+
+    Up to ``SMALL`` targets are broadcast, so the store stays where its buckets put it; longer
+    lists are joined by version and a copy number that comes from the checksum, so that a version with
+    very many results is not one task's work.
+    """
+    wanted = stored(targets.filter("software_version IS NOT NULL").select(*_version_key()).distinct(), "targets")
+    many = wanted.count() > SMALL
+    keyed = results.select("*", *_version_key())
+    on = ["__a", "__v", "__db"]
+    if many:
+        wanted = wanted.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+        keyed = keyed.withColumn("__copy", F.pmod(F.hash("checksum"), F.lit(COPIES)))
+        on = [*on, "__copy"]
+    else:
+        wanted = F.broadcast(wanted)
+    hits = keyed.join(wanted, on, "left_semi").select(*results.columns)
     return hits if checksums is None else hits.join(
         checksums.select("checksum").distinct(), "checksum", "left_semi")
 
@@ -187,32 +245,32 @@ def select_target(
 def find_remaining(results: DataFrame, targets: DataFrame, checksums: DataFrame) -> DataFrame:
     """Per target, the checksums with no stored result: ``*VERSION, checksum``.
 
-    Targets are dealt into lists of about ``BUCKET``.  Each checksum meets every list once,
-    beside the targets of that list it already holds, and only what is missing is written out.
+    Targets are written in lists of about ``BUCKET``.  Each checksum meets every list once,
+    beside the numbers of the targets of that list it already holds, and only what is missing is written out.
     """
-    def database() -> Column:
-        return F.when(needs_database(F.col("analysis")), F.coalesce("database_version", F.lit(""))).otherwise("").alias("db")
-
-    key = F.struct("analysis", "software_version", "db")
-    wanted = targets.select(*VERSION).distinct().select("*", database())
-    wanted = wanted.groupBy("analysis", "software_version", "db").agg(F.collect_set(F.struct("database_version")).alias("versions"))
-    lists = F.greatest(F.ceil(wanted.agg(F.count(F.lit(1))).scalar() / BUCKET), F.lit(1))
-    bucket = F.pmod(F.xxhash64("analysis", "software_version", "db"), lists)
-    dealt = wanted.select(bucket.alias("bucket"), key.alias("target"), "versions")
-    offered = dealt.groupBy("bucket").agg(F.collect_list("target").alias("offered"))
-    offered = offered.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
-
-    known = results.select("analysis", "software_version", database(), "checksum").join(
-        dealt.select("bucket", "target.*"), ["analysis", "software_version", "db"])
-    held = known.groupBy("checksum", "bucket").agg(F.collect_set(key).alias("held"))
+    wanted = targets.select(*VERSION).distinct().select("*", *_version_key())
+    wanted = wanted.groupBy("__a", "__v", "__db").agg(F.collect_set(F.struct("database_version")).alias("versions"))
+    numbered = stored(number_rows(wanted, ["__a", "__v", "__db"], out="i").select(
+        "*", F.floor(F.col("i") / BUCKET).cast("int").alias("bucket")), "targets")
+    n = numbered.count()
+    lists, copies = max(-(-n // BUCKET), 1), COPIES if n > SMALL else 1
+    offered = numbered.groupBy("bucket").agg(F.collect_list("i").alias("offered"))
+    # with many lists they are copied, so that none is one task's work
+    offered = offered.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(copies - 1))))
+    names = numbered.select("i", F.col("__a").alias("analysis"), F.col("__v").alias("software_version"), "versions")
+    keys = numbered.select("__a", "__v", "__db", "i", "bucket")
+
+    small = F.broadcast if n <= SMALL else lambda df: df
+    known = results.select("checksum", *_version_key()).join(small(keys), ["__a", "__v", "__db"])
+    held = known.groupBy("checksum", "bucket").agg(F.collect_set("i").alias("held"))
     work = checksums.select("checksum").distinct().select(
-        "checksum", F.pmod(F.hash("checksum"), F.lit(COPIES)).alias("copy"),
-        F.explode(F.sequence(F.lit(0).cast("bigint"), lists - 1)).alias("bucket"))
-    work = work.join(offered, ["bucket", "copy"]).join(held, ["checksum", "bucket"], "left")
-    missing = F.array_except("offered", F.coalesce("held", F.array().cast("array<struct<analysis:string,software_version:string,db:string>>")))
-    left = work.select("checksum", F.explode(missing).alias("target"))
-    return left.join(dealt.select("target", "versions"), "target").select(
-        "target.analysis", "target.software_version", F.explode("versions").alias("version"), "checksum").select(
+        "checksum", F.pmod(F.hash("checksum"), F.lit(copies)).alias("copy"),
+        F.explode(F.sequence(F.lit(0), F.lit(lists - 1))).alias("bucket"))
+    work = work.join(small(offered), ["bucket", "copy"]).join(held, ["checksum", "bucket"], "left")
+    missing = F.array_except("offered", F.coalesce("held", F.array().cast("array<bigint>")))
+    left = work.select("checksum", F.explode(missing).alias("i"))
+    return left.join(small(names), "i").select(
+        "analysis", "software_version", F.explode("versions").alias("version"), "checksum").select(
         "analysis", "software_version", "version.database_version", "checksum")
 
 
@@ -284,6 +342,15 @@ def empty_result_check(sequences: DataFrame, records: DataFrame) -> DataFrame:
     ).withColumn("failed", (F.col("n_records") == 0) & (F.col("n_sequences") > 0))
 
 
+def analysis_tables(results: DataFrame, kinds: list[str], decoder: DataFrame | None = None) -> dict[str, DataFrame]:
+    """Typed tables of several kinds; a kind that is present in more than one version fails the job that reads it."""
+    versions = version_conflicts(results).select(F.col("analysis").alias("__many"), F.lit(True).alias("__conflict"))
+    failed = F.raise_error(F.concat(F.lit("several versions of "), F.col("analysis"))).cast("string")
+    checked = results.join(F.broadcast(versions), F.col("analysis") == F.col("__many"), "left")
+    checked = checked.withColumn("analysis", F.when(F.col("__conflict"), failed).otherwise(F.col("analysis")))
+    return {kind: analysis_table(checked.select(*results.columns), kind, decoder) for kind in kinds}
+
+
 def analysis_table(results: DataFrame, name: str, decoder: DataFrame | None = None) -> DataFrame:
     """Typed columns of one result kind; with a decoder, under the original names."""
     kind = ANALYSES[name]

@@ -168,12 +168,30 @@ def _pepstats_block() -> Column:
 _LABELLED = "repeat('S', k) || repeat('.', 5) || repeat('H', 15) || repeat('h', k)"
 
 
+def _profile_block() -> Column:
+    """A query with two templates, each in two rows; every tenth lacks a value."""
+    k = F.col("k")
+    evalue = F.when(k % 10 == 9, "").otherwise("E-value=1e-30  ")
+
+    def template(j: int) -> Column:
+        return F.concat(
+            F.lit(f"\nNo {j}\n>T{j} a template\nProbab=99.90  "), evalue, F.lit("Score=200.5  Aligned_cols=6  Identities="), k.cast("string"),
+            F.lit(".5%  Similarity=0.9  Sum_probs=5.5\n\nQ ss_pred             HHH\nQ seq1             3 MKV    5 (120)\n"
+                  "Q Consensus        3 mkv    5 (120)\nT Consensus        7 mrv    9 (800)\n"
+                  f"T T{j}               7 MRV    9 (800)\nConfidence           9 8\n\nQ seq1             6 AC-    7 (120)\n"
+                  f"T T{j}              10 ACD   "), (k + 9 + j).cast("string"), F.lit(" (800)\nConfidence           765\n\n"))
+
+    return F.concat(F.lit("Query         "), _name(), F.lit(" of ev\nMatch_columns 120\nNeff          3.5\n\n"), template(1), template(2))
+
+
 @job("src_blocks", f"{EV} SELECT 'pepstats' AS kind, 'P' || CAST(e AS STRING) AS name, CAST(k * 100 + 0.25 AS DOUBLE) AS x, "
      "(k + 2) % 10 AS i, CAST(k * 5 % 50 AS STRING) AS t, NULL AS problem FROM ev UNION ALL "
      f"SELECT 'tmbed', 'P' || CAST(e AS STRING), CAST(CASE WHEN k > 10 THEN 1 ELSE 0 END AS DOUBLE), 1, {_LABELLED}, NULL FROM ev "
      "UNION ALL SELECT 'deeptmhmm', CASE WHEN k % 10 < 9 THEN 'P' || CAST(e AS STRING) END, CASE WHEN k % 10 < 9 THEN "
      "CAST(0 AS DOUBLE) END, CASE WHEN k % 10 < 9 THEN 0 END, CASE WHEN k % 10 < 9 THEN 'SP+TM' END, "
-     "CASE WHEN k % 10 = 9 THEN 'name' END FROM ev")
+     "CASE WHEN k % 10 = 9 THEN 'name' END FROM ev UNION ALL SELECT 'hhr', CASE WHEN k % 10 < 9 THEN 'P' || CAST(e AS STRING) || ' of ev' END, "
+     "CASE WHEN k % 10 < 9 THEN CAST((k + 0.5) / 100 AS DOUBLE) END, CASE WHEN k % 10 < 9 THEN (k + 9 + j) END, CASE WHEN k % 10 < 9 THEN 'T' || CAST(j AS STRING) "
+     "|| '|MKVAC-|MRVACD|9-8765' END, CASE WHEN k % 10 = 9 THEN 'evalue' END FROM ev, (VALUES (1), (2)) v(j)")
 def src_blocks(spark, sf):
     rows = B.events(spark, sf)
     k = F.col("k")
@@ -182,7 +200,7 @@ def src_blocks(spark, sf):
     deep = F.concat(F.lit(">"), _name(), F.when(k % 10 == 9, " | ODD").otherwise(" | SP+TM"), F.lit("\nMKV\n"),
                     F.lit("SSSMMMOO"))
     read = {kind: blocks.read_blocks(spark, kind, _written(spark, rows, line, kind))
-            for kind, line in (("pepstats", _pepstats_block()), ("tmbed", tmbed), ("deeptmhmm", deep))}
+            for kind, line in (("pepstats", _pepstats_block()), ("tmbed", tmbed), ("deeptmhmm", deep), ("hhr", _profile_block()))}
     d = "data."
     return (
         read["pepstats"].select(
@@ -196,6 +214,11 @@ def src_blocks(spark, sf):
             F.lit("deeptmhmm").alias("kind"), F.col(d + "name").alias("name"),
             F.when(F.col("problem").isNull(), 0.0).alias("x"), F.when(F.col("problem").isNull(), 0).alias("i"),
             F.col(d + "prediction").alias("t"), "problem"))
+        .unionByName(read["hhr"].select(
+            F.lit("hhr").alias("kind"), F.col(d + "query_id").alias("name"), F.col(d + "identity").alias("x"),
+            F.col(d + "template_end").alias("i"),
+            F.when(F.col("problem").isNull(), F.concat_ws("|", d + "template_id", d + "query_ali", d + "template_ali", d + "confidence")).alias("t"),
+            "problem"))
     )
 
 
@@ -400,3 +423,32 @@ def interpro_features(spark, sf):
     """The same elements parsed from a column."""
     rows = B.table(spark, sf, "part").select(_proteins().alias("value"))
     return _xml_view(interpro.features(interpro.parse_proteins(rows, F.lit("5.59"))))
+
+
+_SCAN = "p_partkey % 8"
+
+
+@job("src_xml_quarantine", "WITH r AS (SELECT 'P' || CAST(p_partkey AS STRING) AS seqid, 'InterProScan:' || CASE WHEN p_partkey % 8 % 2 = 0 THEN "
+     "'5.' || CAST(p_partkey % 8 AS STRING) || ':' ELSE '' END || 'PROSITE:9' AS source, p_partkey % 10 = 3 AS broken, p_partkey % 7 = 2 AS odd, "
+     "CAST(p_size AS INT) AS s, CAST(p_size + 60 AS INT) AS e FROM part) SELECT seqid, source, s AS start, e AS \"end\", NULL AS problem FROM r "
+     "WHERE NOT broken AND NOT odd UNION ALL SELECT seqid, source, NULL, e, 'start' FROM r WHERE NOT broken AND odd UNION ALL "
+     "SELECT NULL, NULL, NULL, NULL, 'xml' FROM r WHERE broken")
+def src_xml_quarantine(spark, sf):
+    """Files with and without a version in their root, with broken proteins and odd numbers."""
+    rows = B.table(spark, sf, "part")
+    start = F.when(F.col("p_partkey") % 7 == 2, "x").otherwise((F.col("p_size") + 1).cast("string"))
+    match = F.concat(
+        F.lit("<patternscan-match>"), _signature("PROSITE"), F.lit('<locations><patternscan-location level="STRONG" start="'), start,
+        F.lit('" end="'), (F.col("p_size") + 60).cast("string"), F.lit('"/></locations></patternscan-match>'))
+    # a sequence that is not closed breaks the element
+    sequence = F.when(F.col("p_partkey") % 10 == 3, "<sequence>MKV").otherwise("<sequence>MKV</sequence>")
+    protein = F.concat(F.lit("<protein>"), sequence, F.lit('<xref id="P'), _s("p_partkey"), F.lit('"/><matches>'), match, F.lit("</matches></protein>\n"))
+    root = F.when(F.col("f") % 2 == 0, F.concat(F.lit('<protein-matches interproscan-version="5.'), _s("f"), F.lit('">\n'))).otherwise("<protein-matches>\n")
+    files = rows.select(F.expr(_SCAN).alias("f"), protein.alias("p")).groupBy("f").agg(F.array_join(F.collect_list("p"), "").alias("p"))
+    path = scratch(spark, "xml-files")
+    files.select("f", F.concat(root, "p", F.lit("</protein-matches>")).alias("value")).write.mode("overwrite").partitionBy("f").text(path)
+    proteins = interpro.read_proteins(spark, path)
+    nothing = [F.lit(None).cast(t).alias(c) for c, t in (("seqid", "string"), ("source", "string"), ("start", "int"), ("end", "int"))]
+    return (interpro.features(proteins).select("seqid", "source", "start", "end", F.lit(None).cast("string").alias("problem"))
+            .unionByName(interpro.bad_features(proteins).select("seqid", "source", "start", "end", "problem"))
+            .unionByName(interpro.bad_proteins(proteins).select(*nothing, "problem")))

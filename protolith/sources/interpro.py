@@ -8,9 +8,15 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.attributes import FEATURE, attributes, custom_from, target
 from ..functions.text import bound, source_tag, unescape
+from ..session import stored
+
+#: Files whose versions may be broadcast, and copies of a longer list.
+SMALL, COPIES = 100_000, 64
+BROKEN = "_corrupt_record"
 
 _XREFS = "array<struct<_db: string, _id: string>>"
 _GO = "array<struct<_id: string, _name: string>>"
@@ -91,11 +97,11 @@ def protein_schema() -> str:
 
 
 def read_proteins(spark: SparkSession, paths: str, version: str | None = None) -> DataFrame:
-    """Proteins of match files.
+    """Proteins of match files: their elements, ``ips_version`` and ``problem``, with the text of broken ones.
 
     The closing tag is the record separator, so one large file is read by many
     tasks.  Without ``version``, the scanner version in each file's root element is
-    used.
+    used; proteins of a file without one have none.
     """
     raw = spark.read.option("lineSep", "</protein>").text(paths).withColumn(
         "file_path", F.col("_metadata.file_path"))
@@ -105,15 +111,31 @@ def read_proteins(spark: SparkSession, paths: str, version: str | None = None) -
     ).filter(F.col("value") != "</protein>")
     if version is not None:
         return parse_proteins(records, F.lit(version))
-    # one root element per file
-    versions = raw.select("file_path", found.alias("ips_version")).filter("ips_version <> ''")
-    return parse_proteins(records.join(versions, "file_path"), F.col("ips_version"))
+    # one row per file: few files travel to the records, a long list of files meets them in copies
+    versions = stored(raw.select("file_path", found.alias("ips_version")).filter("ips_version <> ''").groupBy("file_path").agg(
+        F.min("ips_version").alias("ips_version")), "file-versions")
+    if versions.count() <= SMALL:
+        return parse_proteins(records.join(F.broadcast(versions), "file_path", "left"), F.col("ips_version"))
+    spread = versions.withColumn("copy", F.explode(F.sequence(F.lit(0), F.lit(COPIES - 1))))
+    dealt = records.withColumn("copy", F.pmod(F.hash("value"), F.lit(COPIES)))
+    return parse_proteins(dealt.join(spread, ["file_path", "copy"], "left"), F.col("ips_version"))
 
 
 def parse_proteins(rows: DataFrame, version: Column, column: str = "value") -> DataFrame:
     """The same from a column that holds one protein element per row."""
-    parsed = F.from_xml(column, protein_schema(), {"attributePrefix": "_"})
-    return rows.withColumn("__p", parsed).select("__p.*", version.alias("ips_version"))
+    kind = T.StructType.fromDDL(protein_schema()).add(BROKEN, "string")
+    parsed = F.from_xml(column, kind, {"attributePrefix": "_", "mode": "PERMISSIVE", "columnNameOfCorruptRecord": BROKEN})
+    # a generator keeps each use from parsing again
+    once = rows.select(F.col(column).alias("__text"), version.alias("ips_version"), F.inline(F.array(F.struct(parsed.alias("__p")))))
+    broken = F.col("__p").isNull() | F.col(f"__p.{BROKEN}").isNotNull()
+    problem = F.when(broken, "xml").when(F.coalesce(F.size("__p.xref"), F.lit(0)) < 1, "xref")
+    return once.select(F.col("__p.xref").alias("xref"), F.col("__p.matches").alias("matches"), "ips_version", problem.alias("problem"),
+                       F.when(problem.isNotNull(), F.col("__text")).alias("value"))
+
+
+def bad_proteins(proteins: DataFrame) -> DataFrame:
+    """Elements that cannot be used, as they came: ``value, problem`` and the version of their file."""
+    return proteins.filter("problem IS NOT NULL").select("value", "problem", "ips_version")
 
 
 def _signature(s: Column) -> dict[str, Column]:
@@ -148,14 +170,16 @@ def _signature(s: Column) -> dict[str, Column]:
 
 
 # A rule turns one match ``m`` with its signature fields ``s`` into an array of features.
-PIECE = FEATURE.replace("seqid: string, source: string, ", "")
+PIECE = FEATURE.replace("seqid: string, source: string, ", "").removesuffix(">") + ", problem: string>"
 
 
 def _row(type_: str, start: Column, end: Column, score: Column | None, attrs: Column) -> Column:
+    given = F.lit(None).cast("string") if score is None else score
+    first, last, value = start.try_cast("int"), end.try_cast("int"), given.try_cast("double")
+    problem = F.when(first.isNull(), "start").when(last.isNull(), "end").when(given.isNotNull() & value.isNull(), "score")
     return F.struct(
-        F.lit(type_).alias("type"), (start.cast("int") - 1).alias("start"), end.cast("int").alias("end"),
-        (F.lit(None) if score is None else score).cast("double").alias("score"),
-        F.lit("+").alias("strand"), F.lit(".").alias("phase"), attrs.alias("attributes"))
+        F.lit(type_).alias("type"), (first - 1).alias("start"), last.alias("end"), value.alias("score"),
+        F.lit("+").alias("strand"), F.lit(".").alias("phase"), attrs.alias("attributes"), problem.alias("problem"))
 
 
 def _last_fragment(location: Column, kind: str) -> Column:
@@ -204,7 +228,7 @@ def _model_match(kind: str):
     """Profile hits: model and envelope coordinates, with a target when the model span is known."""
     def rule(m: Column, s: Column, locs: Column) -> Column:
         last = F.element_at(locs, -1)
-        known = last["_hmm-end"].cast("int") > 1
+        known = last["_hmm-end"].try_cast("int") > 1
         names = [n for n in ("hmm-start", "hmm-end", "env-start", "env-end")
                  if not (kind == "hmmer2" and n.startswith("env"))]
         spans = [(n.replace("-", "_"), F.when(known, last[f"_{n}"])) for n in names]
@@ -216,7 +240,7 @@ def _model_match(kind: str):
         if kind == "panther":
             name = F.coalesce(name, F.when(~m["_familyName"].isin(*UNNAMED), m["_familyName"]))
         aim = F.when(known, target(
-            s["accession"], last["_hmm-start"].cast("int") - 1, last["_hmm-end"].cast("int")))
+            s["accession"], last["_hmm-start"].try_cast("int") - 1, last["_hmm-end"].try_cast("int")))
         main = F.array(_row("protein_hmm_match", last["_start"], last["_end"], m["_evalue"],
                             _attributes_of(s, custom, name, aim)))
         if kind != "hmmer3-with-sites":
@@ -296,14 +320,24 @@ def _of_kind(matches: Column, kind: str) -> Column:
         f"cast(array() as array<struct<library: string, library_version: string, found: array<{PIECE}>>>)"))
 
 
+def _all_features(proteins: DataFrame) -> DataFrame:
+    every = F.concat(*[_of_kind(F.col("matches"), kind) for kind in RULES])
+    rows = proteins.filter("problem IS NULL").select(
+        F.element_at("xref", -1)["_id"].alias("seqid"), "ips_version", F.inline(every))
+    tag = source_tag(F.lit("InterProScan"), F.col("ips_version"), F.col("library"), F.col("library_version"))
+    return rows.select("seqid", tag.alias("source"), F.inline("found"))
+
+
 def features(proteins: DataFrame) -> DataFrame:
     """All features of all match kinds, in one pass over the proteins.
 
     One kind of match is skipped by design (phobius).  The last cross reference
-    names the protein.
+    names the protein.  Broken proteins and features without usable numbers are left out: :func:`bad_proteins`
+    and :func:`bad_features` have them.
     """
-    every = F.concat(*[_of_kind(F.col("matches"), kind) for kind in RULES])
-    rows = proteins.select(
-        F.element_at("xref", -1)["_id"].alias("seqid"), "ips_version", F.inline(every))
-    tag = source_tag(F.lit("InterProScan"), F.col("ips_version"), F.col("library"), F.col("library_version"))
-    return rows.select("seqid", tag.alias("source"), F.inline("found"))
+    return _all_features(proteins).filter("problem IS NULL").drop("problem")
+
+
+def bad_features(proteins: DataFrame) -> DataFrame:
+    """Features whose start, end or score is not a number, with the ``problem``."""
+    return _all_features(proteins).filter("problem IS NOT NULL")
