@@ -19,6 +19,7 @@ The steps, all by language:
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator
 
 import numpy as np
@@ -117,24 +118,24 @@ class Runs:
             ok &= below[:len(ok)] & below[1:len(ok) + 1]
         return np.flatnonzero(ok)
 
-    def text(self, start: int, k: int) -> str:
-        out = [self.letters[self.offsets[c]:self.offsets[c + 1]].tobytes() for c in self.code[start:start + k].tolist()]
-        return b" ".join(out).decode("utf-8", "replace")
+    def text(self, start: int, k: int) -> bytes:
+        return b" ".join([self.letters[self.offsets[c]:self.offsets[c + 1]].tobytes() for c in self.code[start:start + k].tolist()])
 
-    def phrases(self, k: int, table: np.ndarray) -> Iterator[tuple[str, int]]:
-        """Phrases of ``k`` words with a bit, each with its count in the block."""
+    def phrases(self, k: int, table: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Runs of ``k`` words with a bit: sorted fingerprints, first places and counts in the block.
+
+        All occurrences behind one place have the same words; others with the same fingerprint come in another turn.
+        """
         prints = self.fingerprints(k)
         start = np.flatnonzero(self.whole(k) & has_bit(table, prints))
         while len(start):
-            _, first, which, count = np.unique(prints[start], return_index=True, return_inverse=True, return_counts=True)
+            each, first, which = np.unique(prints[start], return_index=True, return_inverse=True)
             pointer = start[first]
             same = np.ones(len(start), dtype=bool)
             for i in range(k):
                 same &= self.code[start + i] == self.code[pointer[which] + i]
-            count = np.bincount(which[same], minlength=len(first))
-            for at, c in zip(pointer.tolist(), count.tolist()):
-                yield self.text(at, k), c
-            start = start[~same]  # collisions: their own words, in another turn
+            yield each, pointer, np.bincount(which[same], minlength=len(first))
+            start = start[~same]
 
 
 def all_runs(batch: pa.RecordBatch) -> Iterator[Runs]:
@@ -267,21 +268,53 @@ def bit_table(prints: DataFrame) -> np.ndarray:
     return table
 
 
-def phrase_counts(cut: DataFrame, tables: list, least: int) -> DataFrame:
-    """``lang, phrase, words, f`` of all phrases found ``least`` times or more, counted by their text."""
+def phrase_counts(cut: DataFrame, tables: list, least: int, words: int) -> DataFrame:
+    """``lang, phrase, words, f`` of all phrases found ``least`` times or more, counted by their text.
+
+    A block sends its phrases, cut out of the text, in ranges of their fingerprints; counts are added up by
+    language, length and text.
+    """
+    bits = max((words // RANGE).bit_length(), RANGE_BITS)
+    names = ["range", "lang", "words", "phrases", "counts"]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
         for batch in batches:
             for runs in all_runs(batch):
                 for k, table in enumerate(tables, 1):
-                    found = list(runs.phrases(k, table.value))
-                    if not found:
-                        continue
-                    yield pa.RecordBatch.from_arrays([
-                        pa.array([runs.lang] * len(found), pa.string()), pa.array([x[0] for x in found], pa.string()),
-                        pa.array([k] * len(found), pa.int32()), pa.array([x[1] for x in found], pa.int64())], ["lang", "phrase", "words", "f"])
+                    for prints, place, count in runs.phrases(k, table.value):
+                        at = np.append(np.searchsorted(prints, edges), len(prints))
+                        full = np.flatnonzero(at[1:] > at[:-1])
+                        texts = [runs.text(x, k) for x in place.tolist()]
+                        # no word holds a line end
+                        packed = [b"\n".join(texts[at[r]:at[r + 1]]) for r in full.tolist()]
+                        yield pa.RecordBatch.from_arrays([
+                            pa.array(full.astype(np.int32)), pa.array([runs.lang] * len(full), pa.string()), pa.array([k] * len(full), pa.int32()),
+                            pa.array(packed, pa.binary()), _binary(count.astype(np.int32), np.append(at[full], len(prints)))], names)
+
+    def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, defaultdict(int)
+
+        def frequent() -> pa.RecordBatch:
+            many = {p.decode("utf-8", "replace"): f for p, f in total.items() if f >= least}
+            lang, k = (now[1], now[2]) if now else ("", 0)
+            return pa.RecordBatch.from_arrays([
+                pa.array([lang] * len(many), pa.string()), pa.array(list(many), pa.string()),
+                pa.array([k] * len(many), pa.int32()), pa.array(list(many.values()), pa.int64())], ["lang", "phrase", "words", "f"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here = tuple(batch.column(j)[i].as_py() for j in range(3))
+                if here != now:
+                    yield frequent()
+                    now, total = here, defaultdict(int)
+                counts = np.frombuffer(batch.column(4)[i].as_buffer(), np.int32).tolist()
+                for phrase, f in zip(batch.column(3)[i].as_py().split(b"\n"), counts, strict=True):
+                    total[phrase] += f
+        yield frequent()
 
-    rows = cut.select("lang", "codes", "words", "offsets").mapInArrow(run, "lang string, phrase string, words int, f long")
-    return rows.groupBy("lang", "phrase", "words").agg(F.sum("f").alias("f")).filter(F.col("f") >= least)
+    rows = cut.select("lang", "codes", "words", "offsets").mapInArrow(run, "range int, lang string, words int, phrases binary, counts binary")
+    return rows.repartition("range").sortWithinPartitions("range", "lang", "words").mapInArrow(add_up, "lang string, phrase string, words int, f long")
 
 
 def _part(phrase: Column, first: Column, n: Column) -> Column:
@@ -345,6 +378,6 @@ def collocations(docs: DataFrame, longest: int = 5, least: int = 100, limit: int
         prints = stored(frequent_prints(cut, k, least, before, words), f"phrase-prints-{k}")
         before = spark.sparkContext.broadcast(bit_table(prints))
         tables.append(before)
-    counts = stored(phrase_counts(cut, tables, least), "phrases")
+    counts = stored(phrase_counts(cut, tables, least, words), "phrases")
     best = first_of_each(uncontained(scores(counts, sizes)), limit)
     return best.select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
