@@ -11,10 +11,14 @@ is read; their limit lies five deviations above as well.
 Texts with the same set are one class and meet no join as copies.  Links between classes are found
 in two ways, and all are confirmed on the full sets:
 
-1. in a few rounds each class meets one class of its buckets, and links merge components;
-2. buckets that still hold several components compare members of different components in
-   cells of at most ``2 * CELL``, on signatures and then on full sets.  A cell passes on only links
-   that merge something.
+1. in rounds each class meets one class of its buckets, and links merge components.  First that is the most
+   popular one, whose buckets hold the most classes: in a group of near copies that is the text they
+   were made from.  Later rounds draw another one each, among the buckets that still hold several
+   components, while that merges more than a few;
+2. buckets that still hold several components are joined into families, by their most popular class, so
+   that a class is in a family once, however many buckets it shares.  Members of different
+   components are compared in cells of at most ``2 * CELL``, on signatures and then on full sets.  A cell
+   passes on only links that merge something.
 
 Members of one component need no further pair, so a group of thousands of near copies costs a few
 pairs for each member, and no link between components is lost.
@@ -33,7 +37,8 @@ from pyspark.sql import functions as F
 from protolith.session import cut_lineage
 
 from .components import components
-from .textkit import LAST_ID, Rolling, blocks, lower_code, mix, release, window_hashes, word_spans
+from .textkit import LAST_ID, blocks, mix, release, window_hashes
+from .wordblocks import byte_set, word_hashes
 
 SYMBOLS, WIDTH = 64, 4
 CHUNKS = SYMBOLS // WIDTH
@@ -41,9 +46,11 @@ REACH = 2 * CHUNKS - 1
 MORE = 192
 #: Of all values; 0.2 of them differ on average at similarity 0.8.
 FAR = int(0.2 * (SYMBOLS + MORE) + 5 * (0.16 * (SYMBOLS + MORE)) ** 0.5)
-CELL = 1024
-ROUNDS = 2
+CELL = 2048
+#: Rounds end when they merge fewer than one in SLOW of the classes that are open.
+SLOW = 50
 PART = 2048
+SPACES = byte_set(32, *range(9, 14))
 
 _ODD = mix(np.arange(1, SYMBOLS + MORE + 1, dtype=np.uint64)).astype(np.uint32) | np.uint32(1)
 _ADD = mix(np.arange(1001, SYMBOLS + MORE + 1001, dtype=np.uint64)).astype(np.uint32)
@@ -54,10 +61,8 @@ def shingle_sets(column: pa.Array, words: int) -> Iterator[tuple[slice, list[np.
 
     A text with fewer words has its whole sequence as one shingle; one without words has none.
     """
-    code = lower_code()
     for block in blocks(column):
-        start, stop, owner = word_spans(block)
-        hashes = Rolling(block.data, code).at(start, stop)
+        hashes, _, _, owner = word_hashes(block, SPACES)
         grams = window_hashes(hashes, words)
         n = len(block.start) - 1
         first = np.searchsorted(owner, np.arange(n + 1))
@@ -161,31 +166,32 @@ class Cell:
     """Members of one cell and their pairs within reach."""
 
     def __init__(self, at: tuple, rows: list[tuple]):
-        self.place, self.index, self.crossed = at, at[3], at[1] != at[2]
+        self.place, self.crossed = at, at[1] != at[2]
         block, node, label, n, signatures, *sets = zip(*rows)
         self.node, self.block, self.label, self.n = node, np.array(block), np.array(label), np.array(n)
         self.low, self.more = read_signatures(signatures)
-        self.sets = sets[0] if sets else ()
+        self.sets = [np.frombuffer(x, np.uint64) for x in sets[0]] if sets else []
+        # members of a set that any other set of the cell has
+        self.known = self.shared_members() if sets else self.n
+
+    def shared_members(self) -> np.ndarray:
+        owner = np.repeat(np.arange(len(self.sets)), [len(x) for x in self.sets])
+        _, which, count = np.unique(np.concatenate(self.sets), return_inverse=True, return_counts=True)
+        return np.bincount(owner, weights=count[which] > 1, minlength=len(self.sets)).astype(np.int64)
 
     def near(self, i: int, percent: int) -> np.ndarray:
-        """Later members of other components within reach of member ``i`` that this bucket is first to bring together."""
-        fits = (self.label[i + 1:] != self.label[i]) & (
-            100 * np.minimum(self.n[i + 1:], self.n[i]) >= percent * np.maximum(self.n[i + 1:], self.n[i]))
+        """Later members of other components within reach of member ``i``."""
+        rest = np.flatnonzero(self.label[i + 1:] != self.label[i]) + i + 1
         if self.crossed:
-            fits &= self.block[i + 1:] != self.block[i]
-        rest = np.flatnonzero(fits) + i + 1
-        if not len(rest):
-            return rest
-        differs = self.low[rest] != self.low[i]
-        far = differs.sum(axis=1)
-        ok = (far <= REACH) & (far + (self.more[rest] != self.more[i]).sum(axis=1) <= FAR)
-        rest, differs = rest[ok], differs[ok].reshape(-1, CHUNKS, WIDTH)
+            rest = rest[self.block[rest] != self.block[i]]
+        # the most that the two sets can share, by their sizes and by what is known in the cell
+        most = np.minimum(np.minimum(self.n[rest], self.n[i]), np.minimum(self.known[rest], self.known[i]))
+        rest = rest[100 * most >= percent * (self.n[rest] + self.n[i] - most)]
         if not len(rest):
             return rest
-        shared = differs.sum(axis=2) <= 1
-        chunk = shared.argmax(axis=1)
-        first = WIDTH * chunk + differs[np.arange(len(rest)), chunk].argmax(axis=1)
-        return rest[first == self.index]
+        far = (self.low[rest] != self.low[i]).sum(axis=1)
+        rest, far = rest[far <= REACH], far[far <= REACH]
+        return rest[far + (self.more[rest] != self.more[i]).sum(axis=1) <= FAR]
 
     def pairable(self, percent: int) -> list[int]:
         """Nodes with at least one pair."""
@@ -198,19 +204,18 @@ class Cell:
 
     def links(self, percent: int) -> list[tuple[int, int]]:
         """Confirmed links, without those between members that earlier ones have merged."""
-        sets = [np.frombuffer(x, np.uint64) for x in self.sets]
         out = []
-        for i in range(len(sets) - 1):
+        for i in range(len(self.sets) - 1):
             for j in self.near(i, percent).tolist():
                 if self.label[i] != self.label[j]:
-                    shared = len(np.intersect1d(sets[i], sets[j], assume_unique=True))
-                    if 100 * shared >= percent * (len(sets[i]) + len(sets[j]) - shared):
+                    shared = len(np.intersect1d(self.sets[i], self.sets[j], assume_unique=True))
+                    if 100 * shared >= percent * (len(self.sets[i]) + len(self.sets[j]) - shared):
                         out.append((self.node[i], self.node[j]))
                         self.label[self.label == self.label[j]] = self.label[i]
         return out
 
 
-CELL_KEYS = ("key", "x", "y", "at")
+CELL_KEYS = ("family", "x", "y")
 
 
 def by_cell(rows: DataFrame, columns: tuple[str, ...], work, names: tuple[str, ...]) -> DataFrame:
@@ -224,10 +229,10 @@ def by_cell(rows: DataFrame, columns: tuple[str, ...], work, names: tuple[str, .
         for batch in batches:
             out = []
             for row in zip(*(column.to_pylist() for column in batch.columns)):
-                if row[:4] != at:
+                if row[:3] != at:
                     out += close()
-                    at, held = row[:4], []
-                held.append(row[4:])
+                    at, held = row[:3], []
+                held.append(row[3:])
             yield table_of(out)
         yield table_of(close())
 
@@ -235,37 +240,51 @@ def by_cell(rows: DataFrame, columns: tuple[str, ...], work, names: tuple[str, .
         columns = list(zip(*out)) if out else [()] * len(names)
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], list(names))
 
-    dealt = rows.select(*CELL_KEYS, *columns).repartition("key", "x", "y").sortWithinPartitions("key", "x", "y")
+    dealt = rows.select(*CELL_KEYS, *columns).repartition(*CELL_KEYS).sortWithinPartitions(*CELL_KEYS)
     return dealt.mapInArrow(run, ", ".join(f"{c} long" for c in names))
 
 
 def meeting_pairs(rows: DataFrame, turn: int) -> DataFrame:
     """One pair ``a, b`` for each class in a bucket with several components: the class of another
-    component it shares most buckets with, among one class per bucket (a different one each turn)."""
-    chosen = rows.groupBy("key").agg(
-        F.min(F.struct(F.xxhash64("node", F.lit(turn)).alias("by"), "node", "label")).alias("b"),
-        F.min("label").alias("low"), F.max("label").alias("high"))
-    chosen = chosen.filter("low != high").select("key", F.col("b.node").alias("b"), F.col("b.label").alias("other"))
+    component it shares most buckets with, among one class per bucket: the most popular one, and in later
+    turns one drawn by a hash.  ``rows`` has ``key, node, label, pop``."""
+    drawn = F.xxhash64("node", F.lit(turn))
+    by = F.col("pop") * 1024 + F.pmod(drawn, F.lit(1024)) if turn == 0 else drawn
+    chosen = rows.withColumn("by", by).groupBy("key").agg(
+        F.max_by("node", "by").alias("b"), F.max_by("label", "by").alias("other"), F.min("label").alias("low"), F.max("label").alias("high"))
+    chosen = chosen.filter("low != high").select("key", "b", "other")
     met = rows.join(chosen, "key").filter("label != other").groupBy(F.col("node").alias("a"), "b").agg(F.count(F.lit(1)).alias("shared"))
-    return met.groupBy("a").agg(F.max_by("b", F.struct("shared", "b")).alias("b"))
+    return met.groupBy("a").agg(F.max_by("b", F.col("shared") * 1024 + F.pmod(F.xxhash64("b"), F.lit(1024))).alias("b"))
+
+
+def mixed_keys(rows: DataFrame) -> DataFrame:
+    """Buckets that hold several components, with their most popular class: ``key, family``."""
+    by = F.col("pop") * 1024 + F.pmod(F.xxhash64("node"), F.lit(1024))
+    ends = rows.withColumn("by", by).groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.max_by("node", "by").alias("family"))
+    return ends.filter("low != high").select("key", "family")
+
+
+def families(members: DataFrame) -> DataFrame:
+    """``family, node``: each class once in every family whose buckets it is in."""
+    rows = bucket_rows(members, ("label", "pop"))
+    return rows.select("key", "node").join(mixed_keys(rows), "key").select("family", "node").distinct()
 
 
 def cross_links(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links between components: ``members`` has ``node, signature, n, label``."""
-    rows = bucket_rows(members, ("label",))
-    ends = rows.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high"), F.count(F.lit(1)).alias("members"))
-    mixed = ends.filter("low != high").select("key", F.ceil(F.col("members") / CELL).alias("cells"))
-    rows = rows.drop("label").join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
+    """Links between components: ``members`` has ``node, signature, n, label, pop``."""
+    rows = cut_lineage(families(members))
+    sizes = rows.groupBy("family").agg(F.ceil(F.count(F.lit(1)) / CELL).alias("cells"))
+    rows = rows.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
     rows = rows.withColumn("with", F.explode(F.sequence(F.lit(0).cast("long"), F.col("cells") - 1)))
-    rows = rows.withColumns({"x": F.least("block", "with"), "y": F.greatest("block", "with")}).join(members, "node")
+    rows = rows.withColumns({"x": F.least("block", "with"), "y": F.greatest("block", "with")}).join(members.drop("class", "first_id", "text_key"), "node")
     facts = ("block", "node", "label", "n", "signature")
 
     def chosen(cell: Cell) -> list:
         return [(*cell.place, node) for node in cell.pairable(percent)]
 
     picked = by_cell(rows, facts, chosen, (*CELL_KEYS, "node"))
-    ready = picked.join(members, "node").join(sets.select("node", "shingles"), "node")
-    ready = ready.join(mixed, "key").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
+    ready = picked.join(members.drop("class", "first_id", "text_key"), "node").join(sets.select("node", "shingles"), "node")
+    ready = ready.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("node"), F.col("cells")))
     return by_cell(ready, (*facts, "shingles"), lambda cell: cell.links(percent), ("a", "b"))
 
 
@@ -276,9 +295,10 @@ def with_labels(members: DataFrame, known: DataFrame | None) -> DataFrame:
 
 
 def full_sets(docs: DataFrame, members: DataFrame, words: int) -> DataFrame:
-    """``node, n, shingles`` of the classes in ``members``, from the text of a row with their smallest id."""
-    wanted = members.select(F.coalesce("first_id", F.lit(LAST_ID)).alias("id")).distinct()
-    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), "text").join(wanted, "id").select("text")
+    """``node, n, shingles`` of the classes in ``members``, from the text of one of their rows."""
+    wanted = members.select(F.coalesce("first_id", F.lit(LAST_ID)).alias("id"), "text_key").distinct()
+    texts = docs.select(F.coalesce("doc_id", F.lit(LAST_ID)).alias("id"), F.xxhash64("text").alias("text_key"), "text")
+    texts = texts.join(wanted, ["id", "text_key"]).select("text")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -306,28 +326,39 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80) -> DataF
     spark = docs.sparkSession
     found = cut_lineage(signatures(docs, words))
     classes = found.filter("n_shingles > 0").groupBy("class").agg(
-        F.min("doc_id").alias("first_id"), F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
+        F.min("doc_id").alias("first_id"), F.coalesce(F.min_by("text_key", "doc_id"), F.min("text_key")).alias("text_key"),
+        F.first("signature").alias("signature"), F.first("n_shingles").alias("n"))
     # numbers given once, in the checkpoint: joins and folds then work on plain longs
     classes = cut_lineage(classes.withColumn("node", F.monotonically_increasing_id()))
 
     rows = bucket_rows(classes).select("key", "node")
-    buckets = rows.groupBy("key").agg(F.min("node").alias("b"), F.count(F.lit(1)).alias("members")).filter("members > 1").select("key", "b")
-    met = rows.join(buckets, "key").filter("node != b")
-    candidates = met.select("node").union(met.select("b")).distinct()
-    members = cut_lineage(classes.join(candidates, "node").select("class", "node", "first_id", "signature", "n"))
-    del rows, buckets, met, candidates
+    buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    popular = rows.join(buckets, "key").groupBy("node").agg(F.sum("members").alias("pop"))
+    members = cut_lineage(classes.join(popular, "node").select("class", "node", "first_id", "text_key", "signature", "n", "pop"))
+    del rows, buckets, popular
     release(spark)
     sets = cut_lineage(full_sets(docs, members, words))
     release(spark)
 
-    links, known = None, None
-    for turn in range(ROUNDS):
-        new = cut_lineage(confirm(meeting_pairs(bucket_rows(with_labels(members, known), ("label",)), turn), sets, percent))
+    links, known, turn, open_ = None, None, 0, members
+    while True:
+        new = cut_lineage(confirm(meeting_pairs(bucket_rows(with_labels(open_, known), ("label", "pop")), turn), sets, percent))
+        merging = new.count()
+        if turn and not merging:
+            break
         links = new if links is None else links.union(new)
         known = components(links)
         release(spark)
-    more = cut_lineage(cross_links(cut_lineage(with_labels(members, known)), sets, percent))
-    known = components(links.union(more))
+        # only classes in buckets with several components go on
+        left = families(with_labels(open_, known)).select("node").distinct()
+        open_ = cut_lineage(open_.join(left, "node", "left_semi"))
+        turn += 1
+        # what is left is compared in cells, once rounds merge little
+        if merging * SLOW < open_.count():
+            break
+    if not open_.isEmpty():
+        links = links.union(cut_lineage(cross_links(cut_lineage(with_labels(open_, known)), sets, percent)))
+        known = components(links)
 
     placed = classes.join(known, "node", "left").select("class", "first_id", F.coalesce("label", "node").alias("label"))
     lowest = placed.groupBy("label").agg(F.min("first_id").alias("component"))

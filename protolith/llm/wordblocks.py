@@ -10,6 +10,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 from .textkit import Block, word_spans
 
@@ -42,6 +43,17 @@ def encode_words(block: Block, separators: np.ndarray) -> Words:
     return Words(found.indices.to_numpy(zero_copy_only=False).astype(np.int32), start, stop, owner, found.dictionary)
 
 
+def word_hashes(block: Block, separators: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """64-bit hash, start, stop and text number of every word of a block.
+
+    Each distinct word is hashed once as a whole; unlike sums of powers, xxHash has no words of a simple
+    pattern that meet.
+    """
+    found = encode_words(block, separators)
+    each = np.fromiter(map(xxhash.xxh3_64_intdigest, found.words.to_pylist()), dtype=np.uint64, count=len(found.words))
+    return each[found.code] if len(each) else np.zeros(0, np.uint64), found.start, found.stop, found.owner
+
+
 def pack_words(words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes and offsets of a word array that starts at its first value."""
     n = len(words)

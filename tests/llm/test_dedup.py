@@ -153,3 +153,51 @@ def test_texts_without_id_whose_short_hashes_agree(make, prose):
 
 def test_repeats_of_nothing(make):
     assert repeats.remove_repeats(make([])).count() == 0
+
+
+def thue_morse(n):
+    even, odd = "a", "b"
+    while len(even) < n:
+        even, odd = even + odd, odd + even
+    return even, odd
+
+
+def test_words_that_simple_hashes_confuse(make):
+    """A Thue-Morse word and its complement agree in every polynomial hash modulo a power of two."""
+    rows = [(i, w) for i, w in enumerate([*thue_morse(1024), *thue_morse(4096)])]
+    assert found_components(make(rows), 4, 80) == [(i, 1, i, True) for i in range(4)]
+
+
+def near_copies(prose, copies):
+    """Copies with other similarities among themselves than to their source."""
+    import random
+
+    base = prose(3, 120).split(" ")
+    rows = [(0, " ".join(base))]
+    for i in range(1, copies):
+        r, words = random.Random(i), list(base)
+        for at in r.sample(range(120), r.randrange(1, 12)):
+            words[at] = f"x{i}y{at}"
+        rows.append((i, " ".join(words)))
+    return rows
+
+
+def test_many_near_copies_of_one_text(make, prose):
+    rows = near_copies(prose, 600)
+    assert found_components(make(rows), 4, 80) == brute_components(rows, 4, 80)
+
+
+def test_families_grow_with_the_copies_not_their_pairs(make, prose):
+    from pyspark.sql import functions as F
+
+    from protolith.llm.neardup import bucket_rows, families, signatures
+
+    def count(copies):
+        classes = signatures(make(near_copies(prose, copies)), 4).withColumns({"node": F.col("doc_id"), "label": F.col("doc_id"), "n": F.col("n_shingles")})
+        rows = bucket_rows(classes)
+        sizes = rows.groupBy("key").agg(F.count(F.lit(1)).alias("members"))
+        popular = rows.join(sizes, "key").groupBy("node").agg(F.sum("members").alias("pop"))
+        return families(classes.join(popular, "node")).count()
+
+    few, many = count(500), count(2000)
+    assert few >= 500 and many <= 5 * few
