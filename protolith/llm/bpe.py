@@ -19,7 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .textkit import Rolling, blocks, ranges
+from .textkit import blocks, ranges
 
 NONE = np.int32(1 << 30)
 SHORT = 48
@@ -240,8 +240,12 @@ class Codec:
         if not len(begin):
             return np.zeros(0, np.int32), np.zeros(len(start), np.int64)
         stop = np.append(begin[1:], len(data))
-        key = Rolling(data).at(begin, stop) ^ (stop - begin).astype(np.uint64)
-        _, one, same = np.unique(key, return_index=True, return_inverse=True)
+        # equal pieces are found by their bytes; they are numbered by first place
+        offsets = np.append(begin, len(data)).astype(np.int64)
+        each = pa.LargeBinaryArray.from_buffers(pa.large_binary(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(np.ascontiguousarray(data))])
+        same = each.dictionary_encode().indices.to_numpy(zero_copy_only=False)
+        one = np.empty(same.max() + 1, dtype=np.int64)
+        one[same[::-1]] = np.arange(len(same))[::-1]
         ids, (where, many) = self.pieces(data, begin[one], stop[one])
         flat = ids[ranges(where[same], many[same])]
         done = np.concatenate([[0], np.cumsum(many[same])])

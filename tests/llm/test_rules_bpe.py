@@ -80,3 +80,16 @@ def test_codec_of_the_table(documents):
         ids = t.encode(row.text or "", add_special_tokens=False).ids
         assert list(got[row.doc_id].ids) == ids and got[row.doc_id].n_tokens == len(ids)
         assert got[row.doc_id].decoded_sha256 == hashlib.sha256(row.text.encode()).hexdigest()
+
+
+def thue_morse(n):
+    even, odd = "a", "b"
+    while len(even) < n:
+        even, odd = even + odd, odd + even
+    return [even, odd]
+
+
+def test_codec_tells_words_apart_that_simple_hashes_confuse(make):
+    rows = list(enumerate([*thue_morse(1024), *thue_morse(4096), *thue_morse(1024)]))
+    got = bpe.encode(make(rows), vocabulary()).collect()
+    assert sorted(map(tuple, got)) == [(d, *expected(t)) for d, t in rows]
