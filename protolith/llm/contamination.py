@@ -19,7 +19,8 @@ from pyspark.sql import functions as F
 
 from protolith.session import cut_lineage
 
-from .textkit import LAST_ID, Rolling, blocks, lower_code, ranges, window_hashes, word_spans
+from .textkit import LAST_ID, blocks, ranges, window_hashes
+from .wordblocks import word_hashes
 
 TILE = 5
 COVERAGE = 0.5
@@ -37,8 +38,7 @@ def _separators() -> np.ndarray:
 
 def block_words(block) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of the words of a block (A-Z lower-cased, punctuation left out), and the bounds of its texts."""
-    start, stop, owner = word_spans(block, _separators())
-    words = Rolling(block.data, lower_code()).at(start, stop)
+    words, _, _, owner = word_hashes(block, _separators())
     return words, np.searchsorted(owner, np.arange(len(block.start)))
 
 

@@ -84,3 +84,14 @@ def test_items_that_share_an_id_or_have_none(spark, make, prose):
                                       [(4, chorus), (5, verse + " y " + verse + " " + prose(15, 4))], "item_id long, text string")
     found = sorted(((r.doc_id, r.item_id, r.tiled_words, r.item_words) for r in c.contaminated(make(rows), benchmark).collect()), key=str)
     assert found == [(1, 1, 40, 40), (2, 2, 30, 30), (3, None, 30, 30), (3, None, 30, 30), (4, 4, 40, 40), (5, 5, 20, 25)]
+
+
+def test_words_that_simple_hashes_confuse(spark, make, prose):
+    """Five long words and their complements: no item word is found in a text of the others."""
+    even, odd = "a", "b"
+    for _ in range(12):
+        even, odd = even + odd, odd + even
+    item = " ".join(even[i:] for i in (0, 0, 0, 0, 0, 0))
+    rows = [(1, item.replace("a", "?").replace("b", "a").replace("?", "b")), (2, item)]
+    benchmark = spark.createDataFrame([(1, item)], "item_id long, text string")
+    assert [r.doc_id for r in c.contaminated(make(rows), benchmark).collect()] == [2]
