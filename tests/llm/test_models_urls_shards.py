@@ -94,6 +94,9 @@ URLS = [
     "http://example.com/de", "ftp://w.org/fr/9#t", "http://notorg/fr/", "no scheme", None, "", "://", "http://adult-x.example.com/en/",
     "http://my.casino.test/a?b", "http://adultery.test/", "http://a.test/wp-login.php", "http://a.test/shop/cart/1", "http://É.net/ü",
     "http://a.test?/cart/", "http://b.net/a://c.org/fr/",
+    # blanks, tabs and line ends in a path decide nothing
+    "http://evil.com/.example.net /en/x", "http://a.com/x.net /y", "http://a.com/b /cart/z", "http://a.com/b\t/cart/z", "http://a.com/b\n/cart/z",
+    "http://a.com/\n/cart/z", "http://a b.adult.com/", "http://x.net\n/", "http://a.com/wp-login\n", "http://a.com/wp-login.php\n/", "http://w.org/\t/fr/",
 ]
 
 
@@ -106,7 +109,7 @@ def brute(url):
             if ("." + host).endswith("." + r.split("/")[0]) and path.startswith("/" + r.split("/", 1)[1])]
     if fits:
         return host, path, max(fits)[1], max(fits)[2]
-    other = any(re.search(p.pattern, f"{host} {path}") for p in urls.GENERAL)
+    other = re.search(r"(^|[.-])(adult|casino|poker|spam)[.-]", host) or re.search(r"^/([^ ]*/)?(wp-login(\.php)?(/|\Z)|cart/)", path)
     return host, path, None, "block" if other else "allow"
 
 
@@ -118,6 +121,23 @@ def test_urls(spark):
     assert urls.judge(pages.limit(0)).count() == 0
 
 
+def test_a_long_rule_list_is_joined(spark, monkeypatch):
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(URLS)] + [(None, "http://x.net/")] * 2, "page_id long, url string")
+    short = Counter(map(tuple, urls.judge(pages).collect()))
+    monkeypatch.setattr(urls, "SHORT_LIST", 3)
+    assert Counter(map(tuple, urls.judge(pages).collect())) == short
+    always = urls.Rule("all_a", "block", r"\Aa", "", ())
+    monkeypatch.setattr(urls, "GENERAL", (*urls.GENERAL, always))
+    table = urls.rule_table(spark, (*urls.LISTED, *(urls.host_rule("allow", f"h{i}.test/") for i in range(500)), *urls.GENERAL))
+    got = {r.page_id: (r.rule, r.verdict, r.pattern) for r in urls.judge_by_table(pages.filter("page_id IS NOT NULL"), table).collect()}
+    for i, u in enumerate(URLS):
+        host, _, rule, verdict = brute(u)
+        assert got[i][0] == rule and (rule is None or got[i][1] == verdict)
+        assert (got[i][2] is not None) == bool(host.startswith("a") or (rule is None and verdict == "block") or got[i][2]), u
+    assert urls.judge_by_table(pages.limit(0), table).count() == 0
+    assert urls.judge_by_table(pages, table.limit(0)).filter("verdict <> 'allow'").count() == 0
+
+
 def test_urls_of_the_table(spark):
     from compare import compare, connect
 
