@@ -71,3 +71,14 @@ def signal_regions(topology: Column) -> Column:
                  c_end.alias("end")),
     )
     return F.filter(regions, lambda r: r["start"] < r["end"])
+
+
+def summary_text(labels: Column, alphabet: str = "BbHhS.", signal: str = "S", membrane: str = "BbHh") -> Column:
+    """``sp:1-20|tm:25-45,60-80`` of a label string, 1-based; NULL when there is neither."""
+    def listed(mark: str, symbols: str) -> Column:
+        mine = F.filter(found, lambda r: r["symbol"].isin(*symbols))
+        places = F.transform(mine, lambda r: F.concat((r["start"] + 1).cast("string"), F.lit("-"), r["end"].cast("string")))
+        return F.when(F.size(mine) > 0, F.concat(F.lit(f"{mark}:"), F.array_join(places, ",")))
+
+    found = runs(labels, alphabet)
+    return F.nullif(F.concat_ws("|", listed("sp", signal), listed("tm", membrane)), F.lit(""))

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import GAP, attributes
 from ..session import stored
+from ..sources.gff3 import coding_exons
 from .ordered import climb, dealt, number_rows, scan
 
 # --- fixed values: feature types with a role ------------------------------------
@@ -281,3 +282,30 @@ def _exon_counts(exons: DataFrame, strict: bool) -> DataFrame:
             n = F.when(F.col(f"__lo_{c}") == F.col(f"__hi_{c}"), n).otherwise(failed)
         counts = counts.withColumn("n_exons", n)
     return counts.select("id", "n_exons")
+
+
+def annotation_rows(annotations: DataFrame) -> DataFrame:
+    """Protein features, as read from GFF3, ready for mapping: numbered, relabelled, without parts of signals.
+
+    A signal peptide gives up its id, and what names it as a parent loses that parent.
+    """
+    rows = annotations.filter(~F.coalesce(F.col("type").isin(*SIGNAL_PARTS), F.lit(False)))
+    rows = stored(rows.withColumn("feature_id", F.monotonically_increasing_id()) if "feature_id" not in rows.columns else rows, "annotations")
+    a = F.col("attributes")
+    signal = F.coalesce(F.col("type") == "signal_peptide", F.lit(False)) & a["id"].isNotNull()
+    freed = rows.filter(signal).groupBy(F.col("seqid").alias("__seqid")).agg(F.collect_set(a["id"]).alias("__freed"))
+    rows = rows.join(freed, F.col("seqid") == F.col("__seqid"), "left")
+    kept = F.when(F.col("__freed").isNotNull(), F.array_except(a["parent"], "__freed")).otherwise(a["parent"])
+    fixed = a.withField("id", F.when(~signal, a["id"])).withField("parent", kept)
+    return rows.select(
+        F.col("seqid").alias("id"), "feature_id", "type", relabel(F.col("source"), a["custom"]).alias("source"),
+        F.to_json(a["target"]).alias("target"), F.col("start").alias("p_start"), F.col("end").alias("p_end"), "score", fixed.alias("attributes"))
+
+
+def map_annotations(genes: DataFrame, annotations: DataFrame, field: str = "Parent", **how) -> DataFrame:
+    """Annotations of proteins onto the genome: the coding exons of ``genes`` by the id in ``field``, then :func:`map_to_genome`.
+
+    Both sides are features as :func:`protolith.sources.gff3.parse_gff3` gives them.  Annotations of proteins without exons are left out.
+    """
+    exons = coding_exons(genes, field).select("id", "seqid", "strand", "source", "start", "end")
+    return map_to_genome(annotation_rows(annotations), exons, **how)

@@ -174,7 +174,28 @@ def phenotype_parts(target: Column, part: int) -> Column:
     return F.split(F.split(F.trim(target), "#")[part], "__")
 
 
-def numeric_summary(results: DataFrame, members: tuple[str, ...] = VIRULENCE_DOMAINS) -> DataFrame:
+def _signed(strict: bool) -> list[Column]:
+    """Signed probabilities; with ``strict`` rows that disagree fail the job."""
+    out = []
+    for name, a, positives in SIGNED_COLUMNS:
+        args = (_field("prob", "double"), _field("prediction"), list(positives), _is(a))
+        value = A.signed_prob(*args)
+        if strict:
+            failed = F.raise_error(F.concat(F.lit(f"several values of {name}: "), F.first("checksum"))).cast("double")
+            value = F.when(A.signed_prob_conflict(*args), failed).otherwise(value)
+        out.append(value.alias(name))
+    return out
+
+
+def prediction_conflicts(results: DataFrame) -> DataFrame:
+    """``checksum, column`` where the rows of a sequence disagree about a signed probability."""
+    parsed = _parse(results.filter(F.col("analysis").isin(*{a for _, a, _ in SIGNED_COLUMNS})), ("prob", "prediction"))
+    flags = [A.signed_prob_conflict(_field("prob", "double"), _field("prediction"), list(pos), _is(a)).alias(out) for out, a, pos in SIGNED_COLUMNS]
+    names = F.filter(F.array(*[F.when(F.col(out), F.lit(out)) for out, _, _ in SIGNED_COLUMNS]), lambda c: c.isNotNull())
+    return parsed.groupBy("checksum").agg(*flags).select("checksum", F.explode(names).alias("column"))
+
+
+def numeric_summary(results: DataFrame, members: tuple[str, ...] = VIRULENCE_DOMAINS, strict: bool = False) -> DataFrame:
     """All single-valued columns, one hash aggregate per checksum."""
     rows = _parse(results, MAX_PAYLOAD)
     hit = _is("phibase") & alignment_significant(_field("evalue", "double"), _field("tcov", "double"))
@@ -193,9 +214,7 @@ def numeric_summary(results: DataFrame, members: tuple[str, ...] = VIRULENCE_DOM
     columns += [
         A.prob_of_prediction(_field("prob", "double"), _field("prediction"), v, _is("deepsig")).alias(out)
         for out, v in DEEPSIG_PROBS]
-    columns += [
-        A.signed_prob(_field("prob", "double"), _field("prediction"), list(pos), _is(a)).alias(out)
-        for out, a, pos in SIGNED_COLUMNS]
+    columns += _signed(strict)
     columns += [
         has(EFFECTOR_PHENOTYPES).alias("has_phibase_effector_match"),
         has(VIRULENCE_PHENOTYPES).alias("has_phibase_virulence_match"),
@@ -356,15 +375,15 @@ def median_overlap(items: DataFrame, out: str = "tmhmm_first_tm_sp_coverage") ->
 
 
 def wide_summary(results: DataFrame, decoder: DataFrame,
-                 members: tuple[str, ...] = VIRULENCE_DOMAINS) -> DataFrame:
-    """The 73 aggregates per ``name, checksum``."""
+                 members: tuple[str, ...] = VIRULENCE_DOMAINS, strict: bool = False) -> DataFrame:
+    """The 73 aggregates per ``name, checksum``; with ``strict`` conflicting predictions fail the job."""
     from .store import distinct_results
 
     # the lists count repeats, so they need distinct rows; the maxima do not
     distinct = distinct_results(
         results.filter(F.col("analysis").isin(*LIST_ANALYSES, *SIGNAL_ANALYSES)))
     folded = (
-        numeric_summary(results, members)
+        numeric_summary(results, members, strict)
         .join(list_summary(distinct), "checksum", "left")
         .join(signal_summary(distinct), "checksum", "left")
     )

@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.attributes import attributes, custom_from, target
+from ..functions.attributes import attributes, custom_from, gap_from_cigar, gap_text, target
+from ..operators.ordered import number_rows
 from ..operators.sequences import normalise
-from ..session import scratch
+from ..session import scratch, stored
 from ..sinks import writers
 from ..sources import blocks, gff3, interpro, lines, sequences
 from . import bindings as B
@@ -100,6 +103,45 @@ def _line_sources(spark, sf) -> dict[str, Column]:
     }
 
 
+# the other kinds as one line each: name {n}, integer {k}, number {s}, and [good>bad] where every tenth line is malformed;
+# then the integer and the number the check looks at, with their SQL, and the field that is malformed
+_HUNDREDTH = "CAST(k AS DOUBLE) / 100"
+_TEMPLATES = {
+    "signalp3_nn": ("{n}  {s} 21 [Y>X]  0.6 {k} Y  0.9 5 Y  0.8 Y  0.7 Y", "ymax_pos", "k", "cmax", _HUNDREDTH, "cmax_decision"),
+    "signalp3_hmm": ("{n}  S  {s} {k} Y  0.99 [Y>X]", "cmax_pos", "k", "cmax", _HUNDREDTH, "sprob_decision"),
+    "signalp4": ("{n} {s} 21 0.6 {k} 0.9 5 0.8 0.7 [Y>X] 0.45 SignalP-noTM", "ymax_pos", "k", "cmax", _HUNDREDTH, "decision"),
+    "signalp5": ("{n}\t[SP(Sec/SPI)>Odd]\t{s}\t0.1\tCS pos: {k}-21. VLA-AP. Pr: 0.85", "prob_other", "0", "prob_signal", _HUNDREDTH, "prediction"),
+    "signalp6": ("{n}\t[SP>Odd]\t0.1\t{s}\tCS pos: 20-21. Pr: 0.85", "prob_other", "0", "prob_signal", _HUNDREDTH, "prediction"),
+    "deeploc": ("{n}\t[Nucleus>Odd]\t{s}" + "\t0.1" * 10, "peroxisome", "0", "membrane", _HUNDREDTH, "prediction"),
+    "deeploc2": ("{n},[Cytoplasm|Nucleus>Odd],Signal peptide,{s}" + ",0.25" * 9, "peroxisome", "0", "cytoplasm", _HUNDREDTH, "localisations"),
+    "targetp_plant": ("{n}\t[cTP>Odd]\t{s}\t0.1\t0.1\t0.6\t0.1\tCS pos: 20-21. VLA-AP. Pr: 0.5", "lutp", "0", "other", _HUNDREDTH, "prediction"),
+    "targetp_non_plant": ("{n}\t[noTP>Odd]\t{s}\t0.05\t0.05", "mtp", "0", "other", _HUNDREDTH, "prediction"),
+    "effectorp1": ("{n}\t[Effector>Odd]\t{s}", "prob", "0", "prob", _HUNDREDTH, "prediction"),
+    "effectorp2": ("{n}\t[Unlikely effector>Odd]\t{s}", "prob", "0", "prob", _HUNDREDTH, "prediction"),
+    "effectorp3_fungal": ("{n}\t-\t-\tY ({s})\t[Non-effector>Odd]", "noneffector_prob", "0", "noneffector_prob", _HUNDREDTH, "prediction"),
+    "apoplastp": ("{n}\t[Apoplastic>Odd]\t{s}", "prob", "0", "prob", _HUNDREDTH, "prediction"),
+    "pfamscan": ("{n} 11 50 10 51 PF1.1 dom Family 2 40 {k} {s} 1e-10 [1>7] No_clan predicted_active_site[5,9][30]", "hmm_len", "k", "bitscore",
+                 _HUNDREDTH, "is_significant"),
+    "effectordb": ("E.hmm.hmm - 100 {n} - 200 1e-20 {s} 0.1 1 1 1e-20 1e-19 59 0.1 1 [100>end] 11 {k} 1 190 0.9 -", "query_to", "k", "full_score",
+                   _HUNDREDTH, "hmm_to"),
+    "regexanalysis": ("{n}\tcustom\tR.L\tRAL\t{k}\t[9>x]", "start", "k", "start", "CAST(k AS DOUBLE)", "end"),
+    "kex2_cutsite": ("{n}\tkex2_cutsite\t[KR]R\tKR\t{k}\t[9>x]", "start", "k", "start", "CAST(k AS DOUBLE)", "end"),
+    "rxlr_like_motif": ("{n}\trxlr_like_motif\tx\tRALR\t{k}\t[9>x]", "start", "k", "start", "CAST(k AS DOUBLE)", "end"),
+    "deepredeff_fungi": ("{n}\t{s}\t[effector>odd]", "s_score", "0", "s_score", _HUNDREDTH, "prediction"),
+    "deepredeff_oomycete": ("{n}\t{s}\t[non-effector>odd]", "s_score", "0", "s_score", _HUNDREDTH, "prediction"),
+    "deepredeff_bacteria": ("{n}\t{s}\t[effector>odd]", "s_score", "0", "s_score", _HUNDREDTH, "prediction"),
+}
+
+
+def _from_template(template: str) -> Column:
+    def filled(which: int) -> Column:
+        text = F.lit(re.sub(r"\[([^\[\]>]*)>([^\[\]]*)\]", lambda m: m[which], template))
+        for token, value in (("{n}", _name()), ("{k}", _s("k")), ("{s}", F.format_string("0.%02d", F.col("k")))):
+            text = F.replace(text, F.lit(token), value)
+        return text
+    return F.when(F.col("k") % 10 == 9, filled(2)).otherwise(filled(1))
+
+
 # per kind: the two integers and the number the check looks at
 _LINE_VIEWS = {
     "deepsig": ("cs_pos", "prob", "prediction"), "tmhmm": ("pred_hel", "exp_aa", "exp_aa"),
@@ -120,6 +162,8 @@ def _lines_sql() -> str:
     }
     problems = {"deepsig": "prediction", "tmhmm": "pred_hel", "phobius": "sp", "localizer": "mitochondria_decision",
                 "effectorp3": "prediction", "phibase": "bits", "dbcan": "hmm_to"}
+    for kind, (_, _, i, _, x, problem) in _TEMPLATES.items():
+        views[kind], problems[kind] = (i, x), problem
     parts = []
     for kind, (i, x) in views.items():
         parts.append(
@@ -131,13 +175,15 @@ def _lines_sql() -> str:
 
 @job("src_lines", _lines_sql())
 def src_lines(spark, sf):
-    """Seven formats written as files and ingested; a tenth of the lines is malformed."""
-    rows = B.events(spark, sf)
+    """All formats written as files and ingested; a tenth of the lines is malformed."""
+    rows = stored(B.events(spark, sf).select("e", "k"), "events")
+    sources = {**_line_sources(spark, sf), **{kind: _from_template(t[0]) for kind, t in _TEMPLATES.items()}}
+    assert set(sources) == set(lines.FORMATS)
     out = None
-    for kind, line in _line_sources(spark, sf).items():
+    for kind, line in sources.items():
         parsed = lines.read_lines(spark, kind, _written(spark, rows, line, kind))
-        i, x, _ = _LINE_VIEWS[kind]
-        name = "query" if kind in ("phibase", "dbcan") else "name"
+        i, x = _LINE_VIEWS[kind][:2] if kind in _LINE_VIEWS else (_TEMPLATES[kind][1], _TEMPLATES[kind][3])
+        name = "query" if kind in ("phibase", "dbcan", "effectordb") else "name"
         view = parsed.select(
             F.lit(kind).alias("kind"), F.col(f"data.{name}").alias("name"),
             F.floor(F.col(f"data.{i}").cast("double")).cast("int").alias("i"),
@@ -452,3 +498,42 @@ def src_xml_quarantine(spark, sf):
     return (interpro.features(proteins).select("seqid", "source", "start", "end", F.lit(None).cast("string").alias("problem"))
             .unionByName(interpro.bad_features(proteins).select("seqid", "source", "start", "end", "problem"))
             .unionByName(interpro.bad_proteins(proteins).select(*nothing, "problem")))
+
+
+# -- small tables and lists ------------------------------------------------------------------
+@job("src_id_list", f"{EV} SELECT DISTINCT 'D' || CAST(k AS STRING) AS id FROM ev")
+def src_id_list(spark, sf):
+    """One id per line, repeated, with blanks around and empty lines between."""
+    line = F.concat(F.lit(" D"), _s("k"), F.lit(" \n"))
+    return sequences.read_id_list(spark, _written(spark, B.events(spark, sf), line, "ids")).select("id")
+
+
+@job("gap_from_cigar", f"{EV} SELECT e, 'M' || CAST(k + 1 AS STRING) || ' D2 I' || CAST(k % 7 AS STRING) AS gap FROM ev")
+def gap_from_cigar_job(spark, sf):
+    cigar = F.concat((F.col("k") + 1).cast("string"), F.lit("M2D"), (F.col("k") % 7).cast("string"), F.lit("I"))
+    return B.events(spark, sf).select("e", gap_text(gap_from_cigar(cigar)).alias("gap"))
+
+
+@job("snk_matches", f"{EV} SELECT 'P' || CAST(e AS STRING) AS name, 'custom' AS kind, 'R.L' AS pattern, event_type AS match, k AS start, k + 3 AS \"end\" FROM ev")
+def snk_matches(spark, sf):
+    """Motif hits as a table, read back by the reader of such tables."""
+    hits = B.events(spark, sf).select(_name().alias("name"), F.lit("custom").alias("kind"), F.lit("R.L").alias("pattern"),
+                                      F.col("event_type").alias("match"), F.col("k").alias("start"), (F.col("k") + 3).alias("end"))
+    path = scratch(spark, "matches")
+    writers.write_matches(hits, path)
+    return lines.good(lines.read_lines(spark, "regexanalysis", path)).select("data.*").select("name", "kind", "pattern", "match", "start", "end")
+
+
+@job("snk_bedgraph", "WITH b AS (SELECT 'q' || CAST(l_suppkey AS STRING) AS q, l_partkey AS s, max(l_discount) AS v FROM lineitem GROUP BY 1, 2) "
+     "SELECT q AS seqid, s AS start, s + 1 AS \"end\", CASE WHEN v > 0 THEN v END AS value, row_number() OVER (ORDER BY q, s) - 1 AS line FROM b")
+def snk_bedgraph(spark, sf):
+    """Written in order of sequence and start, read back with the place of each line."""
+    rows = B.table(spark, sf, "lineitem").groupBy(F.concat(F.lit("q"), _s("l_suppkey")).alias("seqid"), F.col("l_partkey").alias("start")).agg(
+        F.max("l_discount").alias("v")).selectExpr("seqid", "start", "start + 1 AS end", "CASE WHEN v > 0 THEN v END AS value")
+    path = scratch(spark, "bedgraph")
+    writers.write_bedgraph(rows, path)
+    read = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("n"))
+    placed = number_rows(read.filter("value NOT LIKE '#%'"), ["file", "n"], out="line")
+    f = F.split("value", "\t")
+    return placed.select(f[0].alias("seqid"), f[1].cast("bigint").alias("start"), f[2].cast("bigint").alias("end"),
+                         F.when(f[3] != "NA", f[3].try_cast("double")).alias("value"), "line")

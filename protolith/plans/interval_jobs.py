@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.attributes import attributes
+from ..functions.attributes import attributes, target
 from ..operators import genome_scores, graph, projection
+from ..operators.ordered import climb, dealt
 from ..session import scratch
 from ..sinks import writers
 from ..sources import gff3
@@ -84,7 +85,7 @@ def feature_groups(spark, sf):
     return groups.select("id", "g.*", "n", "first_id")
 
 
-def _kids_sql(grouped: bool) -> str:
+def _kids_sql(grouped: bool, features: str = LINE_FEATURES) -> str:
     keep = (
         "kept AS (SELECT * FROM lf WHERE type <> 'n_terminal_region' AND (type <> 'propeptide_cleavage_site' "
         "OR id IN (SELECT id FROM lf WHERE type = 'signal_peptide')))" if grouped else "kept AS (SELECT * FROM lf)")
@@ -92,7 +93,7 @@ def _kids_sql(grouped: bool) -> str:
     same = "a.id = b.id AND a.type = b.type AND a.source = b.source AND a.gt IS NOT DISTINCT FROM b.gt AND " \
            "a.gs IS NOT DISTINCT FROM b.gs AND a.ge IS NOT DISTINCT FROM b.ge"
     return (
-        f"{PROJ}, {LINE_FEATURES}, {keep}, keyed AS (SELECT *, {keys} FROM kept), ne AS (SELECT id, COUNT(*) AS n FROM ex "
+        f"{PROJ}, {features}, {keep}, keyed AS (SELECT *, {keys} FROM kept), ne AS (SELECT id, COUNT(*) AS n FROM ex "
         "GROUP BY 1), groups AS (SELECT id, type, source, gt, gs, ge, min(feature_id) AS first_id FROM keyed JOIN ne USING (id) "
         "WHERE NOT (type LIKE 'protein%' AND n = 1) GROUP BY 1, 2, 3, 4, 5, 6), numbered AS (SELECT *, row_number() OVER "
         "(PARTITION BY id ORDER BY first_id) AS i FROM groups), named AS (SELECT *, CASE WHEN type LIKE 'protein%' THEN "
@@ -102,9 +103,9 @@ def _kids_sql(grouped: bool) -> str:
         f"{same})")
 
 
-def _mapped_sql(grouped: bool) -> str:
+def _mapped_sql(grouped: bool, features: str = LINE_FEATURES) -> str:
     return (
-        f"{_kids_sql(grouped)} SELECT id, source, CASE WHEN of_type LIKE 'protein%' THEN of_type ELSE 'region' END AS type, "
+        f"{_kids_sql(grouped, features)} SELECT id, source, CASE WHEN of_type LIKE 'protein%' THEN of_type ELSE 'region' END AS type, "
         "CASE WHEN of_type NOT LIKE 'protein%' THEN of_type END AS kind, seqid, min(start) AS start, max(\"end\") AS \"end\", "
         "strand, NULL AS feature_id, parent AS own_id, NULL AS parent FROM kids WHERE parent IS NOT NULL "
         "GROUP BY id, source, of_type, seqid, strand, parent UNION ALL SELECT id, source, CASE WHEN parent IS NOT NULL AND "
@@ -122,6 +123,30 @@ def project_generic(spark, sf):
     return projection.map_to_genome(B.line_features(spark, sf), B.exons(spark, sf), grouped=False)
 
 
+_TWO_MODELS = LINE_FEATURES.replace("THEN 'toolA'", "THEN CASE WHEN l_orderkey % 2 = 0 THEN 'SignalPNN:3.0b' ELSE 'SignalPHMM:3.0b' END")
+
+
+@job("map_annotations", f"SELECT * EXCLUDE (feature_id, own_id, parent), feature_id IS NULL AS top, COALESCE(own_id, '') || COALESCE(parent, '') AS link "
+     f"FROM ({_mapped_sql(True, _TWO_MODELS)})")
+def map_annotations(spark, sf):
+    """Gene and annotation features, as read from files, through the whole mapping job."""
+    exons = B.exons(spark, sf)
+    genes = exons.select("seqid", "source", F.lit("CDS").alias("type"), "start", "end", F.lit(None).cast("double").alias("score"), "strand",
+                         F.lit("0").alias("phase"), attributes(parent=F.array(F.col("id").cast("string"))).alias("attributes"))
+    genes = genes.unionByName(genes.withColumn("type", F.lit("mRNA"))).unionByName(genes.limit(5).withColumn("attributes", attributes()))
+    rows = B.line_features(spark, sf)
+    custom = F.when(F.col("id") % 2 == 0, F.create_map(F.lit("d_decision"), F.array(F.lit("Y")))).otherwise(F.create_map(F.lit("x"), F.array(F.lit("1"))))
+    found = rows.select(
+        F.col("id").cast("string").alias("seqid"), F.when(F.col("source") == "toolA", "SignalP:3.0b").otherwise(F.col("source")).alias("source"), "type",
+        F.col("p_start").alias("start"), F.col("p_end").alias("end"), F.lit(None).cast("double").alias("score"), F.lit(".").alias("strand"),
+        F.lit(".").alias("phase"), attributes(id=F.concat(F.lit("f"), F.col("feature_id").cast("string")),
+                                              target=target(F.col("target"), F.lit(0), F.lit(9)), custom=custom).alias("attributes"), "feature_id")
+    mapped = projection.map_annotations(genes, found)
+    return mapped.select(F.col("id").cast("bigint").alias("id"), "source", "type", "kind", "seqid", F.col("start").cast("bigint").alias("start"),
+                         F.col("end").cast("bigint").alias("end"), "strand", F.col("feature_id").isNull().alias("top"),
+                         F.concat(F.coalesce("own_id", F.lit("")), F.coalesce("parent", F.lit(""))).alias("link"))
+
+
 _SCORE = "CAST(feature_id % 100 AS DOUBLE) / 4"
 _MATCH = "of_type LIKE 'protein%'"
 
@@ -291,3 +316,39 @@ def parents_from_links(spark, sf):
     """Parent lists rebuilt from the links of the graph."""
     rows = graph.with_parents(B.tree_nodes(spark, sf).select("id"), B.shared_edges(spark, sf))
     return rows.select("id", F.array_join("parent", "|").alias("parents"))
+
+
+_PRINTED = "CASE WHEN id LIKE 'C%' AND CAST(substr(id, 2) AS INT) % 4 = 2 THEN 'c_terminal_region' ELSE type END"
+
+
+@job("snk_gff_tree", f"{_PATHS.format(edges=B.SHARED_EDGES_SQL).replace('b := type', 'b := kind').replace('b := n.type', 'b := n.kind').replace('FROM nodes WHERE parent_id IS NULL', 'FROM kinds WHERE parent_id IS NULL').replace('JOIN nodes n', 'JOIN kinds n').replace(', edges AS', f', kinds AS (SELECT *, {_PRINTED} AS kind FROM nodes), edges AS', 1)}"
+     ", best AS (SELECT id, arg_min(root_id, path) AS root_id, min(path) AS path FROM walk GROUP BY id), heads AS (SELECT root_id, "
+     "row_number() OVER (ORDER BY min(path)) - 1 AS family FROM best GROUP BY root_id) SELECT id, family, row_number() OVER (ORDER BY path) - 1 AS line "
+     "FROM best JOIN heads USING (root_id) JOIN kinds USING (id) WHERE kind <> 'c_terminal_region'")
+def snk_gff_tree(spark, sf):
+    """A feature graph with shared children written in tree order, read back file by file: which family and line each feature is."""
+    nodes = graph.with_parents(B.tree_nodes(spark, sf).drop("parent_id"), B.shared_edges(spark, sf))
+    features = nodes.select(
+        F.lit("chr").alias("seqid"), F.lit("src").alias("source"), F.expr(_PRINTED).alias("type"), "start", F.lit(99).alias("end"),
+        F.lit(None).cast("double").alias("score"), F.lit("+").alias("strand"), F.lit(".").alias("phase"), attributes(id=F.col("id"), parent=F.col("parent")).alias("attributes"))
+    path = scratch(spark, "gff-tree")
+    # ids break ties as in the check
+    writers.write_gff3_tree(features.withColumn("id", F.col("attributes.id")), path, sort=("start", "type", "id"))
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_name").alias("file"), F.monotonically_increasing_id().alias("n"))
+    placed = dealt(lines, ["file", "n"])
+    swept = climb(placed.rows, placed.bins, sums={"family": (F.col("value") == "###").cast("bigint"), "line": (F.col("value") != "###").cast("bigint")})
+    return swept.filter("value <> '###'").select(F.regexp_extract("value", "ID=([^;]+)", 1).alias("id"), "family", "line")
+
+
+@job("fit_to_children", "WITH c AS (SELECT l_orderkey, min(l_partkey) AS lo, max(l_partkey + CAST(l_quantity AS INT)) AS hi FROM lineitem GROUP BY 1) "
+     "SELECT o_orderkey AS id, COALESCE(lo, 5) AS start, COALESCE(hi, 6) AS \"end\" FROM orders LEFT JOIN c ON l_orderkey = o_orderkey")
+def fit_to_children(spark, sf):
+    parents = B.table(spark, sf, "orders").selectExpr("o_orderkey AS id", "CAST(5 AS BIGINT) AS start", "CAST(6 AS BIGINT) AS end")
+    children = B.table(spark, sf, "lineitem").selectExpr("l_orderkey AS id", "l_partkey AS start", "l_partkey + CAST(l_quantity AS INT) AS end")
+    return projection.fit_to_children(parents, children, "id")
+
+
+@job("numeric_subset", "SELECT 'O' || CAST(o_orderkey AS STRING) AS name, o_totalprice AS charge FROM orders")
+def numeric_subset(spark, sf):
+    ranked = B.table(spark, sf, "orders").selectExpr("'O' || o_orderkey AS name", "o_totalprice AS charge", "o_custkey AS effector_score")
+    return genome_scores.numeric_subset(ranked, ["charge"])

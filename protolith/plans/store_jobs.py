@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ..analyses import ANALYSES
 from ..functions.checksums import record_checksum
+from ..functions.topology import summary_text
 from ..operators import projection, store
 from ..operators.features import with_running_id
 from ..session import scratch
@@ -280,3 +281,19 @@ def src_ldjson(spark, sf):
     lines = spark.read.text(path).withColumn("real", F.get_json_object("value", "$.real"))
     return parse_results(lines).select(
         F.col("real").alias("analysis"), "software_version", "database_version", "checksum", "data", "problem")
+
+
+@job("drop_name", f"{RES} SELECT e, analysis, NULL AS name, FALSE AS in_payload FROM res")
+def drop_name(spark, sf):
+    """Payloads without their names."""
+    rows = store.prepare(B.results(spark, sf), drop_name=True)
+    named = F.get_json_object("data", "$.name").isNotNull() | F.get_json_object("data", "$.query").isNotNull()
+    return rows.select("e", "analysis", "name", named.alias("in_payload"))
+
+
+@job("topology_text", f"{RES} SELECT e, CASE WHEN k > 0 THEN 'sp:1-' || CAST(k AS STRING) || '|' ELSE '' END || 'tm:' || CAST(k + 6 AS STRING) || '-' "
+     "|| CAST(k + 20 AS STRING) || CASE WHEN k > 0 THEN ',' || CAST(k + 21 AS STRING) || '-' || CAST(k + 20 + k AS STRING) ELSE '' END AS topology "
+     "FROM res WHERE analysis = 'tmbed'")
+def topology_text(spark, sf):
+    rows = B.results(spark, sf).filter("analysis = 'tmbed'")
+    return rows.select("e", summary_text(F.get_json_object("data", "$.topology")).alias("topology"))

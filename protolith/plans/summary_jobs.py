@@ -390,3 +390,15 @@ def topology_flags(spark, sf):
         "doc_id", F.translate(F.lower(text), _LABELS[0], _LABELS[1]).alias("s"))
     return labels.select("doc_id", signal_flag(F.col("s")).alias("has_sp"),
                          membrane_flag(F.col("s")).alias("has_tm"))
+
+
+def _signed_sql(out: str, kind: str, positives: tuple[str, ...]) -> str:
+    yes = ", ".join(f"'{x}'" for x in positives)
+    signed = f"CASE WHEN {p(kind, 'prediction')} IN ({yes}) THEN {p(kind, 'prob')} ELSE 1 - {p(kind, 'prob')} END"
+    return f"SELECT checksum, '{out}' AS \"column\" FROM res WHERE analysis = '{kind}' GROUP BY checksum HAVING min({signed}) <> max({signed})"
+
+
+@job("prediction_conflicts", f"{RES} " + " UNION ALL ".join(_signed_sql(*x) for x in summary.SIGNED_COLUMNS))
+def prediction_conflicts(spark, sf):
+    """Sequences whose rows disagree about a signed probability."""
+    return summary.prediction_conflicts(B.results(spark, sf))

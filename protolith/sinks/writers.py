@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 from ..functions.attributes import attributes_text
 from ..functions.text import number_text
+from ..operators.graph import tree_order
+from ..operators.projection import SIGNAL_PARTS
 from ..operators.store import name_column
+from ..session import stored
 
 ENVELOPE_ORDER = (
     "analysis", "software", "software_version", "checksum", "md5sum", "data", "database",
@@ -82,6 +85,40 @@ def write_gff3(df: DataFrame, path: str, partition: list[str] | None = None) ->
     _write_lines(df, gff_line(), path, partition)
 
 
+def gff_tree_lines(df: DataFrame, sort: tuple[str, ...] = ("seqid", "start", "end", "type"), skip: tuple[str, ...] = SIGNAL_PARTS,
+                   within: list[str] | None = None) -> DataFrame:
+    """Lines in depth-first order, each family closed by ``###``: ``*within, family, position, value``.
+
+    Children follow their parent; a feature below several parents stands where a walk first comes to it.  ``family``
+    is the position of the root.  Types in ``skip`` are left out, their children are not.  ``within``
+    names columns that split the features into files of their own.
+    """
+    within = within or []
+    rows = stored(df.withColumn("__n", F.monotonically_increasing_id()), "features")
+    a = F.col("attributes")
+    owners = rows.filter(a["id"].isNotNull()).groupBy(*within, a["id"].alias("__owner")).agg(F.min("__n").alias("parent_id"))
+    edges = rows.select(*within, F.col("__n").alias("child_id"), F.explode(a["parent"]).alias("__owner")).join(
+        owners, [*within, "__owner"]).select("child_id", "parent_id")
+    placed = tree_order(rows.select("__n", *sort), edges, list(sort), id_="__n").select("__n", "root_id", "position")
+    placed = stored(placed, "placed")
+    roots = placed.filter("__n = root_id").select("root_id", F.col("position").alias("family"))
+    lines = rows.join(placed, "__n").join(roots, "root_id")
+    ends = lines.groupBy(*within, "family").agg(F.max("position").alias("position")).select(
+        *within, "family", "position", F.lit(1).alias("__kind"), F.lit("###").alias("value"))
+    kept = lines.filter(~F.coalesce(F.col("type").isin(*skip), F.lit(False)))
+    return kept.select(*within, "family", "position", F.lit(0).alias("__kind"), gff_line().alias("value")).unionByName(ends)
+
+
+def write_gff3_tree(df: DataFrame, path: str, partition: list[str] | None = None, files: int | None = None, **how) -> None:
+    """Feature files in tree order: families are dealt into ranges by their root, so each is whole in one file
+    and the files follow each other in the order of their names."""
+    lines = gff_tree_lines(df, within=partition, **how)
+    files = files or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    order = [*(partition or []), "family", "position", "__kind"]
+    dealt = lines.repartitionByRange(files, *(partition or []), "family").sortWithinPartitions(*order).select("value", *(partition or []))
+    (dealt.write.mode("overwrite").partitionBy(*partition) if partition else dealt.write.mode("overwrite")).text(path)
+
+
 def write_bedgraph(df: DataFrame, path: str) -> None:
     """Sorted by sequence and start, missing values as NA."""
     ordered = df.withColumnRenamed("seqid", "#seqid").orderBy("#seqid", "start")
