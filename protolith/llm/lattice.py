@@ -8,20 +8,23 @@ over all ways to cut it into pieces, by the forward recursion in log space.  Eve
 piece, so every text has a probability.
 
 Words are looked at once each, however often they are found: blocks of texts become word numbers with
-an exact dictionary (``wordblocks``), the dictionaries meet in one shuffle, which counts the words, and
-counts and probabilities travel back to the blocks in another.  Nothing that grows with the corpus is
-collected or broadcast; the pieces are bounded by the vocabulary file.
+an exact dictionary (``wordblocks``).  The dictionaries are dealt into ranges of a word hash, one row for
+each block and range; a range adds up the counts, and later brings counts and probabilities of its words
+to each block's places, again as one row for each block and range.  Nothing that grows with the corpus
+is collected or broadcast; the pieces are bounded by the vocabulary file.
 """
 
 from __future__ import annotations
 
 import math
+from collections import defaultdict
 from collections.abc import Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+import xxhash
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from protolith.session import stored
@@ -29,10 +32,14 @@ from protolith.session import stored
 from .textkit import blocks
 from .wordblocks import byte_set, encode_words
 
-BLOCK_BYTES = 16_000_000
+BLOCK_BYTES = 4_000_000
 #: Bytes of words that share one matrix of arcs.
-PART_BYTES = 1 << 17
+PART_BYTES = 1 << 15
 ROUNDS = 2
+#: Word occurrences to a range at most, and the least number of ranges.
+RANGE, RANGES = 4_000_000, 256
+#: Words of a range that stand in one row.
+ROW_WORDS = 20_000
 #: Weight of the first weights against the expected counts of the corpus, in pieces.
 PRIOR = 1000.0
 ZIPF_SHIFT = 2.7
@@ -215,6 +222,11 @@ def log_weights(share: np.ndarray, end: float) -> np.ndarray:
         return np.append(np.log(share) + math.log1p(-end), -np.inf)
 
 
+def _lists(values: np.ndarray, at: np.ndarray) -> pa.Array:
+    """Runs of ``values`` from ``at`` to the next as list rows."""
+    return pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), pa.array(values))
+
+
 def text_blocks(docs: DataFrame) -> DataFrame:
     """``block, ids, held, learn, n, codes, words, found``: texts as word numbers, with the dictionary of
     each block and how often its words are found in texts to learn from."""
@@ -242,9 +254,93 @@ def text_blocks(docs: DataFrame) -> DataFrame:
     return rows.mapInArrow(run, schema).withColumn("block", F.monotonically_increasing_id())
 
 
-def fit(known: DataFrame, pieces: Pieces, texts: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
-    """Shares of the pieces and the share of the end symbol, from training words ``word, c``."""
-    spark = known.sparkSession
+def dealt_words(cut: DataFrame, ranges: int) -> DataFrame:
+    """``range, block, places, words, found``: the dictionary of each block, a row for each range of word hashes."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                words = batch.column(1)[i].values
+                if not len(words):
+                    continue
+                each = np.fromiter(map(xxhash.xxh3_64_intdigest, words.to_pylist()), dtype=np.uint64, count=len(words)) % np.uint64(ranges)
+                order = np.argsort(each, kind="stable")
+                full, at = np.unique(each[order], return_index=True)
+                at = np.append(at, len(order))
+                taken = words.take(pa.array(order))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array(full.astype(np.int32)), pa.array([batch.column(0)[i].as_py()] * len(full), pa.int64()),
+                    _lists(order.astype(np.int32), at), pa.ListArray.from_arrays(pa.array(at.astype(np.int32)), taken),
+                    _lists(batch.column(2)[i].values.to_numpy()[order], at)], ["range", "block", "places", "words", "found"])
+
+    return cut.select("block", "words", "found").mapInArrow(run, "range int, block long, places array<int>, words array<binary>, found array<long>")
+
+
+def _row(batch: pa.RecordBatch, column: int, i: int) -> pa.Array:
+    return batch.column(column)[i].values
+
+
+def word_counts(dealt: DataFrame) -> DataFrame:
+    """``range, words, counts``: the distinct words of a range with their counts in training texts, in rows of bounded size."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, defaultdict(int)
+
+        def counted() -> Iterator[pa.RecordBatch]:
+            words, counts = list(total), list(total.values())
+            for lo in range(0, len(words), ROW_WORDS):
+                part = words[lo:lo + ROW_WORDS]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([now], pa.int32()), pa.ListArray.from_arrays(pa.array([0, len(part)], pa.int32()), pa.array(part, pa.binary())),
+                    _lists(np.array(counts[lo:lo + ROW_WORDS], dtype=np.int64), np.array([0, len(part)]))], ["range", "words", "counts"])
+
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here = batch.column(0)[i].as_py()
+                if here != now:
+                    yield from counted()
+                    now, total = here, defaultdict(int)
+                for word, n in zip(_row(batch, 1, i).to_pylist(), _row(batch, 2, i).to_pylist()):
+                    total[word] += n
+        yield from counted()
+
+    rows = dealt.select("range", "words", "found").repartition("range").sortWithinPartitions("range")
+    return rows.mapInArrow(run, "range int, words array<binary>, counts array<long>")
+
+
+def facts_of_blocks(dealt: DataFrame, judged: DataFrame) -> DataFrame:
+    """``block, places, counts, logs``: what a range's table ``range, words, counts, logs`` says about a block's words."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, at, counts, logs = None, {}, [], []
+        for batch in batches:
+            for i in range(batch.num_rows):
+                here, block = batch.column(0)[i].as_py(), batch.column(1)[i]
+                if here != now:
+                    now, at, counts, logs = here, {}, [], []
+                if not block.is_valid:
+                    # rows of the table come first
+                    for word in _row(batch, 3, i).to_pylist():
+                        at[word] = len(at)
+                    counts.append(_row(batch, 4, i).to_numpy())
+                    logs.append(_row(batch, 5, i).to_numpy())
+                    continue
+                if len(counts) > 1:
+                    counts, logs = [np.concatenate(counts)], [np.concatenate(logs)]
+                words = _row(batch, 3, i)
+                where = np.fromiter(map(at.__getitem__, words.to_pylist()), dtype=np.int64, count=len(words))
+                ends = np.array([0, len(where)])
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([block.as_py()], pa.int64()), _lists(_row(batch, 2, i).to_numpy(), ends), _lists(counts[0][where], ends), _lists(logs[0][where], ends)],
+                    ["block", "places", "counts", "logs"])
+
+    empty = F.lit(None)
+    table = judged.select("range", empty.cast("long").alias("block"), empty.cast("array<int>").alias("places"), "words", "counts", "logs")
+    rows = dealt.select("range", "block", "places", "words", empty.cast("array<long>").alias("counts"), empty.cast("array<double>").alias("logs"))
+    line = table.unionByName(rows).repartition("range").sortWithinPartitions(F.col("range"), F.col("block").asc_nulls_first())
+    return line.mapInArrow(run, "block long, places array<int>, counts array<long>, logs array<double>")
+
+
+def fit(counted: DataFrame, pieces: Pieces, texts: int, rounds: int = ROUNDS) -> tuple[np.ndarray, float]:
+    """Shares of the pieces and the share of the end symbol, from training words ``words, counts``."""
+    spark = counted.sparkSession
     shared = spark.sparkContext.broadcast(pieces)
     share, end = pieces.first, 0.5
     for _ in range(rounds):
@@ -253,13 +349,16 @@ def fit(known: DataFrame, pieces: Pieces, texts: int, rounds: int = ROUNDS) -> t
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             total = np.zeros(len(shared.value.first))
             for batch in batches:
-                words, count = batch.column(0).to_pylist(), batch.column(1).to_numpy()
-                for part in batches_of(words):
-                    total += Batch(shared.value, words[part]).expected(weight.value, count[part].astype(np.float64))
+                for i in range(batch.num_rows):
+                    count = _row(batch, 1, i).to_numpy().astype(np.float64)
+                    learned = np.flatnonzero(count)
+                    words, count = _row(batch, 0, i).take(pa.array(learned)).to_pylist(), count[learned]
+                    for part in batches_of(words):
+                        total += Batch(shared.value, words[part]).expected(weight.value, count[part])
             used = np.flatnonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(used, pa.int64()), pa.array(total[used])], ["piece", "uses"])
 
-        found = known.select("word", "c").mapInArrow(run, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toArrow()
+        found = counted.select("words", "counts").mapInArrow(run, "piece long, uses double").groupBy("piece").agg(F.sum("uses").alias("uses")).toArrow()
         uses = np.zeros(len(share))
         uses[found.column("piece").to_numpy()] = found.column("uses").to_numpy()
         share = (uses + PRIOR * pieces.first) / (uses.sum() + PRIOR)
@@ -280,51 +379,63 @@ def score_texts(docs: DataFrame, vocabulary: str, rounds: int = ROUNDS) -> DataF
     spark = docs.sparkSession
     pieces = trie(sentencepiece_pieces(vocabulary))
     cut = stored(text_blocks(docs), "text-blocks")
-    entries = cut.select("block", F.posexplode(F.arrays_zip("words", "found")).alias("place", "entry")).select(
-        "block", "place", F.col("entry.words").alias("word"), F.col("entry.found").alias("found"))
-    counted = stored(entries.groupBy("word").agg(F.sum("found").alias("c")), "word-counts")
-    texts = cut.select(F.sum(F.size(F.filter("learn", lambda x: x))).alias("n")).first().n or 0
-    sums = counted.agg(F.sum("c").alias("words"), F.count(F.when(F.col("c") > 0, 1)).alias("distinct")).first()
-    train_tokens, distinct = (sums.words or 0) + texts, sums.distinct + (texts > 0)
-
-    share, end = fit(counted.filter("c > 0"), pieces, texts, rounds)
+    size = cut.agg(F.sum(F.size(F.filter("learn", lambda x: x))).alias("texts"), F.sum(F.aggregate("n", F.lit(0).cast("long"), lambda a, x: a + x)).alias("words")).first()
+    texts, ranges = size.texts or 0, max(RANGES, (size.words or 0) // RANGE)
+    dealt = dealt_words(cut, ranges)
+    counted = stored(word_counts(dealt), "word-counts")
+    sums = counted.select(F.aggregate("counts", F.lit(0).cast("long"), lambda a, x: a + x).alias("words"), F.size(F.filter("counts", lambda x: x > 0)).alias("distinct")).agg(
+        F.sum("words").alias("words"), F.sum("distinct").alias("distinct")).first()
+    train_tokens, distinct = (sums.words or 0) + texts, (sums.distinct or 0) + (texts > 0)
+
+    share, end = fit(counted, pieces, texts, rounds)
     shared, weight = spark.sparkContext.broadcast(pieces), spark.sparkContext.broadcast(log_weights(share, end))
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            words = batch.column(0).to_pylist()
-            found = [Batch(shared.value, words[part]).probability(weight.value) for part in batches_of(words)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(np.concatenate(found) if found else np.zeros(0))], ["word", "c", "p"])
+            for i in range(batch.num_rows):
+                words = _row(batch, 1, i).to_pylist()
+                logs = np.concatenate([Batch(shared.value, words[part]).probability(weight.value) for part in batches_of(words)])
+                yield pa.RecordBatch.from_arrays([*(batch.column(j).slice(i, 1) for j in range(3)), _lists(logs, np.array([0, len(logs)]))],
+                                                 ["range", "words", "counts", "logs"])
 
-    judged = counted.select("word", "c").mapInArrow(judge, "word binary, c long, p double")
-    facts = entries.select("block", "place", "word").join(judged, "word").groupBy("block").agg(
-        F.collect_list(F.struct("place", "c", "p")).alias("facts"))
+    judged = counted.mapInArrow(judge, "range int, words array<binary>, counts array<long>, logs array<double>")
+    facts = facts_of_blocks(dealt, judged)
     smooth = math.log10(train_tokens + 0.5 * (distinct + 1))
     end_base = math.log10(texts + 0.5) - smooth
     end_score = math.log10(end)
 
     def add_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
         for batch in batches:
             for i in range(batch.num_rows):
-                ids, held, n, code = (batch.column(j)[i] for j in range(4))
-                facts = batch.column(4)[i].values if batch.column(4)[i].is_valid else None
-                size = 0 if facts is None else len(facts)
-                c, p = np.zeros(size, dtype=np.int64), np.zeros(size)
-                if size:
-                    place = facts.field("place").to_numpy()
-                    c[place], p[place] = facts.field("c").to_numpy(), facts.field("p").to_numpy()
-                n = n.values.to_numpy()
+                if not batch.column(1)[i].is_valid:
+                    # facts of a block come ahead of its texts
+                    held.append(tuple(_row(batch, j, i).to_numpy().copy() for j in (5, 6, 7)))
+                    continue
+                ids, held_out, n = (batch.column(j)[i].values for j in (1, 2, 3))
+                size = sum(len(x[0]) for x in held)
+                base, p, known = np.zeros(size), np.zeros(size), np.zeros(size)
+                for place, count, log in held:
+                    base[place], p[place], known[place] = np.log10(count + 0.5) - smooth, log, count > 0
+                held = []
+                n = n.to_numpy()
                 owner = np.repeat(np.arange(len(n)), n)
-                code = np.frombuffer(code.as_py(), dtype=np.int32)
-                base = (np.log10(c + 0.5) - smooth)[code] if size else np.zeros(0)
-                add = lambda x: np.bincount(owner, weights=x, minlength=len(n))
-                known = add((c > 0)[code].astype(np.float64) if size else base).astype(np.int64) + (texts > 0)
+                code = np.frombuffer(batch.column(4)[i].as_buffer(), dtype=np.int32)
+                add = lambda x: np.bincount(owner, weights=x[code], minlength=len(n))
                 yield pa.RecordBatch.from_arrays([
-                    ids.values, held.values, pa.array(n.astype(np.int64) + 1), pa.array(known),
-                    pa.array(add(base) + end_base), pa.array(add(p[code] if size else base) / math.log(10) + end_score)],
+                    ids, held_out, pa.array(n.astype(np.int64) + 1), pa.array(add(known).astype(np.int64) + (texts > 0)),
+                    pa.array(add(base) + end_base), pa.array(add(p) / math.log(10) + end_score)],
                     ["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score"])
 
-    rows = cut.select("block", "ids", "held", "n", "codes").join(facts, "block", "left").select("ids", "held", "n", "codes", "facts")
-    out = rows.mapInArrow(add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
+    def nothing(kind: str) -> Column:
+        return F.lit(None).cast(kind)
+
+    lists = {"ids": "array<long>", "held": "array<boolean>", "n": "array<int>", "codes": "binary"}
+    said = {"places": "array<int>", "counts": "array<long>", "logs": "array<double>"}
+    line = facts.select("block", *(nothing(t).alias(c) for c, t in lists.items()), *said).unionByName(
+        cut.select("block", *lists, *(nothing(t).alias(c) for c, t in said.items())))
+    line = line.withColumn("last", F.col("ids").isNotNull()).repartition("block").sortWithinPartitions("block", "last")
+    out = line.select("block", *lists, *said).mapInArrow(
+        add_up, "doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double")
     return out.withColumn("train_tokens", F.lit(train_tokens).cast("long")).select(
         "doc_id", "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
