@@ -24,7 +24,6 @@ from .textkit import blocks, sample_ids
 
 #: Most labelled rows that the lexicon, the trees and the calibration are learned from.
 SAMPLE_ROWS = 20_000
-LEARNED_WORDS = 200
 TREES, DEPTH, RATE, BINS, LEAST_LEAF = 60, 3, 0.2, 32, 10
 THRESHOLD = 0.3
 NEAR = 6
@@ -105,7 +104,7 @@ def describe(docs: DataFrame, learned: list[str]) -> DataFrame:
 
 
 def learned_lexicon(docs: DataFrame, sample: DataFrame) -> list[str]:
-    """The words and word beginnings most typical of toxic texts, by the number of sampled texts that hold them; at most LEARNED_WORDS."""
+    """All words and word beginnings typical of toxic texts, by the number of sampled texts that hold them; the sample bounds them."""
     texts = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -132,7 +131,7 @@ def learned_lexicon(docs: DataFrame, sample: DataFrame) -> list[str]:
     counts = texts.select("text", "label").mapInArrow(run, "word string, toxic long, other long").groupBy("word").agg(
         F.sum("toxic").alias("toxic"), F.sum("other").alias("other"))
     typical = counts.filter((F.col("toxic") >= 5) & (F.col("toxic") >= 20 * F.col("other")))
-    return [r.word for r in typical.orderBy(F.desc("toxic"), "word").limit(LEARNED_WORDS).collect()]
+    return [r.word for r in typical.orderBy(F.desc("toxic"), "word").collect()]
 
 
 class Trees(NamedTuple):
