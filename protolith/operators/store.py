@@ -344,11 +344,15 @@ def empty_result_check(sequences: DataFrame, records: DataFrame) -> DataFrame:
 
 def analysis_tables(results: DataFrame, kinds: list[str], decoder: DataFrame | None = None) -> dict[str, DataFrame]:
     """Typed tables of several kinds; a kind that is present in more than one version fails the job that reads it."""
-    versions = version_conflicts(results).select(F.col("analysis").alias("__many"), F.lit(True).alias("__conflict"))
+    versions = version_conflicts(results).select(F.col("analysis").alias("__many"))
     failed = F.raise_error(F.concat(F.lit("several versions of "), F.col("analysis"))).cast("string")
-    checked = results.join(F.broadcast(versions), F.col("analysis") == F.col("__many"), "left")
-    checked = checked.withColumn("analysis", F.when(F.col("__conflict"), failed).otherwise(F.col("analysis")))
-    return {kind: analysis_table(checked.select(*results.columns), kind, decoder) for kind in kinds}
+
+    def checked(kind: str) -> DataFrame:
+        # at most one row per kind of result is broadcast
+        rows = results.filter(F.col("analysis") == kind).join(F.broadcast(versions), F.col("analysis") == F.col("__many"), "left")
+        return rows.withColumn("data", F.when(F.col("__many").isNotNull(), failed).otherwise(F.col("data"))).select(*results.columns)
+
+    return {kind: analysis_table(checked(kind), kind, decoder) for kind in kinds}
 
 
 def analysis_table(results: DataFrame, name: str, decoder: DataFrame | None = None) -> DataFrame:
