@@ -91,7 +91,7 @@ def frames(spark, start, links):
     return spark.createDataFrame(list(start.items()), "id string, start int"), spark.createDataFrame(links, "child_id string, parent_id string")
 
 
-@pytest.mark.parametrize("seed, extra, cycle", [(1, 0, False), (2, 30, False), (3, 60, True)])
+@pytest.mark.parametrize("seed, extra, cycle", [(2, 30, False), (3, 60, True)])
 def test_tree_order_equals_a_walk(spark, seed, extra, cycle):
     start, links = made(seed, 60, extra, cycle)
     down, tops = {}, set(start)
