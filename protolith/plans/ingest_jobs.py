@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from ..functions.attributes import attributes, custom_from, gap_from_cigar, gap_text, target
 from ..operators.ordered import number_rows
 from ..operators.sequences import normalise
-from ..session import scratch, stored
+from ..session import scratch, spread, stored
 from ..sinks import writers
 from ..sources import blocks, gff3, interpro, lines, sequences
 from . import bindings as B
@@ -460,14 +460,14 @@ def _xml_view(df: DataFrame) -> DataFrame:
 @job("src_xml", _xml_sql())
 def src_xml(spark, sf):
     """Match files split at the closing protein tag."""
-    path = _written(spark, B.table(spark, sf, "part"), _proteins(), "xml")
+    path = _written(spark, spread(B.table(spark, sf, "part")), _proteins(), "xml")
     return _xml_view(interpro.features(interpro.read_proteins(spark, path, "5.59")))
 
 
 @job("interpro_features", _xml_sql())
 def interpro_features(spark, sf):
     """The same elements parsed from a column."""
-    rows = B.table(spark, sf, "part").select(_proteins().alias("value"))
+    rows = spread(B.table(spark, sf, "part")).select(_proteins().alias("value"))
     return _xml_view(interpro.features(interpro.parse_proteins(rows, F.lit("5.59"))))
 
 
