@@ -176,7 +176,7 @@ def _lines_sql() -> str:
 @job("src_lines", _lines_sql())
 def src_lines(spark, sf):
     """All formats written as files and ingested; a tenth of the lines is malformed."""
-    rows = stored(B.events(spark, sf).select("e", "k"), "events")
+    rows = stored(spread(B.events(spark, sf).select("e", "k")), "events")
     sources = {**_line_sources(spark, sf), **{kind: _from_template(t[0]) for kind, t in _TEMPLATES.items()}}
     assert set(sources) == set(lines.FORMATS)
     out = None
@@ -239,7 +239,7 @@ def _profile_block() -> Column:
      "CASE WHEN k % 10 < 9 THEN CAST((k + 0.5) / 100 AS DOUBLE) END, CASE WHEN k % 10 < 9 THEN (k + 9 + j) END, CASE WHEN k % 10 < 9 THEN 'T' || CAST(j AS STRING) "
      "|| '|MKVAC-|MRVACD|9-8765' END, CASE WHEN k % 10 = 9 THEN 'evalue' END FROM ev, (VALUES (1), (2)) v(j)")
 def src_blocks(spark, sf):
-    rows = B.events(spark, sf)
+    rows = stored(spread(B.events(spark, sf).select("e", "k")), "events")
     k = F.col("k")
     labels = F.expr(_LABELLED)
     tmbed = F.concat(F.lit(">"), _name(), F.lit(" more\nMKV\n"), labels)
