@@ -1,8 +1,14 @@
 """Work spreads over the cores, and what moves between tasks stays small."""
 
+import random
+from statistics import mean, median
+
 import pytest
+from pyspark.sql import functions as F
 
+from protolith.operators import genome_scores, intervals
 from protolith.plans import JOBS
+from protolith.plans import bindings as B
 from protolith.session import RUNTIME_SETTINGS
 
 
@@ -27,7 +33,6 @@ def test_matches_of_one_small_file_go_to_all_cores(spark, tables):
 def test_files_are_written_by_all_cores(spark, tables, name, rows):
     sf = tables("events", [(i, 0, 1.0, '{"k": %d}' % (i % 9), "x") for i in range(40)],
                 "event_id bigint, user_id bigint, value double, props string, event_type string")
-    from pyspark.sql import functions as F
     spark.sql(f"SELECT *, timestamp'2020-01-01 00:00:00' AS ts FROM parquet.`{sf}/events.parquet`").coalesce(1).write.parquet(f"{sf}/more/events.parquet")
     found = JOBS[name](spark, f"{sf}/more")
     assert len([f for f in found.inputFiles() if "pepstats" in f or "deepsig" in f]) >= spark.sparkContext.defaultParallelism
@@ -36,3 +41,61 @@ def test_files_are_written_by_all_cores(spark, tables, name, rows):
 
 def test_methods_that_the_jvm_would_not_compile_are_not_made():
     assert int(RUNTIME_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
+
+
+FOLDS = {"min": min, "max": max, "mean": mean, "median": median}
+
+
+def folded_plainly(exons, scores, reducer):
+    """Segment by segment: the scores of each protein that covers it, once."""
+    out = {}
+    for q in {x[1] for x in exons if x[1]}:
+        mine = [x for x in exons if x[1] == q]
+        points = sorted({p for x in mine for p in x[2:] if p is not None})
+        for a, b in zip(points, points[1:]):
+            over = {x[0] for x in mine if None not in x and x[2] <= a and x[3] >= b}
+            held = [v for n, v in scores if n in over]
+            known = [v for v in held if v is not None and v == v]
+            if held:
+                out[q, a, b] = round(FOLDS[reducer](known), 6) if known else None
+    return out
+
+
+@pytest.mark.parametrize("crowd", [1 << 14, 20])
+@pytest.mark.parametrize("reducer", list(FOLDS))
+def test_scores_fold_over_buckets(spark, monkeypatch, reducer, crowd):
+    monkeypatch.setattr(intervals, "CROWD", crowd)
+    monkeypatch.setattr(intervals, "MEDIAN_CROWD", crowd)
+    monkeypatch.setattr(intervals, "PAIRS", 50)
+    draw = random.Random(3)
+    exons = [(draw.randrange(20), draw.choice(["x", "y", None]), a, a + draw.choice([0, 5, 40, 90, 4096])) for a in (draw.randrange(9000) for _ in range(90))]
+    # far over several buckets, up to a bucket's edge, backwards, and half known
+    exons += [(1, "x", 100, 40_000), (2, "x", 4096, 8192), (3, "y", 12_288, 16_384), (4, "x", 900, 700), (5, "y", None, 6000), (None, "x", 30, 60)]
+    scores = [(n, draw.choice([1.0, 2.5, float("nan"), None, n / 3])) for n in range(15)] + [(1, 7.0), (2, 2.0), (2, 2.0)]
+    got = genome_scores.scores_to_genome(spark.createDataFrame(exons, "id int, seqid string, start bigint, end bigint"),
+                                         spark.createDataFrame(scores, "name int, value double"), ["value"], reducer)
+    found = {(r.seqid, r.start, r.end): None if r.value is None else round(r.value, 6) for r in got.collect()}
+    assert got.count() == len(found) and found == folded_plainly(exons, scores, reducer)
+
+
+def test_one_fold_moves_each_span_few_times(spark):
+    """Spans meet scores, and pieces their buckets; before, events, places and pairs went over a dozen exchanges."""
+    exons = spark.range(500).selectExpr("id % 50 AS id", "id % 3 AS seqid", "id AS start", "id + 20 AS end")
+    scores = spark.range(50).selectExpr("id AS name", "CAST(id AS double) AS value")
+    plan = []
+    real = intervals.stored
+    try:
+        intervals.stored = lambda df, label: (plan.append(df._jdf.queryExecution().executedPlan().toString()), real(df, label))[1]
+        out = genome_scores.scores_to_genome(exons, scores, ["value"], "median")
+    finally:
+        intervals.stored = real
+    plan.append(out._jdf.queryExecution().executedPlan().toString())
+    assert out.count() > 0 and sum(p.partition("== Initial Plan ==")[0].count("Exchange") for p in plan) <= 10
+
+
+def test_line_features_are_counted_without_sorting(spark, tables):
+    sf = tables("lineitem", [(1, 1, 5, "B"), (1, 1, 7, "A"), (1, 2, 5, "A"), (1, 2, 5, "0"), (2, 1, 4, None), (2, 2, 4, "R")],
+                "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_returnflag string")
+    rows = B.line_features(spark, sf)
+    assert "SortAggregate" not in JOBS["feature_groups"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert {r.feature_id: r.source for r in rows.collect()} == {11: "toolA", 12: "toolB", 21: "toolB", 22: "toolB"}
