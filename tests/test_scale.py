@@ -99,3 +99,11 @@ def test_line_features_are_counted_without_sorting(spark, tables):
     rows = B.line_features(spark, sf)
     assert "SortAggregate" not in JOBS["feature_groups"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert {r.feature_id: r.source for r in rows.collect()} == {11: "toolA", 12: "toolB", 21: "toolB", 22: "toolB"}
+
+
+def test_parts_of_line_features_follow_the_rows(spark, tables, monkeypatch):
+    sf = tables("lineitem", [(i // 4, i % 4, 5, "A") for i in range(400)], "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_returnflag string")
+    monkeypatch.setattr(B, "ROWS_PER_TASK", 10)
+    found = JOBS["feature_groups"](spark, sf)
+    assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
+    assert found.rdd.getNumPartitions() == 40
