@@ -6,7 +6,8 @@ from statistics import mean, median
 import pytest
 from pyspark.sql import functions as F
 
-from protolith.operators import genome_scores, intervals
+from protolith.functions.attributes import attributes
+from protolith.operators import genome_scores, intervals, projection
 from protolith.plans import JOBS
 from protolith.plans import bindings as B
 from protolith.session import RUNTIME_SETTINGS
@@ -107,3 +108,64 @@ def test_parts_of_line_features_follow_the_rows(spark, tables, monkeypatch):
     found = JOBS["feature_groups"](spark, sf)
     assert found._jdf.queryExecution().executedPlan().toString().count("Exchange") == 1
     assert found.rdd.getNumPartitions() == 40
+
+
+def proteins(spark):
+    """Exons and features of twelve proteins: no length, one place twice, mixed strands, backwards, unknown, and none at all."""
+    draw = random.Random(5)
+    exons = [(i, f"c{i % 3}", draw.choice("+-") if i == 3 else "+-."[i % 3 if i > 8 else i % 2], "s", at, at + draw.choice([0, 4, 9, 30]))
+             for i in range(12) for at in (draw.randrange(900) for _ in range(i))]
+    exons += [(4, "c1", None, "s", 5000, 5010), (5, "c2", "-", "s", 700, 730), (5, "c2", "-", "s", 700, 730), (None, "c1", "+", "s", 1, 90), (6, "c0", "+", "s", None, 8)]
+    kinds = ["signal_peptide", "protein_match", "propeptide_cleavage_site", "transmembrane_polypeptide_region", "n_terminal_region", "other"]
+    rows = [(i, 100 * (i or 99) + n, draw.choice(kinds[(i or 0) % 2:]), draw.choice("ab"), draw.choice(["t", "u", None]), draw.choice([-3, 0, 2, 5, None]), draw.choice([1, 9, 40, None]))
+            for i in [*range(14), None] for n in range(7)]
+    rows += [(7, None, "other", "a", "t", 1, 9), (7, 799, "other", "b", "t", 1, 9), (7, 799, "other", "b", "t", 1, 9)]
+    rows += [(1, 199, "protein_match", "a", "t", 0, 1), (1, 199, "other", "a", "t", 0, 1)]
+    return (spark.createDataFrame(rows, "id bigint, feature_id bigint, type string, source string, target string, p_start int, p_end int"),
+            spark.createDataFrame(exons, "id bigint, seqid string, strand string, source string, start bigint, end bigint"))
+
+
+def in_text(df):
+    return sorted(map(str, df.collect()))
+
+
+@pytest.mark.parametrize("how, full", [({}, True), ({"grouped": False}, False)])
+def test_features_meet_exons_as_if_swept(spark, monkeypatch, how, full):
+    features, exons = proteins(spark)
+    if full:
+        number = F.col("feature_id").cast("string")
+        features = features.withColumns({"score": F.col("feature_id") / 4, "attributes": attributes(id=number, gap=F.array(F.struct(F.lit("M").alias("code"), F.lit(1).alias("length"))))})
+    assert {r.id for r in projection.apart(features, exons).collect()} == {None, 4}
+    met = projection.map_to_genome(features, exons, **how), projection.project(features, exons)
+    monkeypatch.setattr(projection, "PAIRS", 1)
+    assert {r.id for r in projection.apart(features, exons).collect()} > {None, 4, 7}
+    some = projection.map_to_genome(features, exons, **how), projection.project(features, exons)
+    monkeypatch.setattr(projection, "CROWD", 0)
+    swept = projection.map_to_genome(features, exons, **how), projection.project(features, exons)
+    assert swept[0].count() > 60 and swept[0].dtypes == met[0].dtypes
+    for a, b, c in zip(met, some, swept):
+        assert in_text(a) == in_text(c) and in_text(b) == in_text(c)
+
+
+def test_a_feature_without_exon_fails_where_it_meets_them(spark):
+    exons = spark.createDataFrame([(1, "c", "+", 0, 30), (1, "c", "+", 50, 80), (2, "c", "+", 5, 5)], "id int, seqid string, strand string, start bigint, end bigint")
+    fits = spark.createDataFrame([(1, 1, 2, 30), (2, 2, 0, 4), (3, 3, 0, 4)], "id int, feature_id int, p_start int, p_end int")
+    assert projection.project(fits, exons, strict=True).count() == 2
+    for bad in [(1, 7, 20, 25), (1, 7, 4, 4), (1, 7, None, 4), (1, 7, -5, 0)]:
+        with pytest.raises(Exception, match="feature reaches no exon: 7"):
+            projection.project(fits.union(spark.createDataFrame([bad], fits.schema)), exons, strict=True).collect()
+
+
+@pytest.mark.parametrize("name", ["project_features", "project_generic"])
+def test_rows_of_a_protein_meet_once(spark, tables, monkeypatch, name):
+    """Before, eleven tables were written on the way and rows went over exchanges for each step."""
+    sf = tables("lineitem", [(i // 4, i % 4 + 1, i, float(i % 30), "A") for i in range(400)],
+                "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_quantity double, l_returnflag string")
+    written = []
+    real = projection.stored
+    monkeypatch.setattr(projection, "stored", lambda df, label: (written.append(label), real(df, label))[1])
+    found = JOBS[name](spark, sf)
+    assert written == ["apart"]
+    # lines as features and lines as exons, for counts and for places
+    assert found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0].count(" Exchange hashpartitioning") <= 3
+    assert found.count() > 0
