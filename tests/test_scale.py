@@ -6,11 +6,13 @@ from statistics import mean, median
 import pytest
 from pyspark.sql import functions as F
 
-from protolith.functions.attributes import attributes
+from protolith.functions.attributes import attributes, parse_attributes
+from protolith.functions.text import number_text
 from protolith.operators import genome_scores, intervals, projection
 from protolith.plans import JOBS
 from protolith.plans import bindings as B
 from protolith.session import RUNTIME_SETTINGS
+from protolith.sources import gff3
 
 
 @pytest.fixture
@@ -169,3 +171,41 @@ def test_rows_of_a_protein_meet_once(spark, tables, monkeypatch, name):
     # lines as features and lines as exons, for counts and for places
     assert found._jdf.queryExecution().executedPlan().toString().partition("== Initial Plan ==")[0].count(" Exchange hashpartitioning") <= 3
     assert found.count() > 0
+
+
+def test_gff_lines_are_split_once_and_written_by_all_cores(spark, tables):
+    sf = tables("lineitem", [(i, i % 7, i, i % 5, 3.0, 0.05 * (i % 2), "A") for i in range(64)],
+                "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint, l_quantity double, l_discount double, l_returnflag string")
+    found = JOBS["snk_gff"](spark, sf)
+    # before, one small file was one task, and the filter split the line once for each of its checks
+    assert len(found.inputFiles()) >= spark.sparkContext.defaultParallelism
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("split(trim(value") == 1
+    assert found.count() == 64 and found.filter("id <> '' AND parents LIKE 'p=%|q,r' AND tag = 'A'").count() == 64
+
+
+def test_odd_attribute_texts(spark):
+    texts = {
+        " ;ID=a;; Name = b c ;ID=z; ": ("z", "b c", None, {}), "Parent= ,p%2Cq, r ,;k=1,2;=x;e=;nothing": (None, None, ["p,q", "r"], {"k": ["1", "2"], "": ["x"]}),
+        ".": (None, None, None, {}), 'ID="q";Note=\'n\'': ('"q"', None, None, {}), "ID=%253B;k==v=": ("%3B", None, None, {"k": ["=v="]}), "ID=%2509x%0A": ("%09x\n", None, None, {})}
+    lines = [(f"c\ts\tt\t1\t9\t.\t+\t.\t{t}",) for t in texts] + [("  c\ts\tt\t1\t9\t1e-05\t+\t.\t",), ("#x",), ("   ",), ("c\ts",)]
+    rows = gff3.parse_gff3(spark.createDataFrame(lines, "value string")).collect()
+    assert [r.problem for r in rows] == [None] * 7 + ["columns"] and rows[6].score == 1e-05
+    for row, (id_, name, parent, custom) in zip(rows, texts.values()):
+        a = row.attributes
+        assert (a.id, a.name, a.parent, a.custom) == (id_, name, parent, custom)
+    alone = spark.createDataFrame([(t,) for t in texts], "t string").select(parse_attributes(F.col("t")).alias("a"))
+    assert [r.a for r in alone.collect()] == [r.attributes for r in rows[:6]]
+
+
+def test_numbers_as_text(spark):
+    found = spark.createDataFrame([(x,) for x in (12.5, 0.0001, 1e-05, 1.2e-30, 1e7, 1.5e16, float("nan"), float("inf"), None, 0.0)], "x double").select(number_text(F.col("x")))
+    assert [r[0] for r in found.collect()] == ["12.5", "0.0001", "1e-05", "1.2e-30", "10000000.0", "1.5e+16", "NaN", "Infinity", None, "0.0"]
+
+
+def test_parts_of_annotations_follow_the_rows(spark, monkeypatch):
+    monkeypatch.setattr(projection, "ROWS_PER_TASK", 10)
+    rows = spark.range(400).select(
+        (F.col("id") % 50).cast("string").alias("seqid"), F.lit("s").alias("source"), F.lit("signal_peptide").alias("type"), F.lit(0).alias("start"),
+        F.lit(9).alias("end"), F.lit(None).cast("double").alias("score"), attributes(id=F.col("id").cast("string")).alias("attributes"))
+    found = projection.annotation_rows(rows)
+    assert found.rdd.getNumPartitions() == 40 and found.count() == 400
