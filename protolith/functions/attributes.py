@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bound, escape, strip, unescape
+from .text import bound, escape, strip, trimmed, unescape
 
 # --- fixed values: reserved attribute keys, in write order ---------------------
 RESERVED = (
@@ -98,21 +98,25 @@ def target_text(t: Column) -> Column:
 
 
 def _parse_list(value: Column) -> Column:
-    parts = F.split(F.regexp_replace(value, "^[, ]+|[, ]+$", ""), ",")
-    return F.when(F.coalesce(value, F.lit("")) != "", F.transform(parts, lambda p: unescape(strip(p))))
+    parts = F.split(trimmed(value, ", "), ",")
+    return F.when(F.coalesce(value, F.lit("")) != "", F.transform(parts, lambda p: unescape(trimmed(p))))
 
 
 def parse_attributes(text: Column, strip_quote: bool = False) -> Column:
     """Attribute text to struct; an empty column or ``.`` gives a struct of NULLs."""
+    return bound(attribute_pairs(text, strip_quote), attributes_from)
+
+
+def attribute_pairs(text: Column, strip_quote: bool = False) -> Column:
+    """Attribute text to a map of keys and their texts."""
     def cleaned(value: Column) -> Column:
-        return F.regexp_replace(value, "^[ '\"]+|[ '\"]+$", "") if strip_quote else strip(value)
+        return trimmed(value, " '\"") if strip_quote else trimmed(value)
 
-    trimmed = F.regexp_replace(F.coalesce(text, F.lit("")), "^[ ;]+|[ ;]+$", "")
-    fields = F.filter(F.split(trimmed, ";"), lambda f: f.contains("="))
+    fields = F.filter(F.split(trimmed(F.coalesce(text, F.lit("")), " ;"), ";"), lambda f: f.contains("="))
     entries = F.transform(fields, lambda f: F.struct(
-        strip(F.substring_index(f, "=", 1)).alias("key"),
+        trimmed(F.substring_index(f, "=", 1)).alias("key"),
         cleaned(f.substr(F.instr(f, "=") + 1, F.length(f))).alias("value")))
-    return bound(bound(entries, _last_of_each), _from_pairs)
+    return bound(entries, _last_of_each)
 
 
 def _last_of_each(entries: Column) -> Column:
@@ -124,7 +128,8 @@ def _last_of_each(entries: Column) -> Column:
     return F.map_from_entries(F.when(unique, entries).otherwise(last))
 
 
-def _from_pairs(pairs: Column) -> Column:
+def attributes_from(pairs: Column) -> Column:
+    """The attribute struct of a map of keys and texts; ``pairs`` is used often, so it should be a column."""
     def get(key: str) -> Column:
         return F.try_element_at(pairs, F.lit(key))
 
@@ -166,4 +171,4 @@ def attributes_text(a: Column) -> Column:
         F.filter(F.map_entries(a["custom"]), lambda e: F.size(e["value"]) > 0),
         lambda e: F.concat(escape(e["key"]), F.lit("="), listed(e["value"])))
     text = F.concat_ws(";", *parts, F.array_join(F.coalesce(extra, F.array().cast("array<string>")), ";"))
-    return F.coalesce(F.nullif(F.regexp_replace(text, ";+$", ""), F.lit("")), F.lit("."))
+    return F.coalesce(F.nullif(F.rtrim(text, F.lit(";")), F.lit("")), F.lit("."))

@@ -38,6 +38,11 @@ def strip(col: Column) -> Column:
     return F.regexp_replace(col, r"^\s+|\s+$", "")
 
 
+def trimmed(col: Column, chars: str = " \t\n\x0b\f\r") -> Column:
+    """Remove leading and trailing characters of a set without a regex, which would try every place of the text."""
+    return F.btrim(col, F.lit(chars))
+
+
 def before_last(col: Column, sep: str) -> Column:
     """The part before the last separator, or the whole string without one."""
     return F.regexp_replace(col, f"{sep}[^{sep}]*$", "")
@@ -72,7 +77,8 @@ def number_text(col: Column) -> Column:
         F.when(F.length(digits) > power + 1, digits.substr(power + 2, F.lit(32))).otherwise("0"),
     )
     return (
-        F.when(power.isNull(), raw)
+        F.when(~raw.contains("E"), raw)
+        .when(power.isNull(), raw)
         .when(power == -4, F.concat(sign, F.lit("0.000"), digits))
         .when(power.between(7, 15), plain_large)
         .otherwise(scientific)

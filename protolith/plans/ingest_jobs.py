@@ -278,7 +278,7 @@ _FEATURE_SQL = (
 
 def _features(spark, sf) -> DataFrame:
     """Interval features whose attributes need every kind of escaping."""
-    rows = B.table(spark, sf, "lineitem")
+    rows = spread(B.table(spark, sf, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag", "l_suppkey", "l_partkey", "l_quantity", "l_discount"))
     attrs = attributes(
         id=F.concat(F.lit("f;"), _s("l_orderkey")),
         parent=F.array(F.concat(F.lit("p="), _s("l_linenumber")), F.lit("q,r")),

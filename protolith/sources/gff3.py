@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.attributes import parse_attributes
-from ..functions.text import strip
+from ..functions.attributes import attribute_pairs, attributes_from
+from ..functions.text import trimmed
 
 COLUMNS = ("seqid", "source", "type", "start", "end", "score", "strand", "phase", "attributes")
 
@@ -14,7 +14,10 @@ COLUMNS = ("seqid", "source", "type", "start", "end", "score", "strand", "phase"
 def parse_gff3(lines: DataFrame, column: str = "value", strip_quote: bool = False) -> DataFrame:
     """Feature columns plus ``problem``; comments and blank lines are skipped."""
     kept = lines.filter((F.trim(F.col(column)) != "") & ~F.col(column).startswith("#"))
-    parts = F.split(strip(F.col(column)), "\t")
+    others = [c for c in lines.columns if c != column]
+    # a filter on what is read moves below a selection and would split the line for each use; it stays above an explode
+    split = kept.select(*others, F.explode(F.array(F.split(trimmed(F.col(column)), "\t"))).alias("__parts"))
+    parts = F.col("__parts")
     f = {name: F.get(parts, F.lit(i)) for i, name in enumerate(COLUMNS)}
     a = f["start"].try_cast("int") - 1
     b = f["end"].try_cast("int")
@@ -31,13 +34,12 @@ def parse_gff3(lines: DataFrame, column: str = "value", strip_quote: bool = Fals
     problem = F.lit(None).cast("string")
     for name, ok in reversed(checks):
         problem = F.when(~F.coalesce(ok, F.lit(False)), name).otherwise(problem)
-    return kept.select(
-        *[c for c in lines.columns if c != column],
-        f["seqid"].alias("seqid"), f["source"].alias("source"), f["type"].alias("type"),
+    rows = split.select(
+        *others, f["seqid"].alias("seqid"), f["source"].alias("source"), f["type"].alias("type"),
         F.least(a, b).alias("start"), F.greatest(a, b).alias("end"), score.alias("score"),
         f["strand"].alias("strand"), f["phase"].alias("phase"),
-        parse_attributes(f["attributes"], strip_quote).alias("attributes"),
-        problem.alias("problem"))
+        attribute_pairs(f["attributes"], strip_quote).alias("__pairs"), problem.alias("problem"))
+    return rows.withColumn("attributes", attributes_from(F.col("__pairs"))).select(*others, *COLUMNS, "problem")
 
 
 def read_gff3(spark: SparkSession, paths: str | list[str], strip_quote: bool = False) -> DataFrame:
