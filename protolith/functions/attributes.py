@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import bound, escape, strip, trimmed, unescape
+from .text import bound, by_line_ends, escape, strip, unescape
 
 # --- fixed values: reserved attribute keys, in write order ---------------------
 RESERVED = (
@@ -98,8 +98,9 @@ def target_text(t: Column) -> Column:
 
 
 def _parse_list(value: Column) -> Column:
-    parts = F.split(trimmed(value, ", "), ",")
-    return F.when(F.coalesce(value, F.lit("")) != "", F.transform(parts, lambda p: unescape(trimmed(p))))
+    def parts(trim) -> Column:
+        return F.transform(F.split(trim(value, ", "), ","), lambda p: unescape(trim(p)))
+    return F.when(F.coalesce(value, F.lit("")) != "", by_line_ends(value, parts))
 
 
 def parse_attributes(text: Column, strip_quote: bool = False) -> Column:
@@ -109,14 +110,13 @@ def parse_attributes(text: Column, strip_quote: bool = False) -> Column:
 
 def attribute_pairs(text: Column, strip_quote: bool = False) -> Column:
     """Attribute text to a map of keys and their texts."""
-    def cleaned(value: Column) -> Column:
-        return trimmed(value, " '\"") if strip_quote else trimmed(value)
-
-    fields = F.filter(F.split(trimmed(F.coalesce(text, F.lit("")), " ;"), ";"), lambda f: f.contains("="))
-    entries = F.transform(fields, lambda f: F.struct(
-        trimmed(F.substring_index(f, "=", 1)).alias("key"),
-        cleaned(f.substr(F.instr(f, "=") + 1, F.length(f))).alias("value")))
-    return bound(entries, _last_of_each)
+    def pairs(trim) -> Column:
+        fields = F.filter(F.split(trim(F.coalesce(text, F.lit("")), " ;"), ";"), lambda f: f.contains("="))
+        entries = F.transform(fields, lambda f: F.struct(
+            trim(F.substring_index(f, "=", 1)).alias("key"),
+            trim(f.substr(F.instr(f, "=") + 1, F.length(f)), *([" '\""] if strip_quote else [])).alias("value")))
+        return bound(entries, _last_of_each)
+    return by_line_ends(text, pairs)
 
 
 def _last_of_each(entries: Column) -> Column:
