@@ -18,11 +18,13 @@ from .registry import job
 from .sequence_jobs import LETTERS
 
 EV = f"WITH {B.EVENTS_SQL}"
+# a compressed file is read by one task, so files end after so many blocks
+BLOCKS_PER_FILE = 1 << 14
 
 
-def _written(spark: SparkSession, df: DataFrame, line: Column, label: str) -> str:
+def _written(spark: SparkSession, df: DataFrame, line: Column, label: str, **options) -> str:
     path = scratch(spark, label)
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    df.select(line.alias("value")).write.mode("overwrite").options(**options).text(path)
     return path
 
 
@@ -245,7 +247,9 @@ def src_blocks(spark, sf):
     tmbed = F.concat(F.lit(">"), _name(), F.lit(" more\nMKV\n"), labels)
     deep = F.concat(F.lit(">"), _name(), F.when(k % 10 == 9, " | ODD").otherwise(" | SP+TM"), F.lit("\nMKV\n"),
                     F.lit("SSSMMMOO"))
-    read = {kind: blocks.read_blocks(spark, kind, _written(spark, rows, line, kind))
+    # blocks are long and mostly labels: all four kinds stay on disk until the result is read
+    packed = {"compression": "gzip", "maxRecordsPerFile": BLOCKS_PER_FILE}
+    read = {kind: blocks.read_blocks(spark, kind, _written(spark, rows, line, kind, **packed))
             for kind, line in (("pepstats", _pepstats_block()), ("tmbed", tmbed), ("deeptmhmm", deep), ("hhr", _profile_block()))}
     d = "data."
     return (

@@ -1,6 +1,7 @@
 """Work spreads over the cores, and what moves between tasks stays small."""
 
 import random
+from pathlib import Path
 from statistics import mean, median
 
 import pytest
@@ -11,6 +12,7 @@ from protolith.functions.text import by_line_ends, number_text, strip, trimmed
 from protolith.operators import genome_scores, intervals, projection
 from protolith.plans import JOBS
 from protolith.plans import bindings as B
+from protolith.plans import ingest_jobs
 from protolith.session import RUNTIME_SETTINGS
 from protolith.sources import gff3
 
@@ -42,6 +44,21 @@ def test_files_are_written_by_all_cores(spark, tables, name, rows):
     assert found.filter(F.col("problem").isNull()).count() == rows
 
 
+def test_block_files_are_packed(spark, tables, monkeypatch):
+    monkeypatch.setattr(ingest_jobs, "BLOCKS_PER_FILE", 200, raising=False)
+    sf = tables("events", [(i, i % 7, 1.0, '{"k": %d}' % (i % 100), "x") for i in range(4000)],
+                "event_id bigint, user_id bigint, value double, props string, event_type string")
+    spark.sql(f"SELECT *, timestamp'2020-01-01 00:00:00' AS ts FROM parquet.`{sf}/events.parquet`").coalesce(1).write.parquet(f"{sf}/more/events.parquet")
+    found = JOBS["src_blocks"](spark, f"{sf}/more")
+    files = [Path(f.removeprefix("file:")) for f in found.inputFiles()]
+    # 2,500 bytes of text an event before
+    assert sum(f.stat().st_size for f in files) < 500 * 4000
+    # and none of them keeps one task long
+    assert len(files) >= 4 * 4000 / 200
+    assert {r.kind: r["count"] for r in found.groupBy("kind").count().collect()} == {"pepstats": 4000, "tmbed": 4000, "deeptmhmm": 4000, "hhr": 8000}
+    assert found.filter("kind = 'pepstats' AND problem IS NULL").select("name").distinct().count() == 4000
+
+
 def test_methods_that_the_jvm_would_not_compile_are_not_made():
     assert int(RUNTIME_SETTINGS["spark.sql.codegen.hugeMethodLimit"]) <= 8000
 
